@@ -76,6 +76,7 @@ def _spans(part: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     lowered = np.where(np.cumsum(edge[:-1], dtype=np.int8) > 0, part, LOWER[part])
     kind = _KIND[part]
     inner = np.flatnonzero((kind[:-1] ^ kind[1:]) == 3) + 1
+    inner = inner[~np.isin(inner, bounds)]
     return lowered, (s := np.sort(np.concatenate([starts, inner]))), np.sort(np.concatenate([ends, inner])), np.searchsorted(bounds, s, side="right") - 1
 
 
