@@ -21,8 +21,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from .folds import in_fold
 from .session import ship
 from .textops import blocks, text_buffers
 
@@ -131,11 +132,6 @@ class ByteCnn:
             yield 1 / (1 + np.exp(-(mean.astype(np.float64) + self.offset)))
 
 
-def in_fold(doc_id: Column, folds: int) -> Column:
-    """crc32 of the id as text, modulo ``folds``; a null id is in fold 0."""
-    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(0))
-
-
 def train(docs: DataFrame, labels: DataFrame, folds: int = 5) -> ByteCnn:
     """The network learned from labels (doc_id, quality) outside fold 0."""
     ship(docs.sparkSession)

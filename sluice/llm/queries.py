@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, byte_cnn, line_dedup, near_dup, packing, quality_rules, secrets
+from . import byte_bpe, byte_cnn, hmm_lm, line_dedup, near_dup, packing, quality_rules, secrets
+from .folds import in_fold
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,11 +34,15 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm_lm.score(hmm_lm.learn(_table(spark, sf_dir, "documents")))
+
+
 def op7_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = byte_cnn.train(docs, _table(spark, sf_dir, "labels"))
     scored = byte_cnn.score(docs, model)
-    held_out = byte_cnn.in_fold(F.col("doc_id"), 5) == 0
+    held_out = in_fold(F.col("doc_id"), 5) == 0
     return scored.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
@@ -52,6 +57,7 @@ QUERIES = {
     "op3_near_dup": op3_near_dup,
     "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
+    "op6_hmm": op6_hmm,
     "op7_quality_cnn": op7_quality_cnn,
     "op10_byte_bpe": op10_byte_bpe,
 }
