@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, byte_cnn, hmm_lm, line_dedup, near_dup, packing, quality_rules, secrets, vector_dup
+from . import byte_bpe, byte_cnn, hmm_lm, line_dedup, near_dup, packing, quality_rules, secrets, token_rollups, vector_dup
 from .folds import in_fold
 
 
@@ -46,6 +46,10 @@ def op7_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op8_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_rollups.maintained_totals(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_vector_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
@@ -63,6 +67,7 @@ QUERIES = {
     "op5_line_dedup": op5_line_dedup,
     "op6_hmm": op6_hmm,
     "op7_quality_cnn": op7_quality_cnn,
+    "op8_token_rollups": op8_token_rollups,
     "op9_vector_dup": op9_vector_dup,
     "op10_byte_bpe": op10_byte_bpe,
 }
@@ -71,5 +76,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_near_dup": near_dup.oracle_sql(),
     "op4_quality_rules": quality_rules.oracle_sql(),
     "op5_line_dedup": line_dedup.oracle_sql(),
+    "op8_token_rollups": token_rollups.oracle_sql(),
     "op9_vector_dup": vector_dup.oracle_sql(),
 }

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .components import connected_components
+from .merging import Merged
 from .session import settle, ship, work_dir
 
 THRESHOLD = 0.95
@@ -91,28 +92,6 @@ def _angles(pivots: dict[int, np.ndarray]):
     return run
 
 
-class _Merged:
-    """Union of a tile's rows."""
-
-    def __init__(self, n: int) -> None:
-        self.up = np.arange(n)
-
-    def root(self, k: int) -> int:
-        while self.up[k] != k:
-            self.up[k] = self.up[self.up[k]]
-            k = self.up[k]
-        return k
-
-    def add(self, i: np.ndarray, j: np.ndarray) -> None:
-        n = len(self.up)
-        for pair in np.unique(self.up[i] * n + self.up[j]).tolist():
-            a, b = self.root(pair // n), self.root(pair % n)
-            if a != b:
-                self.up[max(a, b)] = min(a, b)
-        while (self.up != self.up[self.up]).any():
-            self.up = self.up[self.up]
-
-
 def compare_tile(left: np.ndarray, right: np.ndarray, same: bool, threshold: float = THRESHOLD) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Linked places (i, j) of two sets of unit vectors, strip by strip; with ``same`` only i < j."""
     dimensions = left.shape[1]
@@ -143,7 +122,7 @@ def _tile_links(table: pa.Table) -> pa.Table:
     unit = _units(table.column("v").to_pylist())
     left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
     same = bool((side == 2).any())
-    links, merged = np.zeros(len(cids), dtype=np.int64), _Merged(len(cids))
+    links, merged = np.zeros(len(cids), dtype=np.int64), Merged(len(cids))
     for i, j in compare_tile(unit[left], unit[right], same):
         i, j = left[i], right[j]
         links += np.bincount(i, weights=weights[j], minlength=len(cids)).astype(np.int64)
