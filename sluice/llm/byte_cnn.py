@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .folds import in_fold
 from .session import ship
@@ -196,5 +197,5 @@ def score(docs: DataFrame, model: ByteCnn) -> DataFrame:
             found = [*model.scores(batch.column(at))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(found) if found else [], pa.float64())], names=[*batch.schema.names, "score"])
 
-    out = docs.schema.add("score", "double")
+    out = StructType([*docs.schema.fields, StructField("score", DoubleType())])
     return docs.mapInArrow(run, out)

@@ -85,7 +85,7 @@ def line_keys(text: Column) -> Column:
 def _dropped_places(docs: DataFrame, path: str, batches: int) -> DataFrame:
     """(doc_id, text_hash, dropped): places of the lines that go, for the rows that lose any."""
     spark = docs.sparkSession
-    bounds = sorted(set(docs.select("doc_id").approxQuantile("doc_id", [k / batches for k in range(1, batches)], 0.01)))
+    bounds = sorted(set(docs.select("doc_id").approxQuantile("doc_id", [k / batches for k in range(1, batches)], 0.01))) if batches > 1 else []
     batch = F.lit(0)
     for bound in bounds:
         batch = batch + F.when(F.col("doc_id") <= bound, 1).otherwise(0)
