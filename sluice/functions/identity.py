@@ -62,3 +62,13 @@ def seeded(seed: str, row_id: Column | str) -> Column:
     """A hash of seed and row id; ordering by it gives the same sample on any engine."""
     row = F.col(row_id) if isinstance(row_id, str) else row_id
     return F.sha2(F.concat(F.lit(f"{seed}#"), row.cast("string")), 256)
+
+
+def rows_hash(content: Column) -> Column:
+    """An aggregate: a hash of a group's rows whatever their order, combined before any shuffle.
+
+    Each row's SHA-256 gives two numbers of 48 bits; the identity is a hash of their sums and the count.
+    """
+    digest = F.sha2(content.cast("binary"), 256)
+    part = lambda k: F.coalesce(F.sum(F.conv(F.substring(digest, k, 12), 16, 10).cast("decimal(20,0)")), F.lit(0)).cast("string")
+    return F.concat(F.lit("sha256:"), F.substring(F.sha2(F.concat_ws("#", F.count("*").cast("string"), part(1), part(13)).cast("binary"), 256), 1, 16))

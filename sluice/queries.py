@@ -5,17 +5,20 @@ Floating results are rounded to a fixed number of places, as sums run in another
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .functions.identity import seeded
+from .functions.identity import rows_hash, seeded
 from .functions.missing import is_missing
 from .operators.drift import ks_long, long_form, psi_long, quantile_grids
 from .operators.gates import DuplicateGate, GateContext, MinRowsGate, PredicateGate, PropertyThresholdGate, SchemaGate, TargetMissingGate, TopKGate, UncertaintyGate, CompositeGate
 from .operators.metrics import bootstrap_by_hash, regression_metrics, slice_metrics, slice_names
+from .operators.modelling import Featurizer, MeanBaseline, Trainer
 from .operators.ordering import global_rank, running_totals, value_keys
-from .operators.profile import chunk_drift, chunk_sizes, dominance_verdict, linear_r2, mask_funnel, scale_disparity, size_dominance, size_profile, target_correlations
+from .operators.profile import chunk_drift, chunk_sizes, dominance_verdict, findings, linear_r2, mask_funnel, scale_disparity, size_dominance, size_profile, target_correlations
 from .operators.sampling import split_into_chunks, stratified_pool, systematic_sample
 from .plans.triage import annotate_shortlist
 from .plans.validation import apply_policy
@@ -476,12 +479,13 @@ def featurizer_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- chunks, identities, streams ----
 
 
-@query("SELECT source, 'sha256:' || substr(sha256(string_agg(sha256(text), '' ORDER BY sha256(text))), 1, 16) AS data_version FROM documents WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY source")
+_ROWS_HASH = """'sha256:' || substr(sha256(count(*) || '#' || sum(('0x' || substr(sha256(text), 1, 12))::BIGINT) || '#' || sum(('0x' || substr(sha256(text), 13, 12))::BIGINT)), 1, 16)"""
+
+
+@query(f"SELECT source, {_ROWS_HASH} AS data_version FROM documents GROUP BY source")
 def chunk_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A content hash of each source's labelled texts, whatever their order."""
-    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
-    hashes = docs.select("source", F.sha2(F.col("text").cast("binary"), 256).alias("h")).groupBy("source").agg(F.array_join(F.sort_array(F.collect_list("h")), "").alias("all"))
-    return hashes.select("source", F.concat(F.lit("sha256:"), F.substring(F.sha2(F.col("all").cast("binary"), 256), 1, 16)).alias("data_version"))
+    """A content hash of each source, whatever the order of its rows."""
+    return table(spark, sf_dir, "documents").groupBy("source").agg(rows_hash(F.col("text")).alias("data_version"))
 
 
 @query("""SELECT format('cand-{:04d}', row_number() OVER (ORDER BY p_partkey) - 1) AS candidate_id, p_partkey, p_size FROM part""")
@@ -506,3 +510,80 @@ def windowed_event_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = events.agg(F.avg("value").alias("m"), F.stddev_pop("value").alias("s")).first()
     found = windowed_drift(windowed_statistics(events, "ts", "value", "1 day", by=("event_type",)), whole.m or 0.0, whole.s or 0.0)
     return found.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", *(rounded(c).alias(c) for c in ("mean", "std", "shift")))
+
+
+@query(f"""WITH k AS ({_KS}) SELECT year, max(ks) FILTER ("column" = 'bucket') AS bucket, max(ks) FILTER ("column" = 'price') AS price FROM k GROUP BY year""")
+def chunk_drift_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each chunk, one column for each target."""
+    return ks_by_year(spark, sf_dir).groupBy("year").pivot("column", ["bucket", "price"]).agg(F.first("ks"))
+
+
+@query("""SELECT 'price' AS target, round(avg(o_totalprice), 6) AS mean, round(stddev_pop(o_totalprice), 6) AS std FROM orders
+UNION ALL SELECT 'bucket', round(avg(o_custkey % 97), 6), round(stddev_pop(o_custkey % 97), 6) FROM orders""")
+def mean_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mean predictor learns."""
+    model = MeanBaseline(["price", "bucket"]).fit(orders_by_year(spark, sf_dir))
+    return spark.createDataFrame([(t, round(model.means[t], 6), round(model.stds[t], 6)) for t in model.targets], "target string, mean double, std double")
+
+
+@query("SELECT o_orderkey, year(o_orderdate)::INT AS year FROM orders WHERE year(o_orderdate) > (SELECT max(year(o_orderdate)) - 2 FROM orders)")
+def last_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last two chunks."""
+    orders = orders_by_year(spark, sf_dir).select("o_orderkey", "year")
+    last = orders.agg(F.max("year").alias("last"))
+    return orders.join(F.broadcast(last), F.col("year") > F.col("last") - 2).select("o_orderkey", "year")
+
+
+@query("""SELECT o_orderkey AS id, o_totalprice AS value, NULL::VARCHAR AS note FROM orders UNION ALL SELECT s_suppkey, s_acctbal, s_name FROM supplier""")
+def unioned_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks with different columns as one frame; what a chunk lacks is null."""
+    a = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("value"))
+    b = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("value"), F.col("s_name").alias("note"))
+    return a.unionByName(b, allowMissingColumns=True)
+
+
+@query(f"""WITH v AS (SELECT source, {_ROWS_HASH} AS v FROM documents GROUP BY source),
+known AS (SELECT v FROM v WHERE source < 'src2') SELECT source FROM v WHERE v NOT IN (SELECT v FROM known)""")
+def new_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks whose content no registered model was trained on."""
+    versions = table(spark, sf_dir, "documents").groupBy("source").agg(rows_hash(F.col("text")).alias("v"))
+    return versions.join(versions.filter("source < 'src2'").select("v"), "v", "left_anti").select("source")
+
+
+_RECORDS = "('m1', 'archived', '2024-01-01T00:00:00', 1), ('m2', 'archived', '2024-01-02T00:00:00', 2), ('m3', 'production', '2024-01-03T00:00:00', 3), ('m4', 'rejected', '2024-01-04T00:00:00', 4), ('m5', 'archived', '2024-01-02T00:00:00', 5)"
+
+
+@query(f"SELECT version FROM (VALUES {_RECORDS}) r(version, stage, created_at, sequence) WHERE stage = 'archived' ORDER BY created_at DESC, sequence DESC LIMIT 1")
+def registry_rollback_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest archived model."""
+    records = spark.sql(f"SELECT * FROM VALUES {_RECORDS} AS r(version, stage, created_at, sequence)")
+    return records.filter("stage = 'archived'").agg(F.max_by("version", F.struct("created_at", "sequence")).alias("version"))
+
+
+@query()
+def forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forest on array features, its mean over trees and their spread."""
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("row_id"), "embedding", F.col("label").cast("double").alias("y"))
+    featurizer = Featurizer("columns", columns=("embedding",)).fit(rows)
+    model = Trainer(params={"n_estimators": 10, "max_depth": 6}).fit(featurizer.transform(rows), ["y"], featurizer.version)
+    return model.predict(featurizer.transform(rows), with_uncertainty=True).select("row_id", "pred_y", "unc_y")
+
+
+@query()
+def drift_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The headline numbers of a table, one row each."""
+    rows = orders_by_year(spark, sf_dir).select(F.col("o_orderkey").alias("row_id"), F.col("year").cast("string").alias("chunk_id"), "price", "bucket", F.pmod("o_orderkey", F.lit(50)).alias("size"))
+    found = findings(rows, rows, ["price", "bucket"], "size", ["size"])
+    return spark.createDataFrame([(k, str(v)) for k, v in found.items()], "name string, value string")
+
+
+@query("""SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, count(*) AS n, round(avg(value), 6) AS mean FROM events GROUP BY ALL""")
+def streamed_event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly windows of the event table read as a stream until it is used up."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='sluice-')}"
+    path = f"{root.rstrip('/')}/windows-{uuid.uuid4().hex}"
+    stream = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parq*")
+    windows = windowed_statistics(stream, "ts", "value", "1 hour", watermark="1 hour")
+    running = windows.writeStream.outputMode("complete").option("checkpointLocation", f"{path}/progress").trigger(availableNow=True)
+    running.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{path}/table")).start().awaitTermination()
+    return spark.read.schema(windows.schema).parquet(f"{path}/table").select(F.col("start").cast("timestamp_ntz").alias("start"), "n", rounded("mean").alias("mean"))
