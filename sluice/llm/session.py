@@ -1,26 +1,31 @@
-"""Where jobs of this subpackage keep intermediate tables, and how their code reaches the executors."""
+"""Where jobs of this subpackage keep intermediate tables."""
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-_SHIPPED: set[str] = set()
+from ..functions.shipping import ship
+
+__all__ = ["settle", "ship", "work_dir"]
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one run's tables below ``spark.checkpoint.dir``.
 
-    The folder is shared by driver and executors. Only a session that names none (a test on one
-    machine) gets a temporary folder of its own.
+    The folder is shared by driver and executors. Results are read from it lazily, so it is the caller who
+    clears it when results have been used. Only a session that names no folder (a test on one machine)
+    gets a temporary one, which goes when the process ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="sluice-")
+        own = tempfile.mkdtemp(prefix="sluice-")
+        atexit.register(shutil.rmtree, own, True)
+        root = f"file://{own}"
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
@@ -30,26 +35,3 @@ def settle(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def discard(spark: SparkSession, path: str) -> None:
-    """Remove a folder of intermediate tables that nothing will read again."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package's sources to the executors' Python workers, once for each application."""
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
-    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    archive = os.path.join(tempfile.mkdtemp(prefix="sluice-code-"), "sluice_sources.zip")
-    with zipfile.ZipFile(archive, "w") as z:
-        for folder, _, names in os.walk(package):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
-    spark.sparkContext.addPyFile(archive)
-    _SHIPPED.add(app)
