@@ -7,8 +7,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
-#: Texts are handled in blocks of about this many bytes; one longer text is a block of its own.
-BLOCK_BYTES = 4 << 20
+#: Texts are handled in blocks of at most this many bytes; one longer text is a block of its own.
+BLOCK_BYTES = (2 << 20) - 1
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -54,7 +54,7 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of rows whose texts have about ``limit`` bytes together; every row lies in exactly one."""
+    """Ranges of rows whose texts have at most ``limit`` bytes together; every row lies in exactly one."""
     i, n = 0, len(offsets) - 1
     while i < n:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, side="right")) - 1)
