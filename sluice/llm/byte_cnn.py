@@ -31,7 +31,7 @@ from .textops import blocks, text_buffers
 CHUNK, OVERLAP = 512, 64
 DIMENSIONS, TAPS, STRIDE, FILTERS, HIDDEN = 4, 8, 2, 16, 8
 DOCS_PER_CLASS, CHUNKS_PER_DOC = 1200, 3
-EPOCHS, BATCH, RATE = 10, 64, 0.01
+STEPS, BATCH, RATE = 1000, 64, 0.01
 
 
 def chunk_starts(n: int) -> np.ndarray:
@@ -97,10 +97,9 @@ class ByteCnn:
         """Adam over chunks drawn by weight; a third of the good ones is cut to a random length, as good texts may be short."""
         rng = np.random.default_rng(seed)
         first, second = ([np.zeros_like(p) for p in self.parameters()] for _ in range(2))
-        steps = max(1, EPOCHS * len(data) // BATCH)
-        for t in range(1, steps + 1):
+        for t in range(1, STEPS + 1):
             rows = rng.choice(len(data), BATCH, p=weights)
-            rate = RATE * (1 - 0.9 * t / steps)
+            rate = RATE * (1 - 0.9 * t / STEPS)
             short = (labels[rows] == 1) & (rng.random(BATCH) < 1 / 3)
             left = np.where(short, np.minimum(sizes[rows], (16 * 2 ** (5 * rng.random(BATCH))).astype(np.int64)), sizes[rows])
             seen = data[rows] * (np.arange(CHUNK)[None, :] < left[:, None])
