@@ -111,7 +111,7 @@ class ByteCnn:
     def scores(self, column: pa.Array) -> Iterator[np.ndarray]:
         """Probabilities of a column's texts, block by block."""
         offsets, data = text_buffers(column)
-        for i, j in blocks(offsets, 1 << 20):
+        for i, j in blocks(offsets, 1 << 18):
             sizes = np.diff(offsets[i : j + 1])
             gaps = np.maximum(TAPS, sizes + sizes % STRIDE)  # every text begins at a place that the stride meets
             bounds = np.concatenate([[0], np.cumsum(gaps)])
