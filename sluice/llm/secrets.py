@@ -6,14 +6,20 @@ values, whose states are merged wherever their counts are statistically compatib
 the final and next-symbol frequencies of both states and, recursively, of their successors). A background
 automaton is learned the same way from long runs of the corpus that no pattern covers. Every such run is
 then scored by its log-likelihood under each credential automaton against the background, and those above
-an automaton's threshold become spans of kind "format". A threshold lies above every score that its automaton
-gives to the background runs held back from learning, so formats that ordinary text uses are left alone.
+an automaton's thresholds become spans of kind "format".
+
+Thresholds. The labelled values are dealt to two halves, and each is scored by the automaton of the other
+half; a run must have at least half the score per symbol that all but LOW of them reach, and FLOOR in all.
+Runs of the corpus that do so may be credentials without a key word, so they veto nothing by themselves. Only
+if they occur more often than the labelled values of the kind, ordinary text uses the format too; then the
+threshold rises until at most as many occurrences are left.
 
 Symbols are classes of characters (digits, a-f, g-z, A-F, G-Z, each mark by itself); how a class is
 spread over its characters is the same under all automata and cancels out.
 
-Sample: the SAMPLE distinct values of each kind with the smallest hashes over the whole corpus, at most
-LONGEST characters each; this bounds learning on the driver. Scanning covers all of every text.
+Sample: the states of each automaton come from the SAMPLE distinct values of its kind with the smallest hashes
+over the whole corpus, of at most LONGEST characters; this bounds the merging on the driver. Scanning covers all
+of every text.
 
 Defined results: null and empty texts have no spans; rows are scanned one by one, so repeated rows repeat
 their result; a corpus without labelled credentials learns no automaton and adds no spans; an empty table
@@ -39,14 +45,16 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "format")
+LABELLED = KINDS[:3]
 
 _HINTS = ("passw", "secret", "token", "api")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 
 SAMPLE, LONGEST = 2000, 200
 ALPHA = 0.05
-#: Least log-likelihood ratio of a format span, and the least distance to the held-back background scores.
-FLOOR, MARGIN = 12.0, 3.0
+#: Least log-likelihood ratio of a format span, the share of labelled values that may lie below the least rate, and
+#: the bins of scores: by symbol of 1/RATE_BINS, in all of 1 up to TOP.
+FLOOR, LOW, RATE_BINS, TOP = 12.0, 0.05, 100, 1000
 
 _CLASS = {ord(c): s for s, cs in (("d", "0123456789"), ("h", "abcdef"), ("l", "ghijklmnopqrstuvwxyz"), ("H", "ABCDEF"), ("U", "GHIJKLMNOPQRSTUVWXYZ")) for c in cs}
 _SYMBOLS = "dhlHU+/_.=-"
@@ -154,24 +162,38 @@ class Automaton:
         self.states = kept
 
     def _distributions(self) -> None:
+        keep = {p: i for i, p in enumerate(self.states)}
+        weight, final = [self._weight[p] for p in self.states], [self.final[p] for p in self.states]
+        self.next = [{s: keep[t] for s, t in self.next[p].items()} for p in self.states]
+        self._estimate(weight, final)
+        del self.through, self.final, self._weight, self.states
+
+    def _estimate(self, weight: list[dict[str, int]], final: list[int]) -> None:
         total: dict[str, int] = defaultdict(int)
-        for p in self.states:
-            for s, n in self._weight[p].items():
+        for x in weight:
+            for s, n in x.items():
                 total[s] += n
         size = sum(total.values())
         self.anywhere = {s: math.log((total[s] + 0.5) / (size + 0.5 * len(_SYMBOLS))) for s in _SYMBOLS}
-        self.logs: dict[int, dict[str, float]] = {}
-        self.ends: dict[int, float] = {}
-        for p in self.states:
-            n = self.through[p] + 1.0
-            self.logs[p] = {s: math.log((self._weight[p].get(s, 0) + math.exp(self.anywhere[s]) * 0.5) / n) for s in _SYMBOLS}
-            self.ends[p] = math.log((self.final[p] + 0.5) / n)
-        self.next = [x if p in self.logs else {} for p, x in enumerate(self.next)]
-        keep = {p: i for i, p in enumerate(self.states)}
-        self.next = [{s: keep[t] for s, t in self.next[p].items()} for p in self.states]
-        self.logs = {keep[p]: x for p, x in self.logs.items()}
-        self.ends = {keep[p]: x for p, x in self.ends.items()}
-        del self.through, self.final, self._weight, self.states
+        self.logs: list[dict[str, float]] = []
+        self.ends: list[float] = []
+        for x, f in zip(weight, final, strict=True):
+            n = sum(x.values()) + f + 1.0
+            self.logs.append({s: math.log((x.get(s, 0) + math.exp(self.anywhere[s]) * 0.5) / n) for s in _SYMBOLS})
+            self.ends.append(math.log((f + 0.5) / n))
+
+    def visits(self, word: str) -> Iterator[tuple[int, str]]:
+        """The states that the word passes, each with the symbol read there; an empty one at the end."""
+        at = 0
+        for s in word.translate(_CLASS):
+            yield at, s
+            at = self.next[at].get(s, at)
+        yield at, ""
+
+    def recount(self, counts: dict[tuple[int, str], int]) -> None:
+        """Keeps the states and takes their frequencies from counts of visits."""
+        states = range(len(self.next))
+        self._estimate([{s: counts.get((p, s), 0) for s in _SYMBOLS} for p in states], [counts.get((p, ""), 0) for p in states])
 
     def log_likelihood(self, word: str) -> float:
         """Of the word's classes; where no transition was seen, the state stays."""
@@ -185,21 +207,21 @@ class Automaton:
 class Formats:
     """Credential automata, the background, and the thresholds; small enough to send to every task."""
 
-    def __init__(self, labelled: dict[str, list[str]], ordinary: list[str]) -> None:
-        self.credentials = [Automaton(sorted(v)) for _, v in sorted(labelled.items()) if len(v) >= 20]
-        ordered = sorted(ordinary)
-        learn, held = [w for i, w in enumerate(ordered) if i % 2 == 0], [w for i, w in enumerate(ordered) if i % 2]
-        self.background = Automaton(learn)
-        scored = [self.scores(w) for w in held]
-        self.thresholds = [max([FLOOR, *(x[k] + MARGIN for x in scored)]) for k in range(len(self.credentials))]
+    def __init__(self, credentials: list[Automaton], background: Automaton, rates: list[float], thresholds: list[float]) -> None:
+        self.credentials, self.background, self.rates, self.thresholds = credentials, background, rates, thresholds
 
     def scores(self, word: str) -> list[float]:
         """Each credential automaton's log-likelihood less the background's."""
         ordinary = self.background.log_likelihood(word)
         return [a.log_likelihood(word) - ordinary for a in self.credentials]
 
+    def passed(self, word: str) -> list[tuple[int, float]]:
+        """(automaton, score) where the score reaches the thresholds."""
+        least = len(word) + 1
+        return [(k, x) for k, x in enumerate(self.scores(word)) if x >= self.thresholds[k] and x >= self.rates[k] * least]
+
     def accepts(self, word: str) -> bool:
-        return any(x >= t for x, t in zip(self.scores(word), self.thresholds, strict=True))
+        return bool(self.passed(word))
 
     def spans(self, text: str) -> list[Span]:
         base = base_spans(text)
@@ -212,36 +234,123 @@ def _texts(column: pa.Array) -> list[str]:
 
 
 def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each batch the labelled values and ordinary runs with the smallest hashes: (kind, value, h)."""
+    """The labelled values and ordinary runs of each batch: (kind, value, h, n)."""
     for batch in batches:
-        found: dict[str, dict[str, int]] = {k: {} for k in ("assign", "access", "hex", "ordinary")}
+        found: dict[str, dict[str, int]] = {k: defaultdict(int) for k in (*LABELLED, "ordinary")}
         for text in _texts(batch.column(0)):
             base = base_spans(text)
             for a, kind, b in base:
                 value = text[a:b] if kind else ASSIGN.match(text, a)[2]
-                found[KINDS[kind]][value] = 0
+                found[KINDS[kind]][value] += 1
             for a, b in candidates(text, base):
-                found["ordinary"][text[a:b]] = 0
+                found["ordinary"][text[a:b]] += 1
         rows = []
         for kind, values in found.items():
-            hashed = sorted((xxhash.xxh3_64_intdigest(v.encode()) >> 1, v) for v in values if len(v) <= LONGEST)
-            rows += [(kind, v, h) for h, v in hashed[:SAMPLE]]
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64()))], names=["kind", "value", "h"])
+            hashed = sorted((xxhash.xxh3_64_intdigest(v.encode()) >> 1, v, n) for v, n in values.items() if len(v) <= LONGEST)[:SAMPLE]
+            rows += [(kind, v, h, n) for h, v, n in hashed]
+        yield _columns(rows, kind=pa.string(), value=pa.string(), h=pa.int64(), n=pa.int64())
+
+
+def _columns(rows: list[tuple], **types: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types.values())], names=list(types))
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str, int, int]]:
+    for batch in batches:
+        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+
+def _summed(values: DataFrame, tally) -> dict[tuple[int, int, str], int]:
+    """Sums by (a, b, s) of what ``tally`` makes of every value: pairs of such a key and a number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[int, int, str], int] = defaultdict(int)
+        for row in _rows(batches):
+            for key, n in tally(*row):
+                sums[key] += n
+        yield _columns([(*key, n) for key, n in sums.items()], a=pa.int64(), b=pa.int64(), s=pa.string(), n=pa.int64())
+
+    found = values.select("kind", "value", "h", "n").mapInArrow(run, "a long, b long, s string, n long")
+    return {(r.a, r.b, r.s): r.n for r in found.groupBy("a", "b", "s").agg(F.sum("n").alias("n")).collect()}
+
+
+def _sample(values: DataFrame, distinct: dict[str, int]) -> dict[str, list[tuple[int, str]]]:
+    """(h, value) of each kind's SAMPLE smallest hashes, cut to LONGEST characters."""
+    near = F.lit(False)
+    for kind, n in distinct.items():  # about twice as many as wanted come to the driver
+        near |= (F.col("kind") == kind) & (F.col("h") <= min((1 << 63) - 1, (1 << 63) * 2 * SAMPLE // n))
+    rows = values.filter(near).select("kind", "h", F.substring("value", 1, LONGEST).alias("value")).collect()
+    return {kind: sorted((r.h, r.value) for r in rows if r.kind == kind)[:SAMPLE] for kind in distinct}
 
 
 def learn_formats(docs: DataFrame) -> Formats:
-    """Automata from a bounded sample of what the fixed patterns find in all of ``docs`` (text)."""
+    """Automata and thresholds from what the fixed patterns find and leave in all of ``docs`` (text)."""
     ship(docs.sparkSession)
-    values = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_values, "kind string, value string, h long")
-    values = values.repartition(32, "h").distinct()  # each part sends its smallest hashes to the driver, so the parts are few
-    by_kind: dict[str, list[str]] = {}
-    values = values.persist()
+    values = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_values, "kind string, value string, h long, n long")
+    values = values.groupBy("kind", "value", "h").agg(F.sum("n").alias("n")).persist()
     try:
-        for kind in ("assign", "access", "hex", "ordinary"):
-            by_kind[kind] = [r.value for r in values.filter(F.col("kind") == kind).orderBy("h", "value").limit(SAMPLE).collect()]
+        return _learned(values)
     finally:
         values.unpersist()
-    return Formats({k: by_kind[k] for k in ("assign", "access", "hex")}, by_kind["ordinary"])
+
+
+def _learned(values: DataFrame) -> Formats:
+    found = {r.kind: (r.values, r.n) for r in values.groupBy("kind").agg(F.count("*").alias("values"), F.sum("n").alias("n")).collect()}
+    sample = _sample(values, {kind: n for kind, (n, _) in found.items()})
+    kinds = [k for k in LABELLED if found.get(k, (0, 0))[0] >= 20]
+    if not kinds:
+        return Formats([], Automaton([]), [], [])
+    place = {kind: k for k, kind in enumerate(kinds)}
+
+    # The states come from the sample, their frequencies from all values: of each kind one half, the other, and both.
+    # Labelled values count once, ordinary runs as often as they occur: hidden credentials are few among these.
+    automata = [Automaton(sorted(v for h, v in sample[kind] if half in (2, h & 1))) for kind in kinds for half in (0, 1, 2)]
+    automata.append(Automaton(sorted(v for _, v in sample.get("ordinary", []))))
+
+    def visits(kind: str, value: str, h: int, n: int) -> Iterator[tuple[tuple[int, int, str], int]]:
+        if kind == "ordinary" or kind in place:
+            for i in (len(automata) - 1,) if kind == "ordinary" else (3 * place[kind] + (h & 1), 3 * place[kind] + 2):
+                for p, s in automata[i].visits(value):
+                    yield (i, p, s), n if kind == "ordinary" else 1
+
+    counts: list[dict[tuple[int, str], int]] = [{} for _ in automata]
+    for (i, p, s), n in _summed(values, visits).items():
+        counts[i][p, s] = n
+    for a, c in zip(automata, counts, strict=True):
+        a.recount(c)
+    background = automata[-1]
+
+    def rates(kind: str, value: str, h: int, n: int) -> Iterator[tuple[tuple[int, int, str], int]]:
+        if kind in place:
+            x = automata[3 * place[kind] + 1 - (h & 1)].log_likelihood(value) - background.log_likelihood(value)
+            yield (place[kind], math.floor(RATE_BINS * x / (len(value) + 1)), ""), 1
+
+    binned = _summed(values.filter(F.col("kind") != "ordinary"), rates)
+    least = []
+    for k, kind in enumerate(kinds):
+        below, room = 0, LOW * found[kind][0]
+        for b in sorted(b for i, b, _ in binned if i == k):
+            below += binned[k, b, ""]
+            if below > room:
+                least.append(max(0.0, b / RATE_BINS / 2))
+                break
+    formats = Formats(automata[2:-1:3], background, least, [FLOOR] * len(kinds))
+
+    def passed(kind: str, value: str, h: int, n: int) -> Iterator[tuple[tuple[int, int, str], int]]:
+        for k, x in formats.passed(value):
+            yield (k, min(TOP, math.floor(x)), ""), n
+
+    binned = _summed(values.filter(F.col("kind") == "ordinary"), passed)
+    thresholds = []
+    for k, kind in enumerate(kinds):
+        above, least_score = 0, FLOOR
+        for b in sorted((b for i, b, _ in binned if i == k), reverse=True):
+            above += binned[k, b, ""]
+            if above > found[kind][1]:
+                least_score = b + 1.0 if b < TOP else math.inf
+                break
+        thresholds.append(least_score)
+    return Formats(formats.credentials, background, least, thresholds)
 
 
 def _named(spans: list[Span]) -> str:

@@ -61,6 +61,21 @@ def test_redaction(corpus, formats):
     assert all(clean[100 + i] == before[100 + i] for i in range(60)) and clean[201] is None and clean[200] == "see [SECRET] there"
 
 
+def test_bare_credentials_in_the_learning_corpus_are_found(spark, corpus):
+    r = random.Random(8)
+    bare = [(300 + i, "see " + "".join(r.choices(HEXES, k=r.choice([21, 22, 23]))) + " there") for i in range(30)]
+    docs = corpus.unionByName(spark.createDataFrame(bare, corpus.schema))
+    got = {x.doc_id: x for x in scan(docs).collect()}
+    assert all(got[i].n_format == 1 for i, _ in [*bare, (200, "")]) and all(got[100 + i].spans == "" for i in range(60))
+
+
+def test_a_format_that_ordinary_text_uses_more_is_left_alone(spark, corpus):
+    r = random.Random(9)
+    ids = [(1000 + i, "order " + "".join(r.choices(HEXES, k=20)) + " came") for i in range(1500)]
+    docs = corpus.unionByName(spark.createDataFrame(ids, corpus.schema))
+    assert sum(x.n_format for x in scan(docs).filter("doc_id >= 1000").collect()) <= 180
+
+
 def test_edges(edges):
     formats = learn_formats(edges)
     assert formats.credentials == [] and {r.spans for r in scan(edges, formats).collect()} == {""}
