@@ -18,8 +18,8 @@ Symbols are classes of characters (digits, a-f, g-z, A-F, G-Z, each mark by itse
 spread over its characters is the same under all automata and cancels out.
 
 Sample: the states of each automaton come from the SAMPLE distinct values of its kind with the smallest hashes
-over the whole corpus, of at most LONGEST characters; this bounds the merging on the driver. Scanning covers all
-of every text.
+over the whole corpus, the first LONGEST characters of each; this bounds the merging on the driver. All frequencies
+and thresholds come from all values and runs at their full lengths. Scanning covers all of every text.
 
 Defined results: null and empty texts have no spans; rows are scanned one by one, so repeated rows repeat
 their result; a corpus without labelled credentials learns no automaton and adds no spans; an empty table
@@ -246,8 +246,7 @@ def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 found["ordinary"][text[a:b]] += 1
         rows = []
         for kind, values in found.items():
-            hashed = sorted((xxhash.xxh3_64_intdigest(v.encode()) >> 1, v, n) for v, n in values.items() if len(v) <= LONGEST)[:SAMPLE]
-            rows += [(kind, v, h, n) for h, v, n in hashed]
+            rows += [(kind, v, xxhash.xxh3_64_intdigest(v.encode()) >> 1, n) for v, n in values.items()]
         yield _columns(rows, kind=pa.string(), value=pa.string(), h=pa.int64(), n=pa.int64())
 
 

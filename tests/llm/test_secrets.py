@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from sluice.llm import secrets
 from sluice.llm.secrets import Automaton, base_spans, learn_formats, redact, scan
 
 HEXES = "0123456789abcdef"
@@ -76,6 +77,21 @@ def test_a_format_that_ordinary_text_uses_more_is_left_alone(spark, corpus):
     assert sum(x.n_format for x in scan(docs).filter("doc_id >= 1000").collect()) <= 180
 
 
+def test_frequencies_and_thresholds_cover_all_runs(spark, corpus, monkeypatch):
+    r = random.Random(6)
+    word = lambda: "".join(r.choices("ghijklmnop", k=r.choice([17, 30, 250])))
+    docs = corpus.unionByName(spark.createDataFrame([(2000 + i, f"see {word()} and {word()}") for i in range(100)], corpus.schema))
+    rows = [x.text or "" for x in docs.collect()]
+    runs = sum(1 for x in rows for _ in secrets.candidates(x, base_spans(x)))
+    seen = []
+    recount = Automaton.recount
+    monkeypatch.setattr(secrets, "SAMPLE", 20)
+    monkeypatch.setattr(Automaton, "recount", lambda a, counts: (seen.append(counts), recount(a, counts))[1])
+    learn_formats(docs.repartition(2))
+    assert sum(n for (_, s), n in seen[-1].items() if s == "") == runs
+    assert [sum(n for (_, s), n in c.items() if s == "") for c in seen[2:-1:3]] == [120, 60, 60]
+
+
 def test_edges(edges):
     formats = learn_formats(edges)
     assert formats.credentials == [] and {r.spans for r in scan(edges, formats).collect()} == {""}
