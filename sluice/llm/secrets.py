@@ -296,7 +296,7 @@ def learn_formats(docs: DataFrame) -> Formats:
 def _learned(values: DataFrame) -> Formats:
     found = {r.kind: (r.values, r.n) for r in values.groupBy("kind").agg(F.count("*").alias("values"), F.sum("n").alias("n")).collect()}
     sample = _sample(values, {kind: n for kind, (n, _) in found.items()})
-    kinds = [k for k in LABELLED if found.get(k, (0, 0))[0] >= 20]
+    kinds = [k for k in LABELLED if k in found]
     if not kinds:
         return Formats([], Automaton([]), [], [])
     place = {kind: k for k, kind in enumerate(kinds)}

@@ -92,6 +92,15 @@ def test_frequencies_and_thresholds_cover_all_runs(spark, corpus, monkeypatch):
     assert [sum(n for (_, s), n in c.items() if s == "") for c in seen[2:-1:3]] == [120, 60, 60]
 
 
+@pytest.mark.parametrize("labelled", [1, 2, 11])
+def test_few_labelled_values_learn_an_automaton(spark, corpus, labelled):
+    few = corpus.filter(f"doc_id < {labelled} or doc_id between 100 and 199")
+    formats = learn_formats(few)
+    assert len(formats.credentials) == len(formats.rates) == len(formats.thresholds) == 3
+    got = {x.doc_id: x for x in scan(corpus, formats).collect()}
+    assert all(got[100 + i].spans == "" for i in range(60)) and (labelled < 11 or got[200].n_format == 1)
+
+
 def test_edges(edges):
     formats = learn_formats(edges)
     assert formats.credentials == [] and {r.spans for r in scan(edges, formats).collect()} == {""}
