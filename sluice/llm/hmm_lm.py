@@ -3,10 +3,11 @@
 Tokens are words (A-Z lower-cased) and one end mark for each text. Counts come from all training texts.
 The model's STATES hidden states emit classes of words: each of the WORD_CLASSES most frequent tokens is a
 class of its own, the others fall in SUFFIX_CLASSES by a hash of their last three bytes; a word's share of
-its class is its smoothed count. Baum-Welch starts from a bounded sample on the driver; then every full
-iteration gathers expected counts over all training texts, summed across partitions. For learning a text
-is cut into sequences of at most SEGMENT tokens; scoring runs the scaled forward recursion through each
-whole text, which gives the exact log-likelihood under the model.
+its class is its smoothed count. For learning a text is cut into sequences of at most SEGMENT tokens. Baum-Welch
+starts on the driver from a sample of SAMPLE sequences, drawn by hash from all places of all training texts;
+then every full iteration gathers expected counts over all training texts, summed across partitions, until
+their likelihood gains less than SETTLED a token. Scoring runs the scaled forward recursion through each whole
+text, which gives the exact log-likelihood under the model.
 
 Counts of the HEAD most frequent tokens travel to every task (a fixed bound); rarer words of a text are
 joined with the table of counts, so the vocabulary may grow without bound.
@@ -32,7 +33,9 @@ from .textops import LOWER, blocks, span_hashes, text_buffers, word_spans
 STATES = 8
 WORD_CLASSES, SUFFIX_CLASSES, HEAD = 4096, 2048, 1 << 17
 CLASSES = WORD_CLASSES + SUFFIX_CLASSES
-SEGMENT, SAMPLE_DOCS, SAMPLE_ROUNDS, ROUNDS = 256, 400, 20, 2
+SEGMENT, SAMPLE, SAMPLE_ROUNDS, ROUNDS = 256, 3200, 20, 2
+#: Full iterations, ROUNDS at least, end when the natural log-likelihood of a training token gains less.
+SETTLED = 1e-3
 #: Cells of a grid of sequences that are handled at once.
 CELLS = 600_000
 ADD = 0.1
@@ -173,17 +176,21 @@ class Hmm:
 
     def expected(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Expected start, transition and emission counts of sequences of at most SEGMENT tokens."""
+        return self.counted(texts)[:3]
+
+    def counted(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The expected counts, and the natural log-likelihood of the sequences with their number of tokens."""
         parts = sorted((x[k : k + SEGMENT] for x in texts for k in range(0, len(x), SEGMENT)), key=len, reverse=True)
-        start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros(self.emit.shape)
+        start, move, emit, fit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros(self.emit.shape), np.zeros(2)
         at = 0
         while at < len(parts):  # sequences of like length together, so that the grid has few empty cells
             step = max(1, CELLS // len(parts[at]))
-            for total, found in zip((start, move, emit), self._expected(parts[at : at + step]), strict=True):
+            for total, found in zip((start, move, emit, fit), self._expected(parts[at : at + step]), strict=True):
                 total += found
             at += step
-        return start, move * self.move, emit
+        return start, move * self.move, emit, fit
 
-    def _expected(self, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _expected(self, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of sequences from the longest to the shortest; the transitions lack the factor of their own probability."""
         sizes = np.array([len(x) for x in parts])
         longest, n = int(sizes[0]), len(parts)
@@ -211,7 +218,7 @@ class Hmm:
         posterior = np.concatenate([forward[t, : int(m)] for t, m in enumerate(active)])
         classes = np.concatenate([grid[t, : int(m)] for t, m in enumerate(active)])
         emit = np.stack([np.bincount(classes, weights=posterior[:, k], minlength=len(self.emit)) for k in range(STATES)], axis=1)
-        return forward[0].sum(0), move, emit
+        return forward[0].sum(0), move, emit, np.array([np.log(scales).sum(), sizes.sum()])
 
 
 def _texts(column: pa.Array) -> list[np.ndarray]:
@@ -224,20 +231,20 @@ def _portions(texts: list[np.ndarray], limit: int) -> Iterator[tuple[int, int]]:
 
 
 def _expected_counts(model: Hmm):
-    """(row, v): summed expected counts of a task; rows below 0 hold transitions and, last, starts."""
+    """(row, v): summed expected counts of a task; rows below 0 hold transitions, then starts, then the fit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = None
         for batch in batches:
             texts = _texts(batch.column(0))
             for i, j in _portions(texts, 400_000):
-                found = model.expected(texts[i:j])
+                found = model.counted(texts[i:j])
                 sums = found if sums is None else tuple(a + b for a, b in zip(sums, found, strict=True))
         if sums is not None:
-            start, move, emit = sums
+            start, move, emit, fit = sums
             seen = np.flatnonzero(emit.sum(1))
-            rows = np.concatenate([-1 - np.arange(STATES + 1), seen])
-            values = np.concatenate([move, start[None], emit[seen]])
+            rows = np.concatenate([-1 - np.arange(STATES + 2), seen])
+            values = np.concatenate([move, start[None], np.pad(fit, (0, STATES - 2))[None], emit[seen]])
             yield pa.RecordBatch.from_arrays([pa.array(rows), *(pa.array(values[:, k]) for k in range(STATES))], names=["row", *(f"s{k}" for k in range(STATES))])
 
     return run
@@ -254,10 +261,10 @@ def _scored(model: Hmm):
 
 
 class LanguageModel:
-    """The vocabulary, the HMM, and where the run's tables lie."""
+    """The vocabulary, the HMM, where the run's tables lie, and the log-likelihood of a training token before each full iteration."""
 
-    def __init__(self, vocabulary: Vocabulary, hmm: Hmm, counts: DataFrame, encoded: DataFrame) -> None:
-        self.vocabulary, self.hmm, self.counts, self.encoded = vocabulary, hmm, counts, encoded
+    def __init__(self, vocabulary: Vocabulary, hmm: Hmm, counts: DataFrame, encoded: DataFrame, fits: list[float]) -> None:
+        self.vocabulary, self.hmm, self.counts, self.encoded, self.fits = vocabulary, hmm, counts, encoded, fits
 
 
 def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
@@ -272,6 +279,32 @@ def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
     return counts.filter(step >= least) if least is not None else counts.limit(0)
 
 
+def _sequences(training: DataFrame) -> list[np.ndarray]:
+    """At most SAMPLE sequences of the training texts, by the hash of their text's id and place."""
+    place = F.explode(F.sequence(F.lit(0), F.floor((F.col("n_tokens") - 1) / SEGMENT).cast("int"))).alias("k")
+    drawn = training.select("uid", "doc_id", place).withColumn("draw", F.xxhash64("doc_id", "k")).orderBy("draw", "uid", "k").limit(SAMPLE)
+    part = F.col("classes").substr(F.col("k") * (2 * SEGMENT) + 1, F.lit(2 * SEGMENT)).alias("classes")
+    rows = training.select("uid", "classes").join(F.broadcast(drawn.select("uid", "k", "draw")), "uid").select("draw", "uid", "k", part).collect()
+    return [np.frombuffer(bytes(r.classes), dtype="<u2").astype(np.int64) for r in sorted(rows, key=lambda r: (r.draw, r.uid, r.k))]
+
+
+def _gathered(training: DataFrame, hmm: Hmm) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What ``counted`` gives for all training texts."""
+    gathered = training.select("classes").mapInArrow(_expected_counts(hmm), "row long, " + ", ".join(f"s{k} double" for k in range(STATES)))
+    start, move, emit, fit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((CLASSES, STATES)), np.zeros(2)
+    for r in gathered.groupBy("row").agg(*(F.sum(f"s{k}").alias(f"s{k}") for k in range(STATES))).collect():
+        values = [r[f"s{k}"] for k in range(STATES)]
+        if r.row >= 0:
+            emit[r.row] = values
+        elif r.row == -2 - STATES:
+            fit[:] = values[:2]
+        elif r.row == -1 - STATES:
+            start[:] = values
+        else:
+            move[-1 - r.row] = values
+    return start, move, emit, fit
+
+
 def learn(docs: DataFrame, folds: int = 10, rounds: int = ROUNDS) -> LanguageModel:
     """Counts, classes and states from the rows of ``docs`` (doc_id, text) outside fold 0."""
     spark = docs.sparkSession
@@ -291,25 +324,16 @@ def learn(docs: DataFrame, folds: int = 10, rounds: int = ROUNDS) -> LanguageMod
     share[: min(WORD_CLASSES, len(head))] = [c for _, _, c in head[:WORD_CLASSES]]
     hmm = Hmm(np.maximum(share, 0))
     training = encoded.filter("training")
-    drawn = training.select("uid", F.xxhash64("doc_id").alias("draw")).orderBy("draw", "uid").limit(SAMPLE_DOCS).select("uid")
-    first = training.join(F.broadcast(drawn), "uid").orderBy(F.xxhash64("doc_id"), "uid").select(F.col("classes").substr(1, 2 * 8 * SEGMENT).alias("classes"))
-    sample = [np.frombuffer(bytes(r.classes), dtype="<u2").astype(np.int64) for r in first.collect()]
+    sample = _sequences(training)
     if sample:
         for _ in range(SAMPLE_ROUNDS):
             hmm.update(*hmm.expected(sample))
-    for _ in range(rounds if sample else 0):
-        gathered = training.select("classes").mapInArrow(_expected_counts(hmm), "row long, " + ", ".join(f"s{k} double" for k in range(STATES)))
-        start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((CLASSES, STATES))
-        for r in gathered.groupBy("row").agg(*(F.sum(f"s{k}").alias(f"s{k}") for k in range(STATES))).collect():
-            values = [r[f"s{k}"] for k in range(STATES)]
-            if r.row >= 0:
-                emit[r.row] = values
-            elif r.row == -1 - STATES:
-                start[:] = values
-            else:
-                move[-1 - r.row] = values
+    fits: list[float] = []
+    while sample and (len(fits) < max(rounds, 2) or fits[-1] - fits[-2] >= SETTLED):
+        start, move, emit, (total, n) = _gathered(training, hmm)
         hmm.update(start, move, emit)
-    return LanguageModel(vocabulary, hmm, counts, encoded)
+        fits.append(float(total / n))
+    return LanguageModel(vocabulary, hmm, counts, encoded, fits)
 
 
 def score(model: LanguageModel) -> DataFrame:

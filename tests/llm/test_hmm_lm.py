@@ -67,6 +67,28 @@ def test_better_than_counts_on_held_out_text(spark):
     assert out.score.sum() / out.n_tokens.sum() > out.base_score.sum() / out.n_tokens.sum() + 0.4
 
 
+def test_iterations_over_all_texts_go_on_until_the_likelihood_settles(spark, monkeypatch):
+    monkeypatch.setattr(hmm_lm, "SAMPLE", 2, raising=False)
+    monkeypatch.setattr(hmm_lm, "SAMPLE_DOCS", 2, raising=False)
+    r = random.Random(5)
+    languages = [[f"{p}{k}" for k in range(40)] for p in ("a", "b", "c", "d")]
+    rows = [(i, " ".join(r.choice(languages[i % 4]) for _ in range(60))) for i in range(400)]
+    model = hmm_lm.learn(spark.createDataFrame(rows, "doc_id long, text string"))
+    texts = [np.frombuffer(bytes(x.classes), dtype="<u2").astype(np.int64) for x in model.encoded.filter("training").collect()]
+    tokens = sum(map(len, texts))
+    before = model.hmm.log_likelihoods(texts).sum() / tokens
+    model.hmm.update(*model.hmm.expected(texts))
+    assert model.hmm.log_likelihoods(texts).sum() / tokens - before < 2e-3
+    assert len(model.fits) > 2 and before >= model.fits[-1] - 1e-6
+
+
+def test_the_sample_reaches_all_places_of_texts(spark):
+    classes = np.arange(5000, dtype="<u2")
+    rows = [(i, i, 5000, bytearray(classes.tobytes())) for i in range(20)]
+    found = hmm_lm._sequences(spark.createDataFrame(rows, "uid long, doc_id long, n_tokens long, classes binary"))
+    assert len(found) == 20 * 20 and sorted({int(x[0]) for x in found}) == list(range(0, 5000, 256)) and max(int(x[-1]) for x in found) == 4999
+
+
 def test_edges(edges):
     assert hmm_lm.score(hmm_lm.learn(edges)).count() == edges.count()
     assert hmm_lm.score(hmm_lm.learn(edges.limit(0))).count() == 0
