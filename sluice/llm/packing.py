@@ -12,6 +12,7 @@ tokenized whole; an empty table gives no rows; other columns of the input are no
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -27,6 +28,7 @@ END_ID = 1
 LONGEST = 2048
 
 _TOKENS: dict[str, SpanTokens] = {}
+_BY_WORD: dict[str, bool] = {}
 
 
 #: 1 for ASCII letters and digits, 2 for other visible ASCII characters but the apostrophe.
@@ -36,8 +38,21 @@ _KIND[[*range(48, 58), *range(65, 91), *range(97, 123)]] = 1
 _KIND[39] = 0
 
 
+# The normalizers and the pattern under which spans can be encoded one by one.
+_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _cuts_at_words(path: str) -> bool:
+    """Whether the tokenizer's file says that it lower-cases, drops white space and joins nothing across it."""
+    with open(path, encoding="utf-8") as f:
+        said = json.load(f)
+    steps = (said.get("normalizer") or {}).get("normalizers", [])
+    first = ((said.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+    return [x.get("type") for x in steps] == _NORMALIZERS and first.get("pattern") == {"Regex": _SPLIT} and first.get("behavior") == "Removed" and bool(first.get("invert"))
+
+
 def _tokenizer(path: str) -> SpanTokens:
-    """The tokenizer drops white space and never joins what it separates, so words are encoded one by one."""
     if path not in _TOKENS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -52,6 +67,7 @@ def _tokenizer(path: str) -> SpanTokens:
             return found
 
         _TOKENS[path] = SpanTokens(encode_many)
+        _BY_WORD[path] = _cuts_at_words(path)
     return _TOKENS[path]
 
 
@@ -81,12 +97,16 @@ def _spans(part: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def document_ids(column: pa.Array, path: str) -> Iterator[np.ndarray]:
-    """Ids of each text, then the end id."""
+    """Ids of each text, then the end id. Words are encoded one by one where the tokenizer allows it, else whole texts."""
     tokens = _tokenizer(path)
     offsets, data = text_buffers(column)
     for i, j in blocks(offsets):
         part, bounds = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
-        lowered, starts, ends, rows = _spans(part, bounds)
+        if _BY_WORD[path]:
+            lowered, starts, ends, rows = _spans(part, bounds)
+        else:
+            rows = np.flatnonzero(np.diff(bounds))
+            lowered, starts, ends = part, bounds[rows], bounds[rows + 1]
         ids, lengths = tokens.ids(lowered, starts, ends)
         sizes = np.bincount(rows, weights=lengths, minlength=j - i).astype(np.int64)
         limits = np.concatenate([[0], np.cumsum(sizes)])

@@ -1,4 +1,7 @@
-"""Sets of word shingles as sorted 64-bit hashes, and MinHash signatures of them."""
+"""Sets of word shingles as sorted 64-bit hashes, and MinHash signatures of them.
+
+A shingle's hash chains the keyed hashes of its words. Two given shingles share one with probability 2^-64.
+"""
 
 from __future__ import annotations
 
@@ -12,10 +15,14 @@ from .textops import LOWER, blocks, mix64, span_hashes, text_buffers, word_spans
 SHINGLE_WORDS = 5
 _rng = np.random.default_rng(5_7_75)
 _ODD = lambda n: _rng.integers(0, 1 << 62, n, dtype=np.uint64) * np.uint64(4) + np.uint64(1)
-_PLACE = _ODD(SHINGLE_WORDS)
+_STEP = _ODD(1)[0]
 _SHORT = _ODD(SHINGLE_WORDS)
 
 
+def _chained(state: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return ((state ^ (state >> np.uint64(29))) * _STEP) ^ words
+
+
 def shingle_sets(column: pa.Array) -> Iterator[list[np.ndarray]]:
     """For each block of rows, the sorted distinct shingle hashes of each row.
 
@@ -29,16 +36,19 @@ def shingle_sets(column: pa.Array) -> Iterator[list[np.ndarray]]:
         starts, ends, rows = word_spans(part, bounds)
         words = span_hashes(part, starts, ends)
         limits = np.searchsorted(rows, np.arange(j - i + 1))
-        sums = np.zeros(max(0, len(words) - w + 1), dtype=np.uint64)
+        sums = np.full(max(0, len(words) - w + 1), w, dtype=np.uint64)
         for k in range(w):
-            sums += words[k : k + len(sums)] * _PLACE[k]
+            sums = _chained(sums, words[k : k + len(sums)])
         sums = mix64(sums)
         found = []
         for a, b in zip(limits[:-1].tolist(), limits[1:].tolist(), strict=True):
             if b - a >= w:
                 found.append(np.unique(sums[a : b - w + 1]))
             elif b > a:
-                found.append(mix64(np.sum(words[a:b] * _PLACE[: b - a], keepdims=True) + _SHORT[b - a]))
+                short = _SHORT[b - a : b - a + 1]
+                for k in range(a, b):
+                    short = _chained(short, words[k : k + 1])
+                found.append(mix64(short))
             else:
                 found.append(words[:0])
         yield found

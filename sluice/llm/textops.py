@@ -1,8 +1,9 @@
-"""Vectorised text handling for Arrow batches: byte buffers, segments and 64-bit segment hashes."""
+"""Vectorised text handling for Arrow batches: byte buffers, spans, their ids and hashes."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -15,20 +16,10 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_BASE = 0x9E3779B97F4A7C15
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_BYTE_KEYS = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        for k, base in enumerate((_BASE, _BASE_INVERSE)):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            _powers[k] = np.multiply.accumulate(steps)
-    return _powers[0], _powers[1]
+#: The key of the words' hashes; a fixed value, so that all tasks and runs agree.
+_KEY = b"sluice words"
+_KNOWN: dict[bytes, int] = {}
+_MOST_KNOWN = 400_000
 
 
 def mix64(h: np.ndarray) -> np.ndarray:
@@ -80,34 +71,55 @@ def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends, np.searchsorted(bounds, starts, side="right") - 1
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans, the same for equal bytes wherever they lie."""
-    power, inverse = _power_tables(len(data) + 1)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_KEYS[data] * power[: len(data)], out=sums[1:])
-    return mix64((sums[ends] - sums[starts]) * inverse[starts])
-
-
 def ragged_positions(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions starts[i], starts[i]+1, ... for lengths[i] entries, one range after another."""
     before = np.cumsum(lengths) - lengths
     return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
 
 
+def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """(distinct byte spans, number of each span's); told apart by their bytes themselves."""
+    if not len(starts):
+        return [], np.zeros(0, dtype=np.int64)
+    lengths = ends - starts
+    packed = data[starts[0] : ends[-1]] if np.array_equal(starts[1:], ends[:-1]) else data[ragged_positions(starts, lengths)]
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(packed))]
+    found = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+    return found.dictionary.to_pylist(), found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64 bits of a keyed BLAKE2 of each byte span, made once for every distinct one."""
+    spans, number = distinct_spans(data, starts, ends)
+    hashes = []
+    for x in spans:
+        h = _KNOWN.get(x)
+        if h is None:
+            if len(_KNOWN) >= _MOST_KNOWN:
+                _KNOWN.clear()
+            h = int.from_bytes(blake2b(x, digest_size=8, key=_KEY).digest(), "little")
+            if len(x) <= 64:
+                _KNOWN[x] = h
+        hashes.append(h)
+    return np.array(hashes, dtype=np.uint64)[number]
+
+
 class SpanTokens:
-    """Token ids of byte spans, remembered by span hash in a pool of bounded size."""
+    """Token ids of byte spans, remembered by the spans themselves in a pool of bounded size."""
 
-    def __init__(self, encode_many: Callable[[list[bytes]], list[list[int]]], limit: int = 600_000) -> None:
-        self.encode_many, self.limit = encode_many, limit
+    def __init__(self, encode_many: Callable[[list[bytes]], list[list[int]]], most_bytes: int = 24 << 20) -> None:
+        self.encode_many, self.most_bytes = encode_many, most_bytes
         self._reset()
 
     def _reset(self) -> None:
-        self.slots: dict[int, int] = {}
+        self.slots: dict[bytes, int] = {}
+        self.held = 0
         self.starts = np.zeros(1024, dtype=np.int64)
         self.lengths = np.zeros(1024, dtype=np.int64)
         self.pool, self.used = np.zeros(1 << 14, dtype=np.uint32), 0
 
-    def _learn(self, hashes: list[int], spans: list[bytes]) -> None:
+    def _learn(self, spans: list[bytes]) -> None:
         found = self.encode_many(spans)
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         flat = np.fromiter((x for ids in found for x in ids), dtype=np.uint32, count=int(lengths.sum()))
@@ -120,22 +132,19 @@ class SpanTokens:
         self.lengths[first:total] = lengths
         self.pool[self.used : self.used + len(flat)] = flat
         self.used += len(flat)
-        self.slots.update(zip(hashes, range(first, total), strict=True))
+        self.held += sum(map(len, spans)) + 64 * len(spans)
+        self.slots.update(zip(spans, range(first, total), strict=True))
 
     def ids(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(all ids in order, number of ids of each span)."""
         if len(starts) == 0:
             return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
-        distinct, first, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.slots) > self.limit:
+        if self.held > self.most_bytes:
             self._reset()
-        wanted = distinct.tolist()
-        missing = [i for i, h in enumerate(wanted) if h not in self.slots]
+        spans, number = distinct_spans(data, starts, ends)
+        missing = [x for x in spans if x not in self.slots]
         if missing:
-            raw = data.tobytes()
-            at = first[missing]
-            spans = [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
-            self._learn([wanted[i] for i in missing], spans)
-        slot = np.fromiter(map(self.slots.__getitem__, wanted), dtype=np.int64, count=len(wanted))[inverse]
+            self._learn(missing)
+        slot = np.fromiter(map(self.slots.__getitem__, spans), dtype=np.int64, count=len(spans))[number]
         lengths = self.lengths[slot]
         return self.pool[ragged_positions(self.starts[slot], lengths)], lengths
