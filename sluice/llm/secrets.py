@@ -3,16 +3,22 @@
 The fixed patterns give labelled credentials: values after a key word (assign), access keys and long hex
 runs. For each of the three a probabilistic automaton is learned: the prefix tree of a sample of its
 values, whose states are merged wherever their counts are statistically compatible (Hoeffding bounds on
-the final and next-symbol frequencies of both states and, recursively, of their successors). A background
-automaton is learned the same way from long runs of the corpus that no pattern covers. Every such run is
-then scored by its log-likelihood under each credential automaton against the background, and those above
-an automaton's thresholds become spans of kind "format".
-
-Thresholds. The labelled values are dealt to two halves, and each is scored by the automaton of the other
-half; a run must have at least half the score per symbol that all but LOW of them reach, and FLOOR in all.
-Runs of the corpus that do so may be credentials without a key word, so they veto nothing by themselves. Only
-if they occur more often than the labelled values of the kind, ordinary text uses the format too; then the
-threshold rises until at most as many occurrences are left.
+the next-symbol frequencies of both states and, recursively, of their successors). A value's length is the
+first symbol that it shows, so the automata keep the lengths of a format. Every run of RUN that no
+pattern covers, of whatever length, is then scored by its log-likelihood, and becomes a span of kind
+"format" if a credential automaton explains it far better than ordinary text does.
+
+Ordinary text is what is left of the runs when the credentials among them are taken out, since a corpus
+holds bare credentials too and must not learn from them that they are ordinary. So runs are a mixture of
+the credential automata and a background. The background is first a chain of first order, which is too plain to
+learn a rare format; in each of ROUNDS rounds every run's share in it is computed and its frequencies are
+counted anew by these shares. In the end an automaton merged from runs that are mostly its own joins the chain, with
+half of the weight. A format that ordinary text uses often stays in the background, and its runs are no credentials.
+
+A run is a span if the odds of the mixture are CERTAIN or better, and if its symbols are as likely as those
+of labelled values, each scored by the automaton of the half of the values that it isn't in: at most LOW of
+these may be below, with an allowance of one over the square root of the length. Runs without small letters
+are also tried in small letters.
 
 Symbols are classes of characters (digits, a-f, g-z, A-F, G-Z, each mark by itself); how a class is
 spread over its characters is the same under all automata and cancels out.
@@ -22,8 +28,9 @@ over the whole corpus, the first LONGEST characters of each; this bounds the mer
 and thresholds come from all values and runs at their full lengths. Scanning covers all of every text.
 
 Defined results: null and empty texts have no spans; rows are scanned one by one, so repeated rows repeat
-their result; a corpus without labelled credentials learns no automaton and adds no spans; an empty table
-gives no rows; other columns aren't read by ``scan`` and pass through ``redact``.
+their result; texts and runs of any length are scanned whole; a corpus without labelled credentials learns no
+automaton and adds no spans; an empty table gives no rows; other columns, whatever their names, aren't read by
+``scan`` and pass through ``redact``.
 """
 
 from __future__ import annotations
@@ -38,7 +45,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .session import ship
+from .session import settle, ship, work_dir
 
 # The patterns that the operator's contract states.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -48,16 +55,22 @@ KINDS = ("assign", "access", "hex", "format")
 LABELLED = KINDS[:3]
 
 _HINTS = ("passw", "secret", "token", "api")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
-
 SAMPLE, LONGEST = 2000, 200
 ALPHA = 0.05
-#: Least log-likelihood ratio of a format span, the share of labelled values that may lie below the least rate, and
-#: the bins of scores: by symbol of 1/RATE_BINS, in all of 1 up to TOP.
-FLOOR, LOW, RATE_BINS, TOP = 12.0, 0.05, 100, 1000
-
-_CLASS = {ord(c): s for s, cs in (("d", "0123456789"), ("h", "abcdef"), ("l", "ghijklmnopqrstuvwxyz"), ("H", "ABCDEF"), ("U", "GHIJKLMNOPQRSTUVWXYZ")) for c in cs}
-_SYMBOLS = "dhlHU+/_.=-"
+#: Least log odds of a span, rounds of the mixture, the share of labelled values that may lie below the least rate, and the bins of rates.
+CERTAIN, ROUNDS, LOW, RATE_BINS = 3.0, 4, 0.05, 100
+#: The share of a length's probability that is the same for every corpus: 1 / (n (n + 1)).
+ANY_LENGTH = 0.1
+
+SYMBOLS = "dhlHU+/_.=-"
+_CLASSES = (("d", "0123456789"), ("h", "abcdef"), ("l", "ghijklmnopqrstuvwxyz"), ("H", "ABCDEF"), ("U", "GHIJKLMNOPQRSTUVWXYZ"), *((c, c) for c in "+/_.=-"))
+_TABLE = bytearray(256)
+for _s, _characters in _CLASSES:
+    for _c in _characters.encode():
+        _TABLE[_c] = ord(_s)
+#: Runs of symbols in a text of classes; shorter ones can't be values, by the contract's least length.
+RUN = re.compile(r"[dhlHU+/_.=-]{6,}")
+_SMALL = str.maketrans("HU", "hl")
 
 Span = tuple[int, int, int]
 
@@ -74,46 +87,61 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
-def candidates(text: str, base: list[Span]) -> Iterator[tuple[int, int]]:
-    """Long runs that no span of ``base`` touches."""
-    ends, k = [(a, b) for a, _, b in base], 0
-    for m in CANDIDATE.finditer(text):
+def classes_of(text: str) -> str:
+    """One symbol for each byte of the text; bytes that no run may hold are zeros."""
+    return text.encode().translate(_TABLE).decode("latin-1")
+
+
+def candidates(text: str, base: list[Span]) -> Iterator[tuple[int, int, str]]:
+    """(start, end, symbols) of the runs that no span of ``base`` touches; places are bytes."""
+    spans = [(a, b) for a, _, b in base]
+    if spans and not text.isascii():
+        spans = [(len(text[:a].encode()), len(text[:b].encode())) for a, b in spans]
+    k = 0
+    for m in RUN.finditer(classes_of(text)):
         a, b = m.span()
-        while k < len(ends) and ends[k][1] <= a:
+        while k < len(spans) and spans[k][1] <= a:
             k += 1
-        if not any(s < b and e > a for s, e in ends[k : k + 4]):
-            yield a, b
+        if not any(s < b and e > a for s, e in spans[k : k + 4]):
+            yield a, b, m[0]
+
+
+def length_symbol(n: int) -> str:
+    """The length itself up to 128, the next power of two beyond."""
+    return f"#{n if n <= 128 else 1 << (n - 1).bit_length()}"
 
 
 class Automaton:
-    """A probabilistic automaton over symbol classes."""
+    """A probabilistic automaton over symbols; the first symbol of every word is its length.
+
+    ``next`` holds each state's successors, state 0 reads the length. As the length fixes where a word ends,
+    states have no final weights. Probabilities are smoothed by those of the symbols in all states.
+    """
 
     def __init__(self, words: Iterable[str], alpha: float = ALPHA) -> None:
         self.next: list[dict[str, int]] = [{}]
-        self.through: list[int] = [0]
-        self.final: list[int] = [0]
+        self.weight: list[dict[str, float]] = [{}]
         for word in words:
-            self._add(word.translate(_CLASS))
+            at = 0
+            for s in (length_symbol(len(word)), *word):
+                if s not in self.next[at]:
+                    self.next[at][s] = len(self.next)
+                    self.next.append({})
+                    self.weight.append({})
+                self.weight[at][s] = self.weight[at].get(s, 0) + 1
+                at = self.next[at][s]
         self.bound = math.sqrt(0.5 * math.log(2 / alpha))
-        self._weight: list[dict[str, int]] = [{s: self.through[t] for s, t in x.items()} for x in self.next]
         self._merge_states()
-        self._distributions()
+        self._estimate()
 
-    def _add(self, word: str) -> None:
-        at = 0
-        self.through[0] += 1
-        for s in word:
-            if s not in self.next[at]:
-                self.next[at][s] = len(self.next)
-                self.next.append({})
-                self.through.append(0)
-                self.final.append(0)
-            at = self.next[at][s]
-            self.through[at] += 1
-        self.final[at] += 1
-
-    def _differ(self, f: int, n: int, g: int, m: int) -> bool:
-        return n > 0 and m > 0 and abs(f / n - g / m) > self.bound * (1 / math.sqrt(n) + 1 / math.sqrt(m))
+    @classmethod
+    def chain(cls) -> Automaton:
+        """A first-order chain: one state for each symbol that was read last, and one before all."""
+        a = cls([])
+        after = {s: 2 + i for i, s in enumerate(SYMBOLS)}
+        a.next, a.begin = [{}, dict(after), *(dict(after) for _ in SYMBOLS)], 1
+        a.recount({})
+        return a
 
     def _compatible(self, p: int, q: int) -> bool:
         todo, seen = [(p, q)], set()
@@ -122,12 +150,15 @@ class Automaton:
             if p == q or (p, q) in seen:
                 continue
             seen.add((p, q))
-            if self._differ(self.final[p], self.through[p], self.final[q], self.through[q]):
-                return False
-            for s in self._weight[p].keys() | self._weight[q].keys():
-                if self._differ(self._weight[p].get(s, 0), self.through[p], self._weight[q].get(s, 0), self.through[q]):
+            x, y = self.weight[p], self.weight[q]
+            n, m = sum(x.values()), sum(y.values())
+            if not n or not m:
+                continue
+            room = self.bound * (1 / math.sqrt(n) + 1 / math.sqrt(m))
+            for s in x.keys() | y.keys():
+                if abs(x.get(s, 0) / n - y.get(s, 0) / m) > room:
                     return False
-                if s in self.next[p] and s in self.next[q]:
+                if s in x and s in y:
                     todo.append((self.next[p][s], self.next[q][s]))
         return True
 
@@ -136,10 +167,8 @@ class Automaton:
         todo = [(p, q)]
         while todo:
             p, q = todo.pop()
-            self.through[p] += self.through[q]
-            self.final[p] += self.final[q]
             for s, t in self.next[q].items():
-                self._weight[p][s] = self._weight[p].get(s, 0) + self._weight[q][s]
+                self.weight[p][s] = self.weight[p].get(s, 0) + self.weight[q][s]
                 if s in self.next[p]:
                     todo.append((self.next[p][s], t))
                 else:
@@ -148,85 +177,126 @@ class Automaton:
     def _merge_states(self) -> None:
         kept = [0]
         while True:
-            fringe = [(self.through[t], p, s, t) for p in kept for s, t in self.next[p].items() if t not in kept]
+            fringe = [(self.weight[p][s], p, s, t) for p in kept for s, t in self.next[p].items() if t not in kept]
             if not fringe:
                 break
             _, p, s, q = max(fringe, key=lambda x: (x[0], -x[1], x[2]))
-            for r in kept:
+            for r in kept[1:]:
                 if self._compatible(r, q):
                     self.next[p][s] = r
                     self._fold(r, q)
                     break
             else:
                 kept.append(q)
-        self.states = kept
-
-    def _distributions(self) -> None:
-        keep = {p: i for i, p in enumerate(self.states)}
-        weight, final = [self._weight[p] for p in self.states], [self.final[p] for p in self.states]
-        self.next = [{s: keep[t] for s, t in self.next[p].items()} for p in self.states]
-        self._estimate(weight, final)
-        del self.through, self.final, self._weight, self.states
-
-    def _estimate(self, weight: list[dict[str, int]], final: list[int]) -> None:
-        total: dict[str, int] = defaultdict(int)
-        for x in weight:
+        keep = {p: i for i, p in enumerate(kept)}
+        self.next, self.weight = [{s: keep[t] for s, t in self.next[p].items()} for p in kept], [self.weight[p] for p in kept]
+        lengths = self.weight[0]
+        #: The state after a length that was never seen: that after the most frequent one.
+        self.begin = self.next[0][max(lengths, key=lambda s: (lengths[s], s))] if lengths else 0
+
+    def _estimate(self) -> None:
+        total: dict[str, float] = defaultdict(float)
+        for x in self.weight[1:]:
             for s, n in x.items():
                 total[s] += n
-        size = sum(total.values())
-        self.anywhere = {s: math.log((total[s] + 0.5) / (size + 0.5 * len(_SYMBOLS))) for s in _SYMBOLS}
-        self.logs: list[dict[str, float]] = []
-        self.ends: list[float] = []
-        for x, f in zip(weight, final, strict=True):
-            n = sum(x.values()) + f + 1.0
-            self.logs.append({s: math.log((x.get(s, 0) + math.exp(self.anywhere[s]) * 0.5) / n) for s in _SYMBOLS})
-            self.ends.append(math.log((f + 0.5) / n))
+        size = sum(total.values()) + 0.5 * len(SYMBOLS)
+        share = {s: (total[s] + 0.5) / size for s in SYMBOLS}
+        self.logs = [{}] + [{s: math.log((x.get(s, 0) + 0.5 * share[s]) / (sum(x.values()) + 0.5)) for s in SYMBOLS} for x in self.weight[1:]]
+        if len(self.logs) == 1:
+            self.logs[0] = {s: math.log(share[s]) for s in SYMBOLS}
+        self.n_words = sum(self.weight[0].values())
 
     def visits(self, word: str) -> Iterator[tuple[int, str]]:
-        """The states that the word passes, each with the symbol read there; an empty one at the end."""
-        at = 0
-        for s in word.translate(_CLASS):
+        """The states that the word passes, each with the symbol read there."""
+        s = length_symbol(len(word))
+        yield 0, s
+        at = self.next[0].get(s, self.begin)
+        for s in word:
             yield at, s
             at = self.next[at].get(s, at)
-        yield at, ""
 
-    def recount(self, counts: dict[tuple[int, str], int]) -> None:
+    def recount(self, counts: dict[tuple[int, str], float]) -> None:
         """Keeps the states and takes their frequencies from counts of visits."""
-        states = range(len(self.next))
-        self._estimate([{s: counts.get((p, s), 0) for s in _SYMBOLS} for p in states], [counts.get((p, ""), 0) for p in states])
-
-    def log_likelihood(self, word: str) -> float:
-        """Of the word's classes; where no transition was seen, the state stays."""
-        at, total = 0, 0.0
-        for s in word.translate(_CLASS):
+        self.weight = [{} for _ in self.next]
+        for (p, s), n in counts.items():
+            self.weight[p][s] = n
+        self._estimate()
+
+    def length_likelihood(self, n: int) -> float:
+        seen = self.weight[0].get(length_symbol(n), 0) / self.n_words if self.n_words else 1 / (n * (n + 1))
+        return math.log((1 - ANY_LENGTH) * seen + ANY_LENGTH / (n * (n + 1)))
+
+    def symbol_likelihood(self, word: str) -> float:
+        """Log-likelihood of the symbols, given the length; where no transition was seen, the state stays."""
+        at, total = self.next[0].get(length_symbol(len(word)), self.begin), 0.0
+        for s in word:
             total += self.logs[at][s]
             at = self.next[at].get(s, at)
-        return total + self.ends[at]
+        return total
+
+    def log_likelihood(self, word: str) -> float:
+        return self.length_likelihood(len(word)) + self.symbol_likelihood(word)
 
 
 class Formats:
-    """Credential automata, the background, and the thresholds; small enough to send to every task."""
+    """Credential automata with their least rates, those of the background, and the mixture's log odds; small enough to send to every task."""
+
+    def __init__(self, credentials: list[Automaton], rates: list[float], background: list[Automaton], prior: list[float]) -> None:
+        self.credentials, self.rates, self.background, self.prior = credentials, rates, background, prior
+
+    def ordinary(self, word: str) -> float:
+        """The background's log-likelihood; its automata have equal weights."""
+        each = [a.log_likelihood(word) for a in self.background]
+        best = max(each)
+        return best + math.log(sum(math.exp(x - best) for x in each) / len(each))
+
+    def log_odds(self, word: str) -> list[float]:
+        """Of each credential automaton against the background; minus infinity where the symbols are too unlikely."""
+        ordinary = self.ordinary(word)
+        forms = [word] if "h" in word or "l" in word else [word, word.translate(_SMALL)]
+        found = []
+        for a, rate, prior in zip(self.credentials, self.rates, self.prior, strict=True):
+            symbols = max(a.symbol_likelihood(x) for x in forms)
+            typical = symbols / len(word) >= rate - 1 / math.sqrt(len(word))
+            found.append(prior + a.length_likelihood(len(word)) + symbols - ordinary if typical else -math.inf)
+        return found
+
+    def shares(self, word: str) -> list[float]:
+        """Of each credential automaton in a run; the rest is the background's."""
+        odds = [math.exp(min(x, 50.0)) for x in self.log_odds(word)]
+        return [x / (1 + sum(odds)) for x in odds]
 
-    def __init__(self, credentials: list[Automaton], background: Automaton, rates: list[float], thresholds: list[float]) -> None:
-        self.credentials, self.background, self.rates, self.thresholds = credentials, background, rates, thresholds
+    def accepts(self, word: str) -> bool:
+        return max(self.log_odds(word), default=-math.inf) >= CERTAIN
 
-    def scores(self, word: str) -> list[float]:
-        """Each credential automaton's log-likelihood less the background's."""
-        ordinary = self.background.log_likelihood(word)
-        return [a.log_likelihood(word) - ordinary for a in self.credentials]
 
-    def passed(self, word: str) -> list[tuple[int, float]]:
-        """(automaton, score) where the score reaches the thresholds."""
-        least = len(word) + 1
-        return [(k, x) for k, x in enumerate(self.scores(word)) if x >= self.thresholds[k] and x >= self.rates[k] * least]
+class Scanner:
+    """Spans of texts; remembers the verdicts on runs, which depend on their symbols alone."""
+
+    MOST = 300_000
+
+    def __init__(self, formats: Formats) -> None:
+        self.formats, self.known = formats, {}
 
     def accepts(self, word: str) -> bool:
-        return bool(self.passed(word))
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) >= self.MOST:
+                self.known.clear()
+            found = self.formats.accepts(word)
+            if len(word) <= 64:
+                self.known[word] = found
+        return found
 
     def spans(self, text: str) -> list[Span]:
         base = base_spans(text)
-        more = [(a, 3, b) for a, b in candidates(text, base) if self.accepts(text[a:b])] if self.credentials else []
-        return sorted(base + more)
+        if not self.formats.credentials:
+            return base
+        more = [(a, b) for a, b, word in candidates(text, base) if self.accepts(word)]
+        if more and not text.isascii():
+            raw = text.encode()
+            more = [(len(raw[:a].decode()), len(raw[:b].decode())) for a, b in more]
+        return sorted(base + [(a, 3, b) for a, b in more])
 
 
 def _texts(column: pa.Array) -> list[str]:
@@ -234,42 +304,41 @@ def _texts(column: pa.Array) -> list[str]:
 
 
 def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The labelled values and ordinary runs of each batch: (kind, value, h, n)."""
+    """The labelled values and the symbols of ordinary runs of each batch: (kind, value, h, n)."""
     for batch in batches:
-        found: dict[str, dict[str, int]] = {k: defaultdict(int) for k in (*LABELLED, "ordinary")}
+        labelled: dict[tuple[str, str], int] = defaultdict(int)
+        ordinary: dict[str, int] = defaultdict(int)
         for text in _texts(batch.column(0)):
             base = base_spans(text)
             for a, kind, b in base:
-                value = text[a:b] if kind else ASSIGN.match(text, a)[2]
-                found[KINDS[kind]][value] += 1
-            for a, b in candidates(text, base):
-                found["ordinary"][text[a:b]] += 1
-        rows = []
-        for kind, values in found.items():
-            rows += [(kind, v, xxhash.xxh3_64_intdigest(v.encode()) >> 1, n) for v, n in values.items()]
+                labelled[KINDS[kind], text[a:b] if kind else ASSIGN.match(text, a)[2]] += 1
+            for _, _, word in candidates(text, base):
+                ordinary[word] += 1
+        rows = [(kind, v, _digest(v), n) for (kind, v), n in labelled.items()]
+        rows += [("ordinary", v, _digest(v), n) for v, n in ordinary.items()]
         yield _columns(rows, kind=pa.string(), value=pa.string(), h=pa.int64(), n=pa.int64())
 
 
-def _columns(rows: list[tuple], **types: pa.DataType) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types.values())], names=list(types))
+def _digest(value: str) -> int:
+    return xxhash.xxh3_64_intdigest(value.encode()) >> 1
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str, int, int]]:
-    for batch in batches:
-        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+def _columns(rows: list[tuple], **types: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types.values())], names=list(types))
 
 
-def _summed(values: DataFrame, tally) -> dict[tuple[int, int, str], int]:
+def _summed(values: DataFrame, tally) -> dict[tuple[int, int, str], float]:
     """Sums by (a, b, s) of what ``tally`` makes of every value: pairs of such a key and a number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[int, int, str], int] = defaultdict(int)
-        for row in _rows(batches):
-            for key, n in tally(*row):
-                sums[key] += n
-        yield _columns([(*key, n) for key, n in sums.items()], a=pa.int64(), b=pa.int64(), s=pa.string(), n=pa.int64())
+        sums: dict[tuple[int, int, str], float] = defaultdict(float)
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for key, n in tally(*row):
+                    sums[key] += n
+        yield _columns([(*key, n) for key, n in sums.items()], a=pa.int64(), b=pa.int64(), s=pa.string(), n=pa.float64())
 
-    found = values.select("kind", "value", "h", "n").mapInArrow(run, "a long, b long, s string, n long")
+    found = values.select("kind", "value", "h", "n").mapInArrow(run, "a long, b long, s string, n double")
     return {(r.a, r.b, r.s): r.n for r in found.groupBy("a", "b", "s").agg(F.sum("n").alias("n")).collect()}
 
 
@@ -283,73 +352,91 @@ def _sample(values: DataFrame, distinct: dict[str, int]) -> dict[str, list[tuple
 
 
 def learn_formats(docs: DataFrame) -> Formats:
-    """Automata and thresholds from what the fixed patterns find and leave in all of ``docs`` (text)."""
+    """Automata and odds from what the fixed patterns find and leave in all of ``docs`` (text)."""
     ship(docs.sparkSession)
     values = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_values, "kind string, value string, h long, n long")
-    values = values.groupBy("kind", "value", "h").agg(F.sum("n").alias("n")).persist()
-    try:
-        return _learned(values)
-    finally:
-        values.unpersist()
-
-
-def _learned(values: DataFrame) -> Formats:
+    values = settle(values.groupBy("kind", "value", "h").agg(F.sum("n").alias("n")), work_dir(docs.sparkSession, "secrets"))
     found = {r.kind: (r.values, r.n) for r in values.groupBy("kind").agg(F.count("*").alias("values"), F.sum("n").alias("n")).collect()}
-    sample = _sample(values, {kind: n for kind, (n, _) in found.items()})
     kinds = [k for k in LABELLED if k in found]
     if not kinds:
-        return Formats([], Automaton([]), [], [])
+        return Formats([], [], [Automaton.chain()], [])
+    sample = _sample(values, {kind: n for kind, (n, _) in found.items()})
+    credentials, rates = _credentials(values.filter(F.col("kind") != "ordinary"), kinds, sample, found)
+    total = found.get("ordinary", (0, 0))[1]
+    least = [math.log(found[k][1] / (total + found[k][1])) for k in kinds]
+    formats = Formats(credentials, rates, [Automaton.chain()], list(least))
+    if total:
+        ordinary = values.filter(F.col("kind") == "ordinary")
+        _separated(ordinary, formats, total, least, [v for _, v in sample["ordinary"]])
+    return formats
+
+
+def _credentials(values: DataFrame, kinds: list[str], sample: dict[str, list[tuple[int, str]]], found: dict[str, tuple[int, int]]) -> tuple[list[Automaton], list[float]]:
+    """Each kind's automaton, and its least log-likelihood of a symbol. The states come from the sample, frequencies from all values."""
     place = {kind: k for k, kind in enumerate(kinds)}
-
-    # The states come from the sample, their frequencies from all values: of each kind one half, the other, and both.
-    # Labelled values count once, ordinary runs as often as they occur: hidden credentials are few among these.
-    automata = [Automaton(sorted(v for h, v in sample[kind] if half in (2, h & 1))) for kind in kinds for half in (0, 1, 2)]
-    automata.append(Automaton(sorted(v for _, v in sample.get("ordinary", []))))
+    # Of each kind one half of the values, the other, and both; every distinct value counts once.
+    automata = [Automaton(sorted(classes_of(v) for h, v in sample[kind] if half in (2, h & 1))) for kind in kinds for half in (0, 1, 2)]
 
     def visits(kind: str, value: str, h: int, n: int) -> Iterator[tuple[tuple[int, int, str], int]]:
-        if kind == "ordinary" or kind in place:
-            for i in (len(automata) - 1,) if kind == "ordinary" else (3 * place[kind] + (h & 1), 3 * place[kind] + 2):
-                for p, s in automata[i].visits(value):
-                    yield (i, p, s), n if kind == "ordinary" else 1
+        word = classes_of(value)
+        for i in (3 * place[kind] + (h & 1), 3 * place[kind] + 2):
+            for p, s in automata[i].visits(word):
+                yield (i, p, s), 1
 
-    counts: list[dict[tuple[int, str], int]] = [{} for _ in automata]
+    counts: list[dict[tuple[int, str], float]] = [{} for _ in automata]
     for (i, p, s), n in _summed(values, visits).items():
         counts[i][p, s] = n
     for a, c in zip(automata, counts, strict=True):
         a.recount(c)
-    background = automata[-1]
 
-    def rates(kind: str, value: str, h: int, n: int) -> Iterator[tuple[tuple[int, int, str], int]]:
-        if kind in place:
-            x = automata[3 * place[kind] + 1 - (h & 1)].log_likelihood(value) - background.log_likelihood(value)
-            yield (place[kind], math.floor(RATE_BINS * x / (len(value) + 1)), ""), 1
+    def rate(kind: str, value: str, h: int, n: int) -> Iterator[tuple[tuple[int, int, str], int]]:
+        word = classes_of(value)
+        yield (place[kind], math.floor(RATE_BINS * automata[3 * place[kind] + 1 - (h & 1)].symbol_likelihood(word) / len(word)), ""), 1
 
-    binned = _summed(values.filter(F.col("kind") != "ordinary"), rates)
-    least = []
+    binned = _summed(values, rate)
+    rates = []
     for k, kind in enumerate(kinds):
-        below, room = 0, LOW * found[kind][0]
+        below, room = 0.0, LOW * found[kind][0]
         for b in sorted(b for i, b, _ in binned if i == k):
             below += binned[k, b, ""]
             if below > room:
-                least.append(max(0.0, b / RATE_BINS / 2))
-                break
-    formats = Formats(automata[2:-1:3], background, least, [FLOOR] * len(kinds))
-
-    def passed(kind: str, value: str, h: int, n: int) -> Iterator[tuple[tuple[int, int, str], int]]:
-        for k, x in formats.passed(value):
-            yield (k, min(TOP, math.floor(x)), ""), n
-
-    binned = _summed(values.filter(F.col("kind") == "ordinary"), passed)
-    thresholds = []
-    for k, kind in enumerate(kinds):
-        above, least_score = 0, FLOOR
-        for b in sorted((b for i, b, _ in binned if i == k), reverse=True):
-            above += binned[k, b, ""]
-            if above > found[kind][1]:
-                least_score = b + 1.0 if b < TOP else math.inf
+                rates.append(b / RATE_BINS)
                 break
-        thresholds.append(least_score)
-    return Formats(formats.credentials, background, least, thresholds)
+    return automata[2::3], rates
+
+
+def _separated(ordinary: DataFrame, formats: Formats, total: int, least: list[float], sample: list[str]) -> None:
+    """Fits the background and the odds of ``formats`` to the ordinary runs, whose credentials are taken out."""
+
+    def tally(background: Automaton, first: bool = False):
+        def of(kind: str, value: str, h: int, n: int) -> Iterator[tuple[tuple[int, int, str], float]]:
+            shares = [0.0] * len(formats.credentials) if first else formats.shares(value)
+            own = n * (1 - sum(shares))
+            for k, x in enumerate(shares):
+                if x:
+                    yield (1, k, ""), n * x
+            if own:
+                for p, s in background.visits(value):
+                    yield (0, p, s), own
+
+        return of
+
+    def again(background: Automaton, first: bool = False) -> None:
+        sums = _summed(ordinary, tally(background, first))
+        background.recount({(p, s): n for (i, p, s), n in sums.items() if i == 0})
+        if not first:
+            hidden = [sums.get((1, k, ""), 0.0) for k in range(len(formats.credentials))]
+            own = max(1.0, total - sum(hidden))
+            formats.prior = [max(low, math.log(x / own)) if x > 0 else low for x, low in zip(hidden, least, strict=True)]
+
+    chain = formats.background[0]
+    again(chain, first=True)
+    for _ in range(ROUNDS):
+        again(chain)
+    merged = Automaton(sorted(v for v in sample if sum(formats.shares(v)) < 0.5))
+    again(merged)
+    if merged.n_words:
+        formats.background = [chain, merged]
 
 
 def _named(spans: list[Span]) -> str:
@@ -366,10 +453,11 @@ def scan(docs: DataFrame, formats: Formats | None = None) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner = Scanner(formats)
         for batch in batches:
             rows = []
             for text in _texts(batch.column(1)):
-                spans = formats.spans(text)
+                spans = scanner.spans(text)
                 n = [sum(k == kind for _, k, _ in spans) for kind in range(4)]
                 base = _named([s for s in spans if s[1] < 3])
                 rows.append((*n, hashlib.sha256(base.encode()).hexdigest(), _named(spans), [{"kind": KINDS[k], "start": a, "end": b, "text": text[a:b]} for a, k, b in spans]))
@@ -388,8 +476,8 @@ def redact(docs: DataFrame, formats: Formats | None = None, mark: str = "[SECRET
     ship(docs.sparkSession)
     at = docs.columns.index("text")
 
-    def clean(text: str | None) -> str | None:
-        spans = formats.spans(text) if text else []
+    def clean(text: str | None, scanner: Scanner) -> str | None:
+        spans = scanner.spans(text) if text else []
         if not spans:
             return text
         parts, end = [], 0
@@ -400,8 +488,9 @@ def redact(docs: DataFrame, formats: Formats | None = None, mark: str = "[SECRET
         return "".join([*parts, text[end:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner = Scanner(formats)
         for batch in batches:
-            texts = pa.array([clean(x) for x in batch.column(at).to_pylist()], pa.string())
+            texts = pa.array([clean(x, scanner) for x in batch.column(at).to_pylist()], pa.string())
             columns = [texts if i == at else c for i, c in enumerate(batch.columns)]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 

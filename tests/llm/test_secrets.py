@@ -1,11 +1,12 @@
 import hashlib
+import math
 import random
 import re
 
 import pytest
 
 from sluice.llm import secrets
-from sluice.llm.secrets import Automaton, base_spans, learn_formats, redact, scan
+from sluice.llm.secrets import SYMBOLS, Automaton, base_spans, classes_of, learn_formats, redact, scan
 
 HEXES = "0123456789abcdef"
 
@@ -77,6 +78,40 @@ def test_a_format_that_ordinary_text_uses_more_is_left_alone(spark, corpus):
     assert sum(x.n_format for x in scan(docs).filter("doc_id >= 1000").collect()) <= 180
 
 
+@pytest.mark.parametrize("n", [20, 200, 600])
+def test_hidden_values_do_not_hide_each_other(spark, n):
+    r = random.Random(n)
+    word = lambda: "".join(r.choices("eeaaiottnsrhldugmcbf", k=r.randint(3, 12)))
+    prose = lambda: " ".join(r.choice([word(), word(), word(), word().title(), f"{r.randint(10**15, 10**16 - 1)}", f"mail{r.randint(1, 9)}.example.com"]) for _ in range(80))
+    rows = [(i, prose() + (f" token: {''.join(r.choices(HEXES, k=40))}" if i % 20 == 0 else "")) for i in range(600)]
+    rows += [(1000 + i, f"please see {''.join(r.choices(HEXES, k=20))} for it") for i in range(n)]
+    rows += [(5000 + i, f"please see {''.join(r.choices(HEXES, k=40)).upper()} for it") for i in range(4)]
+    got = scan(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_format").collect()
+    assert sum(x.n_format for x in got if 1000 <= x.doc_id < 5000) >= 0.9 * n and sum(x.n_format for x in got if x.doc_id >= 5000) == 4
+    assert sum(x.n_format for x in got if x.doc_id < 1000) == 0
+
+
+def test_scan_against_brute_force(corpus, formats):
+    def odds(word, k):
+        symbols = "".join(classes_of(c) for c in word)
+        forms = {symbols} | ({symbols.translate(str.maketrans("HU", "hl"))} if not re.search("[a-z]", word) else set())
+        walk = lambda a, x: sum(a.logs[p][s] for p, s in [*a.visits(x)][1:])
+        best = max(walk(formats.credentials[k], x) for x in forms)
+        if best / len(word) < formats.rates[k] - len(word) ** -0.5:
+            return -math.inf
+        ordinary = sum(math.exp(walk(a, symbols) + a.length_likelihood(len(word))) for a in formats.background) / len(formats.background)
+        return formats.prior[k] + best + formats.credentials[k].length_likelihood(len(word)) - math.log(ordinary)
+
+    for r, doc in zip(scan(corpus, formats).collect(), corpus.collect(), strict=True):
+        text = doc.text or ""
+        base = literal(text)
+        want = list(base)
+        for m in re.finditer("[A-Za-z0-9+/_.=-]{6,}", text):
+            if not any(a < m.end() and b > m.start() for a, _, b in base) and max(odds(m[0], k) for k in range(3)) >= 3:
+                want.append((m.start(), 3, m.end()))
+        assert r.spans == ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(want))
+
+
 def test_frequencies_and_thresholds_cover_all_runs(spark, corpus, monkeypatch):
     r = random.Random(6)
     word = lambda: "".join(r.choices("ghijklmnop", k=r.choice([17, 30, 250])))
@@ -86,17 +121,16 @@ def test_frequencies_and_thresholds_cover_all_runs(spark, corpus, monkeypatch):
     seen = []
     recount = Automaton.recount
     monkeypatch.setattr(secrets, "SAMPLE", 20)
-    monkeypatch.setattr(Automaton, "recount", lambda a, counts: (seen.append(counts), recount(a, counts))[1])
+    monkeypatch.setattr(Automaton, "recount", lambda a, counts: (seen.append(sum(n for (p, _), n in counts.items() if p == 0)), recount(a, counts))[1])
     learn_formats(docs.repartition(2))
-    assert sum(n for (_, s), n in seen[-1].items() if s == "") == runs
-    assert [sum(n for (_, s), n in c.items() if s == "") for c in seen[2:-1:3]] == [120, 60, 60]
+    assert seen[2:9:3] == [120, 60, 60] and seen[9:11] == [0, runs]  # the chain begins empty and then counts every run
 
 
 @pytest.mark.parametrize("labelled", [1, 2, 11])
 def test_few_labelled_values_learn_an_automaton(spark, corpus, labelled):
     few = corpus.filter(f"doc_id < {labelled} or doc_id between 100 and 199")
     formats = learn_formats(few)
-    assert len(formats.credentials) == len(formats.rates) == len(formats.thresholds) == 3
+    assert len(formats.credentials) == len(formats.rates) == len(formats.prior) == 3
     got = {x.doc_id: x for x in scan(corpus, formats).collect()}
     assert all(got[100 + i].spans == "" for i in range(60)) and (labelled < 11 or got[200].n_format == 1)
 
@@ -108,10 +142,37 @@ def test_edges(edges):
     assert redact(edges, formats).count() == edges.count()
 
 
-def test_automata_merge_states_and_sum_to_one():
+def test_merging_keeps_lengths_and_joins_alike_states():
     r = random.Random(1)
-    words = ["".join(r.choices(HEXES, k=20)) for _ in range(300)]
+    words = [classes_of("".join(r.choices(HEXES, k=40))) for _ in range(2000)]
+    a = Automaton(words)
+    assert len(a.next) == 2 and a.length_likelihood(40) > -0.2 and a.length_likelihood(39) < -9
+    apart = Automaton(["dddddddd", "llllllll"] * 300)
+    assert apart.symbol_likelihood("dddddddd") > -2 and apart.symbol_likelihood("ddddllll") < -10
+    head = Automaton(["HU" + "".join(r.choices("dU", k=6)) for _ in range(500)])
+    assert head.symbol_likelihood("HUddUUdU") > head.symbol_likelihood("ddddUUdU") + 10
+
+
+def test_states_against_brute_force():
+    """Every pair of kept states differs by the bound somewhere in the tree below, and probabilities add up to one."""
+    r = random.Random(3)
+    words = [r.choice(["dd", "lh"]) + "".join(r.choices("dh", k=5)) + r.choice(["", "="]) for _ in range(400)]
     a = Automaton(words)
-    assert len(a.next) < 200 and a.log_likelihood(words[0]) > Automaton(["zzzzzzzzzzzz"] * 300).log_likelihood(words[0])
-    b = Automaton(["ab", "b"] * 50)
-    assert len(b.next) >= 1 and b.log_likelihood("ab") > b.log_likelihood("99")
+    for x in a.logs[1:]:
+        assert abs(sum(math.exp(v) for v in x.values()) - 1) < 1e-9 and set(x) == set(SYMBOLS)
+    for p in range(1, len(a.next)):
+        for q in range(1, p):
+            assert not a._compatible(p, q)
+    total = sum(sum(x.values()) for x in a.weight)
+    assert total == sum(len(w) + 1 for w in words)
+
+
+def test_a_chain_counts_pairs_of_symbols():
+    a = Automaton.chain()
+    counts = {}
+    for w in ["ddl", "dl"]:
+        for v in a.visits(w):
+            counts[v] = counts.get(v, 0) + 1
+    a.recount(counts)
+    d = a.next[1]["d"]
+    assert a.weight[1] == {"d": 2} and a.weight[d] == {"d": 1, "l": 2} and a.weight[0] == {"#3": 1, "#2": 1}
