@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from sluice.llm import vector_dup
-from sluice.llm.vector_dup import compare_tile, near_duplicates, rotation
+from sluice.llm.vector_dup import Codes, key_sizes, near_duplicates, rotation
 
 
 def brute(rows):
@@ -46,28 +46,93 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize(("cell", "tile"), [(4096, 4096), (20, 16)])
-def test_equals_brute_force(spark, rows, monkeypatch, cell, tile):
-    monkeypatch.setattr(vector_dup, "CELL_ROWS", cell)
+@pytest.mark.parametrize("tile", [4096, 16, 3])
+def test_equals_brute_force(spark, rows, monkeypatch, tile):
     monkeypatch.setattr(vector_dup, "TILE", tile)
-    df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, cell int").repartition(3)
+    df = spark.createDataFrame([(i, v, 0, "x", 1) for i, v in rows], "vec_id long, embedding array<double>, cid int, sid string, n int").repartition(3)
     got = sorted((tuple(r) for r in near_duplicates(df).collect()), key=str)
     assert got == brute(rows)
 
 
+def near_at(x, cosine, rng):
+    """Unit vectors at the given cosines to unit vectors x."""
+    noise = rng.normal(size=x.shape)
+    noise -= (noise * x).sum(1, keepdims=True) * x
+    length = np.linalg.norm(noise, axis=1, keepdims=True)
+    y = cosine * x + np.sqrt(1 - cosine**2) * np.divide(noise, length, out=np.zeros_like(noise), where=length > 1e-9)
+    return y / np.linalg.norm(y, axis=1, keepdims=True)
+
+
 def test_no_linked_pair_is_ruled_out_by_its_estimate():
     rng = np.random.default_rng(0)
     for d in (1, 2, 3, 8, 64, 200):
-        x = rng.normal(size=(400, d))
+        x = rng.normal(size=(4000, d))
         x /= np.linalg.norm(x, axis=1, keepdims=True)
-        noise = rng.normal(size=(400, d))
-        noise -= (noise * x).sum(1, keepdims=True) * x
-        length = np.linalg.norm(noise, axis=1, keepdims=True)
-        y = 0.951 * x + math.sqrt(1 - 0.951**2) * np.divide(noise, length, out=np.zeros_like(noise), where=length > 1e-9)
-        y /= np.linalg.norm(y, axis=1, keepdims=True)
-        found = {p for i, j in compare_tile(x, y, False) for p in zip(i.tolist(), j.tolist(), strict=True)}
-        exact = {(i, j) for i, j in zip(*np.nonzero(x @ y.T >= 0.95), strict=True)}
-        assert found == exact and len(found) >= 400
+        y = near_at(x, 0.9501, rng)
+        codes, other = Codes.of(x), Codes.of(y)
+        k = np.arange(4000)
+        assert codes.may_be_near(k, k, other).all() and other.may_be_near(k, k, codes).all()
+        if d >= 64:  # unrelated pairs are ruled out, and estimates are unbiased
+            assert codes.may_be_near(k, (k + 1) % 4000).mean() < 0.01
+            assert abs((codes.estimates(k, other, k) - (x * y).sum(1)).mean()) < 0.005
+
+
+def test_estimates_against_plain_loops():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(5, 70))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    codes = Codes.of(x)
+    turned, dither = x @ rotation(70), np.random.default_rng([7, 70]).random(70)
+    for i in range(5):
+        for j in range(5):
+            step = (turned[j].max() - turned[j].min()) / 15
+            q = [turned[j].min() + step * math.floor((v - turned[j].min()) / step + t) for v, t in zip(turned[j], dither, strict=True)]
+            c = [math.copysign(1 / math.sqrt(70), v) for v in turned[i]]
+            factor = sum(a * b for a, b in zip(c, turned[i], strict=True))
+            want = sum(a * b for a, b in zip(c, q, strict=True)) / factor
+            assert codes.estimates(np.array([i]), codes, np.array([j]))[0] == pytest.approx(want)
+
+
+@pytest.fixture(scope="module")
+def planted():
+    """3,000 vectors of 64 components; 300 pairs at cosines from 0.95 to 1, and a group of 400 near copies."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(1000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = near_at(x[:300], np.linspace(0.95001, 0.9999, 300)[:, None], rng)
+    copies = near_at(np.repeat(x[999:], 400, 0), rng.uniform(0.97, 0.999, (400, 1)), rng)
+    others = rng.normal(size=(1300, 64))
+    return np.concatenate([x, y, copies, others])
+
+
+@pytest.mark.parametrize("tile", [4096, 100])
+def test_all_links_of_planted_vectors_are_found(spark, planted, monkeypatch, tile):
+    monkeypatch.setattr(vector_dup, "TILE", tile)
+    df = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in enumerate(planted)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in near_duplicates(df).collect()}
+    unit = planted / np.linalg.norm(planted, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.95
+    np.fill_diagonal(near, False)
+    assert near.sum() > 2 * 300 and [got[i].n_links for i in range(len(unit))] == near.sum(1).tolist()
+    label = np.arange(len(unit))
+    while (new := np.array([min(label[i], label[near[i]].min(initial=len(unit))) for i in range(len(unit))])).tolist() != label.tolist():
+        label = new
+    assert [got[i].component_id for i in range(len(unit))] == label.tolist()
+
+
+def test_keys_grow_with_the_number_of_vectors():
+    sizes = [key_sizes(n) for n in (1, 500, 50_000, 10**9)]
+    assert sizes == sorted(sizes) and all((1 - (1 - math.acos(0.95) / math.pi) ** b) ** t <= 1e-6 for b, t in sizes)
+
+
+def test_groups_of_unrelated_vectors_do_not_grow(spark):
+    rng = np.random.default_rng(1)
+    means = []
+    for n in (2000, 8000):
+        bits, tables = key_sizes(n)
+        keys = (rng.normal(size=(n, 64)) @ vector_dup._planes_of_keys(64, bits * tables)[:, :bits] >= 0) @ (1 << np.arange(bits))
+        means.append(np.bincount(keys)[keys].mean())
+    assert means[1] < 1.5 * means[0] < 150
 
 
 def test_rotation_keeps_lengths():
