@@ -17,19 +17,23 @@ Work without all pairs. Equal sets are merged first. Then
      to families. A group's task returns a spanning set of these joins, never its pairs;
   3. each family is compared in full, in tiles of bounded size that hold the sets themselves. A tile returns
      a spanning set of its links. All pairs that may still be linked are in one family, so none is lost.
-A group over REFINE rows is first divided by the keys of its later chunks: signatures at distance 31 - 2d or
-less agree in d + 1 chunks, so after d divisions all pairs up to that distance still meet, and a pair at
-similarity 0.75 is missed with less than 1e-6. Sets are compared as sorted 64-bit shingle hashes.
+A group over REFINE rows is first divided without loss. Its members agree in three symbols of one chunk, so the
+errors of a pair lie in the other symbols; these are cut into chunks of three, at least 16 of them, and by the same
+principle a pair with at most 31 errors has one of these chunks with at most one error. Members are entered under
+its one-error patterns, and so on, up to REFINE_DEPTH times. The division saves work and changes no result. Sets are
+compared as sorted 64-bit shingle hashes; in a family only sets whose sizes allow the similarity meet in a tile.
 
 Defined results: null or empty texts, or texts without words, have no set and link with nothing; texts with
-one to four words have one shingle; repeated rows and repeated doc_ids are rows of their own, linked by
-their texts; a null doc_id never is a component's id unless all its members' are null, and its row is kept
-only then; an empty table gives no rows; other columns are not read.
+one to four words have one shingle; texts of any length are read whole; repeated rows and repeated doc_ids are rows of
+their own, linked by their texts; a null doc_id never is a component's id unless all its members' are null, and its row is
+kept only then; an empty table gives no rows; other columns, whatever their names, are not read by ``near_duplicates`` and
+pass through ``keep_one``, which keeps one row of each component, also of repeated rows, and every row without words.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,14 +42,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .components import connected_components
 from .merging import Merged
-from .session import settle, ship, work_dir
+from .joining import join_facts
+from .session import fresh_names, settle, ship, work_dir
 from .shingles import Signer, shingle_sets
+from .textops import mix64
+from .tiles import grouped
 
 SLOTS, WIDTH = 64, 4
 CHUNKS = SLOTS // WIDTH
 GUARANTEED = 2 * CHUNKS - 1
-#: Rows of a tile; groups over REFINE rows are divided by the keys of later chunks, REFINE_DEPTH times at most.
+#: Rows of a tile; groups over REFINE rows are divided, REFINE_DEPTH times at most.
 TILE, REFINE, REFINE_DEPTH = 1024, 4096, 2
+FINER = 3
+#: Ratio of the set sizes of a band.
+SIZE_BAND = 1.34
 #: Shingles on one side of a family's tile; with more candidate pairs than ONE_BY_ONE its sets are compared by matrix products.
 TILE_SHINGLES, ONE_BY_ONE, COLUMNS = 1 << 20, 20_000, 4096
 
@@ -85,7 +95,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, vid, chunk): each signature under its keys."""
+    """(key, vid, used): each signature under its keys, with the places that the key holds."""
     for batch in batches:
         for at in range(0, batch.num_rows, 2048):
             part = batch.slice(at, 2048)
@@ -93,46 +103,43 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _key_rows(keys, np.arange(part.num_rows), part.column(0))
 
 
+def finer_patterns(used: int) -> np.ndarray:
+    """Pairs of places that are keys of a division, when the places of the bits of ``used`` are agreed on already.
+
+    The other places are cut into chunks of FINER; each chunk is entered with one of its places left out.
+    """
+    free = [k for k in range(SLOTS) if not used >> k & 1]
+    chunks = [free[k : k + FINER] for k in range(0, len(free) - FINER + 1, FINER)]
+    if 2 * len(chunks) <= GUARANTEED:
+        raise ValueError("too few places are left to divide without loss")
+    return np.array([[x for x in chunk if x != left_out] for chunk in chunks for left_out in chunk])
+
+
 def _finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, vid, chunk): members (key, vid, chunk, sig) of a group under the keys of all later chunks too."""
+    """(key, vid, used): members (key, vid, used, sig) of a group under the keys of its division; ``used`` are the places agreed on."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 2048):
-            part = batch.slice(at, 2048)
-            keys = chunk_keys(_matrix(part.column(3))).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            former = part.column(0).to_numpy(zero_copy_only=False).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-            keys = (keys ^ former[:, None]).astype(np.int64)
-            chunk = np.arange(CHUNKS * WIDTH) // WIDTH
-            rows, columns = np.nonzero(chunk[None, :] > part.column(2).to_numpy(zero_copy_only=False)[:, None])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[rows, columns]), part.column(1).take(pa.array(rows)), pa.array(chunk[columns].astype(np.int32))], names=["key", "vid", "chunk"]
-            )
+        used = batch.column(2).to_numpy()
+        for u in np.unique(used).tolist():
+            of_group = batch.filter(pa.array(used == u))
+            places = finer_patterns(u & (1 << SLOTS) - 1)
+            marks = np.array([1 << int(x) | 1 << int(y) for x, y in places], dtype=np.uint64)
+            for at in range(0, of_group.num_rows, 2048):
+                part = of_group.slice(at, 2048)
+                symbols = _matrix(part.column(3)).astype(np.uint64)
+                keys = symbols[:, places[:, 0]] << np.uint64(16) | symbols[:, places[:, 1]] | np.arange(len(places), dtype=np.uint64) << np.uint64(32)
+                former = part.column(0).to_numpy(zero_copy_only=False).astype(np.uint64)
+                keys = mix64(mix64(former)[:, None] ^ keys).astype(np.int64)
+                now = np.broadcast_to(np.uint64(u & (1 << SLOTS) - 1) | marks, keys.shape).astype(np.int64)
+                rows = np.repeat(np.arange(part.num_rows), len(places))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), part.column(1).take(pa.array(rows)), pa.array(now.ravel())], names=["key", "vid", "used"])
+
+
+#: By key of a signature: its three places, as bits.
+_USED = np.array([sum(1 << (WIDTH * chunk + int(x)) for x in kept) for chunk in range(CHUNKS) for kept in _OTHERS], dtype=np.uint64).astype(np.int64)
 
 
 def _key_rows(keys: np.ndarray, rows: np.ndarray, vids: pa.Array) -> pa.RecordBatch:
-    chunk = np.tile((np.arange(CHUNKS * WIDTH) // WIDTH).astype(np.int32), len(rows))
-    return pa.RecordBatch.from_arrays([pa.array(keys.ravel()), vids.take(pa.array(np.repeat(rows, CHUNKS * WIDTH))), pa.array(chunk)], names=["key", "vid", "chunk"])
-
-
-def _groups(batches: Iterator[pa.RecordBatch], key: str, least: int) -> Iterator[pa.Table]:
-    """Consecutive rows with the same key, many groups in one table; no group is divided."""
-    held: list[pa.RecordBatch] = []
-    rows = 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        rows += batch.num_rows
-        if rows < least:
-            continue
-        table = pa.Table.from_batches(held).combine_chunks()
-        keys = table.column(key).to_numpy()
-        cut = int(np.flatnonzero(keys != keys[-1])[-1]) + 1 if keys[0] != keys[-1] else 0
-        if cut:
-            yield table.slice(0, cut)
-        held = table.slice(cut).to_batches()
-        rows = table.num_rows - cut
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks()
+    return pa.RecordBatch.from_arrays([pa.array(keys.ravel()), vids.take(pa.array(np.repeat(rows, CHUNKS * WIDTH))), pa.array(np.tile(_USED, len(rows)))], names=["key", "vid", "used"])
 
 
 def _near(signatures: np.ndarray, sizes: np.ndarray, labels: np.ndarray, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -162,7 +169,7 @@ def _spanning(merged: Merged, vids: np.ndarray) -> pa.RecordBatch:
 
 def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spanning joins (a, b) of the near pairs of each tile."""
-    for table in _groups(batches, "tile", 20_000):
+    for table in grouped(batches, "tile", 20_000):
         vids, labels, sizes = (table.column(n).to_numpy() for n in ("vid", "label", "n_shingles"))
         signatures = _matrix(table.column("sig").combine_chunks())
         merged = Merged(len(vids))
@@ -203,7 +210,7 @@ def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.n
 
 def _family_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spanning links (a, b) of the near pairs of each tile whose full sets are similar enough."""
-    for table in _groups(batches, "tile", 2_000):
+    for table in grouped(batches, "tile", 2_000):
         vids, labels, sizes = (table.column(n).to_numpy() for n in ("vid", "label", "n_shingles"))
         signatures = _matrix(table.column("sig").combine_chunks())
         sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("set").to_pylist()]
@@ -261,8 +268,8 @@ class _Job:
 
     def sets(self, vids: DataFrame, classes: DataFrame) -> DataFrame:
         """(vid, set) of the named classes, made from their texts once more."""
-        wanted = vids.join(classes, "vid").select("vid", "sid", "doc_id")
-        texts = self.docs.join(wanted, self.docs.doc_id.eqNullSafe(wanted.doc_id)).select("vid", "sid", "text")
+        wanted = vids.join(classes, "vid").select("vid", "sid", F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+        texts = self.docs.join(wanted, self.docs.doc_id.eqNullSafe(wanted.id) & (self.docs.text_hash == wanted.hash)).select("vid", "sid", "text")
         return self.kept(texts.mapInArrow(_sets_of, "vid long, set binary").dropDuplicates(["vid"]))
 
     def verified(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -278,8 +285,8 @@ class _Job:
         return connected_components(links, f"{self.path}/components-{self.tables}").withColumnRenamed("v", "vid")
 
     def open_groups(self, members: DataFrame, labels: DataFrame) -> DataFrame:
-        """Members of the groups that hold more than one component: (key, vid, chunk, label, n)."""
-        labelled = members.join(labels, "vid", "left").select("key", "vid", "chunk", F.coalesce("label", "vid").alias("label"))
+        """Members of the groups that hold more than one component: (key, vid, used, label, n)."""
+        labelled = members.join(labels, "vid", "left").select("key", "vid", "used", F.coalesce("label", "vid").alias("label"))
         several = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).filter("lo <> hi")
         return labelled.join(several.select("key", "n"), "key")
 
@@ -292,8 +299,8 @@ class _Job:
             if large.isEmpty():
                 break
             done.append(opened.filter(F.col("n") <= REFINE))
-            finer = large.select("key", "vid", "chunk").join(facts.select("vid", "sig"), "vid").select("key", "vid", "chunk", "sig")
-            opened = self.kept(self.open_groups(finer.mapInArrow(_finer, "key long, vid long, chunk int"), labels))
+            finer = large.select("key", "vid", "used").join(facts.select("vid", "sig"), "vid").select("key", "vid", "used", "sig")
+            opened = self.kept(self.open_groups(finer.mapInArrow(_finer, "key long, vid long, used long"), labels))
         for part in done:
             opened = opened.unionByName(part)
         placed = _spread(opened, "key", F.ceil(F.col("n") / TILE).cast("int"))
@@ -308,12 +315,39 @@ class _Job:
         joins = self.in_tiles(self.tiles(members, labels, classes), _families)
         families = self.labels(joins).withColumnRenamed("label", "family")
         known = self.kept(families.join(classes.select("vid", "n_shingles", "sig"), "vid").join(labels, "vid", "left").withColumn("label", F.coalesce("label", "vid")))
-        sizes = known.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n_shingles") / TILE_SHINGLES)).cast("int").alias("n_tiles"))
-        placed = _spread(known.join(sizes, "family"), "family", F.col("n_tiles"))
+        sized = known.join(known.groupBy("family").agg(_n_tiles("n_tiles")), "family")
+        placed = _spread(sized.filter("n_tiles = 1"), "family", F.lit(1)).unionByName(_by_size(sized.filter("n_tiles > 1").drop("n_tiles")), allowMissingColumns=True)
         sets = self.sets(known.select("vid"), classes)
         return self.in_tiles(placed.select("tile", "vid", "label", "side", "n_shingles", "sig").join(sets, "vid").select("tile", "vid", "label", "side", "n_shingles", "sig", "set"), _family_links)
 
 
+def _n_tiles(name: str) -> Column:
+    """Of the rows and shingles of a group."""
+    return F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n_shingles") / TILE_SHINGLES)).cast("int").alias(name)
+
+
+def _by_size(rows: DataFrame) -> DataFrame:
+    """Rows of families in tiles of one band of set sizes, or of one band against the next.
+
+    Bands grow by more than 4/3, so sets of similarity 0.75 are at most one band apart.
+    """
+    banded = rows.withColumn("band", F.floor(F.log(F.col("n_shingles")) / math.log(SIZE_BAND)))
+    lower = banded.withColumn("pair", F.xxhash64("family", "band"))
+    upper = banded.withColumn("pair", F.xxhash64("family", F.col("band") - 1))
+    n_lower, n_upper = lower.groupBy("pair").agg(_n_tiles("n_lower")), upper.groupBy("pair").agg(_n_tiles("n_upper"))
+    both = n_lower.join(n_upper, "pair")
+
+    def across(df: DataFrame, own: str, other: str, side: int) -> DataFrame:
+        part, many = F.pmod(F.xxhash64("vid"), F.col(own)), F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        df = df.join(both, "pair").withColumn("own", part.cast("int")).withColumn("other", many)
+        names = ("own", "other") if side == 0 else ("other", "own")
+        return df.withColumns({"tile": F.xxhash64(F.lit("bands"), "pair", *names), "side": F.lit(side)})
+
+    within = _spread(lower.join(n_lower, "pair"), "pair", F.col("n_lower"))
+    columns = [*rows.columns, "tile", "side"]
+    return within.select(*columns).unionByName(across(lower, "n_lower", "n_upper", 0).select(*columns)).unionByName(across(upper, "n_upper", "n_lower", 1).select(*columns))
+
+
 def _spread(rows: DataFrame, key: str, n_tiles: Column) -> DataFrame:
     """Rows of each key in tiles of parts against parts; side is 0, 1, or 2 for a part that meets itself."""
     own = F.pmod(F.xxhash64("vid"), n_tiles).cast("int")
@@ -334,23 +368,31 @@ def keep_one(docs: DataFrame) -> DataFrame:
     path = work_dir(docs.sparkSession, "near-dup-kept")
     alike = found.groupBy("doc_id", "text_hash", "component_id", "n_shingles").agg(F.count("*").alias("n"))
     alone = alike.filter("n_shingles = 0").select("doc_id", "text_hash", F.lit(1).cast("long").alias("n"))
-    chosen = alike.filter("n_shingles > 0").groupBy("component_id").agg(F.min_by(F.struct("doc_id", "text_hash", "n"), F.struct("doc_id", "text_hash")).alias("x")).select("x.*")
-    chosen = settle(chosen.unionByName(alone).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash", "n": "_n"}), path)
-    left = docs.withColumn("_text_hash", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    left = left.join(chosen, left.doc_id.cast("long").eqNullSafe(chosen._id) & (left._text_hash == chosen._hash), "left_semi")
-    if not chosen.filter("_n > 1").isEmpty():
-        left = left.dropDuplicates(["doc_id", "_text_hash"])
-    return left.select(*docs.columns)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    chosen = alike.filter("n_shingles > 0").groupBy("component_id").agg(F.min_by(F.struct("doc_id", "text_hash", "n"), order).alias("x")).select("x.*")
+    id_, hash_ = fresh_names(docs.columns, "id", "text_hash")
+    chosen = settle(chosen.unionByName(alone).withColumnsRenamed({"doc_id": f"{id_}_", "text_hash": f"{hash_}_", "n": "n_rows"}), path)
+    keyed = docs.withColumns({id_: F.col("doc_id").cast("long"), hash_: F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+
+    def of(some: DataFrame) -> DataFrame:
+        return keyed.join(some, keyed[id_].eqNullSafe(some[f"{id_}_"]) & (keyed[hash_] == some[f"{hash_}_"]), "left_semi")
+
+    repeated = chosen.filter("n_rows > 1")
+    left = of(chosen.filter("n_rows = 1"))
+    if not repeated.isEmpty():
+        left = left.unionByName(of(repeated).dropDuplicates([id_, hash_]))
+    return left.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def _resolved(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
     job = _Job(docs)
     rows = job.kept(job.docs.mapInArrow(_profile, "doc_id long, n_shingles long, sid binary, sig binary, text_hash long"))
-    merged = rows.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
-    classes = job.kept(merged.withColumn("vid", F.monotonically_increasing_id()))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")).alias("row")
+    merged = rows.filter("sid is not null").groupBy("sid").agg(first, F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.count("*").alias("n"))
+    classes = job.kept(merged.select("sid", "row.doc_id", "row.text_hash", "n_shingles", "sig", "n", F.monotonically_increasing_id().alias("vid")))
 
-    keyed = classes.select("vid", "sig").mapInArrow(_keyed, "key long, vid long, chunk int")
+    keyed = classes.select("vid", "sig").mapInArrow(_keyed, "key long, vid long, used long")
     heads = keyed.groupBy("key").agg(F.min("vid").alias("head"), F.count("*").alias("n")).filter("n > 1")
     members = job.kept(keyed.join(heads.select("key", "head"), "key"))
 
@@ -360,10 +402,10 @@ def _resolved(docs: DataFrame) -> DataFrame:
     links = links.unionByName(job.family_links(members, labels, classes))
     labels = job.labels(links)
 
-    placed = classes.join(labels, "vid", "left").select("sid", "doc_id", F.coalesce("label", "vid").alias("label"))
+    placed = job.kept(classes.join(labels, "vid", "left").select("sid", "doc_id", "n", F.coalesce("label", "vid").alias("label")))
     least = placed.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    ids = placed.select("sid", "label").join(least, "label").select("sid", "component_id")
-    out = rows.select("doc_id", "n_shingles", "sid", "text_hash").join(ids, "sid", "left")
+    ids = job.kept(placed.select("sid", "n", "label").join(least, "label").select("sid", "n", "component_id"))
+    out = join_facts(rows.select("doc_id", "n_shingles", "sid", "text_hash"), ids, "sid", "n")
     own = F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "text_hash", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
 

@@ -38,7 +38,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -290,7 +290,7 @@ class Scanner:
 
     def spans(self, text: str) -> list[Span]:
         base = base_spans(text)
-        if not self.formats.credentials:
+        if not self.formats.credentials or not any(map(self.accepts, set(RUN.findall(classes_of(text))))):
             return base
         more = [(a, b) for a, b, word in candidates(text, base) if self.accepts(word)]
         if more and not text.isascii():
@@ -307,13 +307,12 @@ def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The labelled values and the symbols of ordinary runs of each batch: (kind, value, h, n)."""
     for batch in batches:
         labelled: dict[tuple[str, str], int] = defaultdict(int)
-        ordinary: dict[str, int] = defaultdict(int)
+        ordinary: Counter[str] = Counter()
         for text in _texts(batch.column(0)):
             base = base_spans(text)
             for a, kind, b in base:
                 labelled[KINDS[kind], text[a:b] if kind else ASSIGN.match(text, a)[2]] += 1
-            for _, _, word in candidates(text, base):
-                ordinary[word] += 1
+            ordinary.update([word for _, _, word in candidates(text, base)] if base else RUN.findall(classes_of(text)))
         rows = [(kind, v, _digest(v), n) for (kind, v), n in labelled.items()]
         rows += [("ordinary", v, _digest(v), n) for v, n in ordinary.items()]
         yield _columns(rows, kind=pa.string(), value=pa.string(), h=pa.int64(), n=pa.int64())

@@ -2,32 +2,41 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.shared import shared_root
 from ..functions.shipping import ship
 
-__all__ = ["settle", "ship", "work_dir"]
+__all__ = ["clear_work", "fresh_names", "settle", "ship", "work_dir"]
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one run's tables below ``spark.checkpoint.dir``.
 
     The folder is shared by driver and executors. Results are read from it lazily, so it is the caller who
-    clears it when results have been used. Only a session that names no folder (a test on one machine)
-    gets a temporary one, which goes when the process ends.
+    clears it (``clear_work``) when results have been used.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        own = tempfile.mkdtemp(prefix="sluice-")
-        atexit.register(shutil.rmtree, own, True)
-        root = f"file://{own}"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_root(spark)}/sluice-work/{name}-{uuid.uuid4().hex}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Removes all intermediate tables of this library below ``spark.checkpoint.dir``, also those of other sessions."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/sluice-work")
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+def fresh_names(taken: Iterable[str], *wanted: str) -> list[str]:
+    """The wanted names, lengthened where a column of that name (in any case) is taken."""
+    used, found = {c.lower() for c in taken}, []
+    for name in wanted:
+        while name.lower() in used:
+            name = f"_{name}"
+        used.add(name.lower())
+        found.append(name)
+    return found
 
 
 def settle(df: DataFrame, path: str, *partition_by: str) -> DataFrame:

@@ -267,8 +267,9 @@ def _tiled(rows: DataFrame, group: str, tile: int) -> DataFrame:
     A group of one tile comes once, as side 2. In larger groups unmarked rows (side 0) go to every part of all rows, and
     these (side 1) to every part of the unmarked ones.
     """
-    sizes = rows.groupBy(group).agg(F.ceil(F.count("*") / tile).cast("int").alias("parts"), F.ceil(F.sum((~F.col("marked")).cast("long")) / tile).cast("int").alias("open"))
-    sized = rows.join(sizes.filter("open > 0"), group)
+    parts, left = F.ceil(F.count("*") / tile).cast("int"), F.ceil(F.sum((~F.col("marked")).cast("long")) / tile).cast("int")
+    sizes = rows.groupBy(group).agg(F.count("*").alias("rows_of_group"), parts.alias("parts"), left.alias("open"))
+    sized = join_facts(rows, sizes, group, "rows_of_group").filter("open > 0")
     one = sized.filter("parts = 1").withColumns({"tile": F.col(group), "side": F.lit(2)})
     many = sized.filter("parts > 1")
 
@@ -321,8 +322,10 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
 
     family = _families(coded, path)
     members = settle(family.join(classes.select("cid", "n", "v"), "cid").join(coded.select("cid", "dim", *_CODE), "cid"), f"{path}/members")
-    heads = members.groupBy("family").agg(F.min("cid").alias("head_cid"), F.min_by("v", "cid").alias("head"))
-    core = settle(members.select("family", "cid", "dim", "v").join(heads.select("family", "head"), "family").mapInArrow(_core, "cid long, marked boolean"), f"{path}/core")
+    heads = members.groupBy("family").agg(F.min("cid").alias("cid"), F.count("*").alias("rows_of_family"))
+    heads = settle(heads.join(classes.select("cid", F.col("v").alias("head")), "cid").drop("cid"), f"{path}/heads")
+    with_head = join_facts(members.select("family", "cid", "dim", "v"), heads, "family", "rows_of_family")
+    core = settle(with_head.mapInArrow(_core, "cid long, marked boolean"), f"{path}/core")
     members = members.join(core, "cid")
     tiled = _tiled(members.withColumnRenamed("family", "group"), "group", TILE)
     found = _in_tiles(tiled.select("tile", "side", "marked", "cid", "dim", "n", "v", *_CODE), _links, "cid long, links long, root long", f"{path}/links")

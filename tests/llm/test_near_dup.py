@@ -52,10 +52,10 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize("tile", [1024, 16])
-def test_equals_brute_force(spark, rows, monkeypatch, tile):
+@pytest.mark.parametrize(("tile", "refine"), [(1024, 4096), (16, 1 << 30), (16, 64), (16, 3)])
+def test_equals_brute_force_for_any_constants(spark, rows, monkeypatch, tile, refine):
     monkeypatch.setattr(near_dup, "TILE", tile)
-    monkeypatch.setattr(near_dup, "REFINE", 4 * tile)
+    monkeypatch.setattr(near_dup, "REFINE", refine)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = sorted((tuple(r) for r in near_dup.near_duplicates(df).collect()), key=str)
     assert got == brute(rows)
@@ -71,6 +71,25 @@ def test_one_of_each_component_stays(spark, rows):
     assert len({r.component_id for r in again}) == len(again)
 
 
+def test_repeated_rows_and_clashing_columns(spark):
+    names = ["text_hash", "id", "sid", "n", "n_rows", "_text_hash", "component_id"]
+    rows = [(1, "", *names), (1, "", *names), (2, "a b", *names), (2, "a b", *names), (3, "A b", *names), (None, None, *names), (None, " \n", *names)]
+    df = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    got = sorted((tuple(r) for r in near_dup.keep_one(df).collect()), key=str)
+    want = [rows[0], rows[1], (2, "a b", *names), rows[5], rows[6]]
+    assert got == sorted(want, key=str)
+
+
+def test_a_division_keeps_all_pairs_within_the_guarantee():
+    rng = np.random.default_rng(3)
+    for used in (0b111, 0b1011 << 20, 0b1101 << 60, 0b11100011):
+        places = near_dup.finer_patterns(used)
+        free = [k for k in range(near_dup.SLOTS) if not used >> k & 1]
+        for _ in range(300):
+            wrong = set(rng.choice(free, near_dup.GUARANTEED, replace=False).tolist())
+            assert any(a not in wrong and b not in wrong for a, b in places.tolist())
+
+
 def test_edges(edges):
     got = near_dup.near_duplicates(edges).collect()
     assert len(got) == edges.count() and near_dup.near_duplicates(edges.limit(0)).count() == 0
