@@ -6,12 +6,15 @@ one logit of the pooled values and the chunk's length (a short chunk has few cha
 and the mean logit of a document's chunks, corrected for the classes' true shares, gives its probability.
 
 Learning uses a bounded sample of labelled documents: of each class the DOCS_PER_CLASS with the smallest
-hashes of their ids, and at most CHUNKS_PER_DOC chunks spread evenly over each. Scoring reads every byte.
-
-Defined results: a null or empty text is one chunk of zero bytes and gets that chunk's score; documents
-with contradictory labels aren't learned from; null labels are ignored; with only one class among the
-labels its share decides every score (0.5 without any); repeated rows get the same score; an empty table
-gives no rows; columns other than text are never inputs.
+hashes of their ids. The steps learn from DRAWS chunks of each class, drawn by hash with replacement: every document of the
+sample has the same share of them, every chunk of a whole text the same chance. In a third of the draws of a step, of
+either class, the chunk is cut to a random length, as texts may be short. Scoring reads every byte.
+
+Defined results: a null or empty text is one chunk of zero bytes and gets that chunk's score; texts of any length are
+scored whole; documents with contradictory labels aren't learned from; of rows that share a doc_id one is learned from; null
+labels are ignored; with only one class among the labels its share decides every score (0.5 without any); repeated rows
+get the same score; an empty table gives no rows; columns other than text are never inputs and pass through ``score``,
+which refuses a table that has a column of the score's name.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from .textops import blocks, text_buffers
 
 CHUNK, OVERLAP = 512, 64
 DIMENSIONS, TAPS, STRIDE, FILTERS, HIDDEN = 4, 8, 2, 16, 8
-DOCS_PER_CLASS, CHUNKS_PER_DOC = 1200, 3
+DOCS_PER_CLASS, DRAWS = 1200, 16_000
 STEPS, BATCH, RATE = 1000, 64, 0.01
 
 
@@ -94,13 +97,13 @@ class ByteCnn:
         return [d_embedding, d_filters, d_best.sum(0), inputs.T @ d_inner, d_inner.sum(0), inner.T @ d_logit, d_logit.sum(keepdims=True)]
 
     def fit(self, data: np.ndarray, sizes: np.ndarray, labels: np.ndarray, weights: np.ndarray, seed: int = 11) -> None:
-        """Adam over chunks drawn by weight; a third of the good ones is cut to a random length, as good texts may be short."""
+        """Adam over chunks drawn by weight; a third of them is cut to a random length."""
         rng = np.random.default_rng(seed)
         first, second = ([np.zeros_like(p) for p in self.parameters()] for _ in range(2))
         for t in range(1, STEPS + 1):
             rows = rng.choice(len(data), BATCH, p=weights)
             rate = RATE * (1 - 0.9 * t / STEPS)
-            short = (labels[rows] == 1) & (rng.random(BATCH) < 1 / 3)
+            short = rng.random(BATCH) < 1 / 3
             left = np.where(short, np.minimum(sizes[rows], (16 * 2 ** (5 * rng.random(BATCH))).astype(np.int64)), sizes[rows])
             seen = data[rows] * (np.arange(CHUNK)[None, :] < left[:, None])
             for p, g, m, v in zip(self.parameters(), self.step(seen, left, labels[rows]), first, second, strict=True):
@@ -152,7 +155,8 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5) -> ByteCnn:
         return model
     ids = [known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(DOCS_PER_CLASS) for y in (0, 1)]
     sample = ids[0].unionByName(ids[1])
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "y")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
+    texts = texts.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("doc_id", "text", "y")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,11 +164,13 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5) -> ByteCnn:
             for doc_id, text, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 raw = (text or "").encode()
                 starts = chunk_starts(len(raw))
-                for k in np.unique(np.linspace(0, len(starts) - 1, min(CHUNKS_PER_DOC, len(starts))).astype(int)):
-                    rows.append((doc_id, int(k), raw[starts[k] : starts[k] + CHUNK], y))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.int32()))], names=["doc_id", "k", "piece", "y"])
+                draws = -(-DRAWS // min(DOCS_PER_CLASS, shares[y]))
+                places, times = np.unique(np.random.default_rng([doc_id & (1 << 63) - 1, 29]).integers(0, len(starts), draws), return_counts=True)
+                rows += [(doc_id, k, raw[starts[k] : starts[k] + CHUNK], n / draws, y) for k, n in zip(places.tolist(), times.tolist(), strict=True)]
+            types = (pa.int64(), pa.int64(), pa.binary(), pa.float64(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["doc_id", "k", "piece", "share", "y"])
 
-    rows = sorted(texts.mapInArrow(pieces, "doc_id long, k long, piece binary, y int").collect(), key=lambda r: (r.doc_id, r.k, bytes(r.piece)))
+    rows = sorted(texts.mapInArrow(pieces, "doc_id long, k long, piece binary, share double, y int").collect(), key=lambda r: (r.doc_id, r.k))
     if not rows:
         model.out[:] = 0
         return model
@@ -172,10 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5) -> ByteCnn:
     for k, r in enumerate(rows):
         data[k, : len(r.piece)] = np.frombuffer(r.piece, dtype=np.uint8)
     y = np.array([r.y for r in rows], dtype=np.float32)
-    per_doc: dict[int, int] = {}
-    for r in rows:
-        per_doc[r.doc_id] = per_doc.get(r.doc_id, 0) + 1
-    weights = np.array([1 / per_doc[r.doc_id] for r in rows])
+    weights = np.array([r.share for r in rows])
     for side in (y == 0, y == 1):
         if side.any():
             weights[side] /= weights[side].sum()
@@ -185,16 +188,17 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5) -> ByteCnn:
     return model
 
 
-def score(docs: DataFrame, model: ByteCnn) -> DataFrame:
-    """``docs`` with the column score."""
+def score(docs: DataFrame, model: ByteCnn, name: str = "score") -> DataFrame:
+    """``docs`` with the score in one more column."""
+    if name.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"the table has a column {name} already")
     ship(docs.sparkSession)
-    docs = docs.drop("score")
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [*model.scores(batch.column(at))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(found) if found else [], pa.float64())], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(found) if found else [], pa.float64())], names=[*batch.schema.names, name])
 
-    out = StructType([*docs.schema.fields, StructField("score", DoubleType())])
+    out = StructType([*docs.schema.fields, StructField(name, DoubleType())])
     return docs.mapInArrow(run, out)

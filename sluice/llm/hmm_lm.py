@@ -3,8 +3,8 @@
 Tokens are words (A-Z lower-cased) and one end mark for each text. Counts come from all training texts.
 The model's STATES hidden states emit classes of words: each of the WORD_CLASSES most frequent tokens is a
 class of its own, the others fall in SUFFIX_CLASSES by a hash of their last three bytes; a word's share of
-its class is its smoothed count. For learning a text is cut into sequences of at most SEGMENT tokens. Baum-Welch
-starts on the driver from a sample of SAMPLE sequences, drawn by hash from all places of all training texts;
+its class is its smoothed count. For learning a text is cut into sequences of at most SEGMENT tokens, the first of which
+begins the text and the others where the chain is in the long run. Baum-Welch starts on the driver from a sample of SAMPLE sequences, drawn by hash from all places of all training texts;
 then every full iteration gathers expected counts over all training texts, summed across partitions, until
 their likelihood gains less than SETTLED a token. Scoring runs the scaled forward recursion through each whole
 text, which gives the exact log-likelihood under the model.
@@ -12,9 +12,10 @@ text, which gives the exact log-likelihood under the model.
 Counts of the HEAD most frequent tokens travel to every task (a fixed bound); rarer words of a text are
 joined with the table of counts, so the vocabulary may grow without bound.
 
-Tokens are told apart by 64-bit hashes. Defined results: a null or empty text is the end mark alone;
-repeated rows are scored alike and each counts for training; a null doc_id is held out; an empty table
-gives no rows; without training texts all counts are zero and the states' classes are equally likely.
+Tokens are told apart by keyed 64-bit hashes. Defined results: a null or empty text is the end mark alone; texts of any
+length are scored whole; repeated rows are scored alike and each counts for training; a null doc_id is held out; an empty table
+gives no rows; without training texts all counts are zero and the states' classes are equally likely; columns other than doc_id
+and text, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -149,11 +150,20 @@ class Hmm:
         emit = share[:, None] * rng.uniform(0.2, 1.8, (len(share), STATES))
         self.emit = emit / emit.sum(0)
         self.share = share
+        self._settle()
+
+    def _settle(self) -> None:
+        """The states' long-run distribution, from which the later sequences of a text begin."""
+        within = np.full(STATES, 1 / STATES)
+        for _ in range(64):
+            within = within @ self.move
+        self.within = within / within.sum()
 
     def update(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> None:
         """The maximizing step; every class keeps a little of its corpus share in every state."""
         start, move, emit = start + 1.0, move + 1.0, emit + self.share[:, None] * 5.0
         self.start, self.move, self.emit = start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0)
+        self._settle()
 
     def log_likelihoods(self, texts: list[np.ndarray]) -> np.ndarray:
         """Natural logs, by the scaled forward recursion over all of each text."""
@@ -174,24 +184,29 @@ class Hmm:
         out[order] = total
         return out
 
-    def expected(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected start, transition and emission counts of sequences of at most SEGMENT tokens."""
-        return self.counted(texts)[:3]
+    def expected(self, texts: list[np.ndarray], begins: list[bool] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Expected start, transition and emission counts; ``begins`` tells which of the arrays begin a text."""
+        return self.counted(texts, begins)[:3]
+
+    def counted(self, texts: list[np.ndarray], begins: list[bool] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The expected counts, and the natural log-likelihood of the sequences with their number of tokens.
 
-    def counted(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The expected counts, and the natural log-likelihood of the sequences with their number of tokens."""
-        parts = sorted((x[k : k + SEGMENT] for x in texts for k in range(0, len(x), SEGMENT)), key=len, reverse=True)
+        Only the first sequence of a text counts as a start; later ones begin from the long-run distribution.
+        """
+        begins = begins or [True] * len(texts)
+        parts = sorted(((x[k : k + SEGMENT], b and k == 0) for x, b in zip(texts, begins, strict=True) for k in range(0, len(x), SEGMENT)), key=lambda p: len(p[0]), reverse=True)
         start, move, emit, fit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros(self.emit.shape), np.zeros(2)
         at = 0
         while at < len(parts):  # sequences of like length together, so that the grid has few empty cells
-            step = max(1, CELLS // len(parts[at]))
+            step = max(1, CELLS // len(parts[at][0]))
             for total, found in zip((start, move, emit, fit), self._expected(parts[at : at + step]), strict=True):
                 total += found
             at += step
         return start, move * self.move, emit, fit
 
-    def _expected(self, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def _expected(self, sequences: list[tuple[np.ndarray, bool]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of sequences from the longest to the shortest; the transitions lack the factor of their own probability."""
+        parts, first = [x for x, _ in sequences], np.array([b for _, b in sequences])
         sizes = np.array([len(x) for x in parts])
         longest, n = int(sizes[0]), len(parts)
         grid = np.zeros((longest, n), dtype=np.int64)
@@ -200,7 +215,7 @@ class Hmm:
         active = np.searchsorted(-sizes, -np.arange(longest), side="left")
         forward = np.zeros((longest, n, STATES))
         scales = np.ones((longest, n))
-        alpha = self.start * self.emit[grid[0]]
+        alpha = np.where(first[:, None], self.start, self.within) * self.emit[grid[0]]
         for t, m in enumerate(active.tolist()):
             if t:
                 alpha = (forward[t - 1, :m] @ self.move) * self.emit[grid[t, :m]]
@@ -218,7 +233,7 @@ class Hmm:
         posterior = np.concatenate([forward[t, : int(m)] for t, m in enumerate(active)])
         classes = np.concatenate([grid[t, : int(m)] for t, m in enumerate(active)])
         emit = np.stack([np.bincount(classes, weights=posterior[:, k], minlength=len(self.emit)) for k in range(STATES)], axis=1)
-        return forward[0].sum(0), move, emit, np.array([np.log(scales).sum(), sizes.sum()])
+        return forward[0][first].sum(0), move, emit, np.array([np.log(scales).sum(), sizes.sum()])
 
 
 def _texts(column: pa.Array) -> list[np.ndarray]:
@@ -279,13 +294,14 @@ def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
     return counts.filter(step >= least) if least is not None else counts.limit(0)
 
 
-def _sequences(training: DataFrame) -> list[np.ndarray]:
-    """At most SAMPLE sequences of the training texts, by the hash of their text's id and place."""
+def _sequences(training: DataFrame) -> tuple[list[np.ndarray], list[bool]]:
+    """At most SAMPLE sequences of the training texts, by the hash of their text's id and place, and which of them begin a text."""
     place = F.explode(F.sequence(F.lit(0), F.floor((F.col("n_tokens") - 1) / SEGMENT).cast("int"))).alias("k")
     drawn = training.select("uid", "doc_id", place).withColumn("draw", F.xxhash64("doc_id", "k")).orderBy("draw", "uid", "k").limit(SAMPLE)
     part = F.col("classes").substr(F.col("k") * (2 * SEGMENT) + 1, F.lit(2 * SEGMENT)).alias("classes")
     rows = training.select("uid", "classes").join(F.broadcast(drawn.select("uid", "k", "draw")), "uid").select("draw", "uid", "k", part).collect()
-    return [np.frombuffer(bytes(r.classes), dtype="<u2").astype(np.int64) for r in sorted(rows, key=lambda r: (r.draw, r.uid, r.k))]
+    rows.sort(key=lambda r: (r.draw, r.uid, r.k))
+    return [np.frombuffer(bytes(r.classes), dtype="<u2").astype(np.int64) for r in rows], [r.k == 0 for r in rows]
 
 
 def _gathered(training: DataFrame, hmm: Hmm) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -324,10 +340,10 @@ def learn(docs: DataFrame, folds: int = 10, rounds: int = ROUNDS) -> LanguageMod
     share[: min(WORD_CLASSES, len(head))] = [c for _, _, c in head[:WORD_CLASSES]]
     hmm = Hmm(np.maximum(share, 0))
     training = encoded.filter("training")
-    sample = _sequences(training)
+    sample, begins = _sequences(training)
     if sample:
         for _ in range(SAMPLE_ROUNDS):
-            hmm.update(*hmm.expected(sample))
+            hmm.update(*hmm.expected(sample, begins))
     fits: list[float] = []
     while sample and (len(fits) < max(rounds, 2) or fits[-1] - fits[-2] >= SETTLED):
         start, move, emit, (total, n) = _gathered(training, hmm)

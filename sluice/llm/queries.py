@@ -76,6 +76,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_near_dup": near_dup.oracle_sql(),
     "op4_quality_rules": quality_rules.oracle_sql(),
     "op5_line_dedup": line_dedup.oracle_sql(),
-    "op8_token_rollups": token_rollups.oracle_sql(),
     "op9_vector_dup": vector_dup.oracle_sql(),
 }

@@ -6,19 +6,27 @@ changes is summed by key and committed under its id: it is written aside and the
 so it is there as a whole or not at all, and a batch that is delivered again changes nothing. The totals are
 the sum of all committed batches; compaction merges batches into one table and remembers their ids.
 
+Tokens are counted by the tokenizers of VERSIONS: two public vocabularies, words, and bytes.
+
 Defined results: null sources and languages are keys of their own; a null or empty text is a document
-without tokens; repeated rows are counted as often as they occur; keys whose documents have all been
-deleted are left out of the totals; without batches the totals are empty.
+without tokens; texts of any length are counted whole; repeated rows are counted as often as they occur; keys whose
+documents have all been deleted are left out of the totals; without batches the totals are empty; columns of documents
+other than doc_id, text, source and lang are not read.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .quality_rules import words_of
-from .session import settle, work_dir
+from . import byte_bpe, packing
+from .session import settle, ship, work_dir
+from .textops import blocks, text_buffers, word_spans
 
 KEYS = ["source", "lang", "tokenizer_version"]
 _SCHEMA = "source string, lang string, tokenizer_version string, n_docs long, n_tokens long"
@@ -91,44 +99,74 @@ class TokenRollups:
             self._fs.delete(self._at("merged", last), True)
 
 
-#: Tokenizers that need no vocabulary: words between white space, and bytes.
-COUNTERS = {"words-1": lambda text: F.size(words_of(text)).cast("long"), "bytes-1": lambda text: F.octet_length(text).cast("long")}
+Counter = Callable[[pa.Array], Iterator[int]]
 
 
-def count_texts(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """Counts of each row's whole text and of its first line, by version: columns n_<k> and first_<k>."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    first = F.substring_index(text, "\n", 1)
-    counts: dict[str, Column] = {}
-    for k, counter in enumerate(COUNTERS.values()):
-        counts |= {f"n_{k}": counter(text), f"first_{k}": counter(first)}
-    return docs.select(*keep, *(c.alias(n) for n, c in counts.items()))
+def count_words(column: pa.Array) -> Iterator[int]:
+    offsets, data = text_buffers(column)
+    for i, j in blocks(offsets):
+        _, _, rows = word_spans(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+        yield from np.bincount(rows, minlength=j - i).tolist()
 
 
-def changes(counted: DataFrame, docs: int, sign: dict[str, int]) -> DataFrame:
-    """Each row's change: ``docs`` documents, and the counts of the named columns with their signs."""
-    rows = [
-        F.struct(F.lit(v).alias("tokenizer_version"), F.lit(docs).cast("long").alias("n_docs"), sum((F.col(f"{c}_{k}") * s for c, s in sign.items()), F.lit(0)).cast("long").alias("n_tokens"))
-        for k, v in enumerate(COUNTERS)
-    ]
-    return counted.select("source", "lang", F.inline(F.array(*rows)))
+def count_bytes(column: pa.Array) -> Iterator[int]:
+    return iter(np.diff(text_buffers(column)[0]).tolist())
+
+
+def count_word_bpe(column: pa.Array) -> Iterator[int]:
+    return (len(ids) - 1 for ids in packing.document_ids(column, public_tokenizers.path("word_bpe_49k.json")))
+
+
+def count_byte_bpe(column: pa.Array) -> Iterator[int]:
+    codec = byte_bpe.codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return (len(ids) for ids in byte_bpe.encode_batch(column, codec))
+
+
+#: The tokenizers by version.
+VERSIONS: dict[str, Counter] = {"byte_bpe_multi_50k": count_byte_bpe, "bytes-1": count_bytes, "word_bpe_49k": count_word_bpe, "words-1": count_words}
+
 
+def count_texts(docs: DataFrame, versions: dict[str, Counter] | None = None) -> DataFrame:
+    """(doc_id, source, lang, tokenizer_version, n_tokens) of every row's whole text."""
+    ship(docs.sparkSession)
+    counters = versions or VERSIONS
 
-def maintained_totals(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for version, counter in counters.items():
+                counts = pa.array([*counter(batch.column(3))], pa.int64())
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([version] * batch.num_rows, pa.string()), counts], names=["doc_id", *KEYS, "n_tokens"])
+
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), *(F.col(c).cast("string").alias(c) for c in ("source", "lang", "text"))]
+    return docs.select(*columns).mapInArrow(run, "doc_id long, source string, lang string, tokenizer_version string, n_tokens long")
+
+
+def changes(counted: DataFrame, docs: int, sign: int) -> DataFrame:
+    """A change for each row: ``docs`` documents and its tokens, both with their sign."""
+    return counted.select(*KEYS, F.lit(docs).cast("long").alias("n_docs"), (F.col("n_tokens") * sign).alias("n_tokens"))
+
+
+def maintained_totals(docs: DataFrame, labels: DataFrame, versions: dict[str, Counter] | None = None) -> DataFrame:
     """Totals after three batches: all documents are inserted, those labelled toxic (and not of low quality)
     are revised to their first line, those labelled of low quality are deleted; every batch is delivered twice."""
     spark = docs.sparkSession
     path = work_dir(spark, "token-rollups")
+    counted = settle(count_texts(docs, versions), f"{path}/counts")
     doc_id = F.col("doc_id").cast("long").alias("doc_id")
-    counted = settle(count_texts(docs.select(doc_id, F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), "text"), ["doc_id", "source", "lang"]), f"{path}/counts")
     flags = labels.select(doc_id, "quality", "toxic").groupBy("doc_id").agg(F.max((F.col("quality") == 0).cast("int")).alias("low"), F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
     low = flags.filter("low = 1").select("doc_id")
     revised = flags.filter("toxic = 1 and coalesce(low, 0) = 0").select("doc_id")
+
+    def revision() -> DataFrame:
+        first_lines = docs.select(doc_id, "source", "lang", F.substring_index(F.col("text").cast("string"), "\n", 1).alias("text"))
+        new = count_texts(first_lines.join(revised, "doc_id", "left_semi"), versions)
+        return changes(new, 0, 1).unionByName(changes(counted.join(revised, "doc_id", "left_semi"), 0, -1))
+
     store = TokenRollups(spark, f"{path}/store")
     batches = [
-        ("insert", lambda: changes(counted, 1, {"n": 1})),
-        ("revise", lambda: changes(counted.join(revised, "doc_id", "left_semi"), 0, {"first": 1, "n": -1})),
-        ("delete", lambda: changes(counted.join(low, "doc_id", "left_semi"), -1, {"n": -1})),
+        ("insert", lambda: changes(counted, 1, 1)),
+        ("revise", revision),
+        ("delete", lambda: changes(counted.join(low, "doc_id", "left_semi"), -1, -1)),
     ]
     for name, batch in batches[:2]:
         store.commit(name, batch())
@@ -137,15 +175,3 @@ def maintained_totals(docs: DataFrame, labels: DataFrame) -> DataFrame:
     for name, batch in batches:
         store.commit(name, batch())
     return store.totals()
-
-
-def oracle_sql() -> str:
-    return r"""
-    WITH f AS (SELECT doc_id, max((quality = 0)::INT) AS low, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
-    d AS (
-      SELECT source, lang, CASE WHEN f.toxic = 1 THEN string_split(coalesce(text, ''), chr(10))[1] ELSE coalesce(text, '') END AS text
-      FROM documents LEFT JOIN f ON f.doc_id = documents.doc_id WHERE coalesce(f.low, 0) = 0),
-    c AS (
-      SELECT source, lang, 'words-1' AS tokenizer_version, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS n FROM d
-      UNION ALL SELECT source, lang, 'bytes-1', strlen(text) FROM d)
-    SELECT source, lang, tokenizer_version, count(*) AS n_docs, sum(n)::BIGINT AS n_tokens FROM c GROUP BY source, lang, tokenizer_version"""

@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -69,9 +70,52 @@ def test_held_out_accuracy(spark):
 
 def test_edges(spark, edges):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
-    assert {round(r.score, 6) for r in byte_cnn.score(edges, byte_cnn.train(edges, none)).collect()} == {0.5}
+    assert {round(r.score, 6) for r in byte_cnn.score(edges.drop("score"), byte_cnn.train(edges, none)).collect()} == {0.5}
     one = spark.createDataFrame([(d, 1, 0) for d in range(40)] + [(1, None, 0), (None, 0, 0)], "doc_id long, quality int, toxic int")
-    assert {r.score > 0.9 for r in byte_cnn.score(edges, byte_cnn.train(edges, one)).collect()} == {True}
+    assert {r.score > 0.9 for r in byte_cnn.score(edges.drop("score"), byte_cnn.train(edges, one)).collect()} == {True}
     mixed = one.withColumn("quality", F.when(F.col("doc_id") % 2 == 0, 0).otherwise(F.col("quality"))).unionByName(spark.createDataFrame([(4, 1, 0)], one.schema))
-    out = byte_cnn.score(edges, byte_cnn.train(edges, mixed))
-    assert out.count() == edges.count() and set(out.columns) == set(edges.columns) and byte_cnn.score(edges.limit(0), byte_cnn.train(edges, mixed)).count() == 0
+    model = byte_cnn.train(edges, mixed)
+    out = byte_cnn.score(edges, model, "quality_score")
+    assert out.count() == edges.count() and out.columns == [*edges.columns, "quality_score"] and {r.score for r in out.collect()} == {1.0}
+    assert byte_cnn.score(edges.limit(0), model, "quality_score").count() == 0
+    with pytest.raises(ValueError):
+        byte_cnn.score(edges, model)
+
+
+def test_scores_against_plain_loops():
+    model = ByteCnn(5)
+    model.offset = 0.3
+    rng = np.random.default_rng(5)
+    texts = ["", "a", "seven b", "eight by", "Some prose, as it is. " * 60, "".join(map(chr, rng.integers(32, 400, 700)))]
+
+    def plain(text):
+        raw, logits = text.encode(), []
+        for start in range(0, max(1, len(raw) - 64), 448):
+            chunk = raw[start : start + 512]
+            padded = chunk + bytes(max(0, 8 - len(chunk)))
+            best = [0.0] * 16
+            for p in range(0, len(padded) - 7, 2):
+                for f in range(16):
+                    total = float(model.bias[f])
+                    for t in range(8):
+                        for d in range(4):
+                            total += float(model.embedding[padded[p + t], d]) * float(model.filters[4 * t + d, f])
+                    best[f] = max(best[f], total)
+            inputs = [*best, math.log2(max(1, len(chunk))) / 9]
+            hidden = [math.tanh(sum(x * float(model.hidden[i, h]) for i, x in enumerate(inputs)) + float(model.hidden_bias[h])) for h in range(8)]
+            logits.append(sum(x * float(model.out[h]) for h, x in enumerate(hidden)) + float(model.out_bias[0]))
+        return 1 / (1 + math.exp(-(sum(logits) / len(logits) + 0.3)))
+
+    got = np.concatenate(list(model.scores(pa.array(texts))))
+    assert got.tolist() == pytest.approx([plain(t) for t in texts], abs=1e-4)
+
+
+def test_draws_come_from_the_whole_text(spark, monkeypatch):
+    monkeypatch.setattr(byte_cnn, "STEPS", 1)
+    seen = {}
+    monkeypatch.setattr(ByteCnn, "fit", lambda self, data, sizes, labels, weights: seen.update(data=data, weights=weights))
+    long = "".join(f"{k:07d} " for k in range(6400))  # 51,200 bytes, 115 chunks
+    docs = spark.createDataFrame([(1, long), (1, long), (2, "short"), (3, None)], "doc_id long, text string")
+    byte_cnn.train(docs, spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int"), folds=10**9)
+    firsts = {bytes(x[:8]) for x in seen["data"]}
+    assert len(seen["data"]) == len(chunk_starts(len(long))) + 2 == len(firsts) + 0 and seen["weights"].sum() == pytest.approx(1)

@@ -30,7 +30,8 @@ def test_expected_counts_and_learning():
     model = hmm_lm.Hmm(np.bincount(np.concatenate(texts), minlength=20))
     start, move, emit = model.expected(texts)
     assert emit.sum() == pytest.approx(sum(map(len, texts))) and np.allclose(emit.sum(1), np.bincount(np.concatenate(texts), minlength=20))
-    assert start.sum() + move.sum() == pytest.approx(sum(map(len, texts)))
+    assert start.sum() == pytest.approx(len(texts))  # one start for each text, however many sequences it is cut into
+    assert move.sum() == pytest.approx(sum(len(x) - -(-len(x) // hmm_lm.SEGMENT) for x in texts))
     before = model.log_likelihoods(texts).sum()
     for _ in range(15):
         model.update(*model.expected(texts))
@@ -85,8 +86,9 @@ def test_iterations_over_all_texts_go_on_until_the_likelihood_settles(spark, mon
 def test_the_sample_reaches_all_places_of_texts(spark):
     classes = np.arange(5000, dtype="<u2")
     rows = [(i, i, 5000, bytearray(classes.tobytes())) for i in range(20)]
-    found = hmm_lm._sequences(spark.createDataFrame(rows, "uid long, doc_id long, n_tokens long, classes binary"))
+    found, begins = hmm_lm._sequences(spark.createDataFrame(rows, "uid long, doc_id long, n_tokens long, classes binary"))
     assert len(found) == 20 * 20 and sorted({int(x[0]) for x in found}) == list(range(0, 5000, 256)) and max(int(x[-1]) for x in found) == 4999
+    assert sum(begins) == 20 and all(b == (x[0] == 0) for x, b in zip(found, begins, strict=True))
 
 
 def test_edges(edges):

@@ -1,7 +1,14 @@
+import base64
+import re
+
+import public_tokenizers as P
 import pytest
+import tiktoken
+from tokenizers import Tokenizer
 
+from sluice.llm import queries
 from sluice.llm.session import work_dir
-from sluice.llm.token_rollups import TokenRollups, changes, count_texts, maintained_totals
+from sluice.llm.token_rollups import VERSIONS, TokenRollups, maintained_totals
 
 
 def change(spark, *rows):
@@ -38,17 +45,54 @@ def test_a_batch_that_was_cut_off_leaves_no_trace(spark):
     assert totals(store) == {("a", "en", "v1"): (1, 10)} and store.commit("b2", change(spark, ("a", "en", "v1", 1, 1)))
 
 
-def test_counts_of_texts(spark):
-    df = spark.createDataFrame([("s", "l", "two words\nand more"), ("s", "l", None), ("s", "l", "é")], "source string, lang string, text string")
-    counted = count_texts(df, ["source", "lang"])
-    assert [tuple(r)[2:] for r in counted.collect()] == [(4, 2, 18, 9), (0, 0, 0, 0), (1, 1, 2, 2)]
-    got = changes(counted, 1, {"first": 1, "n": -1}).groupBy("tokenizer_version").sum("n_docs", "n_tokens").collect()
-    assert {r[0]: (r[1], r[2]) for r in got} == {"words-1": (3, -2), "bytes-1": (3, -9)}
+def plain_counts(text):
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
+    if not hasattr(plain_counts, "own"):
+        plain_counts.own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        plain_counts.words = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+        plain_counts.words.encode_special_tokens = True
+    return {
+        "byte_bpe_multi_50k": len(plain_counts.own.encode_ordinary(text)),
+        "bytes-1": len(text.encode()),
+        "word_bpe_49k": len(plain_counts.words.encode(text, add_special_tokens=False).ids),
+        "words-1": len(re.findall(r"[^\x20\x09-\x0D]+", text)),
+    }
+
+
+def brute(docs, labels):
+    low = {d for d, q, t in labels if q == 0}
+    toxic = {d for d, q, t in labels if t == 1} - low
+    out = {}
+    for d, text, source, lang in docs:
+        if d is None or d not in low:
+            text = text or ""
+            for version, n in plain_counts(text.split("\n")[0] if d is not None and d in toxic else text).items():
+                a, b = out.get((source, lang, version), (0, 0))
+                out[source, lang, version] = (a + 1, b + n)
+    return out
+
+
+LABELS = [(1, 0, 0), (1, 1, 1), (2, 1, 1), (11, None, 1), (None, 0, 1), (4, None, None)]
+
+
+def labelled(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+def test_against_brute_force(spark, edges):
+    docs = edges.selectExpr("doc_id", "text", "source", "if(doc_id % 2 = 0, 'en', null) AS lang", "tile", "score", "1 AS n_tokens", "2 AS n_docs")
+    got = maintained_totals(docs, labelled(spark, LABELS)).collect()
+    want = brute([(r.doc_id, r.text, r.source, r.lang) for r in docs.collect()], LABELS)
+    assert {(r.source, r.lang, r.tokenizer_version): (r.n_docs, r.n_tokens) for r in got} == want and len(got) == len(want)
+
+
+def test_query_against_brute_force(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    got = queries.op8_token_rollups(spark, "/root/testdata/sf0.001").collect()
+    want = brute([(r.doc_id, r.text, r.source, r.lang) for r in docs.collect()], [tuple(r) for r in labels.select("doc_id", "quality", "toxic").collect()])
+    assert {(r.source, r.lang, r.tokenizer_version): (r.n_docs, r.n_tokens) for r in got} == want
 
 
-def test_edges(spark, edges):
-    docs = edges.withColumnRenamed("k", "lang") if "k" in edges.columns else edges.selectExpr("*", "cast(null as string) AS lang")
-    labels = spark.createDataFrame([(1, 0, 0), (1, 1, 1), (2, 1, 1), (None, 0, 1), (4, None, None)], "doc_id long, quality int, toxic int")
-    got = {r.tokenizer_version: r for r in maintained_totals(docs, labels).collect()}
-    assert got["words-1"].n_docs == docs.filter("doc_id is null or doc_id <> 1").count() and got["words-1"].source == "zz" and got["words-1"].lang is None
-    assert maintained_totals(docs.limit(0), labels).count() == 0 and maintained_totals(docs, labels.limit(0)).count() == 2
+def test_empty_tables(spark, edges):
+    docs = edges.selectExpr("*", "'x' AS lang")
+    assert maintained_totals(docs.limit(0), labelled(spark, LABELS)).count() == 0 and maintained_totals(docs, labelled(spark, [])).count() == len(VERSIONS)
