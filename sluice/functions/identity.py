@@ -12,16 +12,12 @@ from uuid import uuid4
 
 from pyspark.sql import Column, functions as F
 
-_BLOCK = 1 << 20
-
 
 def content_hash(path: str | Path) -> str:
     """``sha256:`` and 16 hex digits of a file's bytes; the name plays no part."""
-    digest = hashlib.sha256()
-    with open(path, "rb") as f:
-        for block in iter(lambda: f.read(_BLOCK), b""):
-            digest.update(block)
-    return f"sha256:{digest.hexdigest()[:16]}"
+    from ..sources.storage import sha256_of
+
+    return f"sha256:{sha256_of(path)[:16]}"
 
 
 def content_hash_column(content: Column) -> Column:

@@ -16,6 +16,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.missing import finite_or_null
+from ..sources.storage import read_bytes, storage_of
 from .ordering import running_totals
 
 N_QUANTILES = 401
@@ -38,19 +39,17 @@ class Reference:
 
     @staticmethod
     def load_if_there(path: str | Path) -> Reference | None:
-        p = Path(path)
-        if not p.exists():
+        if not storage_of(path).exists(path):
             return None
-        raw = json.loads(p.read_text())
+        raw = json.loads(read_bytes(path))
         columns = {c: ColumnReference(tuple(map(float, x["quantiles"])), x["mean"], x["std"]) for c, x in raw.get("columns", {}).items() if x}
         return Reference(raw.get("n_quantiles", N_QUANTILES), raw.get("n_rows", 0), columns)
 
-    def save(self, path: str | Path) -> Path:
-        p = Path(path)
-        p.parent.mkdir(parents=True, exist_ok=True)
+    def save(self, path: str | Path) -> str:
         columns = {c: {"quantiles": list(x.quantiles), "mean": x.mean, "std": x.std} for c, x in self.columns.items()}
-        p.write_text(json.dumps({"n_quantiles": self.n_quantiles, "n_rows": self.n_rows, "columns": columns}, indent=2, sort_keys=True))
-        return p
+        text = json.dumps({"n_quantiles": self.n_quantiles, "n_rows": self.n_rows, "columns": columns}, indent=2, sort_keys=True)
+        storage_of(path).write(path, text.encode())
+        return str(path)
 
 
 def long_form(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

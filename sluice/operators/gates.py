@@ -387,11 +387,11 @@ class UncertaintyGate(Gate):
 
 @dataclass
 class TopKGate(Gate):
-    """The k best of the whole batch; every record gets its rank, numbers before NaN and null."""
+    """The k smallest (or largest) of the whole batch; every record gets its rank, numbers before NaN and null."""
 
     target: str
     k: int
-    largest: bool = True
+    largest: bool = False
     name: str = ""
 
     def __post_init__(self) -> None:
@@ -480,8 +480,8 @@ class MinimumMarginGate(Gate):
         if ctx.candidate is None:
             return False, "no candidate report", {}
         old, new = normalized_score(ctx.incumbent), normalized_score(ctx.candidate)
-        gain = _relative(old, new)
-        return not gain < self.min_relative_improvement, f"{gain:+.2%} against the incumbent, {self.min_relative_improvement:.0%} wanted", {"incumbent": old, "candidate": new, "improvement": gain}
+        gain = _relative(old, new) if old else 0.0  # nothing is better than an error of zero
+        return gain >= self.min_relative_improvement, f"{gain:+.2%} against the incumbent, {self.min_relative_improvement:.0%} wanted", {"incumbent": old, "candidate": new, "improvement": gain}
 
 
 @dataclass
@@ -503,7 +503,7 @@ class SignificanceGate(Gate):
             return False, f"the incumbent has no errors for {absent}", {"missing": absent}
         found = paired_bootstrap(ctx.candidate, ctx.incumbent, self.n_resamples, self.seed)
         p = sum(x[1] for x in found.values()) / len(found)
-        return not p > self.alpha, f"p = {p:.4f}, at most {self.alpha} wanted", {"p_value": p, "per_target": {t: {"delta": d, "p": q} for t, (d, q) in found.items()}, "n_resamples": self.n_resamples}
+        return p <= self.alpha, f"p = {p:.4f}, at most {self.alpha} wanted", {"p_value": p, "per_target": {t: {"delta": d, "p": q} for t, (d, q) in found.items()}, "n_resamples": self.n_resamples}
 
 
 @dataclass

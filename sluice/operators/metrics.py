@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 LEAST_SLICE = 20
@@ -126,14 +126,21 @@ def summarise(report: EvalReport, targets: Sequence[str] | None = None) -> dict[
     }
 
 
-def bootstrap_means(differences: np.ndarray, n_resamples: int, seed: int, cells: int = 4_000_000) -> Iterator[np.ndarray]:
-    """Means of resamples, drawn in blocks of bounded size from one generator."""
-    rng = np.random.default_rng(seed)
-    n = len(differences)
-    step = max(1, cells // max(1, n))
-    for at in range(0, n_resamples, step):
-        picks = rng.integers(0, n, size=(min(step, n_resamples - at), n))
-        yield differences[picks].mean(axis=1)
+# The cumulative Poisson probabilities with mean 1, up to seven.
+POISSON = (0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582, 0.99991676, 0.99998975)
+_PRIME, _STEP, _ROW, _RESAMPLE, _SEED = (1 << 31) - 1, 48_271, 1_000_003, 7_919, 104_729
+
+
+def resample_weights(row_ids: np.ndarray, resamples: np.ndarray, seed: int) -> np.ndarray:
+    """How often each row is in each resample: Poisson numbers with mean 1 from a hash of row, resample and seed.
+
+    The hash is arithmetic modulo a prime below 2^31, so that SQL can repeat it.
+    """
+    rows, b = (row_ids % _PRIME)[:, None], resamples[None, :]
+    x = (rows * _ROW + b * _RESAMPLE + seed * _SEED + 12_345) % _PRIME
+    for _ in range(3):
+        x = (x * x + _STEP * x + b) % _PRIME
+    return np.searchsorted(np.array(POISSON), x / _PRIME, side="right")
 
 
 def paired_differences(candidate: EvalReport, incumbent: EvalReport) -> DataFrame:
@@ -150,32 +157,42 @@ def paired_differences(candidate: EvalReport, incumbent: EvalReport) -> DataFram
     return candidate.errors.join(old, ["row_id", "target"]).select("target", "row_id", ((F.col("old") - F.col("abs_err")) / scale).alias("d"))
 
 
-def paired_bootstrap(candidate: EvalReport, incumbent: EvalReport, n_resamples: int = 2000, seed: int = 0) -> dict[str, tuple[float, float]]:
-    """By target (mean difference, share of resample means that are not above zero)."""
+def resampled_means(pairs: DataFrame, n_resamples: int, seed: int = 0) -> DataFrame:
+    """(target, b, n, total, weight): sums of every resample of (target, row_id, d).
+
+    A resample takes every row a Poisson number of times, which needs no look at the other rows: each task adds up what
+    it has, and only n_resamples sums a task and target are shuffled, however large the set is.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, np.ndarray] = {}
+        resamples = np.arange(n_resamples, dtype=np.int64)
+        for batch in batches:
+            targets, rows, d = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            for t in np.unique(targets):
+                at = np.flatnonzero(targets == t)
+                total = sums.setdefault(t, np.zeros((2, n_resamples)))
+                for part in np.array_split(at, max(1, len(at) * n_resamples // 2_000_000)):
+                    weights = resample_weights(rows[part].astype(np.int64), resamples, seed)
+                    total += np.stack([d[part] @ weights, weights.sum(0)])
+        for t, (total, weight) in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([t] * n_resamples), pa.array(resamples), pa.array(total), pa.array(weight)], names=["target", "b", "total", "weight"])
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        # An evaluation set is held-out data of a bounded size; one target of it is one group.
-        d = pdf.sort_values("row_id")["d"].to_numpy(dtype=float)
-        hits = sum(int((m <= 0).sum()) for m in bootstrap_means(d, n_resamples, seed))
-        return pd.DataFrame({"target": [pdf["target"].iloc[0]], "delta": [float(d.mean())], "p": [hits / n_resamples]})
+    clean = pairs.select(F.col("target").cast("string").alias("target"), F.col("row_id").cast("long").alias("row_id"), F.col("d").cast("double").alias("d"))
+    found = clean.mapInArrow(run, "target string, b long, total double, weight double")
+    return found.groupBy("target", "b").agg(F.sum("total").alias("total"), F.sum("weight").alias("weight"))
 
-    pairs = paired_differences(candidate, incumbent)
-    rows = pairs.groupBy("target").applyInPandas(one, "target string, delta double, p double").collect()
+
+def bootstrap_shares(pairs: DataFrame, n_resamples: int, seed: int = 0) -> DataFrame:
+    """(target, delta, p): the mean difference, and the share of resamples whose mean isn't above zero."""
+    p = resampled_means(pairs, n_resamples, seed).groupBy("target").agg(F.avg(F.when(F.col("total") <= 0, 1.0).otherwise(0.0)).alias("p"))
+    return pairs.groupBy("target").agg(F.avg("d").alias("delta")).join(p, "target").select("target", "delta", "p")
+
+
+def paired_bootstrap(candidate: EvalReport, incumbent: EvalReport, n_resamples: int = 2000, seed: int = 0) -> dict[str, tuple[float, float]]:
+    """By target (mean difference, share of resample means that are not above zero)."""
+    rows = bootstrap_shares(paired_differences(candidate, incumbent), n_resamples, seed).collect()
     found = {r.target: (r.delta, r.p) for r in rows}
     if missing := [t for t in candidate.per_target if t not in found]:
         raise ValueError(f"no paired errors for {missing}")
     return found
-
-
-def bootstrap_by_hash(pairs: DataFrame, n_resamples: int, seed: str = "0") -> DataFrame:
-    """(target, delta, p) with resamples drawn by hash, which SQL can repeat.
-
-    ``pairs`` has (target, position, d) with positions 0..n-1. Each of n_resamples * n draws picks a position;
-    meant for small sets, as it makes that many rows.
-    """
-    n = pairs.groupBy("target").agg(F.count("*").alias("n"), F.avg("d").alias("delta"))
-    draws = n.select("target", "n", F.explode(F.sequence(F.lit(0), F.lit(n_resamples - 1))).alias("b")).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
-    pick = F.conv(F.substring(F.md5(F.concat_ws("#", F.lit(seed), F.col("b").cast("string"), F.col("k").cast("string"))), 1, 8), 16, 10).cast("long") % F.col("n")
-    means = draws.withColumn("position", pick).join(pairs, ["target", "position"]).groupBy("target", "b").agg(F.avg("d").alias("m"))
-    p = means.groupBy("target").agg(F.avg(F.when(F.col("m") <= 0, 1.0).otherwise(0.0)).alias("p"))
-    return n.join(p, "target").select("target", "delta", "p")

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.identity import short_hash
 from ..functions.smiles import DESCRIPTORS, structure_features
 from ..sources.manifest import write_json
+from ..sources.storage import absolute, join, read_bytes
 
 FEATURES = "_features"
 
@@ -103,13 +104,13 @@ class Featurizer:
             raise RuntimeError("the featurizer is not fitted")
         return len(self.state.mean) + len(self.state.active_bits)
 
-    def save(self, path: str | Path) -> Path:
+    def save(self, path: str | Path) -> str:
         state = None if self.state is None else self.state.__dict__
         return write_json(path, {"kind": self.kind, "bits": self.bits, "radius": self.radius, "include_descriptors": self.include_descriptors, "column": self.column, "columns": self.columns, "state": state})
 
     @classmethod
     def load(cls, path: str | Path) -> Featurizer:
-        raw = json.loads(Path(path).read_text())
+        raw = json.loads(read_bytes(path))
         state = raw.pop("state")
         raw["columns"] = tuple(raw["columns"])
         if state:
@@ -182,11 +183,11 @@ class RegressionModel:
     def save(self, path: str | Path) -> None:
         for t, m in self.models.items():
             m.write().overwrite().save(f"{path}/{t}")
-        write_json(Path(path) / "model.json", {"targets": self.targets, "estimator": self.estimator, "params": self.params, "featurizer_version": self.featurizer_version})
+        write_json(join(path, "model.json"), {"targets": self.targets, "estimator": self.estimator, "params": self.params, "featurizer_version": self.featurizer_version})
 
     @classmethod
     def load(cls, path: str | Path) -> RegressionModel:
-        raw = json.loads((Path(path) / "model.json").read_text())
+        raw = json.loads(read_bytes(join(path, "model.json")))
         loader = RandomForestRegressionModel if raw["estimator"] in FORESTS else GBTRegressionModel
         return cls(raw["targets"], {t: loader.load(f"{path}/{t}") for t in raw["targets"]}, raw["estimator"], raw["params"], raw["featurizer_version"])
 
@@ -250,19 +251,19 @@ class BoundModel:
             raise ValueError(f"the model was trained with {self.model.featurizer_version}, not {self.featurizer.version}")
 
 
-def save_artifacts(directory: str | Path, model: RegressionModel, featurizer: Featurizer, extra: Mapping[str, Any] | None = None) -> Path:
-    d = Path(directory).resolve()
-    model.save(d / "model")
-    featurizer.save(d / "featurizer.json")
-    write_json(d / "binding.json", {"featurizer_version": featurizer.version, "model_featurizer_version": model.featurizer_version, **(extra or {})})
+def save_artifacts(directory: str | Path, model: RegressionModel, featurizer: Featurizer, extra: Mapping[str, Any] | None = None) -> str:
+    d = absolute(directory)
+    model.save(join(d, "model"))
+    featurizer.save(join(d, "featurizer.json"))
+    write_json(join(d, "binding.json"), {"featurizer_version": featurizer.version, "model_featurizer_version": model.featurizer_version, **(extra or {})})
     return d
 
 
 def load_bound(directory: str | Path, version: str = "", record: Any = None) -> BoundModel:
     """A saved pair; refused if the featurizer isn't the one that the binding names."""
-    d = Path(directory).resolve()
-    binding = json.loads((d / "binding.json").read_text())
-    bound = BoundModel(RegressionModel.load(d / "model"), Featurizer.load(d / "featurizer.json"), version, record)
+    d = absolute(directory)
+    binding = json.loads(read_bytes(join(d, "binding.json")))
+    bound = BoundModel(RegressionModel.load(join(d, "model")), Featurizer.load(join(d, "featurizer.json")), version, record)
     if binding["featurizer_version"] != bound.featurizer.version:
         raise ValueError("the saved featurizer isn't the one in the binding")
     bound.verify_binding()

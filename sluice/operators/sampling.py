@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.identity import seeded
 from .ordering import global_rank
@@ -36,6 +36,20 @@ def holdout_split(df: DataFrame, fraction: float, seed: str, row_id: str = "row_
     return ranked.filter(F.col("_draw") >= n_held).drop("_draw"), ranked.filter(F.col("_draw") < n_held).drop("_draw")
 
 
+def mark_holdout(df: DataFrame, fraction: float, seed: Column, within: str, row_id: str = "row_id") -> DataFrame:
+    """``df`` with the flag ``held``: of every chunk ``within`` the rows that ``holdout_split`` would hold out, for all chunks in one job.
+
+    ``seed`` is a column of strings, the same for all rows of a chunk.
+    """
+    if fraction <= 0:
+        return df.withColumn("held", F.lit(False))
+    draw = F.sha2(F.concat(seed, F.lit("#"), F.col(row_id).cast("string")), 256)
+    ranked = global_rank(df, [draw, F.col(row_id)], "_draw", [within])
+    sizes = df.groupBy(within).agg(F.count("*").alias("_n"))
+    n_held = F.when(F.col("_n") < 2, 0).otherwise(F.least(F.col("_n") - 1, F.greatest(F.lit(1), F.bround(F.col("_n") * fraction, 0).cast("long"))))
+    return ranked.join(F.broadcast(sizes), within).withColumn("held", F.col("_draw") < n_held).select(*df.columns, "held")
+
+
 def stratified_quotas(available: dict[int, int], n: int) -> dict[int, int]:
     """How many rows of each size: equal shares as far as there are rows, the rest by what is left."""
     sizes = {s: c for s, c in available.items() if s > 0}

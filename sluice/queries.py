@@ -66,7 +66,7 @@ _MASKS = """masks AS (
   SELECT row_id, score, unc, score >= 50000 AND score <= 350000 AS in_window, unc <= 120000 AS sure,
     row_number() OVER (ORDER BY score DESC, row_id) - 1 AS rank FROM orders_scored)"""
 
-SHORTLIST = [PropertyThresholdGate("price", 50_000, 350_000), UncertaintyGate("price", 120_000), TopKGate("price", 5_000)]
+SHORTLIST = [PropertyThresholdGate("price", 50_000, 350_000), UncertaintyGate("price", 120_000), TopKGate("price", 5_000, largest=True)]
 
 
 def decide(frame: DataFrame, gates) -> "GateDecision":  # noqa: F821

@@ -8,11 +8,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from pathlib import Path
 from typing import Any, Protocol
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from ..functions.identity import content_hash
+from ..functions.identity import content_hash, content_hash_column
+from .storage import FileFacts, first_line, join, name_of, stem_of, storage_of
 
 # The numeric columns of the molecular data sets that configurations name, and what counts as missing.
 NUMERIC = (
@@ -42,30 +44,51 @@ class Source(Protocol):
 
 
 def with_row_ids(df: DataFrame, name: str = "row_id") -> DataFrame:
-    """0-based positions in the order of the scan; two numbers for each partition pass through the driver."""
+    """0-based positions in the order of the scan; only the number of rows of each partition passes through the driver."""
     marked = df.withColumn("_at", F.monotonically_increasing_id())
     part = F.shiftright("_at", 33)
-    counts = {r.p: r.n for r in marked.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()}
-    offset, before = F.lit(0), 0
-    pairs = []
-    for p in sorted(counts):
-        pairs.append(F.struct(F.lit(p).cast("long").alias("p"), F.lit(before).cast("long").alias("o")))
-        before += counts[p]
-    if pairs:
-        offset = F.try_element_at(F.map_from_entries(F.array(*pairs)), part)
-    return marked.withColumn(name, (F.col("_at").bitwiseAND((1 << 33) - 1) + offset).cast("long")).drop("_at")
+    counts = sorted((r.p, r.n) for r in marked.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())
+    before, starts = 0, []
+    for p, n in counts:
+        starts.append((p, before))
+        before += n
+    at = F.col("_at").bitwiseAND((1 << 33) - 1)
+    if len(starts) <= 1:
+        return marked.withColumn(name, at.cast("long")).drop("_at")
+    offsets = df.sparkSession.createDataFrame(starts, "_part long, _start long")  # a row for each partition
+    placed = marked.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    return placed.withColumn(name, (at + F.col("_start")).cast("long")).select(*df.columns, name)
 
 
 def read_csv(spark: SparkSession, path: str | Path, numeric: Sequence[str] = NUMERIC) -> DataFrame:
     """A CSV file with its header's columns: the named ones as doubles, all others as strings."""
-    with open(path, newline="") as f:
-        header = next(csv.reader(f), [])
+    header = next(csv.reader([first_line(path)]), [])
     schema = StructType([StructField(c, DoubleType() if c in numeric else StringType()) for c in header])
     raw = spark.read.csv(str(path), header=True, schema=schema, mode="PERMISSIVE", enforceSchema=True)
     texts = {c: F.when(~F.col(c).isin(*MISSING), F.col(c)) for c in header if c not in numeric}
     return with_row_ids(raw.withColumns(texts) if texts else raw)
 
 
+#: Files up to this size are hashed by tasks, one file a row; larger ones are streamed through the driver.
+HASHED_BY_TASKS = 512 << 20
+_HASHES: dict[tuple[str, float, int], str] = {}
+
+
+def content_versions(spark: SparkSession, folder: str | Path, files: Sequence[FileFacts]) -> dict[str, str]:
+    """Content hashes of files of a folder, in one job; a file that hasn't changed since isn't read again."""
+    keys = {f.name: (join(folder, f.name), f.changed, f.size) for f in files}
+    fresh = [f for f in files if keys[f.name] not in _HASHES]
+    small = [f for f in fresh if f.size <= HASHED_BY_TASKS]
+    if len(small) > 1:
+        read = spark.read.format("binaryFile").load([join(folder, f.name) for f in small])
+        for r in read.select("path", content_hash_column(F.col("content")).alias("v")).collect():
+            _HASHES[keys[unquote(name_of(r.path))]] = r.v
+    for f in fresh:
+        if keys[f.name] not in _HASHES:
+            _HASHES[keys[f.name]] = content_hash(keys[f.name][0])
+    return {n: _HASHES[k] for n, k in keys.items()}
+
+
 @dataclass
 class CsvChunkSource:
     """All files of a folder, in the order of their names."""
@@ -76,14 +99,19 @@ class CsvChunkSource:
     numeric: Sequence[str] = NUMERIC
     kind: str = "csv_chunks"
 
-    def files(self) -> list[Path]:
-        folder = Path(self.path)
-        if not folder.is_dir():
-            raise FileNotFoundError(f"no folder {folder}")
-        return sorted((p for p in folder.iterdir() if fnmatch.fnmatch(p.name, self.glob)), key=lambda p: p.name)
+    def facts(self) -> list[FileFacts]:
+        store = storage_of(self.path)
+        if not store.is_folder(self.path):
+            raise FileNotFoundError(f"no folder {self.path}")
+        return [f for f in store.files(self.path) if fnmatch.fnmatch(f.name, self.glob)]
+
+    def read(self, path: str) -> DataFrame:
+        return read_csv(self.spark, path, self.numeric)
 
     def chunks(self) -> list[Chunk]:
-        return [Chunk(p.stem, str(p), content_hash(p), read_csv(self.spark, p, self.numeric)) for p in self.files()]
+        files = self.facts()
+        versions = content_versions(self.spark, self.path, files)
+        return [Chunk(stem_of(f.name), join(self.path, f.name), versions[f.name], self.read(join(self.path, f.name))) for f in files]
 
 
 @dataclass
@@ -93,8 +121,8 @@ class ParquetChunkSource(CsvChunkSource):
     glob: str = "chunk_*.parquet"
     kind: str = "parquet_chunks"
 
-    def chunks(self) -> list[Chunk]:
-        return [Chunk(p.stem, str(p), content_hash(p), with_row_ids(self.spark.read.parquet(str(p)))) for p in self.files()]
+    def read(self, path: str) -> DataFrame:
+        return with_row_ids(self.spark.read.parquet(path))
 
 
 @dataclass
@@ -107,10 +135,9 @@ class CsvBatchSource:
     kind: str = "csv_batch"
 
     def chunks(self) -> list[Chunk]:
-        p = Path(self.path)
-        if not p.exists():
-            raise FileNotFoundError(f"no file {p}")
-        return [Chunk(p.stem, str(p), content_hash(p), read_csv(self.spark, p, self.numeric))]
+        if not storage_of(self.path).exists(self.path):
+            raise FileNotFoundError(f"no file {self.path}")
+        return [Chunk(stem_of(self.path), str(self.path), content_hash(self.path), read_csv(self.spark, self.path, self.numeric))]
 
 
 def source_from_config(spark: SparkSession, cfg: Mapping[str, Any]) -> Source:
@@ -125,42 +152,53 @@ def source_from_config(spark: SparkSession, cfg: Mapping[str, Any]) -> Source:
     raise ValueError(f"unknown source kind {kind!r}; known: csv_chunks, parquet_chunks, csv_batch")
 
 
-def load_chunks(spark: SparkSession, path: str | Path, glob: str = "chunk_*.csv") -> DataFrame:
-    """All chunks of a folder as one frame with ``chunk_id``; columns that a chunk lacks are null."""
+def union_frames(frames: Mapping[str, DataFrame], name: str = "chunk_id") -> DataFrame:
+    """Frames as one, with the key of each in a column; columns that a frame lacks are null."""
     out: DataFrame | None = None
-    for c in CsvChunkSource(spark, path, glob).chunks():
-        part = c.frame.withColumn("chunk_id", F.lit(c.chunk_id))
+    for key, frame in frames.items():
+        part = frame.withColumn(name, F.lit(key))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is None:
-        raise FileNotFoundError(f"no chunks in {path}")
+        raise ValueError("no frames")
     return out
 
 
-def write_csv(df: DataFrame, path: str | Path, order: Sequence[str] = ()) -> Path:
-    """One CSV file with a header, sorted; for results that people read."""
-    p = Path(path)
-    p.parent.mkdir(parents=True, exist_ok=True)
-    aside = p.with_name(f".{p.name}.parts")
+def load_chunks(spark: SparkSession, path: str | Path, glob: str = "chunk_*.csv") -> DataFrame:
+    """All chunks of a folder as one frame with ``chunk_id``."""
+    chunks = CsvChunkSource(spark, path, glob).chunks()
+    if not chunks:
+        raise FileNotFoundError(f"no chunks in {path}")
+    return union_frames({c.chunk_id: c.frame for c in chunks})
+
+
+def write_csv(df: DataFrame, path: str | Path, order: Sequence[str] = ()) -> str:
+    """One CSV file with a header, sorted; for results that people read.
+
+    Spark writes it to a folder beside ``path``, which must lie on storage that the executors share; a file that
+    doesn't arrive there is an error, never an empty result.
+    """
+    store, aside = storage_of(path), f"{str(path).rstrip('/')}.parts"
+    target = str(path) if ":/" in str(path) else f"file://{Path(path).resolve()}"
     ordered = df.orderBy(*order) if order else df
-    ordered.coalesce(1).write.mode("overwrite").csv(str(aside), header=True)
-    parts = sorted(aside.glob("part-*.csv"))
+    ordered.coalesce(1).write.mode("overwrite").csv(f"{target}.parts", header=True)
+    names = [f.name for f in store.files(aside)] if store.is_folder(aside) else []
+    parts = [n for n in names if n.startswith("part-") and n.endswith(".csv")]
     if parts:
-        parts[0].replace(p)
+        store.move(join(aside, parts[0]), path)
+    elif "_SUCCESS" in names and df.isEmpty():
+        store.write(path, (",".join(df.columns) + "\n").encode())
     else:
-        p.write_text(",".join(df.columns) + "\n")
-    for x in aside.iterdir():
-        x.unlink()
-    aside.rmdir()
-    return p
+        raise OSError(f"the rows of {path} were not written where this process can see them; use shared storage")
+    store.remove(aside)
+    return str(path)
 
 
 def prepare_dataset(df: DataFrame, out: str | Path, targets: Sequence[str], n_candidates: int = 300) -> None:
     """Chunks, golden set and unlabelled candidates of rows that ``split_into_chunks`` has dealt."""
-    base = Path(out)
     rows = df.drop("position")
-    rows.filter("not golden").drop("golden").write.mode("overwrite").partitionBy("chunk").parquet(str(base / "chunks"))
-    write_csv(rows.filter("golden").drop("golden", "chunk"), base / "golden.csv", ["row_id"])
+    rows.filter("not golden").drop("golden").write.mode("overwrite").partitionBy("chunk").parquet(join(out, "chunks"))
+    write_csv(rows.filter("golden").drop("golden", "chunk"), join(out, "golden.csv"), ["row_id"])
     last = df.agg(F.max("chunk")).first()[0]
     batch = df.filter((F.col("chunk") == last) & ~F.col("golden")).orderBy("position").limit(n_candidates)
     numbered = with_row_ids(batch.coalesce(1).orderBy("position"), "_n")
-    write_csv(numbered.select(F.format_string("cand-%04d", "_n").alias("candidate_id"), *(c for c in rows.columns if c not in (*targets, "golden", "chunk", "row_id"))), base / "candidates.csv", ["candidate_id"])
+    write_csv(numbered.select(F.format_string("cand-%04d", "_n").alias("candidate_id"), *(c for c in rows.columns if c not in (*targets, "golden", "chunk", "row_id"))), join(out, "candidates.csv"), ["candidate_id"])

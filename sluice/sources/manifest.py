@@ -3,27 +3,19 @@
 from __future__ import annotations
 
 import json
-import os
-import tempfile
 from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
 from ..functions.identity import utc_now
 from ..operators.decisions import Versions
+from .storage import storage_of
 
 
-def write_json(path: str | Path, payload: Any) -> Path:
-    """Written aside, synced, and moved to its place."""
-    p = Path(path)
-    p.parent.mkdir(parents=True, exist_ok=True)
-    handle, aside = tempfile.mkstemp(dir=p.parent, prefix=f".{p.name}.")
-    with os.fdopen(handle, "w") as f:
-        json.dump(payload, f, indent=2, sort_keys=True, default=str)
-        f.flush()
-        os.fsync(f.fileno())
-    os.replace(aside, p)
-    return p
+def write_json(path: str | Path, payload: Any) -> str:
+    """Written as a whole or not at all, on any file system."""
+    storage_of(path).write(path, json.dumps(payload, indent=2, sort_keys=True, default=str).encode())
+    return str(path)
 
 
 @dataclass
@@ -54,5 +46,5 @@ class RunManifest:
     def as_dict(self) -> dict[str, Any]:
         return {**self.__dict__, "versions": self.versions.as_dict()}
 
-    def write(self, path: str | Path) -> Path:
+    def write(self, path: str | Path) -> str:
         return write_json(path, self.as_dict())

@@ -11,6 +11,7 @@ from typing import Any
 
 from ..functions.identity import content_hash, utc_now
 from .manifest import write_json
+from .storage import stem_of, storage_of
 
 
 def member_of(payload: bytes, suffix: str = ".csv") -> bytes:
@@ -41,22 +42,19 @@ def keep_raw(sources: Sequence[tuple[str, Callable[[], bytes]]], path: str | Pat
         header = next(csv.reader(lines[:1]), [])
         if missing := [c for c in required if c not in header]:
             raise ValueError(f"{name} lacks the columns {missing}")
-        p = Path(path)
-        p.parent.mkdir(parents=True, exist_ok=True)
-        p.write_bytes(payload)
-        record = {"source": name, "bytes": len(payload), "rows": len(lines) - 1, "header": ",".join(header), "sha256": content_hash(p), "stored_at": utc_now()}
-        write_json(p.with_suffix(".source.json"), record)
+        storage_of(path).write(path, payload)
+        record = {"source": name, "bytes": len(payload), "rows": len(lines) - 1, "header": ",".join(header), "sha256": content_hash(path), "stored_at": utc_now()}
+        folder, _, _ = str(path).rpartition("/")
+        write_json(f"{folder}/{stem_of(path)}.source.json" if folder else f"{stem_of(path)}.source.json", record)
         return record
     raise OSError("no source could be read: " + "; ".join(errors))
 
 
-def write_profile(found: dict[str, Any], path: str | Path, title: str = "Profile") -> Path:
+def write_profile(found: dict[str, Any], path: str | Path, title: str = "Profile") -> str:
     """Findings as a Markdown table; nested results become rows of their own."""
     lines = [f"# {title}", "", "| finding | value |", "|---|---|"]
     for k, v in found.items():
         for name, value in ((f"{k}: {x}", y) for x, y in v.items()) if isinstance(v, dict) else ((k, v),):
             lines.append(f"| {name} | {value:.4g} |" if isinstance(value, float) else f"| {name} | {value} |")
-    p = Path(path)
-    p.parent.mkdir(parents=True, exist_ok=True)
-    p.write_text("\n".join(lines) + "\n")
-    return p
+    storage_of(path).write(path, ("\n".join(lines) + "\n").encode())
+    return str(path)

@@ -7,18 +7,22 @@ the same content check behind it. ``windowed_statistics`` and ``windowed_drift``
 
 from __future__ import annotations
 
+import fnmatch
+import logging
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.identity import content_hash, content_hash_column
-from ..sources.chunks import Chunk, CsvChunkSource
+from ..functions.identity import content_hash_column
+from ..sources.chunks import Chunk, CsvChunkSource, content_versions
 from ..sources.registry import ModelRegistry
+from ..sources.storage import join, name_of, storage_of
+
+log = logging.getLogger(__name__)
 
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
@@ -33,30 +37,39 @@ class ArrivalPoller:
     seen: dict[str, tuple[float, int]] = field(default_factory=dict)
     done: set[str] = field(default_factory=set)
 
-    def due(self, now: float | None = None) -> list[Path]:
+    def due(self, now: float | None = None) -> list[str]:
+        """Paths of quiet files with new content; a file is looked at again only when it changes or its run failed."""
         now = time.time() if now is None else now
+        quiet = [f for f in self.source.facts() if self.seen.get(f.name) != (f.changed, f.size) and now - f.changed >= self.debounce]
+        versions = content_versions(self.source.spark, self.source.path, quiet)
         out = []
-        for p in self.source.files():
-            stat = p.stat()
-            key = (stat.st_mtime, stat.st_size)
-            if self.seen.get(str(p)) == key or now - stat.st_mtime < self.debounce:
-                continue
-            self.seen[str(p)] = key
-            version = content_hash(p)
-            if version not in self.done and self.registry.find_by_data_version(version) is None:
-                self.done.add(version)
-                out.append(p)
+        for f in quiet:
+            self.seen[f.name] = (f.changed, f.size)
+            v = versions[f.name]
+            if v not in self.done and self.registry.find_by_data_version(v) is None:
+                self.done.add(v)
+                out.append(join(self.source.path, f.name))
         return out
 
+    def failed(self, path: str, version: str) -> None:
+        """The file is due again in the next round."""
+        self.seen.pop(name_of(path), None)
+        self.done.discard(version)
+
     def watch(self, run: Callable[[Chunk], Any], rounds: int | None = None, interval: float = 1.0) -> Iterator[Any]:
-        """Runs every chunk that is due, in the order of names, again and again."""
+        """Runs every chunk that is due, in the order of names, again and again; one whose run raises is tried again."""
         n = 0
         while rounds is None or n < rounds:
-            wanted = {str(p) for p in self.due()}
-            if wanted:
-                for chunk in self.source.chunks():
-                    if chunk.path in wanted:
-                        yield run(chunk)
+            wanted = set(self.due())
+            for chunk in self.source.chunks() if wanted else []:
+                if chunk.path in wanted:
+                    try:
+                        result = run(chunk)
+                    except Exception:
+                        log.exception("the run of %s failed", chunk.path)
+                        self.failed(chunk.path, chunk.data_version)
+                        continue
+                    yield result
             n += 1
             if rounds is None or n < rounds:
                 time.sleep(interval)
@@ -67,11 +80,18 @@ def backfill(source: CsvChunkSource, run: Callable[[Chunk], Any]) -> list[Any]:
     return [run(c) for c in source.chunks()]
 
 
-def new_contents(spark: SparkSession, folder: str, glob: str, registry: DataFrame) -> DataFrame:
-    """(path, data_version) of files whose content isn't in the registry: one scan and an anti join."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+def unseen(versions: DataFrame, registry: DataFrame) -> DataFrame:
+    """Rows of ``versions`` (data_version, ...) whose content no registered model was trained on."""
     known = registry.select(F.col("versions")["data"].alias("data_version")).distinct()
-    return files.select("path", content_hash_column(F.col("content")).alias("data_version")).join(known, "data_version", "left_anti").select("path", "data_version")
+    return versions.join(known, "data_version", "left_anti").select(*versions.columns)
+
+
+def new_contents(spark: SparkSession, folder: str, glob: str, registry: DataFrame) -> DataFrame:
+    """(path, data_version) of files whose content isn't in the registry. Files too large for a row are hashed as streams."""
+    found = [f for f in storage_of(folder).files(folder) if fnmatch.fnmatch(f.name, glob)]
+    versions = content_versions(spark, folder, found)
+    listed = spark.createDataFrame([(join(folder, n), v) for n, v in versions.items()], "path string, data_version string")
+    return unseen(listed, registry)
 
 
 def stream_arrivals(spark: SparkSession, folder: str, glob: str, checkpoint: str, handle: Callable[[str, str], Any], available_now: bool = True) -> StreamingQuery:

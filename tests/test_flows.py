@@ -11,7 +11,7 @@ from sluice.operators.modelling import Featurizer, MeanBaseline, Trainer, featur
 from sluice.plans.cli import main
 from sluice.plans.lifecycle import run_lifecycle, write_report
 from sluice.plans.triage import run_triage
-from sluice.sources.chunks import CsvBatchSource, CsvChunkSource, load_chunks, prepare_dataset, read_csv, source_from_config, with_row_ids
+from sluice.sources.chunks import CsvBatchSource, CsvChunkSource, load_chunks, prepare_dataset, read_csv, source_from_config, with_row_ids, write_csv
 from sluice.sources.registry import ModelRegistry
 from sluice.streaming.arrival import ArrivalPoller, backfill, new_contents, stream_arrivals, windowed_statistics
 
@@ -54,7 +54,7 @@ def test_lifecycle_then_triage(spark, space):
     assert first.status == "promoted" and set(first.metrics) == {"golden", "rolling"}
     assert "heavy_atoms[0-4)" in first.metrics["golden"]["slices"] and "fluor=true" not in first.metrics["golden"]["slices"]
     assert json.loads(Path(first.manifest_path).read_text())["status"] == "promoted"
-    assert write_report(first, tmp / "report.txt").read_text().startswith(f"run: {first.run_id}\nstatus: promoted")
+    assert Path(write_report(first, tmp / "report.txt")).read_text().startswith(f"run: {first.run_id}\nstatus: promoted")
 
     again = run_lifecycle(spark, cfg, chunks[0], tmp / "runs")
     assert again.status == "skipped" and again.model_version == first.model_version
@@ -169,12 +169,21 @@ def test_arrival(spark, space):
     poller = ArrivalPoller(source, registry, debounce=5)
     now = (tmp / "chunks" / "chunk_00.csv").stat().st_mtime
     assert poller.due(now + 1) == []
-    assert [p.stem for p in poller.due(now + 60)] == ["chunk_00", "chunk_01"] and poller.due(now + 61) == []
+    assert [Path(p).stem for p in poller.due(now + 60)] == ["chunk_00", "chunk_01"] and poller.due(now + 61) == []
     shutil.copy(tmp / "chunks" / "chunk_00.csv", tmp / "chunks" / "chunk_02.csv")  # the same data under a new name
     write(tmp / "chunks" / "chunk_01.csv", 50, 5)  # edited in place
-    assert [p.stem for p in poller.due(now + 1e6)] == ["chunk_01"]
+    assert [Path(p).stem for p in poller.due(now + 1e6)] == ["chunk_01"]
     assert backfill(source, lambda c: c.chunk_id) == ["chunk_00", "chunk_01", "chunk_02"]
     assert list(ArrivalPoller(source, registry, 0).watch(lambda c: c.chunk_id, rounds=1)) == ["chunk_00", "chunk_01"]
+    tried = []
+
+    def fails_once(c):
+        tried.append(c.chunk_id)
+        if len(tried) == 1:
+            raise RuntimeError("lost")
+        return c.chunk_id
+
+    assert list(ArrivalPoller(source, registry, 0).watch(fails_once, rounds=2, interval=0)) == ["chunk_01", "chunk_00"] and tried == ["chunk_00", "chunk_01", "chunk_00"]
     registry.register("m", {"data": source.chunks()[0].data_version}, {}, {})
     left = new_contents(spark, str(tmp / "chunks"), "chunk_*.csv", registry.as_frame(spark)).collect()
     assert [Path(r.path).stem for r in left] == ["chunk_01"]
@@ -183,6 +192,18 @@ def test_arrival(spark, space):
     assert sorted(s for s, _ in seen) == ["chunk_00", "chunk_01", "chunk_02"] and len({v for _, v in seen}) == 2
 
 
+def test_sinks_fail_rather_than_lose_rows(spark, tmp_path, monkeypatch):
+    from sluice.sources import storage
+
+    df = spark.createDataFrame([(2, "b"), (1, "a")], "k int, v string")
+    assert Path(write_csv(df, tmp_path / "x.csv", ["k"])).read_text() == "k,v\n1,a\n2,b\n" and not list(tmp_path.glob("*.parts"))
+    assert Path(write_csv(df.limit(0), tmp_path / "y.csv")).read_text() == "k,v\n"
+    monkeypatch.setattr(storage.LocalStorage, "is_folder", lambda self, p: False)  # as if executors wrote to their own disks
+    with pytest.raises(OSError):
+        write_csv(df, tmp_path / "z.csv")
+    assert not (tmp_path / "z.csv").exists()
+
+
 def test_windowed_statistics(spark):
     events = spark.createDataFrame([(f"2024-01-01 00:0{i}:00", float(i)) for i in range(6)], "ts string, value double").withColumn("ts", F.to_timestamp("ts"))
     got = windowed_statistics(events, "ts", "value", "3 minutes").orderBy("start").collect()

@@ -111,7 +111,7 @@ def test_rank_puts_missing_last_both_ways_and_is_a_permutation(scores):
 
 
 def test_masks_are_independent_and_the_first_check_is_blamed(scores):
-    d = evaluate(scores, PropertyThresholdGate("gap", maximum=2.0), TopKGate("gap", 3))
+    d = evaluate(scores, PropertyThresholdGate("gap", maximum=2.0), TopKGate("gap", 3, largest=True))
     assert d.n_selected == 1 and ids(d.rows()) == [4]  # ranked among all rows, not among survivors
     out = {r.row_id: r.dropped_by for r in annotate_shortlist(d).collect()}
     assert out[4] == "" and out[6] == "threshold[gap]" and out[5] == "top_3[gap]"
@@ -213,7 +213,7 @@ def test_empty_frames(spark, molecules):
     d = validation_gate({"checks": CHECKS}, ["mu"]).evaluate(GateContext(frame=empty))
     verdicts = {r.name: r.verdict for r in d.results}
     assert verdicts == {"schema": True, "min_rows": False, "parseable_smiles": False, "duplicates": True, "target_nan": True}
-    assert not evaluate(spark.createDataFrame([], "row_id long, pred_gap double, unc_gap double"), TopKGate("gap", 3)).verdict
+    assert not evaluate(spark.createDataFrame([], "row_id long, pred_gap double, unc_gap double"), TopKGate("gap", 3, largest=True)).verdict
 
 
 def test_factory_order_and_drift_configuration(tmp_path):

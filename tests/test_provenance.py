@@ -1,3 +1,4 @@
+from pathlib import Path
 import io
 import json
 import tarfile
@@ -35,5 +36,5 @@ def test_nothing_is_written_for_a_wrong_header(tmp_path):
 
 
 def test_profile(tmp_path):
-    text = write_profile({"n_rows": 3, "r2": {"mu": 0.123456}, "none": None}, tmp_path / "p.md").read_text()
+    text = Path(write_profile({"n_rows": 3, "r2": {"mu": 0.123456}, "none": None}, tmp_path / "p.md")).read_text()
     assert "| r2: mu | 0.1235 |" in text and "| n_rows | 3 |" in text

@@ -1,5 +1,6 @@
 import json
 import multiprocessing as mp
+from pathlib import Path
 
 import pytest
 
@@ -7,6 +8,7 @@ from sluice.functions.identity import canonical_json, config_hash, content_hash
 from sluice.operators.decisions import Versions
 from sluice.sources.manifest import RunManifest
 from sluice.sources.registry import ModelRegistry
+from sluice.sources.storage import HadoopStorage
 
 
 def add(reg, v, stage="staging", data="d", **more):
@@ -38,8 +40,8 @@ def test_artifacts_are_copied(tmp_path):
     (tmp_path / "src" / "x.txt").write_text("1")
     reg = ModelRegistry(tmp_path / "reg")
     r = add(reg, "a", artifact_src=tmp_path / "src")
-    assert (reg.artifact_dir("a") / "artifacts" / "x.txt").read_text() == "1" and r.artifact_dir.endswith("artifacts")
-    assert json.loads((reg.artifact_dir("a") / "manifest.json").read_text())["version"] == "a"
+    assert (Path(reg.model_folder("a")) / "artifacts" / "x.txt").read_text() == "1" and r.artifact_dir.endswith("artifacts")
+    assert json.loads((Path(reg.model_folder("a")) / "manifest.json").read_text())["version"] == "a"
 
 
 def _register(root, k, barrier):
@@ -61,14 +63,56 @@ def test_concurrent_writers_lose_nothing(tmp_path):
     assert sorted(r.sequence for r in ModelRegistry(tmp_path).records()) == list(range(1, 21))
 
 
-def test_lock_is_reentrant_and_released(tmp_path):
+def test_state_is_a_fold_over_complete_events(tmp_path):
     reg = ModelRegistry(tmp_path)
-    with reg._locked(), reg._locked():
-        add(reg, "a")
-    with pytest.raises(RuntimeError), reg._locked():
-        raise RuntimeError
-    add(ModelRegistry(tmp_path), "b")
-    assert len(reg.records()) == 2
+    add(reg, "a", promote=True)
+    add(reg, "b", promote=True)
+    names = sorted(p.name for p in (tmp_path / "events").iterdir())
+    assert names == ["00000001.json", "00000002.json"]
+    (tmp_path / "events" / "00000003.json").write_text("")  # created but not written yet
+    assert reg.production().version == "b" and reg.get("a").stage == "archived" and reg.state().n_events == 2
+    (tmp_path / "events" / "00000003.json").unlink()
+    assert reg.rollback().version == "a" and [r.sequence for r in reg.records()] == [1, 2]
+
+
+def test_a_writer_that_was_second_decides_again(tmp_path, monkeypatch):
+    reg, other = ModelRegistry(tmp_path), ModelRegistry(tmp_path)
+    add(reg, "a", promote=True)
+    add(reg, "b", promote=True)
+    real, raced = ModelRegistry.state, []
+
+    def state(self):
+        found = real(self)
+        if self is reg and not raced:
+            raced.append(other.rollback())
+        return found
+
+    monkeypatch.setattr(ModelRegistry, "state", state)
+    assert reg.rollback().version == "b" and raced[0].version == "a" and other.state().n_events == 4
+
+
+def test_registry_on_a_file_system_that_only_spark_opens(spark, tmp_path):
+    store = HadoopStorage(spark)
+    root = f"file://{tmp_path}/remote"  # the Hadoop client on a local disk
+    assert store.create(f"{root}/x/1.json", b"{}") and not store.create(f"{root}/x/1.json", b"{}")
+    store.write(f"{root}/x/2.json", b"ab\ncd")
+    assert [f.name for f in store.files(f"{root}/x") if f.name.endswith("json")] == ["1.json", "2.json"] and b"".join(store.blocks(f"{root}/x/2.json")) == b"ab\ncd"
+    store.copy_folder(f"{root}/x", f"{root}/y")
+    store.move(f"{root}/y/2.json", f"{root}/z/3.json")
+    assert store.exists(f"{root}/z/3.json") and not store.exists(f"{root}/y/2.json") and store.is_folder(f"{root}/y")
+    store.remove(f"{root}/y")
+    assert not store.exists(f"{root}/y")
+    import sluice.sources.registry as module
+
+    saved, module.storage_of = module.storage_of, lambda p: store
+    try:
+        module.read_bytes, bytes_before = (lambda p: b"".join(store.blocks(p))), module.read_bytes
+        reg = ModelRegistry(f"{root}/registry")
+        add(reg, "a", promote=True)
+        add(reg, "b", artifact_src=f"{root}/x")
+        assert reg.promote("b").stage == "production" and [r.stage for r in reg.records()] == ["archived", "production"] and store.exists(f"{root}/registry/models/b/artifacts/1.json")
+    finally:
+        module.storage_of, module.read_bytes = saved, bytes_before
 
 
 def test_identities_and_manifest(tmp_path):
@@ -81,5 +125,5 @@ def test_identities_and_manifest(tmp_path):
     assert config_hash({"b": 1, "a": 2}) == config_hash({"a": 2, "b": 1}) and canonical_json({"a": [1]}) == '{"a":[1]}'
     m = RunManifest.start("r", "lifecycle", Versions(data="d"), chunk="c")
     m.event("validated", n=1)
-    out = json.loads(m.finish("promoted", x=1).write(tmp_path / "m" / "manifest.json").read_text())
+    out = json.loads(Path(m.finish("promoted", x=1).write(tmp_path / "m" / "manifest.json")).read_text())
     assert out["status"] == "promoted" and out["events"][0]["kind"] == "validated" and out["versions"]["data"] == "d" and out["finished_at"]

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice.operators.drift import Reference, drift_statistics, freeze_reference, ks_statistic, psi_statistic
-from sluice.operators.metrics import bootstrap_means, evaluate, normalized_score, paired_bootstrap, slice_metrics, slice_names, summarise, to_long
+from sluice.operators.metrics import bootstrap_shares, evaluate, normalized_score, paired_bootstrap, resample_weights, slice_metrics, slice_names, summarise, to_long
 from sluice.operators.ordering import global_rank, running_totals, value_keys
 from sluice.operators.profile import chunk_drift_matrix, dominance_verdict, findings, linear_r2, model_trajectory, per_target_metrics, scale_disparity, size_dominance, size_profile, slice_table, target_correlations
 
@@ -123,10 +123,15 @@ def test_degenerate_reports(spark, long):
         to_long(flat, ["missing"], {"missing": "p"})
 
 
-def test_bootstrap_blocks_equal_one_draw(spark, long):
-    d = rng.normal(0.1, 1, 40)
-    whole = d[np.random.default_rng(0).integers(0, 40, size=(300, 40))].mean(axis=1)
-    assert np.allclose(np.concatenate(list(bootstrap_means(d, 300, 0, cells=1000))), whole)
+def test_bootstrap_does_not_depend_on_the_partitioning(spark, long):
+    d = rng.normal(0.25, 1, 60)
+    pairs = spark.createDataFrame([("t", i, float(x)) for i, x in enumerate(d)], "target string, row_id long, d double")
+    (one,), (many,) = (bootstrap_shares(x, 400, 7).collect() for x in (pairs.coalesce(1), pairs.repartition(5)))
+    weights = resample_weights(np.arange(60), np.arange(400), 7)
+    assert one.p == many.p == (d @ weights <= 0).mean() and one.delta == pytest.approx(d.mean())
+    draws = [np.random.default_rng(b).choice(d, 60).mean() for b in range(2000)]
+    assert one.p == pytest.approx(np.mean(np.array(draws) <= 0), abs=0.03)
+    assert weights.mean() == pytest.approx(1, abs=0.03) and weights.var() == pytest.approx(1, abs=0.06)
     _, frame = long
     new, old = evaluate(frame, "a", "s", ["mu", "gap"], False), evaluate(frame.withColumn("pred", F.col("pred") + 1), "b", "s", ["mu", "gap"], False)
     found = paired_bootstrap(new, old, 200)
