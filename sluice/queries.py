@@ -10,15 +10,15 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .functions.identity import rows_hash, seeded
+from .functions.identity import rows_hash
 from .functions.missing import is_missing
 from .functions.shared import shared_root
 from .operators.drift import ks_long, long_form, psi_long, quantile_grids
 from .operators.gates import DuplicateGate, GateContext, MinRowsGate, PredicateGate, PropertyThresholdGate, SchemaGate, TargetMissingGate, TopKGate, UncertaintyGate, CompositeGate
-from .operators.metrics import bootstrap_by_hash, regression_metrics, slice_metrics, slice_names
+from .operators.metrics import regression_metrics, slice_metrics, slice_names
 from .operators.modelling import Featurizer, MeanBaseline, Trainer
 from .operators.ordering import global_rank, running_totals, value_keys
-from .operators.profile import chunk_drift, chunk_sizes, dominance_verdict, findings, linear_r2, mask_funnel, scale_disparity, size_dominance, size_profile, target_correlations
+from .operators.profile import chunk_drift, chunk_sizes, dominance_verdict, linear_r2, mask_funnel, scale_disparity, size_dominance, size_profile, target_correlations
 from .operators.sampling import split_into_chunks, stratified_pool, systematic_sample
 from .plans.triage import annotate_shortlist
 from .plans.validation import apply_policy
@@ -236,14 +236,6 @@ def psi_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return psi_long(long_form(orders, columns, ["year"]), long_form(first, columns), ["year"]).withColumn("psi", rounded("psi"))
 
 
-@query(f"""WITH {_YEARS}, k AS ({_KS.replace("WITH " + _YEARS + ", ", "WITH ")})
-SELECT year, "column" AS worst_column, ks FROM (SELECT *, row_number() OVER (PARTITION BY year ORDER BY ks DESC, "column") AS n FROM k) WHERE n = 1""")
-def drift_worst_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = ks_by_year(spark, sf_dir)
-    worst = found.groupBy("year").agg(F.min(F.struct((-F.col("ks")).alias("k"), F.col("column").alias("c"))).alias("x"))
-    return worst.select("year", F.col("x.c").alias("worst_column"), (-F.col("x.k")).alias("ks"))
-
-
 @query("""WITH l AS (SELECT 'price' AS "column", o_totalprice AS v FROM orders UNION ALL SELECT 'bucket', (o_custkey % 97)::DOUBLE FROM orders),
 g AS (SELECT "column", quantile_cont(v, list_transform(range(0, 401), lambda k: k / 400)) AS q, avg(v) AS m, stddev_pop(v) AS s FROM l GROUP BY "column")
 SELECT "column", u.k::INT - 1 AS k, round(u.v, 6) AS quantile, round(m, 6) AS mean, round(s, 6) AS std FROM g, unnest(q) WITH ORDINALITY AS u(v, k)""")
@@ -288,24 +280,6 @@ def regression_metrics_by_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("target", "n", *(rounded(c, 8).alias(c) for c in ("mae", "rmse", "r2", "std")))
 
 
-@query(f"""WITH {_PRED}, m AS (SELECT target, avg(abs(pred - y)) / stddev_pop(y) AS new, avg(abs(old - y)) / stddev_pop(y) AS old FROM p GROUP BY target)
-SELECT round(avg(new), 6) AS candidate, round(avg(old), 6) AS incumbent, round((avg(old) - avg(new)) / avg(old), 6) AS improvement FROM m""")
-def normalized_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the margin is decided on."""
-    long = price_predictions(spark, sf_dir)
-    by = long.groupBy("target").agg(*((F.avg(F.abs(F.col(c) - F.col("y"))) / F.stddev_pop("y")).alias(c) for c in ("pred", "old")))
-    scores = by.agg(F.avg("pred").alias("candidate"), F.avg("old").alias("incumbent"))
-    return scores.select(*(rounded(c).alias(c) for c in ("candidate", "incumbent")), rounded((F.col("incumbent") - F.col("candidate")) / F.col("incumbent")).alias("improvement"))
-
-
-@query(f"""WITH {_PRED} SELECT target, round((avg(abs(pred - y)) - avg(abs(old - y))) / avg(abs(old - y)), 6) AS change,
-(avg(abs(pred - y)) - avg(abs(old - y))) / avg(abs(old - y)) > 0.05 AS regressed FROM p GROUP BY target""")
-def target_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by = price_predictions(spark, sf_dir).groupBy("target").agg(*(F.avg(F.abs(F.col(c) - F.col("y"))).alias(c) for c in ("pred", "old")))
-    change = (F.col("pred") - F.col("old")) / F.col("old")
-    return by.select("target", rounded(change).alias("change"), (change > 0.05).alias("regressed"))
-
-
 _SLICES = {"quantity": {"column": "q", "bins": [0, 10, 25, 60]}}
 _SLICED = """s AS (SELECT *, CASE WHEN q >= 0 AND q < 10 THEN 'quantity[0-10)' WHEN q >= 10 AND q < 25 THEN 'quantity[10-25)' WHEN q >= 25 AND q < 60 THEN 'quantity[25-60)' END AS slice FROM p),
 d AS (SELECT target, stddev_pop(y) AS sd FROM p GROUP BY target)"""
@@ -346,33 +320,9 @@ def baseline_vs_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""WITH s AS (SELECT 'balance' AS target, row_number() OVER (ORDER BY s_suppkey) - 1 AS position, s_acctbal / 1000 AS d FROM supplier),
-n AS (SELECT target, count(*) AS n, avg(d) AS delta FROM s GROUP BY target),
-draws AS (SELECT n.target, n.n, b.b, k.k FROM n, unnest(range(0, 50)) AS b(b), unnest(range(0, n.n)) AS k(k)),
-means AS (SELECT draws.target, b, avg(d) AS m FROM draws JOIN s ON s.target = draws.target AND s.position = ('0x' || substr(md5('0#' || b || '#' || k), 1, 8))::BIGINT % draws.n GROUP BY draws.target, b)
-SELECT n.target, round(delta, 6) AS delta, round(avg(CASE WHEN m <= 0 THEN 1.0 ELSE 0.0 END), 6) AS p FROM n JOIN means ON means.target = n.target GROUP BY n.target, delta""")
-def paired_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Resampling by hash, on the small supplier table."""
-    suppliers = table(spark, sf_dir, "supplier").select(F.lit("balance").alias("target"), "s_suppkey", (F.col("s_acctbal") / 1000).alias("d"))
-    pairs = global_rank(suppliers, [F.col("s_suppkey")], "position").select("target", "position", "d")
-    return bootstrap_by_hash(pairs, 50).select("target", rounded("delta").alias("delta"), rounded("p").alias("p"))
-
-
 # ---- sampling ----
 
 
-@query("""WITH o AS (SELECT o_orderkey, year(o_orderdate)::INT AS year FROM orders),
-n AS (SELECT *, row_number() OVER (PARTITION BY year ORDER BY sha256('seed#' || o_orderkey), o_orderkey) AS k, count(*) OVER (PARTITION BY year) AS n FROM o)
-SELECT o_orderkey, year, k <= CASE WHEN n < 2 THEN 0 ELSE least(n - 1, greatest(1, round_even(n * 0.2, 0)::BIGINT)) END AS held FROM n""")
-def holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Held-out rows of every chunk; the same seed and content give the same rows."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"))
-    ranked = global_rank(orders, [seeded("seed", "o_orderkey"), F.col("o_orderkey")], "k", ["year"])
-    sizes = orders.groupBy("year").agg(F.count("*").alias("n"))
-    n_held = F.when(F.col("n") < 2, 0).otherwise(F.least(F.col("n") - 1, F.greatest(F.lit(1), F.bround(F.col("n") * 0.2, 0).cast("long"))))
-    return ranked.join(sizes, "year").select("o_orderkey", "year", (F.col("k") < n_held).alias("held"))
-
-
 def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), F.col("p_size").alias("size"))
 
@@ -417,20 +367,6 @@ def systematic_sample_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return systematic_sample(parts.crossJoin(F.broadcast(first)).withColumn("row_id", F.col("row_id") - F.col("first")).drop("first"), 150)
 
 
-@query("""SELECT o_orderkey FROM orders WHERE year(o_orderdate) <= (SELECT min(year(o_orderdate)) + 2 FROM orders)""")
-def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All chunks up to the third one."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"))
-    last = orders.agg((F.min("year") + 2).alias("last"))
-    return orders.join(F.broadcast(last), F.col("year") <= F.col("last")).select("o_orderkey")
-
-
-@query("""SELECT item_id FROM benchmark WHERE text NOT IN (SELECT text FROM documents)""")
-def golden_disjoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Golden rows that no training row repeats."""
-    return table(spark, sf_dir, "benchmark").join(table(spark, sf_dir, "documents").select("text"), "text", "left_anti").select("item_id")
-
-
 # ---- profiles ----
 
 
@@ -469,13 +405,6 @@ def multi_ols_r2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(c, round(float(x), 6), dominance_verdict(x)) for c, x in found.items()], "column string, r2 double, verdict string")
 
 
-@query("""SELECT k::INT - 1 AS k, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std FROM (SELECT unnest(embedding)::DOUBLE AS v, unnest(range(1, len(embedding) + 1)) AS k FROM embeddings) GROUP BY k""")
-def featurizer_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Means and deviations by place of an array column."""
-    places = table(spark, sf_dir, "embeddings").select(F.posexplode(F.col("embedding").cast("array<double>")).alias("k", "v"))
-    return places.groupBy("k").agg(rounded(F.avg("v")).alias("mean"), rounded(F.stddev_pop("v")).alias("std"))
-
-
 # ---- chunks, identities, streams ----
 
 
@@ -488,13 +417,6 @@ def chunk_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").groupBy("source").agg(rows_hash(F.col("text")).alias("data_version"))
 
 
-@query("""SELECT format('cand-{:04d}', row_number() OVER (ORDER BY p_partkey) - 1) AS candidate_id, p_partkey, p_size FROM part""")
-def candidate_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records without their labels, numbered."""
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_size")
-    return global_rank(parts, [F.col("p_partkey")], "k").select(F.format_string("cand-%04d", "k").alias("candidate_id"), "p_partkey", "p_size")
-
-
 @query("""SELECT event_id, value IS NOT NULL AND NOT isnan(value) AND value >= 10 AS kept FROM events""")
 def not_missing_above(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
@@ -512,12 +434,6 @@ def windowed_event_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", *(rounded(c).alias(c) for c in ("mean", "std", "shift")))
 
 
-@query(f"""WITH k AS ({_KS}) SELECT year, max(ks) FILTER ("column" = 'bucket') AS bucket, max(ks) FILTER ("column" = 'price') AS price FROM k GROUP BY year""")
-def chunk_drift_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row for each chunk, one column for each target."""
-    return ks_by_year(spark, sf_dir).groupBy("year").pivot("column", ["bucket", "price"]).agg(F.first("ks"))
-
-
 @query("""SELECT 'price' AS target, round(avg(o_totalprice), 6) AS mean, round(stddev_pop(o_totalprice), 6) AS std FROM orders
 UNION ALL SELECT 'bucket', round(avg(o_custkey % 97), 6), round(stddev_pop(o_custkey % 97), 6) FROM orders""")
 def mean_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -526,40 +442,6 @@ def mean_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(t, round(model.means[t], 6), round(model.stds[t], 6)) for t in model.targets], "target string, mean double, std double")
 
 
-@query("SELECT o_orderkey, year(o_orderdate)::INT AS year FROM orders WHERE year(o_orderdate) > (SELECT max(year(o_orderdate)) - 2 FROM orders)")
-def last_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last two chunks."""
-    orders = orders_by_year(spark, sf_dir).select("o_orderkey", "year")
-    last = orders.agg(F.max("year").alias("last"))
-    return orders.join(F.broadcast(last), F.col("year") > F.col("last") - 2).select("o_orderkey", "year")
-
-
-@query("""SELECT o_orderkey AS id, o_totalprice AS value, NULL::VARCHAR AS note FROM orders UNION ALL SELECT s_suppkey, s_acctbal, s_name FROM supplier""")
-def unioned_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks with different columns as one frame; what a chunk lacks is null."""
-    a = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("value"))
-    b = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("value"), F.col("s_name").alias("note"))
-    return a.unionByName(b, allowMissingColumns=True)
-
-
-@query(f"""WITH v AS (SELECT source, {_ROWS_HASH} AS v FROM documents GROUP BY source),
-known AS (SELECT v FROM v WHERE source < 'src2') SELECT source FROM v WHERE v NOT IN (SELECT v FROM known)""")
-def new_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks whose content no registered model was trained on."""
-    versions = table(spark, sf_dir, "documents").groupBy("source").agg(rows_hash(F.col("text")).alias("v"))
-    return versions.join(versions.filter("source < 'src2'").select("v"), "v", "left_anti").select("source")
-
-
-_RECORDS = "('m1', 'archived', '2024-01-01T00:00:00', 1), ('m2', 'archived', '2024-01-02T00:00:00', 2), ('m3', 'production', '2024-01-03T00:00:00', 3), ('m4', 'rejected', '2024-01-04T00:00:00', 4), ('m5', 'archived', '2024-01-02T00:00:00', 5)"
-
-
-@query(f"SELECT version FROM (VALUES {_RECORDS}) r(version, stage, created_at, sequence) WHERE stage = 'archived' ORDER BY created_at DESC, sequence DESC LIMIT 1")
-def registry_rollback_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The newest archived model."""
-    records = spark.sql(f"SELECT * FROM VALUES {_RECORDS} AS r(version, stage, created_at, sequence)")
-    return records.filter("stage = 'archived'").agg(F.max_by("version", F.struct("created_at", "sequence")).alias("version"))
-
-
 @query()
 def forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A forest on array features, its mean over trees and their spread."""
@@ -569,14 +451,6 @@ def forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.predict(featurizer.transform(rows), with_uncertainty=True).select("row_id", "pred_y", "unc_y")
 
 
-@query()
-def drift_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The headline numbers of a table, one row each."""
-    rows = orders_by_year(spark, sf_dir).select(F.col("o_orderkey").alias("row_id"), F.col("year").cast("string").alias("chunk_id"), "price", "bucket", F.pmod("o_orderkey", F.lit(50)).alias("size"))
-    found = findings(rows, rows, ["price", "bucket"], "size", ["size"])
-    return spark.createDataFrame([(k, str(v)) for k, v in found.items()], "name string, value string")
-
-
 @query("""SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, count(*) AS n, round(avg(value), 6) AS mean FROM events GROUP BY ALL""")
 def streamed_event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly windows of the event table read as a stream until it is used up."""
