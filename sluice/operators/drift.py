@@ -13,11 +13,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from pathlib import Path
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.missing import finite_or_null
 from ..sources.storage import read_bytes, storage_of
-from .ordering import running_totals
+from .ordering import key_ranges, running_totals
 
 N_QUANTILES = 401
 
@@ -60,12 +60,42 @@ def long_form(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -
 
 def quantile_grids(df: DataFrame, columns: Sequence[str], n_quantiles: int = N_QUANTILES, keep: Sequence[str] = ()) -> DataFrame:
     """(keep..., column, quantiles, mean, std, n): exact interpolated quantiles, in one job for all columns."""
-    grid = [k / (n_quantiles - 1) for k in range(n_quantiles)]
-    return (
-        long_form(df, columns, keep)
-        .groupBy(*keep, "column")
-        .agg(F.percentile("value", F.array(*map(F.lit, grid))).alias("quantiles"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.count("*").alias("n"))
-    )
+    return grids_of(long_form(df, columns, keep), n_quantiles - 1, keep)
+
+
+def grids_of(long: DataFrame, steps: int, keep: Sequence[str] = ()) -> DataFrame:
+    """The quantiles 0, 1/steps, ... of a long form (keep..., column, value), with mean, std and n.
+
+    Values are counted and cumulated in ranges, so no task holds a column. A value that covers the ranks a to b (from 0)
+    is the lower neighbour of the quantiles k with a <= floor(k (n - 1) / steps) <= b, and the upper one likewise.
+    """
+    by = [*keep, "column"]
+    ranges = key_ranges(long, [F.col("value")])
+    facts = long.groupBy(*by).agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.count("*").alias("n"))
+    counts = long.groupBy(*by, "value").agg(F.count("*").alias("c"))
+    cumulated = running_totals(counts, [F.col("value")], {"upto": F.col("c")}, by, ranges)
+    q, last = F.lit(steps).cast("long"), F.greatest(F.col("n") - 1, F.lit(1))
+
+    def least(rank: Column) -> Column:
+        """The least k whose lower rank is at least ``rank``."""
+        return F.greatest(F.lit(0).cast("long"), F.ceil((rank * q) / last.cast("decimal(20,0)")).cast("long"))
+
+    placed = cumulated.join(F.broadcast(facts.select(*by, "n")), by)  # a row for each column and group that the caller names
+    a, b = F.col("upto") - F.col("c"), F.col("upto") - 1
+    single = F.col("n") == 1
+
+    def covered(lo: Column, hi: Column) -> Column:
+        first, end = least(lo), F.least(least(hi + 1) - 1, q)
+        return F.when(single, F.sequence(F.lit(0).cast("long"), q)).when(first <= end, F.sequence(first, end)).otherwise(F.array().cast("array<long>"))
+
+    top = b == F.col("n") - 1  # the upper neighbour of the last rank is itself
+    lower = placed.select(*by, "value", F.explode(covered(a, b)).alias("k"), F.lit(True).alias("low"))
+    upper = placed.select(*by, "value", F.explode(covered(a - 1, F.when(top, b).otherwise(b - 1))).alias("k"), F.lit(False).alias("low"))
+    ends = lower.unionByName(upper).groupBy(*by, "k").agg(F.max(F.when(F.col("low"), F.col("value"))).alias("lo"), F.max(F.when(~F.col("low"), F.col("value"))).alias("hi"))
+    exact = ends.join(F.broadcast(facts.select(*by, "n")), by)
+    share = F.pmod(F.col("k") * (F.col("n") - 1), q) / q
+    grid = exact.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("k", (F.col("lo") + share * (F.col("hi") - F.col("lo"))).alias("v")))), lambda x: x.v).alias("quantiles"))
+    return facts.join(grid, by).select(*by, "quantiles", "mean", "std", "n")
 
 
 def freeze_reference(df: DataFrame, columns: Sequence[str], n_quantiles: int = N_QUANTILES) -> Reference:
@@ -81,14 +111,21 @@ def ks_long(sample: DataFrame, reference: DataFrame, by: Sequence[str] = ()) ->
     ``sample`` has (by..., column, value), ``reference`` (column, value). Every group of the sample is
     compared with the whole reference of its column; groups whose column has no reference give NaN.
     """
+    key = [F.col("value")]
+    ranges = key_ranges(sample.select("value"), key)
     values = sample.groupBy(*by, "column", "value").agg(F.count("*").alias("s"))
-    base = reference.groupBy("column", "value").agg(F.count("*").alias("r"))
     groups = values.groupBy(*by, "column").agg(F.sum("s").alias("n_s"))
-    spread = groups.select(*by, "column").join(base, "column").select(*by, "column", "value", F.lit(0).cast("long").alias("s"), "r")
-    both = values.withColumn("r", F.lit(0).cast("long")).unionByName(spread).groupBy(*by, "column", "value").agg(F.sum("s").alias("s"), F.sum("r").alias("r"))
-    cumulated = running_totals(both, [F.col("value")], {"cs": F.col("s"), "cr": F.col("r")}, [*by, "column"])
-    gaps = cumulated.join(groups, [*by, "column"]).join(base.groupBy("column").agg(F.sum("r").alias("n_r")), "column")
-    found = gaps.groupBy(*by, "column").agg(F.max(F.abs(F.col("cs") / F.col("n_s") - F.col("cr") / F.col("n_r"))).alias("ks"))
+    base = reference.groupBy("column", "value").agg(F.count("*").alias("r"))
+    # The reference is cumulated once, at its own values and at those of all groups.
+    points = base.unionByName(sample.select("column", "value").distinct().withColumn("r", F.lit(0).cast("long"))).groupBy("column", "value").agg(F.sum("r").alias("r"))
+    expected = running_totals(points, key, {"cr": F.col("r")}, ["column"], ranges)
+    seen = running_totals(values, key, {"cs": F.col("s")}, [*by, "column"], ranges)
+    sizes = base.groupBy("column").agg(F.sum("r").alias("n_r"))
+    gaps = seen.join(expected, ["column", "value"]).join(groups, [*by, "column"]).join(F.broadcast(sizes), "column")
+    # Between two values of the sample its share stands still, so the gap is widest at a value or just before one.
+    at = F.abs(F.col("cs") / F.col("n_s") - F.col("cr") / F.col("n_r"))
+    before = F.abs((F.col("cs") - F.col("s")) / F.col("n_s") - (F.col("cr") - F.col("r")) / F.col("n_r"))
+    found = gaps.groupBy(*by, "column").agg(F.max(F.greatest(at, before)).alias("ks"))
     return groups.join(found, [*by, "column"], "left").select(*by, "column", F.coalesce("ks", F.lit(float("nan"))).alias("ks"))
 
 
@@ -100,8 +137,7 @@ def psi_long(sample: DataFrame, reference: DataFrame, by: Sequence[str] = (), bu
     """
     if buckets < 2:
         raise ValueError("buckets must be at least 2")
-    grid = F.array(*(F.lit(k / buckets) for k in range(buckets + 1)))
-    edges = reference.groupBy("column").agg(F.percentile("value", grid).alias("q"), F.count("*").alias("n_r"))
+    edges = grids_of(reference, buckets).select("column", F.col("n").alias("n_r"), F.col("quantiles").alias("q"))
     edges = edges.select("column", "n_r", F.array_sort(F.array_distinct(F.slice("q", 2, buckets - 1))).alias("edges"))
     # A row for each column, which a plan names one by one: small by construction.
     edges = F.broadcast(edges)

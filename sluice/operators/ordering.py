@@ -15,8 +15,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 SAMPLE_PER_RANGE = 32
 
 
-def _ranges(df: DataFrame, keys: Sequence[Column]) -> Column:
-    """The number of the range that a row's key lies in."""
+def key_ranges(df: DataFrame, keys: Sequence[Column]) -> Column:
+    """The number of the range that a row's key lies in; the ranges balance the rows of ``df``.
+
+    It may be used on other frames that have the keys' columns.
+    """
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.struct(*(k.alias(f"k{i}") for i, k in enumerate(keys)))
@@ -31,9 +34,12 @@ def _ranges(df: DataFrame, keys: Sequence[Column]) -> Column:
     return F.size(F.filter(bounds, lambda b: b <= key))
 
 
-def running_totals(df: DataFrame, keys: Sequence[Column], totals: dict[str, Column], within: Sequence[str] = ()) -> DataFrame:
-    """``df`` with the sums of ``totals`` over all rows up to each row in the order of ``keys``, by group ``within``."""
-    ranged = df.withColumn("_range", _ranges(df, keys))
+def running_totals(df: DataFrame, keys: Sequence[Column], totals: dict[str, Column], within: Sequence[str] = (), ranges: Column | None = None) -> DataFrame:
+    """``df`` with the sums of ``totals`` over all rows up to each row in the order of ``keys``, by group ``within``.
+
+    ``ranges`` are those of ``key_ranges``, if they are known already; else ``df`` is sampled for them, which computes it once more.
+    """
+    ranged = df.withColumn("_range", key_ranges(df, keys) if ranges is None else ranges)
     sums = ranged.groupBy(*within, "_range").agg(*(F.sum(c).alias(f"_sum_{n}") for n, c in totals.items()))
     # One row for each group and range: groups of a bounded kind times the number of partitions.
     before = Window.partitionBy(*within).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
