@@ -140,7 +140,9 @@ def encode_batch(column: pa.Array, c: Codec, leaf: int = LEAF) -> Iterator[list[
         marks[boundaries] = 1
         sure = marks.tobytes()
         # The leaves' own ids: within a leaf its sure boundaries part spans that are encoded by themselves.
-        edges = np.unique(np.concatenate([boundaries, limits]))
+        edged = marks.copy()
+        edged[limits] = 1
+        edges = np.flatnonzero(edged)
         starts, ends = edges[:-1], edges[1:]
         ids, lengths = c.tokens.ids(part, starts, ends)
         place = np.zeros(len(part) + 1, dtype=np.int64)

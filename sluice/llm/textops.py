@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pandas.util import hash_array
 
 #: Texts are handled in blocks of at most this many bytes; one longer text is a block of its own.
 BLOCK_BYTES = (2 << 20) - 1
@@ -17,9 +17,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 #: The key of the words' hashes; a fixed value, so that all tasks and runs agree.
-_KEY = b"sluice words"
-_KNOWN: dict[bytes, int] = {}
-_MOST_KNOWN = 400_000
+_KEY = "sluice words 16b"
 
 
 def mix64(h: np.ndarray) -> np.ndarray:
@@ -81,28 +79,27 @@ def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tu
     """(distinct byte spans, number of each span's); told apart by their bytes themselves."""
     if not len(starts):
         return [], np.zeros(0, dtype=np.int64)
-    lengths = ends - starts
-    packed = data[starts[0] : ends[-1]] if np.array_equal(starts[1:], ends[:-1]) else data[ragged_positions(starts, lengths)]
-    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    part = data[starts[0] : ends[-1]]
+    if not np.array_equal(starts[1:], ends[:-1]):
+        steps = np.zeros(len(part) + 1, dtype=np.int8)  # spans are disjoint; those that touch cancel out between them
+        steps[starts - starts[0]] += 1
+        steps[ends - starts[0]] -= 1
+        part = part[np.cumsum(steps[:-1], dtype=np.int8).view(bool)]
+    packed, offsets = part, np.zeros(len(starts) + 1, dtype=np.int64)
+    np.cumsum(ends - starts, out=offsets[1:])
     buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(packed))]
     found = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
     return found.dictionary.to_pylist(), found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64 bits of a keyed BLAKE2 of each byte span, made once for every distinct one."""
+    """64 bits of a keyed SipHash of each byte span, made once for every distinct one of the block."""
     spans, number = distinct_spans(data, starts, ends)
-    hashes = []
-    for x in spans:
-        h = _KNOWN.get(x)
-        if h is None:
-            if len(_KNOWN) >= _MOST_KNOWN:
-                _KNOWN.clear()
-            h = int.from_bytes(blake2b(x, digest_size=8, key=_KEY).digest(), "little")
-            if len(x) <= 64:
-                _KNOWN[x] = h
-        hashes.append(h)
-    return np.array(hashes, dtype=np.uint64)[number]
+    if not spans:
+        return np.zeros(0, dtype=np.uint64)
+    objects = np.empty(len(spans), dtype=object)
+    objects[:] = spans
+    return hash_array(objects, hash_key=_KEY, categorize=False)[number]
 
 
 class SpanTokens:
