@@ -1,29 +1,41 @@
 """Line-first cleaning with built-in functions only.
 
-Every line is judged by itself: navigation (two or more bars), boilerplate (a phrase of BOILERPLATE),
-symbols (over a tenth of its characters), capitals (over half of its characters) and missing punctuation
-(200 characters or more without a sentence mark). Failing lines are removed; a document whose remaining
-lines have less than half of the characters of all its lines with a word is rejected.
+Every line is judged by itself: navigation (two or more of | > ›), boilerplate (a phrase of BOILERPLATE, in four
+languages), symbols (over a tenth of its characters), capitals (over half of its characters), shouting (three or
+more exclamation marks, and one in twenty characters) and missing punctuation (200 characters or more without a
+sentence mark). Failing lines are removed; a document whose remaining lines have less than half of the characters
+of all its lines with a word is rejected. Phrases are looked for in single lines only if the whole text may have one.
 
 The statistics of a whole text come with it: words, their characters, symbols, repeated lines, and words
 in three-word windows that occur twice or more. Windows are compared as 64-bit hashes within one text:
 the hashes are sorted, equal neighbours are repeats. Nothing is exploded or shuffled; each row is judged
 in the scan's own task in O(n log n) of its length.
 
-Defined results: null or empty texts have no words and fail (``base_failed``); repeated rows are judged
-alike; an empty table gives no rows; columns other than doc_id and text are not read by ``judge``.
+Defined results: null or empty texts have no words and fail (``base_failed``); texts of any length are judged whole; repeated
+rows are judged alike; an empty table gives no rows; columns other than doc_id and text, whatever their names, are not read
+by ``judge``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 SYMBOLS = "#*$%&|<>"
-_SPACES = " \t\n\x0b\f\r"
 _UPPER, _ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BOILERPLATE = "cookie|javascript|all rights reserved|terms of use|terms of service|privacy policy|licensed under|lorem ipsum|click here|subscribe"
+# Phrases in small letters.
+# fmt: off
+PHRASES = [
+    "cookie", "javascript", "all rights reserved", "terms of use", "terms of service", "privacy policy", "licensed under", "released under", "lorem ipsum", "click here", "subscribe",
+    "alle rechte vorbehalten", "nutzungsbedingungen", "datenschutzerkl", "impressum", "hier klicken",
+    "tous droits r", "conditions d.utilisation", "mentions l.gales", "cliquez ici",
+    "todos los derechos reservados", "condiciones de uso", "aviso legal", "haga clic",
+]
+# fmt: on
+BOILERPLATE = "|".join(PHRASES)
+NAVIGATION = "|>›"
 
 #: Up to this many repeated windows are looked up one by one, more by sorting windows with their places.
 FEW = 32
@@ -34,12 +46,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
+def _count(text: Column, characters: str) -> Column:
+    """How many characters of a class there are."""
+    return F.length(F.regexp_replace(text, f"[^{characters}]+", ""))
 
 
-def _count(text: Column, characters: str) -> Column:
-    return F.length(text) - F.length(_without(text, characters))
+_SPACES = r"\x20\x09-\x0D"
 
 
 def words_of(text: Column) -> Column:
@@ -47,7 +59,7 @@ def words_of(text: Column) -> Column:
 
 
 def lines_with_words(text: Column) -> Column:
-    return F.filter(F.split(text, "\n"), lambda x: F.length(_without(x, _SPACES)) > 0)
+    return F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{_SPACES}]"))
 
 
 def repeated_words(words: Column) -> Column:
@@ -84,17 +96,27 @@ def repeated_words(words: Column) -> Column:
         places = F.when(F.size(w) >= 3, F.sequence(F.lit(0), F.size(w) - 3)).otherwise(F.array().cast("array<int>"))
         return F.transform(places, lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
 
-    return let(windows(words), of)
+    return let(let(F.transform(words, lambda w: F.xxhash64(w)), windows), of)
+
 
+def may_have_phrases(text: Column) -> Column:
+    """False only if the text has no phrase of BOILERPLATE: a plain search for the longest literal part of each."""
+    return let(F.lower(text), lambda x: reduce(lambda a, b: a | b, [F.contains(x, F.lit(max(p.split("."), key=len))) for p in PHRASES]))
 
-def line_passes(line: Column) -> Column:
-    lowered = F.translate(line, _UPPER, _ASCII_LOWER)
-    navigation = _count(line, "|") >= 2
-    boilerplate = lowered.rlike(BOILERPLATE)
-    symbols = _count(line, SYMBOLS) * 10 > F.length(line)
-    capitals = _count(line, _UPPER) * 2 > F.length(line)
-    unpunctuated = (F.length(line) >= 200) & ~line.rlike("[.,;:!?]")
-    return ~(navigation | symbols | capitals | unpunctuated | boilerplate)
+
+def line_passes(line: Column, phrases: Column) -> Column:
+    """``phrases`` tells whether the whole text may have a phrase of BOILERPLATE."""
+    size = F.length(line)
+    shouts = _count(line, "!")
+    fails = (
+        (_count(line, NAVIGATION) >= 2)
+        | (_count(line, SYMBOLS) * 10 > size)
+        | (_count(line, "A-Z") * 2 > size)
+        | ((shouts >= 3) & (shouts * 20 > size))
+        | ((size >= 200) & ~line.rlike("[.,;:!?]"))
+        | (phrases & line.rlike(f"(?i){BOILERPLATE}"))
+    )
+    return ~fails
 
 
 def _characters(lines: Column) -> Column:
@@ -110,13 +132,13 @@ def judge(docs: DataFrame, with_text: bool = True) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     facts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.length(_without(text, _SPACES)).cast("long").alias("word_chars"),
+        F.length(F.regexp_replace(text, f"[{_SPACES}]+", "")).cast("long").alias("word_chars"),
         _count(text, SYMBOLS).cast("long").alias("n_symbols"),
         let(words_of(text), lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).alias("repeated"))).alias("words"),
         let(
             lines_with_words(text),
             lambda x: let(
-                F.filter(x, line_passes),
+                let(may_have_phrases(text), lambda phrases: F.filter(x, lambda line: line_passes(line, phrases))),
                 lambda kept: F.struct(
                     (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dups"),
                     (F.size(x) - F.size(kept)).cast("long").alias("failed"),
@@ -149,8 +171,9 @@ def oracle_sql() -> str:
         # equally many replacements: an empty one would delete too, but not in every engine
         return f"(length({x}) - length(regexp_replace({x}, '[{characters}]', '', 'g')))"
 
-    fails = f"""({count("x", "|")} >= 2 OR regexp_matches(translate(x, {letters}), '{BOILERPLATE}')
-        OR {count("x", SYMBOLS)} * 10 > length(x) OR {count("x", "A-Z")} * 2 > length(x)
+    shouts = count("x", "!")
+    fails = f"""({count("x", NAVIGATION)} >= 2 OR regexp_matches(translate(x, {letters}), '{BOILERPLATE}')
+        OR ({shouts} >= 3 AND {shouts} * 20 > length(x)) OR {count("x", SYMBOLS)} * 10 > length(x) OR {count("x", "A-Z")} * 2 > length(x)
         OR (length(x) >= 200 AND NOT regexp_matches(x, '[.,;:!?]')))"""
     return rf"""
     WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
