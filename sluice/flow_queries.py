@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,7 +15,7 @@ from .functions.identity import config_hash, rows_hash
 from .functions.shared import shared_root
 from .operators.decisions import Versions, merge_decisions
 from .operators.drift import freeze_reference, quantile_grids
-from .operators.gates import DriftGate, GateContext, NoTargetRegressionGate, SignificanceGate, drift_threshold, promotion_gate, shortlist_gate, validation_gate
+from .operators.gates import CompositeGate, DriftGate, Gate, GateContext, NoTargetRegressionGate, SignificanceGate, drift_threshold, promotion_gate, shortlist_gate, validation_gate
 from .operators.metrics import POISSON, EvalReport, bootstrap_shares, evaluate, normalized_score, paired_differences, slice_names, summarise, to_long
 from .operators.modelling import Featurizer, MeanBaseline
 from .operators.profile import chunk_drift_matrix as drift_matrix, findings, model_trajectory, per_target_metrics, slice_table
@@ -22,8 +23,9 @@ from .operators.sampling import holdout_split, leakage, mark_holdout, split_into
 from .plans.lifecycle import rows_of_last, rows_up_to, run_lifecycle, with_slice_columns
 from .plans.triage import annotate_shortlist, run_triage
 from .queries import _KS, _PRED, _ROWS_HASH, _SCORED, _SPLIT, _YEARS, ORACLE_SQL, QUERIES, SHORTLIST, _parts, decide, orders_by_year, price_predictions, query, rounded, scored_orders, table
-from .sources.chunks import load_chunks, prepare_dataset, read_csv, source_from_config, union_frames, write_csv
+from .sources.chunks import Chunk, load_chunks, prepare_dataset, read_csv, source_from_config, union_frames, write_csv
 from .sources.manifest import RunManifest
+from .sources.provenance import write_profile
 from .sources.registry import ModelRegistry
 from .sources.storage import join, read_bytes, storage_of
 from .streaming.arrival import new_contents, stream_arrivals, unseen
@@ -499,3 +501,56 @@ def lifecycle_and_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
     shortlisted = run_triage(spark, triage, runs_root=join(path, "runs"))
     rows = [(k, "lifecycle", r.status, 0) for k, r in enumerate(runs, 1)] + [(4, "triage", shortlisted.status, shortlisted.n_shortlisted)]
     return spark.createDataFrame(rows, "step int, flow string, status string, n_shortlisted long")
+
+
+@query("""SELECT u.line, u.text FROM (SELECT count(*) AS n FROM orders) o, (SELECT count(*) AS n FROM documents) d, LATERAL (VALUES
+(0, '# Tables'), (1, ''), (2, '| finding | value |'), (3, '|---|---|'), (4, '| n_rows | ' || o.n || ' |'), (5, '| by_table: documents | ' || d.n || ' |'), (6, '| by_table: orders | ' || o.n || ' |')) u(line, text)""")
+def text_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings as a table for people, read back line by line."""
+    n = {t: table(spark, sf_dir, t).count() for t in ("documents", "orders")}
+    path = write_profile({"n_rows": n["orders"], "by_table": n}, join(folder(spark, "profile"), "profile.md"), "Tables")
+    return spark.createDataFrame([*enumerate(read_bytes(path).decode().splitlines())], "line int, text string")
+
+
+@dataclass
+class ShareOf(Gate):
+    """A check from outside the library: rows of one value, of which there must be a share."""
+
+    column: str
+    value: str
+    least: float
+    name: str = "share"
+
+    def mask(self, ctx):
+        return F.col(self.column) == self.value
+
+    def aggregates(self, ctx, mask):
+        return {"share": F.avg(F.col(mask).cast("int"))}
+
+    def decide(self, ctx, numbers):
+        return numbers["share"] >= self.least, f"a share of {numbers['share']:.3f}", {"share": numbers["share"]}
+
+
+@query("""WITH k AS (SELECT o_orderkey AS row_id, o_orderstatus = 'F' AS kept FROM orders), v AS (SELECT avg(kept::INT) AS x FROM k)
+SELECT row_id, kept, round(x, 6) AS share, x >= 0.3 AS verdict FROM k, v""")
+def own_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's own check beside the library's."""
+    frame = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("row_id"), "o_orderstatus")
+    found = CompositeGate([ShareOf("o_orderstatus", "F", 0.3)]).evaluate(GateContext(frame=frame))
+    share = round(found.results[0].evidence["share"], 6)
+    return found.frame.select("row_id", F.col(found.masks[0][1]).alias("kept"), F.lit(share).alias("share"), F.lit(found.verdict).alias("verdict"))
+
+
+@query("""SELECT 'nations' AS chunk_id, n_nationkey AS id FROM nation UNION ALL SELECT 'regions', r_regionkey FROM region""")
+def own_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's own source of chunks."""
+
+    class Tables:
+        kind = "tables"
+
+        def chunks(self) -> list[Chunk]:
+            a = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"))
+            b = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("id"))
+            return [Chunk("nations", "", "v1", a), Chunk("regions", "", "v2", b)]
+
+    return union_frames({c.chunk_id: c.frame for c in Tables().chunks()}).select("chunk_id", "id")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 
@@ -18,7 +20,9 @@ def ship(spark: SparkSession | None = None) -> None:
     if app in _SENT:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    archive = os.path.join(tempfile.mkdtemp(prefix="sluice-"), "sluice_package.zip")
+    folder = tempfile.mkdtemp(prefix="sluice-")  # Spark sends the file on from here
+    atexit.register(shutil.rmtree, folder, True)
+    archive = os.path.join(folder, "sluice_package.zip")
     with zipfile.ZipFile(archive, "w") as z:
         for folder, _, names in os.walk(package):
             for name in sorted(names):
