@@ -105,7 +105,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 class SpanTokens:
     """Token ids of byte spans, remembered by the spans themselves in a pool of bounded size."""
 
-    def __init__(self, encode_many: Callable[[list[bytes]], list[list[int]]], most_bytes: int = 24 << 20) -> None:
+    def __init__(self, encode_many: Callable[[list[bytes]], list[list[int]]], most_bytes: int = 44 << 20) -> None:
         self.encode_many, self.most_bytes = encode_many, most_bytes
         self._reset()
 

@@ -52,10 +52,11 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize(("tile", "refine"), [(1024, 4096), (16, 3)])
+@pytest.mark.parametrize(("tile", "refine"), [(1024, 4096), (16, 8)])
 def test_equals_brute_force_for_any_constants(spark, rows, monkeypatch, tile, refine):
     monkeypatch.setattr(near_dup, "TILE", tile)
     monkeypatch.setattr(near_dup, "REFINE", refine)
+    rows = rows if tile == 1024 else rows[::3]  # divisions multiply the rows
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = sorted((tuple(r) for r in near_dup.near_duplicates(df).collect()), key=str)
     assert got == brute(rows)
