@@ -1,5 +1,6 @@
 import math
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -120,6 +121,17 @@ def test_all_links_of_planted_vectors_are_found(spark, planted, monkeypatch, til
     assert [got[i].component_id for i in range(len(unit))] == label.tolist()
 
 
+def test_against_the_sql_on_a_table_with_links(spark, planted):
+    some = np.concatenate([planted[:150], planted[1000:1150], planted[1300:1420], planted[1700:1800]])
+    rows = [(i, [float(v) for v in x]) for i, x in enumerate(some)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    want = con.execute(f"SELECT vec_id, n_links, component_id, kept FROM ({vector_dup.oracle_sql()}) ORDER BY vec_id").fetchall()
+    got = near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("vec_id").collect()
+    assert [tuple(r) for r in got] == want and sum(n for _, n, _, _ in want) > 2 * 150
+
+
 def test_keys_grow_with_the_number_of_vectors():
     sizes = [key_sizes(n) for n in (1, 500, 50_000, 10**9)]
     assert sizes == sorted(sizes) and all((1 - (1 - math.acos(0.95) / math.pi) ** b) ** t <= 1e-6 for b, t in sizes)
