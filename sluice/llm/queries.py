@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, byte_cnn, hmm_lm, line_dedup, near_dup, packing, quality_rules, secrets, token_rollups, vector_dup
+from . import byte_bpe, byte_cnn, hmm_lm, line_dedup, merkle, near_dup, packing, quality_rules, secrets, token_rollups, vector_dup
 from .folds import in_fold
 
 
@@ -59,6 +59,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_decode(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, with_ids=False)
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_lowered(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_secrets": op2_secrets,
@@ -70,6 +74,7 @@ QUERIES = {
     "op8_token_rollups": op8_token_rollups,
     "op9_vector_dup": op9_vector_dup,
     "op10_byte_bpe": op10_byte_bpe,
+    "op12_merkle": op12_merkle,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -77,4 +82,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_quality_rules": quality_rules.oracle_sql(),
     "op5_line_dedup": line_dedup.oracle_sql(),
     "op9_vector_dup": vector_dup.oracle_sql(),
+    "op12_merkle": merkle.oracle_sql(),
 }
