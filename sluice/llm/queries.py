@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, byte_cnn, hmm_lm, line_dedup, merkle, near_dup, packing, quality_rules, secrets, token_rollups, vector_dup
+from . import bitsliced, byte_bpe, byte_cnn, hmm_lm, line_dedup, merkle, near_dup, packing, quality_rules, secrets, token_rollups, vector_dup, whitening
 from .folds import in_fold
 
 
@@ -59,10 +59,18 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_decode(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, with_ids=False)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify_lowered(_table(spark, sf_dir, "documents"))
 
 
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitsliced.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_secrets": op2_secrets,
@@ -74,7 +82,9 @@ QUERIES = {
     "op8_token_rollups": op8_token_rollups,
     "op9_vector_dup": op9_vector_dup,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_whitening": op11_whitening,
     "op12_merkle": op12_merkle,
+    "op13_top_k": op13_top_k,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -83,4 +93,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_line_dedup": line_dedup.oracle_sql(),
     "op9_vector_dup": vector_dup.oracle_sql(),
     "op12_merkle": merkle.oracle_sql(),
+    "op13_top_k": bitsliced.oracle_sql(),
 }
