@@ -15,8 +15,8 @@ covariances of the whitened columns. D is the length of a vector, at most a few
 Defined results: rows whose vector is null, empty or holds a null or non-finite entry are dropped, and so are those with an entry of LARGEST or more,
 for which sums would leave 64 bits, and vectors of another length than the most frequent one (of equally frequent ones the
 longest). Rows that share an id, or have none, are rows of their own. Signs make each singular vector's largest entry positive.
-Components without variance, whose singular value isn't over 1e-9 of the largest, are left out: one row, equal rows and an
-empty table give no rows. Other columns aren't read.
+Components without variance, whose eigenvalue isn't over FLAT of the largest, are left out (a double can't tell them from rounding): one row,
+equal rows and an empty table give no rows. Other columns aren't read.
 """
 
 from __future__ import annotations
@@ -38,6 +38,7 @@ from .session import settle, ship, work_dir
 
 SCALE, SHIFT, COMPONENTS = 1024.0, 100_000, 8
 LARGEST = float(1 << 30)
+FLAT = 1e-10
 
 
 def _whole(scale: float, shift: int):
@@ -160,10 +161,11 @@ def fit(rows: DataFrame, components: int = COMPONENTS) -> Whitening:
         return found
     matrix = MLUtils.convertVectorColumnsFromML(apart.select(array_to_vector("centred").alias("centred")), "centred")
     svd = RowMatrix(matrix, 0, len(sums)).computeSVD(len(sums), computeU=False)
-    k = min(components, len(svd.s))
+    variances = svd.s.toArray()[:components] ** 2 / found.n
+    k = int((variances > FLAT * variances[0]).sum())
     vectors = svd.V.toArray()[:, :k]
     vectors = vectors * np.sign(vectors[np.abs(vectors).argmax(0), np.arange(k)])
-    return Whitening(found.n, found.sums, svd.s.toArray()[:k] ** 2 / found.n, vectors, float(Fraction(deviations, found.n**3)))
+    return Whitening(found.n, found.sums, variances[:k], vectors, float(Fraction(deviations, found.n**3)))
 
 
 def whiten(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
