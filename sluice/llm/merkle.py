@@ -80,19 +80,18 @@ def _placed(rows: DataFrame, group: str, order: list[str], path: str) -> DataFra
 
 
 def _runs(nodes: DataFrame, path: str) -> DataFrame:
-    """The runs (tree, level, run, digests, runs) of all levels above the given nodes (tree, place, node)."""
+    """The runs (tree, level, run, digests) of all levels above the given nodes (tree, size, place, node)."""
     level, spark, found = 0, nodes.sparkSession, []
     while True:
-        runs = nodes.groupBy("tree", F.floor(F.col("place") / FANOUT).alias("run")).agg(F.array_sort(F.collect_list(F.struct("place", "node"))).alias("members"))
+        members = F.array_sort(F.collect_list(F.struct("place", "node"))).alias("members")
+        runs = nodes.groupBy("tree", F.floor(F.col("place") / FANOUT).alias("run")).agg(members, F.ceil(F.first("size") / FANOUT).alias("size"))
         joined = F.aggregate("members", F.lit(b""), lambda text, m: F.concat(text, m["node"]))
-        runs = runs.select("tree", F.lit(level).alias("level"), "run", joined.alias("digests"))
-        # A tree of which one node is left has reached its top; only a single leaf is a run of its own.
-        runs = settle(runs, f"{path}-{level}")
+        runs = settle(runs.select("tree", F.lit(level).alias("level"), "run", "size", joined.alias("digests")), f"{path}-{level}")
         found.append(f"{path}-{level}")
-        several = runs.groupBy("tree").agg(F.count("*").alias("runs_of_tree")).filter("runs_of_tree > 1").select("tree")
+        several = runs.filter("size > 1")  # a tree of one run has reached its top
         if several.isEmpty():
-            return spark.read.schema(runs.schema).parquet(*found)
-        nodes = runs.join(several, "tree", "left_semi").select("tree", F.col("run").alias("place"), digest(as_hex(F.col("digests"))).alias("node"))
+            return spark.read.schema(runs.schema).parquet(*found).drop("size")
+        nodes = several.select("tree", "size", F.col("run").alias("place"), digest(as_hex(F.col("digests"))).alias("node"))
         level += 1
 
 
@@ -118,10 +117,10 @@ def build(leaves: DataFrame, group: str, order: list[str]) -> Manifest:
     numbered = places.join(trees.select("group", "tree", "trees"), F.col(group).eqNullSafe(F.col("group"))).drop("group")
     numbered = settle(numbered, f"{path}/numbered")
 
-    runs = _runs(numbered.select("tree", "place", F.col("leaf").alias("node")), f"{path}/runs")
+    runs = _runs(numbered.select("tree", "size", "place", F.col("leaf").alias("node")), f"{path}/runs")
     last = runs.groupBy("tree").agg(F.max_by("digests", "level").alias("digests"))
     trees = settle(trees.join(last, "tree").withColumn("subroot", _subroot(F.col("leaves"), F.col("digests"))).drop("digests"), f"{path}/subroots")
-    top = _runs(trees.select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("place"), F.col("subroot").alias("node")), f"{path}/top")
+    top = _runs(trees.select(F.lit(TOP).cast("long").alias("tree"), F.col("trees").alias("size"), F.col("tree").alias("place"), F.col("subroot").alias("node")), f"{path}/top")
     end = top.orderBy(F.desc("level")).first()
     root = None
     if end is not None:
