@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 import fnmatch
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any, Protocol
 from urllib.parse import unquote
@@ -71,22 +71,26 @@ def read_csv(spark: SparkSession, path: str | Path, numeric: Sequence[str] = NUM
 
 #: Files up to this size are hashed by tasks, one file a row; larger ones are streamed through the driver.
 HASHED_BY_TASKS = 512 << 20
-_HASHES: dict[tuple[str, float, int], str] = {}
+Known = dict[str, tuple[FileFacts, str]]
 
 
-def content_versions(spark: SparkSession, folder: str | Path, files: Sequence[FileFacts]) -> dict[str, str]:
-    """Content hashes of files of a folder, in one job; a file that hasn't changed since isn't read again."""
-    keys = {f.name: (join(folder, f.name), f.changed, f.size) for f in files}
-    fresh = [f for f in files if keys[f.name] not in _HASHES]
+def content_versions(spark: SparkSession, folder: str | Path, files: Sequence[FileFacts], known: Known | None = None) -> dict[str, str]:
+    """Content hashes of files of a folder, in one job.
+
+    A file in ``known`` isn't read again if its stamp is the same, which no edit can keep; without stamps all are read. ``known`` then
+    holds the given files and no others.
+    """
+    known = {} if known is None else known
+    same = {f.name: known[f.name][1] for f in files if f.stamp is not None and f.name in known and known[f.name][0] == f}
+    fresh = [f for f in files if f.name not in same]
     small = [f for f in fresh if f.size <= HASHED_BY_TASKS]
     if len(small) > 1:
         read = spark.read.format("binaryFile").load([join(folder, f.name) for f in small])
-        for r in read.select("path", content_hash_column(F.col("content")).alias("v")).collect():
-            _HASHES[keys[unquote(name_of(r.path))]] = r.v
-    for f in fresh:
-        if keys[f.name] not in _HASHES:
-            _HASHES[keys[f.name]] = content_hash(keys[f.name][0])
-    return {n: _HASHES[k] for n, k in keys.items()}
+        same |= {unquote(name_of(r.path)): r.v for r in read.select("path", content_hash_column(F.col("content")).alias("v")).collect()}
+    found = {f.name: same.get(f.name) or content_hash(join(folder, f.name)) for f in files}
+    known.clear()
+    known.update({f.name: (f, found[f.name]) for f in files})
+    return found
 
 
 @dataclass
@@ -98,6 +102,7 @@ class CsvChunkSource:
     glob: str = "chunk_*.csv"
     numeric: Sequence[str] = NUMERIC
     kind: str = "csv_chunks"
+    known: Known = field(default_factory=dict, repr=False)
 
     def facts(self) -> list[FileFacts]:
         store = storage_of(self.path)
@@ -110,7 +115,7 @@ class CsvChunkSource:
 
     def chunks(self) -> list[Chunk]:
         files = self.facts()
-        versions = content_versions(self.spark, self.path, files)
+        versions = content_versions(self.spark, self.path, files, self.known)
         return [Chunk(stem_of(f.name), join(self.path, f.name), versions[f.name], self.read(join(self.path, f.name))) for f in files]
 
 

@@ -17,11 +17,12 @@ _BLOCK = 1 << 20
 
 @dataclass(frozen=True)
 class FileFacts:
-    """A file's name, when it was changed (in seconds), and its size."""
+    """A file's name, when it was changed (in seconds), its size, and what no edit can keep, where the file system has that."""
 
     name: str
     changed: float
     size: int
+    stamp: tuple[int, int] | None = None
 
 
 def join(base: str | Path, *parts: str) -> str:
@@ -56,7 +57,7 @@ class LocalStorage:
     def files(self, folder: str | Path) -> list[FileFacts]:
         """Files by name; hidden ones are those that are still being written."""
         found = [(p.name, p.stat()) for p in self._at(folder).iterdir() if not p.name.startswith(".") and p.is_file()]
-        return sorted((FileFacts(n, s.st_mtime, s.st_size) for n, s in found), key=lambda f: f.name)
+        return sorted((FileFacts(n, s.st_mtime, s.st_size, (s.st_ctime_ns, s.st_ino)) for n, s in found), key=lambda f: f.name)
 
     def is_folder(self, path: str | Path) -> bool:
         return self._at(path).is_dir()

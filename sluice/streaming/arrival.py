@@ -1,8 +1,8 @@
 """Arriving files and arriving events.
 
 ``ArrivalPoller`` lists a folder and hashes contents: a copy under a new name is the same data, a file edited
-in place is new. ``stream_arrivals`` is the low-latency way in: a file stream whose batches are handed on, with
-the same content check behind it. ``windowed_statistics`` and ``windowed_drift`` watch event streams.
+in place is new. ``stream_arrivals`` and ``stream_contents`` are the low-latency way in: a stream of the folder's data source,
+which brings edited files again. (``quiet`` adds the wait as stream state.) ``windowed_statistics`` and ``windowed_drift`` watch event streams.
 """
 
 from __future__ import annotations
@@ -17,16 +17,13 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.identity import content_hash_column
 from ..sources.chunks import Chunk, CsvChunkSource, content_versions
+from ..sources.folder_source import chunk_folder
 from ..sources.registry import ModelRegistry
-from ..sources.storage import join, name_of, storage_of
+from ..sources.storage import FileFacts, join, name_of, storage_of
 
 log = logging.getLogger(__name__)
 
-BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
-
-
 @dataclass
 class ArrivalPoller:
     """Files that have been quiet for ``debounce`` seconds and whose content no model was trained on."""
@@ -34,17 +31,17 @@ class ArrivalPoller:
     source: CsvChunkSource
     registry: ModelRegistry
     debounce: float = 5.0
-    seen: dict[str, tuple[float, int]] = field(default_factory=dict)
+    seen: dict[str, FileFacts] = field(default_factory=dict)
     done: set[str] = field(default_factory=set)
 
     def due(self, now: float | None = None) -> list[str]:
         """Paths of quiet files with new content; a file is looked at again only when it changes or its run failed."""
         now = time.time() if now is None else now
-        quiet = [f for f in self.source.facts() if self.seen.get(f.name) != (f.changed, f.size) and now - f.changed >= self.debounce]
+        quiet = [f for f in self.source.facts() if self.seen.get(f.name) != f and now - f.changed >= self.debounce]
         versions = content_versions(self.source.spark, self.source.path, quiet)
         out = []
         for f in quiet:
-            self.seen[f.name] = (f.changed, f.size)
+            self.seen[f.name] = f
             v = versions[f.name]
             if v not in self.done and self.registry.find_by_data_version(v) is None:
                 self.done.add(v)
@@ -95,17 +92,22 @@ def new_contents(spark: SparkSession, folder: str, glob: str, registry: DataFram
 
 
 def stream_arrivals(spark: SparkSession, folder: str, glob: str, checkpoint: str, handle: Callable[[str, str], Any], available_now: bool = True) -> StreamingQuery:
-    """Hands each new file's (path, data_version) to ``handle``, one file a batch."""
+    """Hands (path, data_version) of files that are new or were edited in place to ``handle``, in the order of paths within a batch."""
 
     def each(batch: DataFrame, _: int) -> None:
-        for r in batch.select("path", content_hash_column(F.col("content")).alias("v")).orderBy("path").toLocalIterator():
-            handle(r.path, r.v)
+        for r in batch.select("path", "data_version").orderBy("path").toLocalIterator():
+            handle(r.path, r.data_version)
 
-    stream = spark.readStream.format("binaryFile").schema(BINARY_SCHEMA).option("pathGlobFilter", glob).option("maxFilesPerTrigger", 1).load(folder)
-    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    writer = chunk_folder(spark, folder, glob, "files", stream=True).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")).start()
 
 
+def stream_contents(spark: SparkSession, folder: str, glob: str, checkpoint: str, out: str) -> StreamingQuery:
+    """Appends the facts of files with content that no earlier file had to the Parquet table ``out``; what is there now, then it ends."""
+    fresh = chunk_folder(spark, folder, glob, "files", stream=True).dropDuplicates(["data_version"])
+    return fresh.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def windowed_statistics(events: DataFrame, time_column: str, value: str, window: str, slide: str | None = None, watermark: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """(start, by..., n, mean, std) of event-time windows; batch and streaming alike."""
     timed = events.withColumn("_t", F.col(time_column).cast("timestamp"))
