@@ -6,14 +6,17 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .flow_queries import folder
-from .queries import query, table
+from .flow_queries import _FROZEN, folder
+from .operators.drift import drift_statistics, freeze_reference, ks_long, long_form
+from .operators.gates import CompositeGate, DriftGate, GateContext
+from .operators.sketches import SketchStore, ks_error, merged, sketched, sketched_ks, sketched_windows
+from .queries import _YEARS, orders_by_year, query, rounded, table
 from .sources.folder_source import chunk_folder
 from .sources.storage import join, storage_of
 from .streaming.arrival import stream_contents
 from .streaming.quiet import watch_quiet
 
-__all__ = ["edited_chunks", "quiet_chunks"]
+__all__ = ["drift_windows", "edited_chunks", "psi_gate", "quiet_chunks", "sketched_drift", "sketched_gate"]
 
 
 def order_chunks(spark: SparkSession, sf_dir: str, path: str, names: dict[str, int], newest_first: bool = False) -> None:
@@ -92,3 +95,82 @@ def quiet_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     times = spark.createDataFrame([(v, pending) for v in seen], "data_version string, pending boolean").groupBy("data_version", "pending").agg(F.count("*").alias("times"))
     sizes = chunk_folder(spark, path).groupBy("chunk_id", "data_version").agg(F.count("*").alias("n")).groupBy("data_version").agg(F.max("n").alias("n_rows"))
     return times.join(sizes, "data_version").select("data_version", "times", "n_rows", "pending")
+
+
+# ---- sketches kept by chunk ----
+
+
+_GAPS = """, g AS (SELECT {by} AS part, count(*) AS n FROM {sample} GROUP BY ALL),
+c AS (SELECT p.part, v, sum(s) AS s, sum(r) AS r FROM (SELECT DISTINCT {by} AS part FROM {sample}) p, LATERAL (
+  SELECT {value} AS v, 1 AS s, 0 AS r FROM {sample} x WHERE {by} = p.part UNION ALL SELECT v, 0, 1 FROM ref) u GROUP BY ALL),
+e AS (SELECT part, sum(s) OVER w AS cs, sum(r) OVER w AS cr FROM c WINDOW w AS (PARTITION BY part ORDER BY v)),
+k AS (SELECT e.part, max(abs(cs / g.n - cr / (SELECT count(*) FROM ref))) AS ks FROM e JOIN g ON g.part = e.part GROUP BY e.part)"""
+
+
+def _kept(spark: SparkSession, sf_dir: str) -> SketchStore:
+    """The sketches of each year's orders: first of all but the last year, then of that one alone."""
+    store, orders = SketchStore(spark, folder(spark, "sketches")), orders_by_year(spark, sf_dir)
+    last = orders.agg(F.max("year")).first()[0]
+    for part in (orders.filter(F.col("year") < last), orders.filter(F.col("year") == last)):
+        store.add(part, ["price"], "year")
+    return store
+
+
+@query(f"""WITH {_YEARS}, ref AS (SELECT price AS v FROM o WHERE year < (SELECT max(year) FROM o)){_GAPS.format(sample="o", by="year", value="price")}
+SELECT k.part::VARCHAR AS year, g.n, round(a.mean, 4) AS mean, round(a.sd, 4) AS std, round(k.ks, 6) AS ks, true AS within_bound
+FROM k JOIN g ON g.part = k.part JOIN (SELECT year, avg(price) AS mean, stddev_pop(price) AS sd FROM o GROUP BY year) a ON a.year = k.part""")
+def sketched_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each year's sketch against the merged ones of all years but the last; the exact statistic beside, and whether the sketch is as near as it must be."""
+    store, orders = _kept(spark, sf_dir), orders_by_year(spark, sf_dir).withColumn("year", F.col("year").cast("string"))
+    last = orders.agg(F.max("year")).first()[0]
+    sketches = store.sketches()
+    close = sketched_ks(sketches, merged(sketches.filter(F.col("chunk_id") < last)), ["chunk_id", "mean", "m2"])
+    exact = ks_long(long_form(orders, ["price"], ["year"]), long_form(orders.filter(F.col("year") < last), ["price"]), ["year"]).withColumnRenamed("ks", "exact")
+    both = exact.join(close, F.col("year") == F.col("chunk_id"))
+    return both.select("year", "n", rounded("mean", 4).alias("mean"), rounded(F.sqrt(F.col("m2") / F.col("n")), 4).alias("std"), rounded("exact").alias("ks"), (F.abs(F.col("ks") - F.col("exact")) <= ks_error()).alias("within_bound"))
+
+
+@query(f"""WITH {_FROZEN} SELECT round(ks, 6) AS ks, true AS near, ks <= 0.5 AS verdict FROM k""")
+def sketched_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later years checked against a reference that comes from the first year's stored sketch alone, beside one frozen exactly."""
+    store, orders = _kept(spark, sf_dir), orders_by_year(spark, sf_dir)
+    first = orders.agg(F.min("year")).first()[0]
+    path = store.reference(str(first)).save(join(folder(spark, "reference"), "reference.json"))
+    frame = orders.filter(F.col("year") > first)
+    exact = drift_statistics(frame, freeze_reference(orders.filter(F.col("year") == first), ["price"]), ["price"])["price"]
+    verdict, _, found = DriftGate(path, 0.5).decide(GateContext(frame=frame), {})
+    return spark.createDataFrame([(round(exact, 6), abs(found["worst"] - exact) <= ks_error(), verdict)], "ks double, near boolean, verdict boolean")
+
+
+@query(f"""WITH {_FROZEN}, ed AS (SELECT list_sort(list_distinct(quantile_cont(v, list_transform(range(1, 10), lambda i: i / 10)))) AS e FROM g),
+b AS (SELECT len(list_filter(e, lambda x: x <= v)) AS b, 1 AS s, 0 AS r FROM t, ed UNION ALL SELECT len(list_filter(e, lambda x: x <= v)), 0, 1 FROM g, ed UNION ALL SELECT unnest(range(0, len(e) + 1)), 0, 0 FROM ed),
+n AS (SELECT greatest(sum(s) / (SELECT count(*) FROM t), 1e-6) AS p, greatest(sum(r) / 401, 1e-6) AS q FROM b GROUP BY b),
+d AS (SELECT sum((p - q) * ln(p / q)) AS psi FROM n)
+SELECT u.name, round(psi, 6) AS psi, u.blocking, psi <= u.most AS verdict, psi <= u.most OR NOT u.blocking AS passed FROM d, LATERAL (VALUES ('blocks', true, 1e-9), ('warns', false, 1e-9), ('allows', true, 5.0)) u(name, blocking, most)""")
+def psi_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Population stability of later years against the first one's frozen grid: a check that blocks, one that only warns, and one that allows more."""
+    orders = orders_by_year(spark, sf_dir)
+    first = orders.agg(F.min("year")).first()[0]
+    path = freeze_reference(orders.filter(F.col("year") == first), ["price"]).save(join(folder(spark, "reference"), "reference.json"))
+    later, rows = orders.filter(F.col("year") > first), []
+    for name, blocking, most in (("blocks", True, 1e-9), ("warns", False, 1e-9), ("allows", True, 5.0)):
+        decision = CompositeGate([DriftGate(path, most, blocking=blocking, method="psi")]).evaluate(GateContext(frame=later))
+        (found,) = decision.results
+        rows.append((name, round(found.evidence["worst"], 6), found.blocking, found.verdict, decision.verdict))
+    return spark.createDataFrame(rows, "name string, psi double, blocking boolean, verdict boolean, passed boolean")
+
+
+@query(f"""WITH o AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS day, value FROM events), ref AS (SELECT value AS v FROM events){_GAPS.format(sample="o", by="day", value="value")}
+SELECT k.part AS start, g.n, round(ks, 6) AS ks, true AS within_bound FROM k JOIN g ON g.part = k.part
+WHERE k.part + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""")
+def drift_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily windows of the events as a stream, each written once it is closed, against the sketch of all events."""
+    kept, events = folder(spark, "drift"), table(spark, sf_dir, "events")
+    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parq*")
+    windows = sketched_ks(sketched_windows(stream, "ts", ["value"], "1 day", "1 hour"), sketched(events, ["value"]), ["start"])
+    windows.writeStream.format("parquet").option("path", join(kept, "windows")).option("checkpointLocation", join(kept, "progress")).trigger(availableNow=True).start().awaitTermination()
+    found = spark.read.schema(windows.schema).parquet(join(kept, "windows"))
+    days = long_form(events.withColumn("day", F.date_trunc("day", F.col("ts").cast("timestamp"))), ["value"], ["day"])
+    exact = ks_long(days, long_form(events, ["value"]), ["day"]).withColumnRenamed("ks", "exact")
+    both = found.join(exact, F.col("start") == F.col("day"))
+    return both.select(F.col("start").cast("timestamp_ntz").alias("start"), "n", rounded("exact").alias("ks"), (F.abs(F.col("ks") - F.col("exact")) <= ks_error()).alias("within_bound"))
