@@ -491,6 +491,7 @@ class SignificanceGate(Gate):
     alpha: float = 0.05
     n_resamples: int = 2000
     seed: int = 0
+    resampling: str = "poisson"
     name: str = "significance"
 
     def decide(self, ctx, numbers):
@@ -501,7 +502,7 @@ class SignificanceGate(Gate):
         absent = [t for t in ctx.candidate.per_target if t not in ctx.incumbent.per_target]
         if absent:
             return False, f"the incumbent has no errors for {absent}", {"missing": absent}
-        found = paired_bootstrap(ctx.candidate, ctx.incumbent, self.n_resamples, self.seed)
+        found = paired_bootstrap(ctx.candidate, ctx.incumbent, self.n_resamples, self.seed, self.resampling)
         p = sum(x[1] for x in found.values()) / len(found)
         return p <= self.alpha, f"p = {p:.4f}, at most {self.alpha} wanted", {"p_value": p, "per_target": {t: {"delta": d, "p": q} for t, (d, q) in found.items()}, "n_resamples": self.n_resamples}
 
@@ -573,7 +574,7 @@ def promotion_gate(**overrides: Any) -> CompositeGate:
             FeaturizerBindingGate(),
             ColdStartGate(get("cold_start_min_improvement", 0.20)),
             MinimumMarginGate(get("min_margin", 0.01)),
-            SignificanceGate(get("alpha", 0.05), get("n_resamples", 2000)),
+            SignificanceGate(get("alpha", 0.05), get("n_resamples", 2000), resampling=get("resampling", "poisson")),
             NoTargetRegressionGate(get("max_target_regression", 0.05)),
             SliceGate(get("max_slice_regression", 0.10)),
         ],

@@ -7,6 +7,7 @@ metrics of all targets, another those of all slices; per-record errors stay a Da
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -183,15 +184,99 @@ def resampled_means(pairs: DataFrame, n_resamples: int, seed: int = 0) -> DataFr
     return found.groupBy("target", "b").agg(F.sum("total").alias("total"), F.sum("weight").alias("weight"))
 
 
-def bootstrap_shares(pairs: DataFrame, n_resamples: int, seed: int = 0) -> DataFrame:
-    """(target, delta, p): the mean difference, and the share of resamples whose mean isn't above zero."""
-    p = resampled_means(pairs, n_resamples, seed).groupBy("target").agg(F.avg(F.when(F.col("total") <= 0, 1.0).otherwise(0.0)).alias("p"))
+#: Rows are dealt to BLOCKS by a hash of their ids, and within a block to runs of RUN rows.
+BLOCKS, RUN = 256, 512
+
+
+def split_draws(sizes: np.ndarray, n_resamples: int, seed: Sequence[int]) -> np.ndarray:
+    """How many of n draws fall in each block, for each resample (a column): a multinomial split, halving the blocks down a tree."""
+    draws = np.zeros((len(sizes), n_resamples), dtype=np.int64)
+    open_ = [(0, len(sizes), np.full(n_resamples, sizes.sum(), dtype=np.int64))]
+    while open_:
+        begin, end, n = open_.pop()
+        if end - begin == 1:
+            draws[begin] = n
+            continue
+        middle = (begin + end) // 2
+        whole, low = sizes[begin:end].sum(), sizes[begin:middle].sum()
+        left = np.random.default_rng([*seed, begin, end]).binomial(n, low / whole) if whole else n * 0
+        open_ += [(begin, middle, left), (middle, end, n - left)]
+    return draws
+
+
+def run_weights(n_rows: int, draws: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """How often each row of a run is drawn (a row for each resample), if ``draws`` of each resample fall in the run."""
+    cells = np.repeat(np.arange(len(draws)) * n_rows, draws) + rng.integers(0, n_rows, draws.sum())
+    return np.bincount(cells, minlength=len(draws) * n_rows).reshape(len(draws), n_rows)
+
+
+def exact_resampled_means(pairs: DataFrame, n_resamples: int, seed: int = 0) -> DataFrame:
+    """(target, b, total, weight) as ``resampled_means``, but every resample has exactly as many rows as the target.
+
+    The draws are split over BLOCKS of rows by their counts, which are all that the driver gets, and within a block run by run, so that a
+    task holds one run's weights. Blocks and runs depend on row ids alone, not on the partitioning.
+    """
+    spark = pairs.sparkSession
+    clean = pairs.select(F.col("target").cast("string").alias("target"), F.pmod(F.xxhash64("row_id"), F.lit(BLOCKS)).cast("int").alias("block"), F.col("row_id").cast("long").alias("row_id"), F.col("d").cast("double").alias("d"))
+    counts: dict[str, np.ndarray] = {}
+    for r in clean.groupBy("target", "block").count().collect():  # BLOCKS rows for each target
+        counts.setdefault(r.target, np.zeros(BLOCKS, dtype=np.int64))[r.block] = r["count"]
+    key = {t: zlib.crc32(t.encode()) for t in counts}
+    sent = spark.sparkContext.broadcast((counts, {t: split_draws(c, n_resamples, [seed, key[t]]) for t, c in counts.items()}))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes, draws = sent.value
+        sums: dict[str, np.ndarray] = {}
+        at, rest, held = None, (0, None, 0), np.zeros(0)
+
+        def add(target: str, block: int, d: np.ndarray) -> None:
+            """One run of a block."""
+            nonlocal rest
+            left, open_draws, number = rest
+            rng = np.random.default_rng([seed, zlib.crc32(target.encode()), block, number])
+            own = open_draws if left == len(d) else rng.binomial(open_draws, len(d) / left)
+            total = sums.setdefault(target, np.zeros((2, n_resamples)))
+            total += np.stack([run_weights(len(d), own, rng) @ d, own.astype(np.float64)])
+            rest = left - len(d), open_draws - own, number + 1
+
+        for batch in batches:
+            targets, blocks, _, values = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            cuts = np.flatnonzero((targets[1:] != targets[:-1]) | (blocks[1:] != blocks[:-1])) + 1
+            for begin, end in zip([0, *cuts], [*cuts, len(values)], strict=True):
+                if begin == end:
+                    continue
+                here = (targets[begin], int(blocks[begin]))
+                if here != at:
+                    at, rest, held = here, (int(sizes[here[0]][here[1]]), draws[here[0]][here[1]], 0), np.zeros(0)
+                held = np.concatenate([held, values[begin:end]])
+                while len(held) >= RUN or (len(held) and len(held) == rest[0]):
+                    add(*here, held[:RUN])
+                    held = held[RUN:]
+        for t, (total, weight) in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([t] * n_resamples), pa.array(np.arange(n_resamples)), pa.array(total), pa.array(weight)], names=["target", "b", "total", "weight"])
+
+    dealt = clean.repartition("target", "block").sortWithinPartitions("target", "block", "row_id", "d")
+    found = dealt.mapInArrow(run, "target string, b long, total double, weight double")
+    return found.groupBy("target", "b").agg(F.sum("total").alias("total"), F.sum("weight").alias("weight"))
+
+
+RESAMPLING = {"poisson": resampled_means, "multinomial": exact_resampled_means}
+
+
+def bootstrap_shares(pairs: DataFrame, n_resamples: int, seed: int = 0, resampling: str = "poisson") -> DataFrame:
+    """(target, delta, p): the mean difference, and the share of resamples whose mean isn't above zero.
+
+    ``poisson`` takes each row a Poisson number of times, needs no shuffle and can be repeated in SQL; ``multinomial`` resamples have exactly n rows.
+    """
+    if resampling not in RESAMPLING:
+        raise ValueError(f"unknown resampling {resampling!r}; known: {', '.join(RESAMPLING)}")
+    p = RESAMPLING[resampling](pairs, n_resamples, seed).groupBy("target").agg(F.avg(F.when(F.col("total") <= 0, 1.0).otherwise(0.0)).alias("p"))
     return pairs.groupBy("target").agg(F.avg("d").alias("delta")).join(p, "target").select("target", "delta", "p")
 
 
-def paired_bootstrap(candidate: EvalReport, incumbent: EvalReport, n_resamples: int = 2000, seed: int = 0) -> dict[str, tuple[float, float]]:
+def paired_bootstrap(candidate: EvalReport, incumbent: EvalReport, n_resamples: int = 2000, seed: int = 0, resampling: str = "poisson") -> dict[str, tuple[float, float]]:
     """By target (mean difference, share of resample means that are not above zero)."""
-    rows = bootstrap_shares(paired_differences(candidate, incumbent), n_resamples, seed).collect()
+    rows = bootstrap_shares(paired_differences(candidate, incumbent), n_resamples, seed, resampling).collect()
     found = {r.target: (r.delta, r.p) for r in rows}
     if missing := [t for t in candidate.per_target if t not in found]:
         raise ValueError(f"no paired errors for {missing}")

@@ -4,19 +4,22 @@ from __future__ import annotations
 
 import json
 import math
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.identity import short_hash
+from ..functions.shared import shared_root
 from ..functions.smiles import DESCRIPTORS, structure_features
 from ..sources.manifest import write_json
 from ..sources.storage import absolute, join, read_bytes
+from .forests import FlatForest, scores
 
 FEATURES = "_features"
 
@@ -160,36 +163,40 @@ class RegressionModel:
     estimator: str
     params: dict[str, Any]
     featurizer_version: str = ""
+    saved: str | None = None
+    flat: FlatForest | None = field(default=None, repr=False, compare=False)
 
     def predict(self, df: DataFrame, with_uncertainty: bool = False) -> DataFrame:
         """pred_<t> and, if asked for, unc_<t>: the trees' population deviation, zero where there are no independent trees."""
+        if with_uncertainty and self.estimator in FORESTS:
+            columns = [c for c in df.columns if c not in {f"{kind}_{t}" for t in self.targets for kind in ("pred", "unc")}]
+            made = df.select(*columns, scores(df.sparkSession, self._forest(df.sparkSession), vector_to_array(FEATURES)).alias("_scores"))
+            return made.select(*columns, "_scores.*")
         for t in self.targets:
-            model = self.models[t]
-            if with_uncertainty and isinstance(model, RandomForestRegressionModel):
-                columns = df.columns
-                trees = model.trees
-                for k, tree in enumerate(trees):
-                    df = tree.setFeaturesCol(FEATURES).setPredictionCol(f"_tree_{k}").transform(df)
-                each = F.array(*(F.col(f"_tree_{k}") for k in range(len(trees))))
-                df = df.select(*columns, each.alias("_trees")).withColumn(f"pred_{t}", F.aggregate("_trees", F.lit(0.0), lambda a, x: a + x) / len(trees))
-                spread = F.aggregate("_trees", F.lit(0.0), lambda a, x: a + (x - F.col(f"pred_{t}")) * (x - F.col(f"pred_{t}"))) / len(trees)
-                df = df.withColumn(f"unc_{t}", F.sqrt(spread)).drop("_trees")
-            else:
-                df = model.setPredictionCol(f"pred_{t}").transform(df)
-                if with_uncertainty:
-                    df = df.withColumn(f"unc_{t}", F.lit(0.0))
+            df = self.models[t].setPredictionCol(f"pred_{t}").transform(df)
+            if with_uncertainty:
+                df = df.withColumn(f"unc_{t}", F.lit(0.0))
         return df
 
+    def _forest(self, spark: SparkSession) -> FlatForest:
+        """The node tables, read from where the model is saved; one that isn't is saved in the session's shared folder."""
+        if self.flat is None:
+            if self.saved is None:
+                self.save(f"{shared_root(spark)}/sluice-work/forest-{uuid.uuid4().hex}")
+            self.flat = FlatForest.read(spark, [(t, f"{self.saved}/{t}") for t in self.targets])
+        return self.flat
+
     def save(self, path: str | Path) -> None:
         for t, m in self.models.items():
             m.write().overwrite().save(f"{path}/{t}")
+        self.saved = str(path)
         write_json(join(path, "model.json"), {"targets": self.targets, "estimator": self.estimator, "params": self.params, "featurizer_version": self.featurizer_version})
 
     @classmethod
     def load(cls, path: str | Path) -> RegressionModel:
         raw = json.loads(read_bytes(join(path, "model.json")))
         loader = RandomForestRegressionModel if raw["estimator"] in FORESTS else GBTRegressionModel
-        return cls(raw["targets"], {t: loader.load(f"{path}/{t}") for t in raw["targets"]}, raw["estimator"], raw["params"], raw["featurizer_version"])
+        return cls(raw["targets"], {t: loader.load(f"{path}/{t}") for t in raw["targets"]}, raw["estimator"], raw["params"], raw["featurizer_version"], str(path))
 
 
 FORESTS = ("RandomForestRegressor",)

@@ -50,29 +50,34 @@ def mark_holdout(df: DataFrame, fraction: float, seed: Column, within: str, row_
     return ranked.join(F.broadcast(sizes), within).withColumn("held", F.col("_draw") < n_held).select(*df.columns, "held")
 
 
-def stratified_quotas(available: dict[int, int], n: int) -> dict[int, int]:
-    """How many rows of each size: equal shares as far as there are rows, the rest by what is left."""
-    sizes = {s: c for s, c in available.items() if s > 0}
-    if not sizes:
-        return {}
-    share = max(1, n // len(sizes))
-    quota = {s: min(share, c) for s, c in sizes.items()}
-    spare = {s: c - quota[s] for s, c in sizes.items()}
-    left, total = n - sum(quota.values()), sum(spare.values())
-    if left > 0 and total > 0:
-        quota = {s: q + min(spare[s], round(left * spare[s] / total)) for s, q in quota.items()}
-    return quota
+#: Quotas of so many sizes are broadcast, 16 bytes each; those of more are joined by a shuffle.
+BROADCAST_SIZES = 100_000
+
+
+def stratified_quotas(counts: DataFrame, n: int, size: str = "size", count: str = "n") -> DataFrame:
+    """(size, quota): how many rows of each size; equal shares as far as there are rows, the rest by what is left.
+
+    ``counts`` has a row for each size; sizes below 1 are left out. Two aggregates, four numbers, come to the driver, whatever the number of sizes.
+    """
+    own = counts.filter(F.col(size) > 0)
+    share = F.lit(max(1, n // max(1, own.count())))
+    first = F.least(F.col(count), share)
+    sums = own.agg(F.sum(first).alias("given"), F.sum(F.col(count) - first).alias("spare")).first()
+    left, spare = n - (sums.given or 0), sums.spare or 0
+    if left <= 0 or spare <= 0:
+        return own.select(size, first.cast("long").alias("quota"))
+    more = F.bround(F.lit(float(left)) * (F.col(count) - first) / F.lit(float(spare)), 0).cast("long")
+    return own.select(size, (first + F.least(F.col(count) - first, more)).cast("long").alias("quota"))
 
 
 def stratified_pool(df: DataFrame, size: str, n: int, seed: str, row_id: str = "row_id") -> DataFrame:
     """About n rows spread over the sizes (0 and missing sizes are left out), with ``position`` by size and row id."""
-    counts = {int(r[0]): r[1] for r in df.filter(F.col(size) > 0).groupBy(size).count().collect()}
-    quota = stratified_quotas(counts, n)
-    if not quota:
-        return df.limit(0).withColumn("position", F.lit(0).cast("long"))
-    limits = df.sparkSession.createDataFrame(list(quota.items()), "_size long, _quota long")
-    ranked = global_rank(df.filter(F.col(size) > 0).withColumn("_size", F.col(size).cast("long")), [seeded(seed, row_id), F.col(row_id)], "_draw", ["_size"])
-    pool = ranked.join(F.broadcast(limits), "_size").filter(F.col("_draw") < F.col("_quota")).drop("_draw", "_size", "_quota")
+    sized = df.filter(F.col(size) > 0).withColumn("_size", F.col(size).cast("long"))
+    counts = sized.groupBy("_size").agg(F.count("*").alias("_n"))
+    limits = stratified_quotas(counts, n, "_size", "_n").withColumnRenamed("quota", "_quota")
+    few = limits.limit(BROADCAST_SIZES + 1).count() <= BROADCAST_SIZES
+    ranked = global_rank(sized, [seeded(seed, row_id), F.col(row_id)], "_draw", ["_size"])
+    pool = ranked.join(F.broadcast(limits) if few else limits, "_size").filter(F.col("_draw") < F.col("_quota")).drop("_draw", "_size", "_quota")
     return global_rank(pool, [F.col(size), F.col(row_id)], "position")
 
 

@@ -36,11 +36,30 @@ def test_sequential_and_errors(raw):
         split_into_chunks(raw, "size", n_chunks=0)
 
 
-def test_quotas_share_and_redistribute():
-    assert stratified_quotas({0: 5, 1: 3, 2: 100, 3: 1000}, 300) == {1: 3, 2: 100, 3: 197}
-    assert stratified_quotas({1: 2, 2: 2}, 100) == {1: 2, 2: 2}
-    assert stratified_quotas({}, 10) == {}
-    assert sum(stratified_quotas({1: 50, 2: 70, 3: 30}, 60).values()) == 60
+def test_quotas_share_and_redistribute(spark):
+    def quotas(available, n):
+        return {r["size"]: r.quota for r in stratified_quotas(spark.createDataFrame(list(available.items()), "size long, n long"), n).collect()}
+
+    assert quotas({0: 5, 1: 3, 2: 100, 3: 1000}, 300) == {1: 3, 2: 100, 3: 197}
+    assert quotas({1: 2, 2: 2}, 100) == {1: 2, 2: 2}
+    assert quotas({}, 10) == {}
+    assert sum(quotas({1: 50, 2: 70, 3: 30}, 60).values()) == 60
+    # halves go to the even number, as Python rounds
+    assert quotas({1: 10, 2: 15, 3: 15}, 35) == {1: 10, 2: 11 + round(3 * 4 / 8), 3: 11 + round(3 * 4 / 8)}
+
+
+def test_quotas_of_a_million_sizes(spark):
+    counts = spark.range(1, 1_000_001).select(F.col("id").alias("size"), (F.col("id") % 4 + 1).alias("n"))
+    found = stratified_quotas(counts, 2_000_000).agg(F.count("*").alias("k"), F.sum("quota").alias("s"), F.max(F.col("quota")).alias("m")).first()
+    assert (found.k, found.m) == (1_000_000, 3) and found.s == 2_000_000
+
+
+def test_pool_by_shuffled_quotas(spark, raw, monkeypatch):
+    from sluice.operators import sampling
+
+    a = rows(sampling.stratified_pool(raw, "size", 100, "s"))
+    monkeypatch.setattr(sampling, "BROADCAST_SIZES", 0)
+    assert rows(sampling.stratified_pool(raw, "size", 100, "s")) == a and a
 
 
 def test_holdout(spark, raw):

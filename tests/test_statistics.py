@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice.operators.drift import Reference, drift_statistics, freeze_reference, ks_statistic, psi_statistic
-from sluice.operators.metrics import bootstrap_shares, evaluate, normalized_score, paired_bootstrap, resample_weights, slice_metrics, slice_names, summarise, to_long
+from sluice.operators.metrics import bootstrap_shares, exact_resampled_means, evaluate, normalized_score, paired_bootstrap, resample_weights, run_weights, split_draws, slice_metrics, slice_names, summarise, to_long
 from sluice.operators.ordering import global_rank, running_totals, value_keys
 from sluice.operators.profile import chunk_drift_matrix, dominance_verdict, findings, linear_r2, model_trajectory, per_target_metrics, scale_disparity, size_dominance, size_profile, slice_table, target_correlations
 
@@ -139,6 +139,32 @@ def test_bootstrap_does_not_depend_on_the_partitioning(spark, long):
     assert paired_bootstrap(new, new, 50)["mu"] == (0.0, 1.0)
 
 
+def test_multinomial_resamples_have_exact_sizes(spark):
+    d = rng.normal(0.2, 1, 2500)
+    pairs = spark.createDataFrame([("t", i, float(x)) for i, x in enumerate(d)] + [("one", 5, 2.0), ("same", 1, 1.0), ("same", 1, 1.0)], "target string, row_id long, d double")
+    one, many = ({(r.target, r.b): (r.weight, round(r.total, 9)) for r in exact_resampled_means(x, 300, 3).collect()} for x in (pairs.coalesce(1), pairs.repartition(7)))
+    assert one == many and len(one) == 900
+    assert {k[0]: {v[0] for j, v in one.items() if j[0] == k[0]} for k in one} == {"t": {2500.0}, "one": {1.0}, "same": {2.0}}
+    assert {v[1] for k, v in one.items() if k[0] == "one"} == {2.0}
+    means = np.array([v[1] for k, v in one.items() if k[0] == "t"]) / 2500
+    assert means.mean() == pytest.approx(d.mean(), abs=4 * d.std() / np.sqrt(2500 * 300)) and means.std() == pytest.approx(d.std() / 50, rel=0.15)
+    found = {r.target: r.p for r in bootstrap_shares(pairs, 300, 3, "multinomial").collect()}
+    assert found["t"] == np.mean(means <= 0) and found["one"] == 0.0
+    with pytest.raises(ValueError):
+        bootstrap_shares(pairs, 10, 0, "jackknife")
+    assert exact_resampled_means(pairs.limit(0), 10).collect() == []
+
+
+def test_draws_are_split_whole():
+    """Any tree of blocks keeps the number of draws; single blocks get what is expected of them."""
+    sizes = np.array([0, 5, 1, 0, 94, 300, 0])
+    draws = split_draws(sizes, 4000, [1, 2])
+    assert (draws.sum(0) == 400).all() and (draws[sizes == 0] == 0).all()
+    assert draws.mean(1) == pytest.approx(sizes, abs=1.2) and draws.var(1) == pytest.approx(sizes * (1 - sizes / 400), rel=0.12)
+    weights = run_weights(3, np.array([0, 7, 1000]), np.random.default_rng(1))
+    assert weights.sum(1).tolist() == [0, 7, 1000] and weights.min() >= 0
+
+
 def test_profiles(spark):
     r = np.random.default_rng(1)
     c, n = r.integers(1, 9, 300), r.integers(0, 3, 300)
