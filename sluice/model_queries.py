@@ -14,9 +14,9 @@ from .operators.metrics import bootstrap_shares, exact_resampled_means
 from .operators.sampling import stratified_quotas
 from .queries import query, table
 from .sources.registry import ModelRegistry
-from .sources.storage import join
+from .sources.storage import join, storage_of
 
-__all__ = ["bound_models", "boosted_scores", "exact_resamples", "forest_agreement", "stratified_quota_table", "unusable_models"]
+__all__ = ["bound_models", "boosted_scores", "exact_resamples", "forest_agreement", "registry_recovery", "stratified_quota_table", "unusable_models"]
 
 TARGETS = ["steps", "product"]
 _CELLS = "c AS (SELECT o_orderkey AS row_id, (o_custkey % 5)::DOUBLE AS a, (o_orderkey % 4)::DOUBLE AS b FROM orders), t AS (SELECT row_id, a, b, 10 * a + b AS steps, a * b + a AS product FROM c)"
@@ -122,3 +122,16 @@ def stratified_quota_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shares of five thousand rows over as many sizes as there are customers."""
     counts = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("size")).agg(F.count("*").alias("n"))
     return stratified_quotas(counts, 5000)
+
+
+@query("""WITH r AS (SELECT row_number() OVER (ORDER BY r_regionkey) AS k, r_name, count(*) OVER () AS n FROM region), o AS (SELECT count(*) AS orders FROM orders)
+SELECT 'model-' || r_name AS version, CASE WHEN k = n THEN 'production' ELSE 'archived' END AS stage, k AS sequence, orders FROM r, o""")
+def registry_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model of each region, promoted in turn, though a writer died after each: one left an empty event, one a torn one."""
+    registry = ModelRegistry(folder(spark, "registry"), grace=0.2)
+    n_orders = table(spark, sf_dir, "orders").count()
+    for k, r in enumerate(table(spark, sf_dir, "region").orderBy("r_regionkey").collect()):  # a table of five rows
+        registry.register(f"model-{r.r_name}", {"data": r.r_name}, {"orders": n_orders}, {}, promote=True)
+        storage_of(registry.root).create(join(registry.root, "events", f"{registry.state().last + 1:08d}.json"), b'{"model": {"vers' if k % 2 else b"")
+    frame = registry.as_frame(spark)
+    return frame.select("version", "stage", "sequence", F.get_json_object("metrics", "$.orders").cast("long").alias("orders"))

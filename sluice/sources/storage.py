@@ -114,7 +114,7 @@ class HadoopStorage:
     """Paths of any other scheme, through the session's Hadoop libraries."""
 
     def __init__(self, spark: SparkSession) -> None:
-        self._jvm, self._conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        self._jvm, self._conf, self._gateway = spark._jvm, spark._jsc.hadoopConfiguration(), spark.sparkContext._gateway
 
     def _open(self, path: str | Path):
         p = self._jvm.org.apache.hadoop.fs.Path(str(path))
@@ -156,7 +156,7 @@ class HadoopStorage:
         self.move(aside, path)
 
     def create(self, path: str | Path, data: bytes) -> bool:
-        """The file appears when it is created; readers pass over a last file that is still empty."""
+        """The file appears when it is created, before its content; readers must know an incomplete one."""
         try:
             self._put(path, data, False)
         except Exception:
@@ -166,13 +166,13 @@ class HadoopStorage:
         return True
 
     def move(self, source: str | Path, target: str | Path) -> None:
+        """In place of what is there, by one rename, so that readers find the one or the other."""
         fs, a = self._open(source)
         _, b = self._open(target)
         fs.mkdirs(b.getParent())
-        if fs.exists(b):
-            fs.delete(b, True)
-        if not fs.rename(a, b):
-            raise OSError(f"{source} could not be moved to {target}")
+        options = self._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options[0] = self._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self._conf).rename(a, b, options)
 
     def remove(self, path: str | Path) -> None:
         fs, p = self._open(path)

@@ -1,5 +1,7 @@
 import json
 import multiprocessing as mp
+import threading
+import time
 from pathlib import Path
 
 import pytest
@@ -7,8 +9,9 @@ import pytest
 from sluice.functions.identity import canonical_json, config_hash, content_hash
 from sluice.operators.decisions import Versions
 from sluice.sources.manifest import RunManifest
-from sluice.sources.registry import ModelRegistry
-from sluice.sources.storage import HadoopStorage
+from sluice.sources import registry as module
+from sluice.sources.registry import ModelRecord, ModelRegistry
+from sluice.sources.storage import HadoopStorage, LocalStorage
 
 
 def add(reg, v, stage="staging", data="d", **more):
@@ -75,19 +78,91 @@ def test_state_is_a_fold_over_complete_events(tmp_path):
     assert reg.rollback().version == "a" and [r.sequence for r in reg.records()] == [1, 2]
 
 
+@pytest.mark.parametrize("kind", ["local", "hadoop"])
+@pytest.mark.parametrize("left", [b"", b'{"model": {"version": "z", "sta'], ids=["empty", "torn"])
+def test_a_writer_that_died(spark, tmp_path, monkeypatch, kind, left):
+    """Its file is passed over, given up after a while, and stays void even if it is completed later."""
+    monkeypatch.setattr(module, "GRACE", 1.0)
+    if kind == "hadoop":
+        store = HadoopStorage(spark)
+        monkeypatch.setattr(module, "storage_of", lambda p: store)
+        monkeypatch.setattr(module, "read_bytes", lambda p: b"".join(store.blocks(p)))
+        root = f"file://{tmp_path}"
+    else:
+        root = str(tmp_path)
+    reg = ModelRegistry(root)
+    add(reg, "a", promote=True)
+    (tmp_path / "events" / "00000002.json").write_bytes(left)
+    assert reg.production().version == "a" and [r.version for r in reg.records()] == ["a"]
+    began = time.monotonic()
+    add(reg, "b", promote=True)
+    assert time.monotonic() - began < 30
+    last = json.loads((tmp_path / "events" / "00000003.json").read_text())
+    assert last["void"] == [2] and reg.production().version == "b" and reg.state().last == 3
+    for crc in (tmp_path / "events").glob(".*.crc"):
+        crc.unlink()
+    (tmp_path / "events" / "00000002.json").write_text(json.dumps({"promote": "a"}))  # the dead come back
+    assert reg.production().version == "b" and [r.stage for r in reg.records()] == ["archived", "production"]
+    assert reg.rollback().version == "a" and "void" not in json.loads((tmp_path / "events" / "00000004.json").read_text())
+
+
+def test_a_young_file_is_waited_for(tmp_path, monkeypatch):
+    """A writer at work gets the time to end; the next one then decides on its event."""
+    monkeypatch.setattr(module, "GRACE", 5.0)
+    reg = ModelRegistry(tmp_path)
+    add(reg, "a")
+    at_work = tmp_path / "events" / "00000002.json"
+    at_work.write_text("")
+    event = {"model": ModelRecord("slow", "staging", "t").__dict__}
+    timer = threading.Timer(0.7, lambda: at_work.write_text(json.dumps(event)))
+    timer.start()
+    add(reg, "b")
+    timer.join()
+    assert [r.version for r in reg.records()] == ["a", "slow", "b"] and reg.state().last == 3
+
+
+def test_a_slow_writer_finds_out(tmp_path, monkeypatch):
+    """One that was given up while it wrote decides again under another number."""
+    monkeypatch.setattr(module, "GRACE", 0.4)
+    reg, other, real = ModelRegistry(tmp_path), ModelRegistry(tmp_path), LocalStorage.create
+    add(reg, "a")
+    slow = []
+
+    def create(self, path, data):
+        if b'"slow"' in data and not slow:
+            slow.append(path)
+            Path(path).write_bytes(b"")
+            time.sleep(0.6)
+            add(other, "quick")
+            Path(path).write_bytes(data)
+            return True
+        return real(self, path, data)
+
+    monkeypatch.setattr(LocalStorage, "create", create)
+    add(reg, "slow")
+    assert slow and [r.version for r in reg.records()] == ["a", "quick", "slow"] and reg.state().last == 4
+
+
+def test_moves_replace_by_one_rename(spark, tmp_path):
+    store = HadoopStorage(spark)
+    store.write(f"file://{tmp_path}/a", b"1")
+    store.write(f"file://{tmp_path}/a", b"2")
+    assert (tmp_path / "a").read_bytes() == b"2" and [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["a"]
+
+
 def test_a_writer_that_was_second_decides_again(tmp_path, monkeypatch):
     reg, other = ModelRegistry(tmp_path), ModelRegistry(tmp_path)
     add(reg, "a", promote=True)
     add(reg, "b", promote=True)
-    real, raced = ModelRegistry.state, []
+    real, raced = ModelRegistry.log, []
 
-    def state(self):
+    def log(self):
         found = real(self)
         if self is reg and not raced:
             raced.append(other.rollback())
         return found
 
-    monkeypatch.setattr(ModelRegistry, "state", state)
+    monkeypatch.setattr(ModelRegistry, "log", log)
     assert reg.rollback().version == "b" and raced[0].version == "a" and other.state().n_events == 4
 
 
@@ -102,8 +177,6 @@ def test_registry_on_a_file_system_that_only_spark_opens(spark, tmp_path):
     assert store.exists(f"{root}/z/3.json") and not store.exists(f"{root}/y/2.json") and store.is_folder(f"{root}/y")
     store.remove(f"{root}/y")
     assert not store.exists(f"{root}/y")
-    import sluice.sources.registry as module
-
     saved, module.storage_of = module.storage_of, lambda p: store
     try:
         module.read_bytes, bytes_before = (lambda p: b"".join(store.blocks(p))), module.read_bytes
