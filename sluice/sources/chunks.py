@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import csv
 import fnmatch
+import io
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any, Protocol
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ..functions.identity import content_hash, content_hash_column
@@ -179,21 +180,24 @@ def load_chunks(spark: SparkSession, path: str | Path, glob: str = "chunk_*.csv"
 def write_csv(df: DataFrame, path: str | Path, order: Sequence[str] = ()) -> str:
     """One CSV file with a header, sorted; for results that people read.
 
-    Spark writes it to a folder beside ``path``, which must lie on storage that the executors share; a file that
-    doesn't arrive there is an error, never an empty result.
+    Ranges of the order are sorted and written by tasks of their own, to a folder beside ``path`` on storage that the executors share, and the
+    file system joins the parts. A part with rows that doesn't arrive there is an error, never a shorter result.
     """
     store, aside = storage_of(path), f"{str(path).rstrip('/')}.parts"
     target = str(path) if ":/" in str(path) else f"file://{Path(path).resolve()}"
-    ordered = df.orderBy(*order) if order else df
-    ordered.coalesce(1).write.mode("overwrite").csv(f"{target}.parts", header=True)
-    names = [f.name for f in store.files(aside)] if store.is_folder(aside) else []
-    parts = [n for n in names if n.startswith("part-") and n.endswith(".csv")]
-    if parts:
-        store.move(join(aside, parts[0]), path)
-    elif "_SUCCESS" in names and df.isEmpty():
-        store.write(path, (",".join(df.columns) + "\n").encode())
-    else:
-        raise OSError(f"the rows of {path} were not written where this process can see them; use shared storage")
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
+    (part,) = [c for c in ("_part", "__part", "___part") if c not in df.columns][:1]
+    seen = Observation()
+    marked = dealt.withColumn(part, F.spark_partition_id()).observe(seen, F.collect_set(part).alias("numbers")).drop(part)
+    marked.write.mode("overwrite").csv(f"{target}.parts")
+    names = {int(f.name[5:10]): f.name for f in store.files(aside) if f.name.startswith("part-")} if store.is_folder(aside) else {}
+    wanted = sorted(seen.get["numbers"])
+    if missing := [n for n in wanted if n not in names]:
+        raise OSError(f"parts {missing} of {path} were not written where this process can see them; use shared storage")
+    header = io.StringIO()
+    csv.writer(header, lineterminator="\n").writerow(df.columns)
+    store.write(join(aside, "header"), header.getvalue().encode())
+    store.concatenate([join(aside, n) for n in ("header", *(names[k] for k in wanted))], path)
     store.remove(aside)
     return str(path)
 

@@ -6,7 +6,7 @@ import hashlib
 import os
 import shutil
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -99,6 +99,19 @@ class LocalStorage:
         self._at(target).parent.mkdir(parents=True, exist_ok=True)
         os.replace(self._at(source), self._at(target))
 
+    def concatenate(self, sources: Sequence[str], target: str | Path) -> None:
+        """The files one after the other, in blocks, as a file that appears when it is whole."""
+        p = self._at(target)
+        p.parent.mkdir(parents=True, exist_ok=True)
+        handle, aside = tempfile.mkstemp(dir=p.parent, prefix=f".{p.name}.")
+        with os.fdopen(handle, "wb") as f:
+            for source in sources:
+                with self._at(source).open("rb") as part:
+                    shutil.copyfileobj(part, f, _BLOCK)
+            f.flush()
+            os.fsync(f.fileno())
+        os.replace(aside, p)
+
     def remove(self, path: str | Path) -> None:
         p = self._at(path)
         if p.is_dir():
@@ -174,6 +187,32 @@ class HadoopStorage:
         options[0] = self._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
         self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self._conf).rename(a, b, options)
 
+    def concatenate(self, sources: Sequence[str], target: str | Path) -> None:
+        """By the file system itself where it can, else copied in blocks within the JVM."""
+        fs, first = self._open(sources[0])
+        rest = self._gateway.new_array(self._jvm.org.apache.hadoop.fs.Path, len(sources) - 1)
+        for k, source in enumerate(sources[1:]):
+            rest[k] = self._open(source)[1]
+        if len(rest):
+            try:
+                fs.concat(first, rest)
+            except Exception as e:
+                if "UnsupportedOperationException" not in str(e):
+                    raise
+                whole = self._open(f"{sources[0]}.whole")[1]
+                out = fs.create(whole, True)
+                try:
+                    for source in sources:
+                        stream = fs.open(self._open(source)[1])
+                        try:
+                            stream.transferTo(out)
+                        finally:
+                            stream.close()
+                finally:
+                    out.close()
+                first = whole
+        self.move(first.toString(), target)
+
     def remove(self, path: str | Path) -> None:
         fs, p = self._open(path)
         fs.delete(p, True)
