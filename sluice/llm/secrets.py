@@ -1,10 +1,11 @@
 """Secret scans: fixed patterns, and formats learned by grammar inference.
 
 The fixed patterns give labelled credentials: values after a key word (assign), access keys and long hex
-runs. For each of the three a probabilistic automaton is learned: the prefix tree of a sample of its
-values, whose states are merged wherever their counts are statistically compatible (Hoeffding bounds on
-the next-symbol frequencies of both states and, recursively, of their successors). A value's length is the
-first symbol that it shows, so the automata keep the lengths of a format. Every run of RUN that no
+runs. For each of the three a probabilistic automaton is learned: the prefix tree of all its values, whose states are
+merged wherever their counts are statistically compatible (Hoeffding bounds on the next-symbol frequencies of
+both states and, recursively, of their successors). A value's length is the first symbol that it shows, and a format
+keeps to its lengths: a run that is less than half as long as the labelled values, or more than twice as long, isn't
+of it (of the values' lengths a share of LOW at either end doesn't count). Every run of RUN that no
 pattern covers, of whatever length, is then scored by its log-likelihood, and becomes a span of kind
 "format" if a credential automaton explains it far better than ordinary text does.
 
@@ -23,9 +24,10 @@ are also tried in small letters.
 Symbols are classes of characters (digits, a-f, g-z, A-F, G-Z, each mark by itself); how a class is
 spread over its characters is the same under all automata and cancels out.
 
-Sample: the states of each automaton come from the SAMPLE distinct values of its kind with the smallest hashes
-over the whole corpus, the first LONGEST characters of each; this bounds the merging on the driver. All frequencies
-and thresholds come from all values and runs at their full lengths. Scanning covers all of every text.
+Trees. Prefixes are counted by tasks and added up, first those of up to STRIDE symbols; those with at least two values
+go on to twice as many, and so forth, so where a tree ends depends on counts, not on lengths. The driver merges
+the states of a tree's MOST_NODES most frequent prefixes, which are a tree too, as no prefix is rarer than what it begins. All frequencies and
+thresholds come from all values and runs at their full lengths. Scanning covers all of every text.
 
 Defined results: null and empty texts have no spans; rows are scanned one by one, so repeated rows repeat
 their result; texts and runs of any length are scanned whole; a corpus without labelled credentials learns no
@@ -43,7 +45,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .session import settle, ship, work_dir
 
@@ -55,7 +57,7 @@ KINDS = ("assign", "access", "hex", "format")
 LABELLED = KINDS[:3]
 
 _HINTS = ("passw", "secret", "token", "api")
-SAMPLE, LONGEST = 2000, 200
+STRIDE, MOST_NODES = 64, 20_000
 ALPHA = 0.05
 #: Least log odds of a span, rounds of the mixture, the share of labelled values that may lie below the least rate, and the bins of rates.
 CERTAIN, ROUNDS, LOW, RATE_BINS = 3.0, 4, 0.05, 100
@@ -111,6 +113,11 @@ def length_symbol(n: int) -> str:
     return f"#{n if n <= 128 else 1 << (n - 1).bit_length()}"
 
 
+#: (prefix, next symbol, longer prefix, how many words have it), prefixes by their hashes.
+Edge = tuple[int, str, int, float]
+ROOT = 0
+
+
 class Automaton:
     """A probabilistic automaton over symbols; the first symbol of every word is its length.
 
@@ -118,22 +125,29 @@ class Automaton:
     states have no final weights. Probabilities are smoothed by those of the symbols in all states.
     """
 
-    def __init__(self, words: Iterable[str], alpha: float = ALPHA) -> None:
+    def __init__(self, words: Iterable[str] = (), alpha: float = ALPHA, tree: Iterable[Edge] = ()) -> None:
+        """From words, or from the edges of their prefix tree, parents first."""
         self.next: list[dict[str, int]] = [{}]
         self.weight: list[dict[str, float]] = [{}]
+        places = {ROOT: 0}
+        for parent, s, node, n in tree:
+            places[node] = self._add(places[parent], s, n)
         for word in words:
             at = 0
             for s in (length_symbol(len(word)), *word):
-                if s not in self.next[at]:
-                    self.next[at][s] = len(self.next)
-                    self.next.append({})
-                    self.weight.append({})
-                self.weight[at][s] = self.weight[at].get(s, 0) + 1
-                at = self.next[at][s]
+                at = self._add(at, s, 1)
         self.bound = math.sqrt(0.5 * math.log(2 / alpha))
         self._merge_states()
         self._estimate()
 
+    def _add(self, at: int, s: str, n: float) -> int:
+        if s not in self.next[at]:
+            self.next[at][s] = len(self.next)
+            self.next.append({})
+            self.weight.append({})
+        self.weight[at][s] = self.weight[at].get(s, 0) + n
+        return self.next[at][s]
+
     @classmethod
     def chain(cls) -> Automaton:
         """A first-order chain: one state for each symbol that was read last, and one before all."""
@@ -226,6 +240,21 @@ class Automaton:
         seen = self.weight[0].get(length_symbol(n), 0) / self.n_words if self.n_words else 1 / (n * (n + 1))
         return math.log((1 - ANY_LENGTH) * seen + ANY_LENGTH / (n * (n + 1)))
 
+    def lengths(self) -> tuple[float, float]:
+        """Half of the least and twice the greatest length of the words, but for a share of LOW at either end."""
+        seen = sorted((int(s[1:]), n) for s, n in self.weight[0].items())
+        room = LOW * self.n_words
+
+        def end(counts: list[tuple[int, float]]) -> int:
+            passed = 0.0
+            for length, n in counts:
+                passed += n
+                if passed > room:
+                    return length
+            return 0
+
+        return end(seen) / 2, 2 * end(seen[::-1])
+
     def symbol_likelihood(self, word: str) -> float:
         """Log-likelihood of the symbols, given the length; where no transition was seen, the state stays."""
         at, total = self.next[0].get(length_symbol(len(word)), self.begin), 0.0
@@ -243,6 +272,7 @@ class Formats:
 
     def __init__(self, credentials: list[Automaton], rates: list[float], background: list[Automaton], prior: list[float]) -> None:
         self.credentials, self.rates, self.background, self.prior = credentials, rates, background, prior
+        self.lengths = [a.lengths() for a in credentials]
 
     def ordinary(self, word: str) -> float:
         """The background's log-likelihood; its automata have equal weights."""
@@ -251,11 +281,16 @@ class Formats:
         return best + math.log(sum(math.exp(x - best) for x in each) / len(each))
 
     def log_odds(self, word: str) -> list[float]:
-        """Of each credential automaton against the background; minus infinity where the symbols are too unlikely."""
+        """Of each credential automaton against the background; minus infinity where the symbols are too unlikely or the length isn't the format's."""
+        if not any(least <= len(word) <= most for least, most in self.lengths):
+            return [-math.inf] * len(self.credentials)
         ordinary = self.ordinary(word)
         forms = [word] if "h" in word or "l" in word else [word, word.translate(_SMALL)]
         found = []
-        for a, rate, prior in zip(self.credentials, self.rates, self.prior, strict=True):
+        for a, rate, prior, (least, most) in zip(self.credentials, self.rates, self.prior, self.lengths, strict=True):
+            if not least <= len(word) <= most:
+                found.append(-math.inf)
+                continue
             symbols = max(a.symbol_likelihood(x) for x in forms)
             typical = symbols / len(word) >= rate - 1 / math.sqrt(len(word))
             found.append(prior + a.length_likelihood(len(word)) + symbols - ordinary if typical else -math.inf)
@@ -341,40 +376,89 @@ def _summed(values: DataFrame, tally) -> dict[tuple[int, int, str], float]:
     return {(r.a, r.b, r.s): r.n for r in found.groupBy("a", "b", "s").agg(F.sum("n").alias("n")).collect()}
 
 
-def _sample(values: DataFrame, distinct: dict[str, int]) -> dict[str, list[tuple[int, str]]]:
-    """(h, value) of each kind's SAMPLE smallest hashes, cut to LONGEST characters."""
-    near = F.lit(False)
-    for kind, n in distinct.items():  # about twice as many as wanted come to the driver
-        near |= (F.col("kind") == kind) & (F.col("h") <= min((1 << 63) - 1, (1 << 63) * 2 * SAMPLE // n))
-    rows = values.filter(near).select("kind", "h", F.substring("value", 1, LONGEST).alias("value")).collect()
-    return {kind: sorted((r.h, r.value) for r in rows if r.kind == kind)[:SAMPLE] for kind in distinct}
+def _trees(values: DataFrame, words, path: str) -> dict[int, list[Edge]]:
+    """Prefix trees of what ``words`` makes of every value: pairs of a tree's number and a word that counts once."""
+
+    def count(begin: int, end: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                nodes: dict[int, list] = {}
+                last: list[tuple[str, str, int, int, int]] = []
+                for kind, value, h, n in zip(*(c.to_pylist() for c in batch.columns[:4]), strict=True):
+                    for tree, word in words(kind, value, h, n):
+                        if begin and len(word) < begin:
+                            continue
+                        prefix, parent = xxhash.xxh3_64(f"{tree} "), ROOT
+                        for depth, s in enumerate((length_symbol(len(word)), *word[: end - 1])):
+                            prefix.update(s)
+                            node = prefix.intdigest() >> 1
+                            if depth >= begin:
+                                held = nodes.setdefault(node, [tree, depth, parent, s, node, 0.0])
+                                held[5] += 1
+                            parent = node
+                        if len(word) >= end:
+                            last.append((kind, value, h, n, node))
+                rows = [(*node, None, None, None, None) for node in nodes.values()]
+                rows += [(None, None, None, None, node, None, kind, value, h, n) for kind, value, h, n, node in last]
+                yield _columns(rows, tree=pa.int64(), depth=pa.int64(), parent=pa.int64(), s=pa.string(), node=pa.int64(), n=pa.float64(), kind=pa.string(), value=pa.string(), h=pa.int64(), times=pa.int64())
+
+        return run
+
+    spark, levels, begin, end, k = values.sparkSession, [], 0, STRIDE, 0
+    open_ = values.select("kind", "value", "h", "n")
+    while True:
+        schema = "tree long, depth long, parent long, s string, node long, n double, kind string, value string, h long, times long"
+        both = settle(open_.mapInArrow(count(begin, end), schema), f"{path}/prefixes-{k}")
+        level = both.filter("tree is not null").groupBy("tree", "depth", "parent", "s", "node").agg(F.sum("n").alias("n"))
+        level = settle(level, f"{path}/nodes-{k}")
+        levels.append(f"{path}/nodes-{k}")
+        # Words go on if their prefix so far is another word's too.
+        shared = level.filter(f"depth = {end - 1} and n > 1").select("node").distinct()
+        open_ = both.filter("tree is null").join(shared, "node", "left_semi").select("kind", "value", "h", F.col("times").alias("n")).distinct()
+        open_ = settle(open_, f"{path}/open-{k}")
+        if open_.isEmpty():
+            break
+        begin, end, k = end, 2 * end, k + 1
+    nodes = spark.read.schema(level.schema).parquet(*levels)
+    rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("n"), "depth", "node"))
+    trees: dict[int, list[Edge]] = defaultdict(list)
+    for r in nodes.withColumn("rank", rank).filter(F.col("rank") <= MOST_NODES).orderBy("tree", "depth", "parent", "s").collect():
+        trees[r.tree].append((r.parent, r.s, r.node, r.n))
+    return trees
 
 
 def learn_formats(docs: DataFrame) -> Formats:
     """Automata and odds from what the fixed patterns find and leave in all of ``docs`` (text)."""
     ship(docs.sparkSession)
     values = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_values, "kind string, value string, h long, n long")
-    values = settle(values.groupBy("kind", "value", "h").agg(F.sum("n").alias("n")), work_dir(docs.sparkSession, "secrets"))
+    path = work_dir(docs.sparkSession, "secrets")
+    values = settle(values.groupBy("kind", "value", "h").agg(F.sum("n").alias("n")), f"{path}/values")
     found = {r.kind: (r.values, r.n) for r in values.groupBy("kind").agg(F.count("*").alias("values"), F.sum("n").alias("n")).collect()}
     kinds = [k for k in LABELLED if k in found]
     if not kinds:
         return Formats([], [], [Automaton.chain()], [])
-    sample = _sample(values, {kind: n for kind, (n, _) in found.items()})
-    credentials, rates = _credentials(values.filter(F.col("kind") != "ordinary"), kinds, sample, found)
+    credentials, rates = _credentials(values.filter(F.col("kind") != "ordinary"), kinds, found, f"{path}/credentials")
     total = found.get("ordinary", (0, 0))[1]
     least = [math.log(found[k][1] / (total + found[k][1])) for k in kinds]
     formats = Formats(credentials, rates, [Automaton.chain()], list(least))
     if total:
         ordinary = values.filter(F.col("kind") == "ordinary")
-        _separated(ordinary, formats, total, least, [v for _, v in sample["ordinary"]])
+        _separated(ordinary, formats, total, least, f"{path}/ordinary")
     return formats
 
 
-def _credentials(values: DataFrame, kinds: list[str], sample: dict[str, list[tuple[int, str]]], found: dict[str, tuple[int, int]]) -> tuple[list[Automaton], list[float]]:
-    """Each kind's automaton, and its least log-likelihood of a symbol. The states come from the sample, frequencies from all values."""
+def _credentials(values: DataFrame, kinds: list[str], found: dict[str, tuple[int, int]], path: str) -> tuple[list[Automaton], list[float]]:
+    """Each kind's automaton, and its least log-likelihood of a symbol."""
     place = {kind: k for k, kind in enumerate(kinds)}
+
     # Of each kind one half of the values, the other, and both; every distinct value counts once.
-    automata = [Automaton(sorted(classes_of(v) for h, v in sample[kind] if half in (2, h & 1))) for kind in kinds for half in (0, 1, 2)]
+    def halves(kind: str, value: str, h: int, n: int) -> Iterator[tuple[int, str]]:
+        word = classes_of(value)
+        yield 3 * place[kind] + (h & 1), word
+        yield 3 * place[kind] + 2, word
+
+    trees = _trees(values, halves, path)
+    automata = [Automaton(tree=trees.get(i, ())) for i in range(3 * len(kinds))]
 
     def visits(kind: str, value: str, h: int, n: int) -> Iterator[tuple[tuple[int, int, str], int]]:
         word = classes_of(value)
@@ -404,7 +488,7 @@ def _credentials(values: DataFrame, kinds: list[str], sample: dict[str, list[tup
     return automata[2::3], rates
 
 
-def _separated(ordinary: DataFrame, formats: Formats, total: int, least: list[float], sample: list[str]) -> None:
+def _separated(ordinary: DataFrame, formats: Formats, total: int, least: list[float], path: str) -> None:
     """Fits the background and the odds of ``formats`` to the ordinary runs, whose credentials are taken out."""
 
     def tally(background: Automaton, first: bool = False):
@@ -432,7 +516,12 @@ def _separated(ordinary: DataFrame, formats: Formats, total: int, least: list[fl
     again(chain, first=True)
     for _ in range(ROUNDS):
         again(chain)
-    merged = Automaton(sorted(v for v in sample if sum(formats.shares(v)) < 0.5))
+
+    def own(kind: str, value: str, h: int, n: int) -> Iterator[tuple[int, str]]:
+        if sum(formats.shares(value)) < 0.5:
+            yield 0, value
+
+    merged = Automaton(tree=_trees(ordinary, own, path).get(0, ()))
     again(merged)
     if merged.n_words:
         formats.background = [chain, merged]

@@ -120,7 +120,7 @@ def test_frequencies_and_thresholds_cover_all_runs(spark, corpus, monkeypatch):
     runs = sum(1 for x in rows for _ in secrets.candidates(x, base_spans(x)))
     seen = []
     recount = Automaton.recount
-    monkeypatch.setattr(secrets, "SAMPLE", 20)
+    monkeypatch.setattr(secrets, "MOST_NODES", 20)
     monkeypatch.setattr(Automaton, "recount", lambda a, counts: (seen.append(sum(n for (p, _), n in counts.items() if p == 0)), recount(a, counts))[1])
     learn_formats(docs.repartition(2))
     assert seen[2:9:3] == [120, 60, 60] and seen[9:11] == [0, runs]  # the chain begins empty and then counts every run
@@ -176,3 +176,82 @@ def test_a_chain_counts_pairs_of_symbols():
     a.recount(counts)
     d = a.next[1]["d"]
     assert a.weight[1] == {"d": 2} and a.weight[d] == {"d": 1, "l": 2} and a.weight[0] == {"#3": 1, "#2": 1}
+
+
+def _prose(r, n=80):
+    word = lambda: "".join(r.choices("eeaaiottnsrhldugmcbf", k=r.randint(3, 12)))
+    return " ".join(r.choice([word(), word(), word(), word().title(), f"{r.randint(10**15, 10**16 - 1)}", f"mail{r.randint(1, 9)}.example.com"]) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def forty(spark):
+    """Labelled values of 40 hex digits; among the others commits, numbers and item ids."""
+    r = random.Random(44)
+    rows = [(i, _prose(r) + (f" token: {''.join(r.choices(HEXES, k=40))}" if i % 10 == 0 else "") + (f" {''.join(r.choices(HEXES, k=40))}" if i % 10 == 5 else "")) for i in range(600)]
+    rows += [(1000 + i, f"commit {''.join(r.choices(HEXES, k=12))} fixed the order {r.randint(10**15, 10**16 - 1)} of item {''.join(r.choices(HEXES, k=16))}") for i in range(40)]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+@pytest.fixture(scope="module")
+def of_forty(forty):
+    return learn_formats(forty)
+
+
+def test_formats_keep_to_their_lengths(forty, of_forty):
+    """Short hashes, colours and item ids aren't credentials, whether the corpus has them or not."""
+    got = {x.doc_id: x.n_format for x in scan(forty, of_forty).collect()}
+    assert all(got[1000 + i] == 0 for i in range(40)) and sum(got.values()) == 0
+    r = random.Random(5)
+    for n in (6, 7, 8, 10, 12, 14, 16, 19):
+        words = [classes_of("".join(r.choices(HEXES, k=n))) for _ in range(300)]
+        assert not any(of_forty.accepts(w) or of_forty.accepts(w.translate(str.maketrans("hl", "HU"))) for w in words), n
+    for form in (str, str.upper):
+        words = [classes_of(form("".join(r.choices(HEXES, k=40)))) for _ in range(300)]
+        assert sum(map(of_forty.accepts, words)) >= 0.9 * 300
+    assert not any(of_forty.accepts(classes_of("".join(r.choices(HEXES, k=81)))) for _ in range(50))
+
+
+def test_labelled_lengths_open_a_format(spark, forty):
+    r = random.Random(6)
+    short = [(3000 + i, _prose(r) + f" secret={''.join(r.choices(HEXES, k=20))}") for i in range(60)]
+    planted = [(4000 + i, f"see {''.join(r.choices(HEXES, k=20))} now") for i in range(200)]
+    docs = forty.filter("doc_id < 1000").unionByName(spark.createDataFrame(short + planted, forty.schema))
+    got = {x.doc_id: x.n_format for x in scan(docs).collect()}
+    assert sum(got[4000 + i] for i in range(200)) >= 180 and sum(v for k, v in got.items() if k < 4000) == 0
+
+
+def test_structured_formats_keep_their_states(spark):
+    """A prefix and dashes are learned as states of their own; other runs with dashes aren't of the format."""
+    r = random.Random(7)
+    part = lambda k, of="ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789": "".join(r.choices(of, k=k))
+    key = lambda: f"sk-live-{part(6)}-{part(4, '0123456789')}-{part(8)}"
+    rows = [(i, _prose(r) + (f' api_key="{key()}"' if i % 4 == 0 else " see the well-known-and-long-winded-story or 2024-01-02-backup-copy")) for i in range(600)]
+    rows += [(1000 + i, f"please take {key()} for it") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    formats = learn_formats(docs)
+    assert len(formats.credentials[0].next) > 10
+    got = {x.doc_id: x.n_format for x in scan(docs, formats).collect()}
+    assert sum(got[1000 + i] for i in range(200)) >= 180 and sum(v for k, v in got.items() if k < 1000) == 0
+
+
+def test_trees_of_all_values_against_a_plain_tree(spark, monkeypatch, tmp_path):
+    """Every prefix is counted, of long values as far as another value has it too; the most frequent ones are kept."""
+    r = random.Random(8)
+    words = ["dhd" * 50 + r.choice("dhl") * 30 for _ in range(6)] + ["dh" * 90] + ["".join(r.choices("dh", k=12)) for _ in range(80)] + ["l" * 200] * 2
+    values = spark.createDataFrame([("hex", w, i, 1) for i, w in enumerate(words)], "kind string, value string, h long, n long").repartition(4)
+    monkeypatch.setattr(secrets, "STRIDE", 8)
+    edges = secrets._trees(values, lambda kind, value, h, n: [(0, value)], f"file://{tmp_path}/trees")[0]
+    known, counts = {secrets.ROOT: ()}, {}
+    for parent, s, node, n in edges:
+        known[node] = (*known[parent], s)
+        counts[known[node]] = n
+    want = {}
+    for w in words:
+        for k in range(len(w) + 1):
+            prefix = (secrets.length_symbol(len(w)), *w[:k])
+            want[prefix] = want.get(prefix, 0) + 1
+    assert all(want[p] == n for p, n in counts.items())
+    assert all(p in counts for p, n in want.items() if n > 1 or len(p) <= 8)
+    monkeypatch.setattr(secrets, "MOST_NODES", 25)
+    few = secrets._trees(values, lambda kind, value, h, n: [(0, value)], f"file://{tmp_path}/few")[0]
+    assert len(few) == 25 and {e[0] for e in few} <= {secrets.ROOT, *(e[2] for e in few)} and min(e[3] for e in few) >= sorted(want.values())[-25]
