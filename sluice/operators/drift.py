@@ -13,11 +13,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.missing import finite_or_null
 from ..sources.storage import read_bytes, storage_of
-from .ordering import key_ranges, running_totals
+from .ordering import by_ranges, running_totals, totals_before
 
 N_QUANTILES = 401
 
@@ -70,10 +70,9 @@ def grids_of(long: DataFrame, steps: int, keep: Sequence[str] = ()) -> DataFrame
     is the lower neighbour of the quantiles k with a <= floor(k (n - 1) / steps) <= b, and the upper one likewise.
     """
     by = [*keep, "column"]
-    ranges = key_ranges(long, [F.col("value")])
     facts = long.groupBy(*by).agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.count("*").alias("n"))
     counts = long.groupBy(*by, "value").agg(F.count("*").alias("c"))
-    cumulated = running_totals(counts, [F.col("value")], {"upto": F.col("c")}, by, ranges)
+    cumulated = running_totals(counts, [F.col("value")], {"upto": F.col("c")}, by)
     q, last = F.lit(steps).cast("long"), F.greatest(F.col("n") - 1, F.lit(1))
 
     def least(rank: Column) -> Column:
@@ -111,20 +110,20 @@ def ks_long(sample: DataFrame, reference: DataFrame, by: Sequence[str] = ()) ->
     ``sample`` has (by..., column, value), ``reference`` (column, value). Every group of the sample is
     compared with the whole reference of its column; groups whose column has no reference give NaN.
     """
-    key = [F.col("value")]
-    ranges = key_ranges(sample.select("value"), key)
     values = sample.groupBy(*by, "column", "value").agg(F.count("*").alias("s"))
-    groups = values.groupBy(*by, "column").agg(F.sum("s").alias("n_s"))
     base = reference.groupBy("column", "value").agg(F.count("*").alias("r"))
-    # The reference is cumulated once, at its own values and at those of all groups.
-    points = base.unionByName(sample.select("column", "value").distinct().withColumn("r", F.lit(0).cast("long"))).groupBy("column", "value").agg(F.sum("r").alias("r"))
-    expected = running_totals(points, key, {"cr": F.col("r")}, ["column"], ranges)
-    seen = running_totals(values, key, {"cs": F.col("s")}, [*by, "column"], ranges)
-    sizes = base.groupBy("column").agg(F.sum("r").alias("n_r"))
-    gaps = seen.join(expected, ["column", "value"]).join(groups, [*by, "column"]).join(F.broadcast(sizes), "column")
+    # Values of all groups and of the reference lie in the same ranges, so one pass cumulates both sides.
+    stored = by_ranges(values.withColumn("r", F.lit(0).cast("long")).unionByName(base.withColumn("s", F.lit(0).cast("long")), allowMissingColumns=True), [F.col("column"), F.col("value")])
+    groups = stored.filter("s > 0").groupBy(*by, "column").agg(F.sum("s").alias("n_s"))
+    sizes = stored.groupBy("column").agg(F.sum("r").alias("n_r")).filter("n_r > 0")
+    own, whole = (Window.partitionBy(*key, "column", "_range").orderBy("value").rangeBetween(Window.unboundedPreceding, 0) for key in (by, ()))
+    local = stored.withColumns({"cs": F.sum("s").over(own), "cr": F.sum("r").over(whole), "here": F.sum("r").over(Window.partitionBy("column", "_range", "value"))})
+    seen, expected = (totals_before(stored, {n: F.col(n)}, key).drop("_first") for n, key in (("s", [*by, "column"]), ("r", ["column"])))
+    gaps = local.filter("s > 0").join(seen, [*by, "column", "_range"]).join(expected, ["column", "_range"]).join(groups, [*by, "column"]).join(F.broadcast(sizes), "column")
+    cs, cr = F.col("cs") + F.col("_before_s"), F.col("cr") + F.col("_before_r")
     # Between two values of the sample its share stands still, so the gap is widest at a value or just before one.
-    at = F.abs(F.col("cs") / F.col("n_s") - F.col("cr") / F.col("n_r"))
-    before = F.abs((F.col("cs") - F.col("s")) / F.col("n_s") - (F.col("cr") - F.col("r")) / F.col("n_r"))
+    at = F.abs(cs / F.col("n_s") - cr / F.col("n_r"))
+    before = F.abs((cs - F.col("s")) / F.col("n_s") - (cr - F.col("here")) / F.col("n_r"))
     found = gaps.groupBy(*by, "column").agg(F.max(F.greatest(at, before)).alias("ks"))
     return groups.join(found, [*by, "column"], "left").select(*by, "column", F.coalesce("ks", F.lit(float("nan"))).alias("ks"))
 

@@ -1,63 +1,63 @@
 """Global ranks and running totals without a global window.
 
-Rows are dealt to ranges of the sort key, cut at a bounded sample's quantiles; a window runs within each
-range, and totals of the ranges before it are added. The cuts only balance the work: the result doesn't
-depend on them. Keys include the row id, so even equal values are spread over ranges.
+Spark deals the rows to ranges of the sort key, and they are stored in that order once, each with its range and its place. What is
+asked for is then counted from the stored rows: totals of the ranges before are added to places or windows within a range. The cuts are
+Spark's own and don't show in the plan; they only balance the work, the result doesn't depend on them. A group ``within`` is part of
+the key, so one that holds most rows is spread over ranges like any other.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-#: Sampled keys for each range.
-SAMPLE_PER_RANGE = 32
+from ..functions.shared import shared_root
 
 
-def key_ranges(df: DataFrame, keys: Sequence[Column]) -> Column:
-    """The number of the range that a row's key lies in; the ranges balance the rows of ``df``.
-
-    It may be used on other frames that have the keys' columns.
-    """
+def by_ranges(df: DataFrame, keys: Sequence[Column], within: Sequence[str] = ()) -> DataFrame:
+    """``df``, stored by ranges of the keys: with the columns _range and _at, places that ascend within a range."""
     spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = F.struct(*(k.alias(f"k{i}") for i, k in enumerate(keys)))
-    rows = df.select(key.alias("key")).orderBy(F.xxhash64("key")).limit(SAMPLE_PER_RANGE * parts)
-    # Sorted by Spark, whose order of NaN and null differs from Python's.
-    sample = [r.key for r in rows.orderBy("key").collect()]
-    if len(sample) < 2 * parts:
-        return F.lit(0)
-    kinds = [f.dataType for f in rows.schema["key"].dataType.fields]
-    cuts = [sample[k * len(sample) // parts] for k in range(1, parts)]
-    bounds = F.array(*(F.struct(*(F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(c, kinds, strict=True)))) for c in cuts))
-    return F.size(F.filter(bounds, lambda b: b <= key))
-
-
-def running_totals(df: DataFrame, keys: Sequence[Column], totals: dict[str, Column], within: Sequence[str] = (), ranges: Column | None = None) -> DataFrame:
-    """``df`` with the sums of ``totals`` over all rows up to each row in the order of ``keys``, by group ``within``.
-
-    ``ranges`` are those of ``key_ranges``, if they are known already; else ``df`` is sampled for them, which computes it once more.
-    """
-    ranged = df.withColumn("_range", key_ranges(df, keys) if ranges is None else ranges)
-    sums = ranged.groupBy(*within, "_range").agg(*(F.sum(c).alias(f"_sum_{n}") for n, c in totals.items()))
-    # One row for each group and range: groups of a bounded kind times the number of partitions.
+    names = [f"_key{i}" for i in range(len(keys))]
+    keyed = df.withColumns(dict(zip(names, keys, strict=True)))
+    order = [F.col(c).asc_nulls_first() for c in (*within, *names)]
+    dealt = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = dealt.withColumns({"_range": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}).drop(*names)
+    path = f"{shared_root(spark)}/sluice-work/ordering-{uuid.uuid4().hex}"
+    placed.write.mode("overwrite").parquet(path)
+    return spark.read.schema(placed.schema).parquet(path)
+
+
+def totals_before(stored: DataFrame, totals: dict[str, Column], within: Sequence[str] = ()) -> DataFrame:
+    """(within..., _range, _first, _before_<name>...): of each group and range the first place, and the sums over the ranges before it."""
+    sums = stored.groupBy(*within, "_range").agg(F.min("_at").alias("_first"), *(F.sum(c).alias(f"_sum_{n}") for n, c in totals.items()))
+    # One row for each range and for each group that begins in it.
     before = Window.partitionBy(*within).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*within, "_range", *(F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_before_{n}") for n in totals))
-    if within:
-        same = [ranged[c].eqNullSafe(offsets[c]) for c in within] + [ranged["_range"] == offsets["_range"]]
-        joined = ranged.join(offsets, same).select(ranged["*"], *(offsets[f"_before_{n}"] for n in totals))
-    else:
-        joined = ranged.join(offsets, "_range")
-    order = Window.partitionBy(*within, "_range").orderBy(*(k.asc() for k in keys)).rowsBetween(Window.unboundedPreceding, 0)
+    return sums.select(*within, "_range", "_first", *(F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_before_{n}") for n in totals))
+
+
+def _with_offsets(stored: DataFrame, offsets: DataFrame, within: Sequence[str]) -> DataFrame:
+    """``stored`` with what ``offsets`` has for its group and range; null is a group."""
+    other = offsets.select(*(F.col(c).alias(f"_of_{c}") for c in (*within, "_range")), *(c for c in offsets.columns if c not in (*within, "_range")))
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in within] + [F.col("_range") == F.col("_of__range")]
+    return stored.join(other, same).drop(*(f"_of_{c}" for c in (*within, "_range")))
+
+
+def running_totals(df: DataFrame, keys: Sequence[Column], totals: dict[str, Column], within: Sequence[str] = ()) -> DataFrame:
+    """``df`` with the sums of ``totals`` over all rows up to each row in the order of ``keys``, by group ``within``."""
+    stored = by_ranges(df, keys, within)
+    joined = _with_offsets(stored, totals_before(stored, totals, within), within)
+    order = Window.partitionBy(*within, "_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     out = joined.withColumns({n: F.sum(c).over(order) + F.col(f"_before_{n}") for n, c in totals.items()})
-    return out.drop("_range", *(f"_before_{n}" for n in totals))
+    return out.drop("_range", "_at", "_first", *(f"_before_{n}" for n in totals))
 
 
 def global_rank(df: DataFrame, keys: Sequence[Column], name: str = "rank", within: Sequence[str] = ()) -> DataFrame:
-    """``df`` with the 0-based position of each row in the order of ``keys``, which must have no ties."""
-    ranked = running_totals(df, keys, {name: F.lit(1).cast("long")}, within)
-    return ranked.withColumn(name, (F.col(name) - 1).cast("long"))
+    """``df`` with the 0-based position of each row in the order of ``keys``; the first rows of equal keys are any of them."""
+    stored = by_ranges(df.drop(name), keys, within)
+    placed = _with_offsets(stored, totals_before(stored, {"n": F.lit(1).cast("long")}, within), within)
+    return placed.withColumn(name, (F.col("_before_n") + F.col("_at") - F.col("_first")).cast("long")).drop("_range", "_at", "_first", "_before_n")
 
 
 def value_keys(value: Column, row_id: Column, largest: bool) -> list[Column]:
