@@ -214,7 +214,7 @@ class Trainer:
         p = self.params
         seed = int(p.get("random_state", 0) or 0)
         if self.estimator in FORESTS:
-            made = RandomForestRegressor(numTrees=int(p.get("n_estimators", 100)), maxDepth=int(p.get("max_depth") or 12), maxBins=int(p.get("max_bins", 64)), seed=seed, featureSubsetStrategy="all")
+            made = RandomForestRegressor(numTrees=int(p.get("n_estimators", 100)), maxDepth=int(p.get("max_depth") or 12), maxBins=int(p.get("max_bins", 64)), seed=seed, featureSubsetStrategy="all", bootstrap=bool(p.get("bootstrap", True)))
         elif self.estimator in BOOSTED:
             made = GBTRegressor(maxIter=int(p.get("max_iter", p.get("n_estimators", 50))), maxDepth=int(p.get("max_depth") or 5), seed=seed)
         else:
