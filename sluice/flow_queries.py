@@ -6,13 +6,12 @@ What a flow keeps in files, it keeps below the session's shared folder here.
 from __future__ import annotations
 
 import json
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions.identity import config_hash, rows_hash
-from .functions.shared import shared_root
+from .functions.shared import work_folder as folder
 from .operators.decisions import Versions, merge_decisions
 from .operators.drift import freeze_reference, quantile_grids
 from .operators.gates import CompositeGate, DriftGate, Gate, GateContext, NoTargetRegressionGate, SignificanceGate, drift_threshold, promotion_gate, shortlist_gate, validation_gate
@@ -31,11 +30,7 @@ from .sources.storage import join, read_bytes, storage_of
 from .streaming.arrival import new_contents, stream_arrivals, unseen
 
 
-__all__ = ["ORACLE_SQL", "QUERIES"]
-
-
-def folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/sluice-work/{name}-{uuid.uuid4().hex}"
+__all__ = ["ORACLE_SQL", "QUERIES", "folder"]
 
 
 # ---- reports of models ----
@@ -303,12 +298,13 @@ def chunk_drift_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH k AS ({_KS}), z AS (SELECT o_orderkey % 50 AS size, count(*) AS n FROM orders GROUP BY ALL),
 d AS (SELECT stddev_pop(o_totalprice) AS a, stddev_pop((o_custkey % 97)::DOUBLE) AS b FROM orders)
 SELECT u.name, round(u.value, 6) AS value FROM (SELECT count(*) AS n FROM orders) o, (SELECT max(n) AS n FROM z) z, d, (SELECT max(ks) AS ks FROM k) k,
-LATERAL (VALUES ('n_rows', o.n::DOUBLE), ('n_largest', z.n::DOUBLE), ('scale_orders', round_even(log10(greatest(a, b) / least(a, b)), 2)), ('max_ks', ks)) u(name, value)""")
+LATERAL (VALUES ('n_rows', o.n::DOUBLE), ('n_largest', z.n::DOUBLE), ('scale_orders', round_even(log10(greatest(a, b) / least(a, b)), 2)), ('max_ks', ks), ('r2_price', (SELECT regr_r2(o_totalprice, o_orderkey % 50) FROM orders)), ('r2_bucket', (SELECT regr_r2((o_custkey % 97)::DOUBLE, o_orderkey % 50) FROM orders))) u(name, value)""")
 def headline_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The headline numbers of a table, one row each."""
     rows = orders_by_year(spark, sf_dir).select(F.col("o_orderkey").alias("row_id"), F.col("year").cast("string").alias("chunk_id"), "price", "bucket", F.pmod("o_orderkey", F.lit(50)).alias("size"))
     found = findings(rows, rows, ["price", "bucket"], "size", ["size"])
     numbers = {"n_rows": found["n_rows"], "n_largest": found["fraction_largest"] * found["n_rows"], "scale_orders": found["scale_orders"], "max_ks": found["max_ks"]}
+    numbers |= {f"r2_{c}": r2 for c, r2 in found["r2_from_counts"].items()}
     return spark.createDataFrame([(k, round(float(v), 6)) for k, v in numbers.items()], "name string, value double")
 
 
@@ -357,12 +353,14 @@ def last_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows_of_last(yearly(spark, sf_dir), 2).select("o_orderkey", "chunk_id")
 
 
-@query("SELECT doc_id, lang FROM documents WHERE lang <> 'en' AND text IN (SELECT text FROM documents WHERE lang = 'en') UNION ALL SELECT item_id, 'benchmark' FROM benchmark WHERE text IN (SELECT text FROM benchmark)")
+@query("""SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND text IN (SELECT text FROM documents WHERE doc_id IN (SELECT doc_id FROM labels))
+UNION ALL SELECT item_id, 'benchmark' FROM benchmark WHERE text IN (SELECT text FROM documents)""")
 def leaking_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Golden rows that training rows repeat."""
-    docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    a = leakage(docs.filter("lang = 'en'"), docs.filter("lang <> 'en'").select("doc_id", "lang", "text"), ["text"])
-    b = leakage(bench, bench.select(F.col("item_id").alias("doc_id"), F.lit("benchmark").alias("lang"), "text"), ["text"])
+    """Golden rows that training rows repeat: documents without labels that have the text of one with, and benchmark items that are documents."""
+    docs, bench, labels = (table(spark, sf_dir, n) for n in ("documents", "benchmark", "labels"))
+    labelled, others = docs.join(labels, "doc_id", "left_semi"), docs.join(labels, "doc_id", "left_anti")
+    a = leakage(labelled, others.select("doc_id", "lang", "text"), ["text"])
+    b = leakage(docs, bench.select(F.col("item_id").alias("doc_id"), F.lit("benchmark").alias("lang"), "text"), ["text"])
     return a.select("doc_id", "lang").unionByName(b.select("doc_id", "lang"))
 
 

@@ -5,18 +5,21 @@ Features take few values and targets depend on nothing else, so trees learn them
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .flow_queries import folder
+from .flow_queries import _CUSTOMERS, _SLICED, SLICES, customers, folder
+from .functions.tables import register_tables
 from .operators.modelling import FEATURES, BoundModel, Featurizer, Trainer, featurizer_from_config, load_stage, save_artifacts, trainer_from_config
-from .operators.metrics import bootstrap_shares, exact_resampled_means
+from .operators.metrics import bootstrap_shares, exact_resampled_means, slice_names, to_long
 from .operators.sampling import stratified_quotas
+from .operators.stages import FeaturizerStage, TrainerStage
 from .queries import query, table
 from .sources.registry import ModelRegistry
 from .sources.storage import join, storage_of
 
-__all__ = ["bound_models", "boosted_scores", "exact_resamples", "forest_agreement", "registry_recovery", "stratified_quota_table", "unusable_models"]
+__all__ = ["bound_models", "boosted_scores", "exact_resamples", "forest_agreement", "pipeline_stages", "registry_recovery", "slices_by_table_function", "stratified_quota_table", "unusable_models"]
 
 TARGETS = ["steps", "product"]
 _CELLS = "c AS (SELECT o_orderkey AS row_id, (o_custkey % 5)::DOUBLE AS a, (o_orderkey % 4)::DOUBLE AS b FROM orders), t AS (SELECT row_id, a, b, 10 * a + b AS steps, a * b + a AS product FROM c)"
@@ -135,3 +138,24 @@ def registry_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
         storage_of(registry.root).create(join(registry.root, "events", f"{registry.state().last + 1:08d}.json"), b'{"model": {"vers' if k % 2 else b"")
     frame = registry.as_frame(spark)
     return frame.select("version", "stage", "sequence", F.get_json_object("metrics", "$.orders").cast("long").alias("orders"))
+
+
+@query(f"WITH {_CELLS} SELECT row_id, steps AS pred_steps, product AS pred_product FROM t")
+def pipeline_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Featurizer and trainer as stages of a pipeline that is fitted, saved, loaded and applied."""
+    rows, path = cells(spark, sf_dir), folder(spark, "stages")
+    stages = [FeaturizerStage(columns=["a", "b"]), TrainerStage(targets=TARGETS, settings={"n_estimators": 3, "max_depth": 6})]
+    Pipeline(stages=stages).fit(rows).write().overwrite().save(path)
+    made = PipelineModel.load(path).transform(rows.select("row_id", "a", "b"))
+    return made.select("row_id", *(F.round(f"pred_{t}", 6).alias(f"pred_{t}") for t in TARGETS))
+
+
+@query(f"WITH {_CUSTOMERS}, {_SLICED} SELECT target, slice, count(*) AS n, round(avg(abs(new - y)), 6) AS mae FROM s GROUP BY ALL")
+def slices_by_table_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors of each slice by a table function in SQL; each target's rows are dealt to parts."""
+    register_tables(spark)
+    rows = customers(spark, sf_dir)
+    long = to_long(rows, ["balance", "nation"], {t: f"new_{t}" for t in ("balance", "nation")}, slices=slice_names(SLICES, rows.columns))
+    errors = long.select("target", "slices", (F.col("pred") - F.col("y")).alias("error"), F.pmod(F.xxhash64("row_id"), F.lit(32)).alias("part"))
+    found = spark.sql("SELECT target, slice, sum(n) AS n, sum(total) / sum(n) AS mae FROM slice_sums(TABLE({errors}) PARTITION BY (target, part)) GROUP BY target, slice", errors=errors)
+    return found.select("target", "slice", "n", F.round("mae", 6).alias("mae"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import math
-import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from pathlib import Path
@@ -15,7 +14,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForest
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.identity import short_hash
-from ..functions.shared import shared_root
+from ..functions.shared import work_folder
 from ..functions.smiles import DESCRIPTORS, structure_features
 from ..sources.manifest import write_json
 from ..sources.storage import absolute, join, read_bytes
@@ -182,7 +181,7 @@ class RegressionModel:
         """The node tables, read from where the model is saved; one that isn't is saved in the session's shared folder."""
         if self.flat is None:
             if self.saved is None:
-                self.save(f"{shared_root(spark)}/sluice-work/forest-{uuid.uuid4().hex}")
+                self.save(work_folder(spark, "forest"))
             self.flat = FlatForest.read(spark, [(t, f"{self.saved}/{t}") for t in self.targets])
         return self.flat
 

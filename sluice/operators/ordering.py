@@ -8,12 +8,11 @@ the key, so one that holds most rows is spread over ranges like any other.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.shared import shared_root
+from ..functions.shared import work_folder
 
 
 def by_ranges(df: DataFrame, keys: Sequence[Column], within: Sequence[str] = ()) -> DataFrame:
@@ -24,7 +23,7 @@ def by_ranges(df: DataFrame, keys: Sequence[Column], within: Sequence[str] = ())
     order = [F.col(c).asc_nulls_first() for c in (*within, *names)]
     dealt = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = dealt.withColumns({"_range": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}).drop(*names)
-    path = f"{shared_root(spark)}/sluice-work/ordering-{uuid.uuid4().hex}"
+    path = work_folder(spark, "ordering")
     placed.write.mode("overwrite").parquet(path)
     return spark.read.schema(placed.schema).parquet(path)
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import combinations
 from typing import Any
 
 import numpy as np
@@ -12,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.missing import finite_or_null
 from .decisions import GateDecision
 from .drift import ks_long, long_form
+from .matrices import correlations
 
 #: Bounds of R² from element counts, and what they say.
 COUNTING, SIZE = 0.99, 0.9
@@ -79,13 +79,7 @@ def dominance_verdict(r2: float) -> str:
 
 def target_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(a, b, r) for each pair of columns, over rows where both are finite."""
-    pairs = list(combinations(columns, 2))
-    aggs = []
-    for a, b in pairs:
-        x, y = finite_or_null(F.col(a)), finite_or_null(F.col(b))
-        aggs.append(F.corr(F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)).alias(f"{a}|{b}"))
-    row = df.agg(*aggs)
-    return row.select(F.inline(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"`{a}|{b}`").alias("r")) for a, b in pairs))))
+    return correlations(df, columns)
 
 
 def chunk_drift(chunks: DataFrame, reference: DataFrame, columns: Sequence[str], chunk: str = "chunk_id") -> DataFrame:
@@ -145,10 +139,10 @@ def slice_table(registry: DataFrame, version: str, eval_set: str = "golden") ->
     return parsed.select(F.explode("m.slices").alias("slice", "v")).select("slice", F.col("v.normalized_mae").alias("normalized_mae"), F.col("v.n").alias("n"))
 
 
-def findings(raw: DataFrame, chunks: DataFrame, targets: Sequence[str], size: str, counts: Sequence[str], row_id: str = "row_id", head: int = 20_000) -> dict[str, Any]:
-    """The headline numbers of a data set; dominance is measured on the first ``head`` rows."""
+def findings(raw: DataFrame, chunks: DataFrame, targets: Sequence[str], size: str, counts: Sequence[str], row_id: str = "row_id", head: int | None = None) -> dict[str, Any]:
+    """The headline numbers of a data set; dominance is measured on all rows, or on those with a row id below ``head``."""
     profile = size_profile(raw, size, row_id).orderBy(F.desc("n")).first()
-    first = raw.filter(F.col(row_id) < head)
+    first = raw if head is None else raw.filter(F.col(row_id) < head)
     lowest = chunks.agg(F.min("chunk_id")).first()[0]
     drift = chunk_drift(chunks, chunks.filter(F.col("chunk_id") == lowest), targets)
     worst = drift.filter(~F.isnan("ks")).groupBy("chunk_id").agg(F.max("ks").alias("ks")).orderBy("chunk_id").collect()

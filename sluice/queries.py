@@ -5,14 +5,13 @@ Floating results are rounded to a fixed number of places, as sums run in another
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .functions.identity import rows_hash
 from .functions.missing import is_missing
-from .functions.shared import shared_root
+from .functions.shared import work_folder
 from .operators.drift import ks_long, long_form, psi_long, quantile_grids
 from .operators.gates import DuplicateGate, GateContext, MinRowsGate, PredicateGate, PropertyThresholdGate, SchemaGate, TargetMissingGate, TopKGate, UncertaintyGate, CompositeGate
 from .operators.metrics import regression_metrics, slice_metrics, slice_names
@@ -454,7 +453,7 @@ def forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, count(*) AS n, round(avg(value), 6) AS mean FROM events GROUP BY ALL""")
 def streamed_event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly windows of the event table read as a stream until it is used up."""
-    path = f"{shared_root(spark)}/windows-{uuid.uuid4().hex}"
+    path = work_folder(spark, "windows")
     stream = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parq*")
     windows = windowed_statistics(stream, "ts", "value", "1 hour", watermark="1 hour")
     running = windows.writeStream.outputMode("complete").option("checkpointLocation", f"{path}/progress").trigger(availableNow=True)
