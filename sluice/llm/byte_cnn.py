@@ -35,6 +35,8 @@ CHUNK, OVERLAP = 512, 64
 DIMENSIONS, TAPS, STRIDE, FILTERS, HIDDEN = 4, 8, 2, 16, 8
 DOCS_PER_CLASS, DRAWS = 1200, 16_000
 STEPS, BATCH, RATE = 1000, 64, 0.01
+#: Bytes that are scored together; they take some 110 bytes each while they are.
+BLOCK = 1 << 18
 
 
 def chunk_starts(n: int) -> np.ndarray:
@@ -111,27 +113,41 @@ class ByteCnn:
                 v += 0.001 * (g * g - v)
                 p -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
 
+    def chunk_logits(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Logits of all chunks of some texts' bytes, one text after the other, and how many chunks each text has."""
+        sizes = np.array([len(t) for t in texts])
+        gaps = np.maximum(TAPS, sizes + sizes % STRIDE)  # every text begins at a place that the stride meets
+        bounds = np.concatenate([[0], np.cumsum(gaps)])
+        part = np.zeros(int(bounds[-1]) + TAPS, dtype=np.uint8)
+        for at, text in zip(bounds.tolist(), texts, strict=False):
+            part[at : at + len(text)] = text
+        response = np.concatenate([self.responses(part), np.zeros((1, FILTERS), dtype=np.float32)])
+        starts = [chunk_starts(n) for n in sizes.tolist()]
+        counts = np.array([len(s) for s in starts])
+        local = np.concatenate(starts)
+        base = np.repeat(bounds[:-1], counts)
+        length = np.minimum(CHUNK, np.repeat(sizes, counts) - local)
+        lo = (base + local) // STRIDE
+        hi = lo + np.maximum(1, (length - TAPS) // STRIDE + 1)
+        pooled = np.maximum.reduceat(response, np.stack([lo, hi], axis=1).ravel())[::2]
+        return self.head(pooled, length)[2], counts
+
+    def mean_logit(self, text: np.ndarray) -> float:
+        """Of a text's chunks, some BLOCK bytes at a time; a part holds whole chunks, so they are those of the text."""
+        starts, step = chunk_starts(len(text)), BLOCK // CHUNK
+        parts = (text[starts[k] : starts[min(k + step, len(starts)) - 1] + CHUNK] for k in range(0, len(starts), step))
+        return sum(float(self.chunk_logits([part])[0].sum(dtype=np.float64)) for part in parts) / len(starts)
+
     def scores(self, column: pa.Array) -> Iterator[np.ndarray]:
-        """Probabilities of a column's texts, block by block."""
+        """Probabilities of a column's texts, block by block; memory is bounded by a block, whatever a text's length."""
         offsets, data = text_buffers(column)
-        for i, j in blocks(offsets, 1 << 18):
-            sizes = np.diff(offsets[i : j + 1])
-            gaps = np.maximum(TAPS, sizes + sizes % STRIDE)  # every text begins at a place that the stride meets
-            bounds = np.concatenate([[0], np.cumsum(gaps)])
-            part = np.zeros(int(bounds[-1]) + TAPS, dtype=np.uint8)
-            for k, n in enumerate(sizes.tolist()):
-                part[bounds[k] : bounds[k] + n] = data[offsets[i + k] : offsets[i + k] + n]
-            response = np.concatenate([self.responses(part), np.zeros((1, FILTERS), dtype=np.float32)])
-            starts = [chunk_starts(n) for n in sizes.tolist()]
-            counts = np.array([len(s) for s in starts])
-            local = np.concatenate(starts)
-            base = np.repeat(bounds[:-1], counts)
-            length = np.minimum(CHUNK, np.repeat(sizes, counts) - local)
-            lo = (base + local) // STRIDE
-            hi = lo + np.maximum(1, (length - TAPS) // STRIDE + 1)
-            pooled = np.maximum.reduceat(response, np.stack([lo, hi], axis=1).ravel())[::2]
-            logits = self.head(pooled, length)[2]
-            mean = np.add.reduceat(logits, np.cumsum(counts) - counts) / counts
+        for i, j in blocks(offsets, BLOCK):
+            texts = [data[offsets[k] : offsets[k + 1]] for k in range(i, j)]
+            if len(texts) == 1 and len(texts[0]) > BLOCK:
+                mean = np.array([self.mean_logit(texts[0])])
+            else:
+                logits, counts = self.chunk_logits(texts)
+                mean = np.add.reduceat(logits, np.cumsum(counts) - counts) / counts
             yield 1 / (1 + np.exp(-(mean.astype(np.float64) + self.offset)))
 
 

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -119,3 +120,28 @@ def test_draws_come_from_the_whole_text(spark, monkeypatch):
     byte_cnn.train(docs, spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int"), folds=10**9)
     firsts = {bytes(x[:8]) for x in seen["data"]}
     assert len(seen["data"]) == len(chunk_starts(len(long))) + 2 == len(firsts) + 0 and seen["weights"].sum() == pytest.approx(1)
+
+
+@pytest.mark.parametrize("block", [CHUNK, 1000, 4096])
+def test_long_texts_are_scored_whole_in_parts(monkeypatch, block):
+    """Parts of a long text are the text's own chunks: any block gives the score of one block for all of it."""
+    rng = np.random.default_rng(9)
+    texts = ["".join(map(chr, rng.integers(32, 1000, n))) for n in (3000, 5, 20_000, 448, 513, 12_345)]
+    model = ByteCnn(3)
+    whole = np.concatenate([*model.scores(pa.array(texts))])
+    monkeypatch.setattr(byte_cnn, "BLOCK", block)
+    assert np.concatenate([*model.scores(pa.array(texts))]) == pytest.approx(whole, rel=1e-6)
+    changed = texts[2][:-1] + "~" * 9  # the end counts too
+    assert np.concatenate([*model.scores(pa.array([changed]))])[0] != pytest.approx(whole[2], rel=1e-9)
+
+
+def test_memory_does_not_grow_with_a_text():
+    model, rng = ByteCnn(3), np.random.default_rng(1)
+    peaks = []
+    for mb in (2, 24):
+        column = pa.array([rng.integers(97, 122, mb << 20).astype(np.uint8).tobytes().decode()])
+        tracemalloc.start()
+        assert len(np.concatenate([*model.scores(column)])) == 1
+        peaks.append(tracemalloc.get_traced_memory()[1] / 2**20)
+        tracemalloc.stop()
+    assert peaks[1] < peaks[0] + 30 and peaks[1] < 150  # MB; starts of chunks are all that grows
