@@ -36,6 +36,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .components import connected_components
@@ -149,15 +150,23 @@ class Codes:
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(vec_id, sid, v): digest and doubles of each valid vector; null otherwise."""
     for batch in batches:
-        digests, raws = [], []
-        for x in batch.column(1).to_pylist():
-            v = None if x is None or not x or any(c is None for c in x) else np.array(x, dtype=np.float64)
-            if v is not None:
-                top = np.abs(v).max()
-                v = v / top if np.isfinite(v).all() and top > 0 else None  # large components must not overflow
-            raws.append(None if v is None else v.tobytes())
-            digests.append(None if v is None else hashlib.blake2b(raws[-1], digest_size=16).digest())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(raws, pa.binary())], names=["vec_id", "sid", "v"])
+        if not batch.num_rows:
+            continue
+        vectors = batch.column(1)
+        ends = vectors.offsets.to_numpy().astype(np.int64)
+        values = vectors.values.slice(ends[0], ends[-1] - ends[0]).to_numpy(zero_copy_only=False).astype(np.float64)  # nulls are NaN
+        ends = ends - ends[0]
+        sizes, full = np.diff(ends), np.diff(ends) > 0
+        size = np.abs(values)
+        top = np.zeros(len(sizes))
+        top[full] = np.maximum.reduceat(size, ends[:-1][full]) if full.any() else 0
+        good = vectors.is_valid().to_numpy(zero_copy_only=False) & np.isfinite(top) & (top > 0)
+        raw = (values / np.repeat(np.where(good, top, 1.0), sizes)).tobytes()  # large components must not overflow
+        whole = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer((8 * ends).astype(np.int32).tobytes()), pa.py_buffer(raw)])
+        view = memoryview(raw)
+        digests = [hashlib.blake2b(view[8 * a : 8 * b], digest_size=16).digest() if ok else None for a, b, ok in zip(ends[:-1].tolist(), ends[1:].tolist(), good.tolist(), strict=True)]
+        columns = [batch.column(0), pa.array(digests, pa.binary()), pc.if_else(pa.array(good), whole, pa.scalar(None, pa.binary()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "sid", "v"])
 
 
 def _units(raws: list[bytes]) -> np.ndarray:

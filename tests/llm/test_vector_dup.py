@@ -153,3 +153,20 @@ def test_rotation_keeps_lengths():
 
 def test_empty(spark):
     assert near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_rows_of_a_slice_equal_those_of_lists():
+    """Valid vectors by loops; batches may be slices, with nulls at any place."""
+    import pyarrow as pa
+
+    lists = [[1.0, -2.0], None, [], [0.0, 0.0], [float("nan"), 1.0], [None, 1.0], [float("inf"), 1.0], [1e300, 1e300], [-0.0, 3.0, 1e-300], [5.0]]
+    for vectors in (lists, lists[::-1], lists[2:3], lists[4:7]):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(vectors) + 2)), pa.array([[9.0], *vectors, [8.0]], pa.list_(pa.float64()))], names=["vec_id", "embedding"])
+        (found,) = vector_dup._rows(iter([batch.slice(1, len(vectors))]))
+        want = []
+        for x in vectors:
+            ok = x and all(c is not None and math.isfinite(c) for c in x) and any(x)
+            v = np.array(x, dtype=np.float64) / np.abs(x).max() if ok else None
+            want.append(None if v is None else v.tobytes())
+        assert found.column("v").to_pylist() == want and found.column("vec_id").to_pylist() == list(range(1, len(vectors) + 1))
+        assert [d is None for d in found.column("sid").to_pylist()] == [w is None for w in want]
