@@ -2,30 +2,22 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.shared import shared_root
+from ..functions.shared import clear_work, work_folder
 from ..functions.shipping import ship
 
 __all__ = ["clear_work", "fresh_names", "settle", "ship", "work_dir"]
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for one run's tables below ``spark.checkpoint.dir``.
+    """A fresh folder for one run's tables below ``spark.checkpoint.dir``, shared by driver and executors.
 
-    The folder is shared by driver and executors. Results are read from it lazily, so it is the caller who
-    clears it (``clear_work``) when results have been used.
+    Results are read from it lazily, so it is the caller who clears it (``clear_work``) when results have been used.
     """
-    return f"{shared_root(spark)}/sluice-work/{name}-{uuid.uuid4().hex}"
-
-
-def clear_work(spark: SparkSession) -> None:
-    """Removes all intermediate tables of this library below ``spark.checkpoint.dir``, also those of other sessions."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/sluice-work")
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+    return work_folder(spark, name)
 
 
 def fresh_names(taken: Iterable[str], *wanted: str) -> list[str]:
