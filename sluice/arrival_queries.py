@@ -89,9 +89,9 @@ def quiet_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
             time.sleep(0.1)
         query.stop()
 
-    run(4.0, lambda q: bool(q.lastProgress) and sum(p.numInputRows for p in q.recentProgress) > len(years))
+    run(12.0, lambda q: bool(q.lastProgress) and sum(p.numInputRows for p in q.recentProgress) > len(years))
     pending = not seen
-    run(4.0, lambda _: len(seen) >= len(years))
+    run(1.0, lambda _: len(seen) >= len(years))
     times = spark.createDataFrame([(v, pending) for v in seen], "data_version string, pending boolean").groupBy("data_version", "pending").agg(F.count("*").alias("times"))
     sizes = chunk_folder(spark, path).groupBy("chunk_id", "data_version").agg(F.count("*").alias("n")).groupBy("data_version").agg(F.max("n").alias("n_rows"))
     return times.join(sizes, "data_version").select("data_version", "times", "n_rows", "pending")

@@ -118,10 +118,10 @@ def test_pending_files_survive_a_restart(spark, tmp_path, chunks):
             time.sleep(0.05)
         query.stop()
 
-    watch(5.0, lambda q: sum(p.numInputRows for p in q.recentProgress) >= 3)
+    watch(20.0, lambda q: sum(p.numInputRows for p in q.recentProgress) >= 3)
     assert seen == []
     edit_unseen(chunks, "chunk_1.csv", "name,other\nF,6\n")  # before it was due: only the last content counts
     put(chunks, "chunk_7.csv", "name,other\nF,6\n")
-    watch(5.0, lambda _: len(seen) >= 3)
+    watch(2.0, lambda _: len(seen) >= 3)
     assert len(seen) == 3 and {v for _, v in seen} == {version('name,gap\nA,1.5\nNA,x\n"q,\nz",\n'), version("name,other\nF,6\n"), version("")}
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
