@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from .flow_queries import _FROZEN, folder
 from .operators.drift import drift_statistics, freeze_reference, ks_long, long_form
@@ -82,16 +81,17 @@ def quiet_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     order_chunks(spark, sf_dir, path, {str(y): y for y in years} | {"copy": years[1]})
     seen: list[str] = []  # a version for each file
 
-    def run(wait: float, until) -> None:
-        query = watch_quiet(spark, path, join(kept, "progress"), lambda batch, _: seen.extend(r.data_version for r in batch.collect()), wait, "0 seconds")
-        end = time.monotonic() + 120
-        while not until(query) and time.monotonic() < end and query.isActive:
-            time.sleep(0.1)
-        query.stop()
+    def watch(wait: float, only_new: bool = False) -> StreamingQuery:
+        return watch_quiet(spark, path, join(kept, "progress"), lambda batch, _: seen.extend(r.data_version for r in batch.collect()), wait, "0 seconds", only_new=only_new)
 
-    run(12.0, lambda q: bool(q.lastProgress) and sum(p.numInputRows for p in q.recentProgress) > len(years))
+    query = watch(12.0, only_new=True)
+    query.processAllAvailable()  # all files in one batch: no clock decides whether it ends before they are due
+    query.stop()
     pending = not seen
-    run(1.0, lambda _: len(seen) >= len(years))
+    query = watch(1.0)
+    while len(seen) < len(years) and not query.awaitTermination(0.1):  # a query that fails raises
+        pass
+    query.stop()
     times = spark.createDataFrame([(v, pending) for v in seen], "data_version string, pending boolean").groupBy("data_version", "pending").agg(F.count("*").alias("times"))
     sizes = chunk_folder(spark, path).groupBy("chunk_id", "data_version").agg(F.count("*").alias("n")).groupBy("data_version").agg(F.max("n").alias("n_rows"))
     return times.join(sizes, "data_version").select("data_version", "times", "n_rows", "pending")

@@ -6,7 +6,7 @@ files that are new or have changed: a stream's offset holds every file's stamp,
 version. Stamps include the time of the last change to the file's entry, which can't be set, where the file system has one.
 
 The driver lists names and stamps and reads header lines; contents are hashed and parsed by the tasks, one file each, in pieces.
-The option ``upto`` leaves out later chunks before any file is opened. Paths are those that Arrow opens: mounted ones, and s3, gs, abfs or hdfs.
+With the option ``ticks`` a stream's offset also holds the time, so that its batches go on where no file is new. The option ``upto`` leaves out later chunks before any file is opened. Paths are those that Arrow opens: mounted ones, and s3, gs, abfs or hdfs.
 
 A column that a file lacks is null, as are the fixed tokens for missing values and numbers that can't be read; a row with too many
 fields is an error. A file that has gone when its task reads it gives no rows.
@@ -17,6 +17,7 @@ from __future__ import annotations
 import fnmatch
 import hashlib
 import os
+import time
 import warnings
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -37,6 +38,7 @@ NAME = "chunk_folder"
 FILES = "chunk_id string, path string, data_version string, bytes long, changed timestamp"
 _BLOCK, _ROWS = 1 << 20, 10_000
 _OWN = ("chunk_id", "data_version", "row_id")
+_TICK = ""  # no file's name
 
 
 @dataclass(frozen=True)
@@ -57,7 +59,7 @@ class Folder:
             raise ValueError("the option path is missing")
         self.path, self.glob, self.content = options["path"], options.get("glob", "chunk_*.csv"), options.get("content", "rows")
         self.numeric = tuple(n for n in options.get("numeric", "").split(",") if n)
-        self.upto = options.get("upto")
+        self.upto, self.ticks = options.get("upto"), options.get("ticks", "false") == "true"
         self.missing = tuple(options.get("missing", "").split(","))
         if self.content not in ("rows", "files"):
             raise ValueError(f"content must be rows or files, not {self.content!r}")
@@ -181,10 +183,10 @@ class FolderStream(_Files, DataSourceStreamReader):
         return {}
 
     def latestOffset(self) -> dict:
-        return {f.name: f.stamp for f in self.folder.files()}
+        return {f.name: f.stamp for f in self.folder.files()} | ({_TICK: str(time.time_ns())} if self.folder.ticks else {})
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
-        return [File(name, stamp) for name, stamp in sorted(end.items()) if start.get(name) != stamp]
+        return [File(name, stamp) for name, stamp in sorted(end.items()) if name != _TICK and start.get(name) != stamp]
 
     def commit(self, end: dict) -> None:
         """Nothing is kept outside the checkpoint."""
@@ -206,10 +208,10 @@ class ChunkFolder(DataSource):
         return FolderStream(self.options, schema)
 
 
-def chunk_folder(spark: SparkSession, path: str, glob: str = "chunk_*.csv", content: str = "rows", numeric: Sequence[str] = (), missing: Sequence[str] = ("",), stream: bool = False) -> DataFrame:
+def chunk_folder(spark: SparkSession, path: str, glob: str = "chunk_*.csv", content: str = "rows", numeric: Sequence[str] = (), missing: Sequence[str] = ("",), stream: bool = False, ticks: bool = False) -> DataFrame:
     """The data source, registered in this session and sent to its tasks."""
     ship(spark)
     spark.dataSource.register(ChunkFolder)
     reader = (spark.readStream if stream else spark.read).format(NAME)
-    options = {"path": str(path), "glob": glob, "content": content, "numeric": ",".join(numeric), "missing": ",".join(missing)}
+    options = {"path": str(path), "glob": glob, "content": content, "numeric": ",".join(numeric), "missing": ",".join(missing), "ticks": str(ticks).lower()}
     return reader.options(**options).load()

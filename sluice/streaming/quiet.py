@@ -8,7 +8,7 @@ have been handed on under any name are dropped afterwards, so a copy is the same
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -19,6 +19,7 @@ from ..functions.shipping import ship
 from ..sources.folder_source import FILES, chunk_folder
 
 _STORE, _ROCKS = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_EMPTY = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
 _FACTS = Row(*(field.split()[0] for field in FILES.split(", ")))
@@ -64,25 +65,36 @@ def quiet_files(files: DataFrame, wait: float) -> DataFrame:
 
 
 @contextmanager
-def store_with_timers(spark: SparkSession) -> Iterator[None]:
-    """Queries started meanwhile keep their state in a store that has timers; a query takes its own copy of the settings when it starts."""
-    before = spark.conf.get(_STORE, None)
-    spark.conf.set(_STORE, _ROCKS)
+def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """What queries started meanwhile find in the session; a query takes its own copy of the settings when it starts."""
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.unset(_STORE) if before is None else spark.conf.set(_STORE, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def watch_quiet(spark: SparkSession, folder: str, checkpoint: str, handle: Callable[[DataFrame, int], Any], wait: float = 5.0, interval: str = "1 second", glob: str = "chunk_*.csv") -> StreamingQuery:
-    """Runs ``handle`` on the facts of files that have become quiet, batch by batch, until the query is stopped."""
+def store_with_timers(spark: SparkSession) -> AbstractContextManager[None]:
+    """Queries started meanwhile keep their state in a store that has timers."""
+    return settings(spark, {_STORE: _ROCKS})
+
+
+def watch_quiet(spark: SparkSession, folder: str, checkpoint: str, handle: Callable[[DataFrame, int], Any], wait: float = 5.0, interval: str = "1 second", glob: str = "chunk_*.csv", only_new: bool = False) -> StreamingQuery:
+    """Runs ``handle`` on the facts of files that have become quiet, batch by batch, until the query is stopped.
+
+    Batches also run where no file is new, the first after a restart too, so that timers go off. With ``only_new`` they run for new files
+    alone: those that come together stay pending, however long their batch takes, until a later batch or a later run.
+    """
     ship(spark)
-    files = chunk_folder(spark, folder, glob, content="files", stream=True)
+    files = chunk_folder(spark, folder, glob, content="files", stream=True, ticks=not only_new)
 
     def each(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
             handle(batch, number)
 
     writer = quiet_files(files, wait).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(processingTime=interval)
-    with store_with_timers(spark):
+    with store_with_timers(spark), settings(spark, {_EMPTY: str(not only_new).lower()}):
         return writer.start()

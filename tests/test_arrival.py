@@ -5,6 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from sluice import arrival_queries
 from sluice.sources.chunks import CsvChunkSource, content_versions
 from sluice.sources.folder_source import chunk_folder
 from sluice.sources.registry import ModelRegistry
@@ -125,3 +126,18 @@ def test_pending_files_survive_a_restart(spark, tmp_path, chunks):
     watch(2.0, lambda _: len(seen) >= 3)
     assert len(seen) == 3 and {v for _, v in seen} == {version('name,gap\nA,1.5\nNA,x\n"q,\nz",\n'), version("name,other\nF,6\n"), version("")}
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
+def test_slow_batches_leave_files_pending(spark, monkeypatch):
+    """Files are overdue by the time the first batch ends, as on a slow machine; and everything is committed when the query is stopped."""
+    asked, sleep = [], time.sleep
+
+    def hasty(*args, **options):
+        first = not asked
+        asked.append(args[4])
+        return watch_quiet(*args[:4], 0.001 if first else args[4], *args[5:], **options)
+
+    monkeypatch.setattr(arrival_queries, "watch_quiet", hasty)
+    monkeypatch.setattr(time, "sleep", lambda s: sleep(20.0 * s))
+    found = arrival_queries.quiet_chunks(spark, "/root/testdata/sf0.001").collect()
+    assert len(found) == 7 and {(r.times, r.pending) for r in found} == {(1, True)} and asked == [12.0, 1.0]
