@@ -15,7 +15,7 @@ from .operators.modelling import Featurizer, Trainer, save_artifacts
 from .plans.lifecycle import run_lifecycle, write_report
 from .plans.triage import run_triage
 from .queries import query, table
-from .sources.chunks import CsvChunkSource, source_from_config, write_csv
+from .sources.chunks import CsvChunkSource, source_from_config, with_row_ids, write_csv
 from .sources.registry import ModelRegistry
 from .sources.storage import join, read_bytes
 from .streaming.arrival import backfill
@@ -72,7 +72,7 @@ def triage_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = spark.read.csv(place, header=True)
         has = lambda c, kind, rows=rows: (F.col(c) if c in rows.columns else F.lit(None)).cast(kind)
         same_run = has("run_id", "string") == result.run_id
-        own = rows.withColumn("line", F.monotonically_increasing_id()).select(  # a file of one block is read by one task, in order
+        own = with_row_ids(rows, "line").select(
             F.lit(PurePosixPath(place).name).alias("file"), "candidate_id", F.round(has("pred_mu", "double"), 6).alias("pred"), F.round(has("unc_mu", "double"), 6).alias("unc"),
             has("rank", "long").alias("rank"), has("dropped_by", "string").alias("dropped_by"), "line", F.when(same_run, has("model_version", "string")).alias("model"),
         )

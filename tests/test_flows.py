@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sluice import run_queries
 from sluice.operators.modelling import Featurizer, MeanBaseline, Trainer, featurizer_from_config, load_bound, load_stage, save_artifacts, trainer_from_config
 from sluice.plans.cli import main
 from sluice.plans.lifecycle import run_lifecycle, write_report
@@ -216,3 +217,16 @@ def test_command_line(tmp_path, capsys):
     assert main(["registry", "list", "--root", str(tmp_path)]) == 0 and "a\tstaging" in capsys.readouterr().out
     assert main(["registry", "show", "a", "--root", str(tmp_path)]) == 0
     assert main(["registry", "show", "zz", "--root", str(tmp_path)]) == 2 and main(["registry", "rollback", "--root", str(tmp_path)]) == 2
+
+
+def test_lines_of_files_that_several_tasks_read(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        rows = run_queries.triage_files(spark, "/root/testdata/sf0.01").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    for file, n in (("best.csv", 200), ("rest.csv", 800), ("quarantined.csv", 500)):
+        own = sorted((r for r in rows if r.file == file), key=lambda r: r.line)
+        assert [r.line for r in own] == list(range(n)), file
+        assert own == sorted(own, key=lambda r: r.candidate_id if r.rank is None else r.rank)
