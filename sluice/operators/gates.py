@@ -216,6 +216,11 @@ class ParseableSmilesGate(PredicateGate):
 
         super().__init__(lambda df: parses(F.col(column).cast("string")), min_fraction, [column], name)
 
+    def annotate(self, frame, ctx):
+        from ..functions.smiles import spread
+
+        return spread(frame, ctx.row_id) if set(self.columns) <= set(frame.columns) else frame, None
+
 
 @dataclass
 class DuplicateGate(Gate):
