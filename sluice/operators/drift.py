@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.missing import finite_or_null
 from ..sources.storage import read_bytes, storage_of
-from .ordering import by_ranges, running_totals, totals_before
+from .ordering import by_ranges, dealt_by_ranges, running_totals, totals_before
 
 N_QUANTILES = 401
 
@@ -113,11 +113,11 @@ def ks_long(sample: DataFrame, reference: DataFrame, by: Sequence[str] = ()) ->
     values = sample.groupBy(*by, "column", "value").agg(F.count("*").alias("s"))
     base = reference.groupBy("column", "value").agg(F.count("*").alias("r"))
     # Values of all groups and of the reference lie in the same ranges, so one pass cumulates both sides.
-    stored = by_ranges(values.withColumn("r", F.lit(0).cast("long")).unionByName(base.withColumn("s", F.lit(0).cast("long")), allowMissingColumns=True), [F.col("column"), F.col("value")])
+    stored = by_ranges(values.withColumn("r", F.lit(0).cast("long")).unionByName(base.withColumn("s", F.lit(0).cast("long")), allowMissingColumns=True), [F.col("column"), F.col("value")], together=True)
     groups = stored.filter("s > 0").groupBy(*by, "column").agg(F.sum("s").alias("n_s"))
     sizes = stored.groupBy("column").agg(F.sum("r").alias("n_r")).filter("n_r > 0")
     own, whole = (Window.partitionBy(*key, "column", "_range").orderBy("value").rangeBetween(Window.unboundedPreceding, 0) for key in (by, ()))
-    local = stored.withColumns({"cs": F.sum("s").over(own), "cr": F.sum("r").over(whole), "here": F.sum("r").over(Window.partitionBy("column", "_range", "value"))})
+    local = dealt_by_ranges(stored, ["column"]).withColumns({"cs": F.sum("s").over(own), "cr": F.sum("r").over(whole), "here": F.sum("r").over(Window.partitionBy("column", "_range", "value"))})
     seen, expected = (totals_before(stored, {n: F.col(n)}, key).drop("_first") for n, key in (("s", [*by, "column"]), ("r", ["column"])))
     gaps = local.filter("s > 0").join(seen, [*by, "column", "_range"]).join(expected, ["column", "_range"]).join(groups, [*by, "column"]).join(F.broadcast(sizes), "column")
     cs, cr = F.col("cs") + F.col("_before_s"), F.col("cr") + F.col("_before_r")

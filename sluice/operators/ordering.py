@@ -2,12 +2,13 @@
 
 Spark deals the rows to ranges of the sort key, and they are stored in that order once, each with its range and its place. What is
 asked for is then counted from the stored rows: totals of the ranges before are added to places or windows within a range. The cuts are
-Spark's own and don't show in the plan; they only balance the work, the result doesn't depend on them. A group ``within`` is part of
+Spark's own, and others by place, and don't show in the plan; they only balance the work, the result doesn't depend on them. A group ``within`` is part of
 the key, so one that holds most rows is spread over ranges like any other.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -15,19 +16,34 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.shared import work_folder
 
 
-def by_ranges(df: DataFrame, keys: Sequence[Column], within: Sequence[str] = ()) -> DataFrame:
-    """``df``, stored by ranges of the keys: with the columns _range and _at, places that ascend within a range."""
+#: A range has at most 2^this rows, and those with the last one's key; a task of ``dealt_by_ranges`` has about so many ranges.
+BITS, RANGES_A_TASK = 15, 4
+
+
+def by_ranges(df: DataFrame, keys: Sequence[Column], within: Sequence[str] = (), together: bool = False) -> DataFrame:
+    """``df``, stored by ranges of the keys: with the columns _range and _at, places that ascend within a range.
+
+    What Spark deals to one task is cut into ranges by place. With ``together`` rows of equal keys are in the same range; these should be few.
+    """
     spark = df.sparkSession
     names = [f"_key{i}" for i in range(len(keys))]
     keyed = df.withColumns(dict(zip(names, keys, strict=True)))
     order = [F.col(c).asc_nulls_first() for c in (*within, *names)]
     dealt = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = dealt.withColumns({"_range": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}).drop(*names)
+    placed = dealt.withColumn("_at", F.monotonically_increasing_id())
+    first = F.min("_at").over(Window.partitionBy(*within, *names)) if together else F.col("_at")
+    placed = placed.withColumn("_range", F.shiftright(first, BITS)).drop(*names)
     path = work_folder(spark, "ordering")
     placed.write.mode("overwrite").parquet(path)
     return spark.read.schema(placed.schema).parquet(path)
 
 
+def dealt_by_ranges(stored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """``stored`` in as many tasks as it has ranges to fill, so that what a task sorts doesn't grow with the table."""
+    n = stored.select("_range").distinct().count()
+    return stored.repartition(max(1, math.ceil(n / RANGES_A_TASK)), *keys, "_range")
+
+
 def totals_before(stored: DataFrame, totals: dict[str, Column], within: Sequence[str] = ()) -> DataFrame:
     """(within..., _range, _first, _before_<name>...): of each group and range the first place, and the sums over the ranges before it."""
     sums = stored.groupBy(*within, "_range").agg(F.min("_at").alias("_first"), *(F.sum(c).alias(f"_sum_{n}") for n, c in totals.items()))

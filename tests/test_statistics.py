@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.operators.drift import Reference, drift_statistics, freeze_reference, ks_statistic, psi_statistic
+from sluice.operators import ordering
+from sluice.operators.drift import Reference, drift_statistics, freeze_reference, ks_long, ks_statistic, psi_statistic
 from sluice.operators.metrics import bootstrap_shares, exact_resampled_means, evaluate, normalized_score, paired_bootstrap, resample_weights, run_weights, split_draws, slice_metrics, slice_names, summarise, to_long
 from sluice.operators.ordering import global_rank, running_totals, value_keys
 from sluice.operators.profile import chunk_drift_matrix, dominance_verdict, findings, linear_r2, model_trajectory, per_target_metrics, scale_disparity, size_dominance, size_profile, slice_table, target_correlations
@@ -197,3 +198,20 @@ def test_registry_profiles(spark, tmp_path):
     assert row.score == 0.5 and row.failed == "x, z"
     assert per_target_metrics(df).first() == ("00000Z-abcdef", "mu", 0.1)
     assert slice_table(df, "lifecycle-20200101T000000Z-abcdef").first() == ("a", 0.7, 25)
+
+
+def test_ranges_are_bounded_and_keep_equal_values_together(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "BITS", 4)
+    rows = spark.range(3000).select((F.col("id") % 3).alias("g"), F.floor(F.col("id") / 3).cast("double").alias("value"), F.lit("x").alias("column"))
+    stored = ordering.by_ranges(rows, [F.col("column"), F.col("value")], together=True)
+    assert stored.groupBy("column", "value").agg(F.countDistinct("_range").alias("n")).filter("n > 1").count() == 0
+    sizes = [r["count"] for r in stored.groupBy("_range").count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) <= 16 + 2
+    tasks = ordering.dealt_by_ranges(stored, ["column"]).groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 20 and max(r["count"] for r in tasks) < 600  # four tasks would have 750 each
+    found = {r.g: r.ks for r in ks_long(rows, rows.filter("value >= 250").drop("g"), ["g"]).collect()}
+    assert found == {0: 0.25, 1: 0.25, 2: 0.25}
+    ranks = ordering.global_rank(rows, [F.col("value"), F.col("g")]).filter(F.col("rank") != 3 * F.col("value") + F.col("g"))
+    assert ranks.count() == 0
+    totals = ordering.running_totals(rows, [F.col("value")], {"n": F.lit(1)}, ["g"]).filter(F.col("n") != F.col("value") + 1)
+    assert totals.count() == 0
