@@ -79,8 +79,19 @@ class Featurizer:
             numbers = F.array(*(F.col(c).cast("double") for c in self.columns))
         return df.withColumns({"_numbers": numbers, "_bits": F.array().cast("array<int>")})
 
+    def _named(self, df: DataFrame) -> bool:
+        """Whether each number is a column of its own."""
+        return self.kind == "columns" and bool(self.columns) and not (len(self.columns) == 1 and df.schema[self.columns[0]].dataType.typeName() == "array")
+
     def fit(self, df: DataFrame) -> Featurizer:
-        """Means, population deviations and the bits ever set, from one aggregation by place."""
+        """Means, population deviations and the bits ever set, from one aggregation by place; of named columns in one job."""
+        if self._named(df):
+            numbers = [F.col(c).cast("double") for c in self.columns]
+            there = [F.when(~F.isnan(v), v) for v in numbers]
+            row = df.agg(F.count("*"), *(f(v) for v in there for f in (F.avg, F.stddev_pop))).first()
+            found = [(m, s) for m, s in zip(row[1::2], row[2::2], strict=True) if m is not None]
+            self.state = FitState(tuple(_rounded(m) for m, _ in found), tuple(_rounded(s) if s and s > 0 else 1.0 for _, s in found), (), row[0])
+            return self
         raw = self._raw(df)
         places = raw.select(F.posexplode("_numbers").alias("k", "v")).filter("v is not null and not isnan(v)")
         stats = sorted(places.groupBy("k").agg(F.avg("v").alias("m"), F.stddev_pop("v").alias("s")).collect(), key=lambda r: r.k)
@@ -94,6 +105,9 @@ class Featurizer:
         """``df`` with the vector column of features."""
         if self.state is None:
             raise RuntimeError("the featurizer is not fitted; load the one bound to the model")
+        if self._named(df) and len(self.columns) == len(self.state.mean) and not self.state.active_bits:
+            own = [(F.col(c).cast("double") - F.lit(m)) / F.lit(s) for c, m, s in zip(self.columns, self.state.mean, self.state.std, strict=True)]
+            return df.withColumn(FEATURES, array_to_vector(F.array(*(F.when(v.isNull() | F.isnan(v), F.lit(0.0)).otherwise(v) for v in own))))
         mean, std = (F.array(*map(F.lit, x)).cast("array<double>") for x in (self.state.mean, self.state.std))
         scaled = F.transform(F.zip_with(F.zip_with("_numbers", mean, lambda v, m: v - m), std, lambda d, s: d / s), lambda v: F.when(v.isNull() | F.isnan(v), F.lit(0.0)).otherwise(v))
         active = F.array(*map(F.lit, self.state.active_bits)).cast("array<int>")
@@ -225,6 +239,7 @@ class Trainer:
             raise KeyError(f"missing target columns: {missing}")
         data = df.select(FEATURES, *targets).cache()
         try:
+            data.count()  # in all tasks; MLlib's first look takes one row, for which one task alone would make a whole partition
             models = {t: self._make(t).fit(data.filter(F.col(t).isNotNull() & ~F.isnan(F.col(t).cast("double")))) for t in targets}
         finally:
             data.unpersist()

@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 from ..sources.chunks import source_from_config
 from ..sources.registry import ModelRegistry
 from ..streaming.arrival import ArrivalPoller, backfill
-from .lifecycle import load_config, run_lifecycle
+from .lifecycle import Earlier, load_config, run_lifecycle
 from .triage import run_triage
 
 
@@ -41,7 +41,8 @@ def _run(args: argparse.Namespace) -> int:
 
 def _backfill(args: argparse.Namespace) -> int:
     cfg, spark = load_config(args.config), session()
-    for r in backfill(source_from_config(spark, cfg["source"]), lambda c: run_lifecycle(spark, cfg, c)):
+    earlier = Earlier(source_from_config(spark, cfg["source"]))
+    for r in backfill(earlier.source, lambda c: run_lifecycle(spark, cfg, c, earlier=earlier)):
         print(f"{r.run_id}: {r.status}")
     return 0
 
@@ -50,9 +51,9 @@ def _watch(args: argparse.Namespace) -> int:
     cfg, spark = load_config(args.config), session()
     source = source_from_config(spark, {**cfg["source"], "path": cfg.get("trigger", {}).get("watch", {}).get("path", cfg["source"]["path"])})
     debounce = float(cfg.get("trigger", {}).get("watch", {}).get("debounce_seconds", 5))
-    poller = ArrivalPoller(source, ModelRegistry(cfg["registry"]["root"]), debounce)
+    poller, earlier = ArrivalPoller(source, ModelRegistry(cfg["registry"]["root"]), debounce), Earlier(source_from_config(spark, cfg["source"]))
     try:
-        for r in poller.watch(lambda c: run_lifecycle(spark, cfg, c), args.rounds):
+        for r in poller.watch(lambda c: run_lifecycle(spark, cfg, c, earlier=earlier), args.rounds):
             print(f"{r.run_id}: {r.status}")
     except KeyboardInterrupt:
         pass

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .flow_queries import folder
 from .operators.modelling import Featurizer, Trainer, save_artifacts
-from .plans.lifecycle import run_lifecycle, write_report
+from .plans.lifecycle import Earlier, run_lifecycle, write_report
 from .plans.triage import run_triage
 from .queries import query, table
 from .sources.chunks import CsvChunkSource, source_from_config, with_row_ids, write_csv
@@ -101,7 +101,9 @@ _LESSONS = ("10 * A + 1.5", "10 * A + B", "0.0")
 
 def _chunks(spark: SparkSession, sf_dir: str, root: str) -> dict:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 5).cast("double").alias("A"), (F.floor(F.col("o_orderkey") / 4) % 4).cast("double").alias("B"))
-    row = lambda k, mu: orders.filter(F.col("o_orderkey") % 4 == k).select(F.format_string("m%012d", "o_orderkey").alias("mol_id"), "A", "B", F.expr(mu).alias("mu"))
+    digits = F.col("o_orderkey").cast("string")
+    mol_id = F.concat(F.lit("m"), F.lpad(digits, F.greatest(F.length(digits), F.lit(12)), F.lit("0"))).alias("mol_id")  # compiled, unlike format_string
+    row = lambda k, mu: orders.filter(F.col("o_orderkey") % 4 == k).select(mol_id, "A", "B", F.expr(mu).alias("mu"))
     for k, mu in enumerate(_LESSONS):
         write_csv(row(k, mu), join(root, "chunks", f"chunk_{k}.csv"), ["mol_id"])
     write_csv(row(3, "10 * A + B"), join(root, "golden.csv"), ["mol_id"])
@@ -132,8 +134,9 @@ def successive_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = folder(spark, "lifecycle")
     cfg = _chunks(spark, sf_dir, root)
     rows, registry = [], ModelRegistry(cfg["registry"]["root"])
-    for chunk in source_from_config(spark, cfg["source"]).chunks():
-        result = run_lifecycle(spark, cfg, chunk, join(root, "runs"))
+    earlier = Earlier(source_from_config(spark, cfg["source"]))
+    for chunk in earlier.source.chunks():
+        result = run_lifecycle(spark, cfg, chunk, join(root, "runs"), earlier)
         before = result.metrics.get("golden_incumbent", {}).get("normalized_score")
         failed = ", ".join(r.name.removeprefix("golden:") for r in result.decision.failed)
         rows.append((chunk.chunk_id, result.status, result.model_version, round(result.metrics["golden"]["normalized_score"], 6), None if before is None else round(before, 6), failed))
@@ -149,7 +152,8 @@ def backfilled_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = folder(spark, "backfill")
     cfg = _chunks(spark, sf_dir, root)
     source, rows = CsvChunkSource(spark, cfg["source"]["path"]), []
-    run = lambda chunk: (chunk.chunk_id, run_lifecycle(spark, cfg, chunk, join(root, "runs")))
+    earlier = Earlier(source)
+    run = lambda chunk: (chunk.chunk_id, run_lifecycle(spark, cfg, chunk, join(root, "runs"), earlier))
     trained: dict[str, int] = {}
     for k in (1, 2):
         for chunk, result in backfill(source, run):

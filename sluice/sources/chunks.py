@@ -5,8 +5,9 @@ from __future__ import annotations
 import csv
 import fnmatch
 import io
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property, partial
 from pathlib import Path
 from typing import Any, Protocol
 from urllib.parse import unquote
@@ -26,12 +27,19 @@ MISSING = ("", "NA", "N/A", "n/a", "nan", "NaN", "NULL", "null", "None")
 
 @dataclass
 class Chunk:
-    """One file's rows; ``data_version`` is a hash of its bytes, so a renamed copy is the same data."""
+    """One file's rows; ``data_version`` is a hash of its bytes, so a renamed copy is the same data.
+
+    ``rows`` may be what reads them: numbering rows takes a look at all of them, which a run that skips the chunk doesn't need.
+    """
 
     chunk_id: str
     path: str
     data_version: str
-    frame: DataFrame
+    rows: DataFrame | Callable[[], DataFrame]
+
+    @cached_property
+    def frame(self) -> DataFrame:
+        return self.rows() if callable(self.rows) else self.rows
 
     @property
     def n_rows(self) -> int:
@@ -117,7 +125,7 @@ class CsvChunkSource:
     def chunks(self) -> list[Chunk]:
         files = self.facts()
         versions = content_versions(self.spark, self.path, files, self.known)
-        return [Chunk(stem_of(f.name), join(self.path, f.name), versions[f.name], self.read(join(self.path, f.name))) for f in files]
+        return [Chunk(stem_of(f.name), join(self.path, f.name), versions[f.name], partial(self.read, join(self.path, f.name))) for f in files]
 
 
 @dataclass

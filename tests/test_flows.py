@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from sluice import run_queries
 from sluice.operators.modelling import Featurizer, MeanBaseline, Trainer, featurizer_from_config, load_bound, load_stage, save_artifacts, trainer_from_config
 from sluice.plans.cli import main
-from sluice.plans.lifecycle import run_lifecycle, write_report
+from sluice.plans.lifecycle import Earlier, assemble, open_attempt, run_lifecycle, screen, write_report
 from sluice.plans.triage import run_triage
+from sluice.sources import chunks as chunk_files
 from sluice.sources.chunks import CsvBatchSource, CsvChunkSource, load_chunks, prepare_dataset, read_csv, source_from_config, with_row_ids, write_csv
 from sluice.sources.registry import ModelRegistry
 from sluice.streaming.arrival import ArrivalPoller, backfill, new_contents, stream_arrivals, windowed_statistics
@@ -137,6 +138,51 @@ def test_featurizer_versions_and_binding(spark, space):
     assert base.predict(df, True).first().pred_mu == pytest.approx(base.means["mu"]) and base.stds["mu"] > 0
 
 
+def test_a_backfill_reads_each_chunk_once(spark, monkeypatch):
+    read, plain = [], chunk_files.read_csv
+    monkeypatch.setattr(chunk_files, "read_csv", lambda session, path, *more: read.append(Path(path).stem) or plain(session, path, *more))
+    rows = run_queries.backfilled_models(spark, "/root/testdata/sf0.001").collect()
+    assert sorted(read) == ["chunk_0", "chunk_1", "chunk_2"]
+    assert [r.status for r in rows] == ["promoted", "promoted", "rejected", *["skipped"] * 3]
+    first, second = [r.trained_on for r in rows[:3]], [r.trained_on for r in rows[3:]]
+    assert first == second and first[0] < first[1] < first[2]
+
+
+def test_rows_of_earlier_runs_are_those_that_a_run_of_its_own_makes(spark, space):
+    tmp, cfg = space
+    write(tmp / "chunks" / "chunk_01.csv", 50, 5, header=("mol_id", "smiles", "mu"))  # a column fewer
+
+    def assembled(k, folder, earlier=None):
+        a = open_attempt(spark, cfg, source_from_config(spark, cfg["source"]).chunks()[k], tmp / folder, earlier)
+        if ended := screen(a):
+            return ended.status
+        assemble(a)
+        return sorted(a.rows.select("chunk_id", "row_id", "mol_id", "smiles", "mu", "gap", "held").collect(), key=lambda r: r[:2]), Path(a.folder)
+
+    shared = Earlier(source_from_config(spark, cfg["source"]))
+    one, place = assembled(0, "a", shared)
+    cfg["validation"]["checks"]["schema"]["required_columns"] = ["smiles", "mu"]  # asked for something else: chunk 0 is looked at again
+    write(tmp / "chunks" / "chunk_02.csv", 40, 6)
+    two, _ = assembled(1, "a", shared)
+    three, last = assembled(2, "a", shared)
+    assert {r.chunk_id for r in spark.read.parquet(str(last / "rows")).collect()} == {"chunk_02"}
+    assert one == assembled(0, "b")[0] and two == assembled(1, "b")[0] and three == assembled(2, "b")[0] and len(three) == 150
+    write(tmp / "chunks" / "chunk_00.csv", 30, 8)  # edited in place
+    shutil.rmtree(last)  # a run whose rows are gone
+    again, _ = assembled(2, "a", shared)
+    assert again == assembled(2, "b")[0] and len(again) == 120
+
+
+def test_named_columns_are_fitted_in_one_job(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, 4), (None, 6), (nan, None), (3.0, 8)], "a double, b int")
+    f = Featurizer("columns", columns=("a", "b")).fit(df)
+    assert (f.state.mean, f.state.std, f.state.n_train_rows) == ((2.0, 6.0), (1.0, pytest.approx(1.63299316186)), 4)
+    array = Featurizer("columns", columns=("x",), state=f.state)
+    of = lambda g, rows: [list(r[0]) for r in g.transform(rows).select("_features").collect()]
+    assert of(f, df) == of(array, df.select(F.array(F.col("a"), F.col("b").cast("double")).alias("x")))
+
+
 def test_sources(spark, space):
     tmp, cfg = space
     assert [c.chunk_id for c in CsvChunkSource(spark, tmp / "chunks").chunks()] == ["chunk_00", "chunk_01"]

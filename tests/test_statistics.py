@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators import ordering
 from sluice.operators.drift import Reference, drift_statistics, freeze_reference, ks_long, ks_statistic, psi_statistic
-from sluice.operators.metrics import bootstrap_shares, exact_resampled_means, evaluate, normalized_score, paired_bootstrap, resample_weights, run_weights, split_draws, slice_metrics, slice_names, summarise, to_long
+from sluice.operators.metrics import bootstrap_shares, exact_resampled_means, evaluate, evaluate_beside, normalized_score, paired_bootstrap, paired_differences, resample_weights, run_weights, split_draws, slice_metrics, slice_names, summarise, to_long, to_long_beside
 from sluice.operators.ordering import global_rank, running_totals, value_keys
 from sluice.operators.profile import chunk_drift_matrix, dominance_verdict, findings, linear_r2, model_trajectory, per_target_metrics, scale_disparity, size_dominance, size_profile, slice_table, target_correlations
 
@@ -140,6 +140,26 @@ def test_bootstrap_does_not_depend_on_the_partitioning(spark, long):
     assert paired_bootstrap(new, new, 50)["mu"] == (0.0, 1.0)
 
 
+def test_models_beside_each_other_pair_without_a_join(spark):
+    df = spark.range(50).selectExpr("id AS row_id", "double(id % 7) AS mu", "id / 9 AS a", "if(id % 11 = 0, null, id / 8) AS b")
+    table = to_long_beside(df, ["mu"], {"new": {"mu": "a"}, "old": {"mu": "b"}})
+    new, old = (evaluate_beside(table, m, m, "s", ["mu"], False) for m in ("new", "old"))
+    apart = [evaluate(to_long(df, ["mu"], {"mu": c}), c, "s", ["mu"], False) for c in ("a", "b")]
+    assert [new.per_target["mu"].mae, old.per_target["mu"].mae] == [r.per_target["mu"].mae for r in apart]
+    beside = paired_differences(new, old)
+    assert "Join" not in beside._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(beside.collect(), key=lambda r: r.row_id) == sorted(paired_differences(*apart).select("target", "row_id", "d").collect(), key=lambda r: r.row_id)
+
+
+def test_resample_weights_are_those_of_plain_remainders():
+    rows, b, p = np.array([0, 1, 59, 2**31 - 2, 2**31 - 1, 2**31, 10**12, 2**62, -1, -(2**40)]), np.arange(2000), 2**31 - 1
+    x = ((rows % p)[:, None] * 1_000_003 + b * 7_919 + 3 * 104_729 + 12_345) % p
+    for _ in range(3):
+        x = (x * x + 48_271 * x + b) % p
+    cumulative = [0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582, 0.99991676, 0.99998975]
+    assert (resample_weights(rows, b, 3) == np.searchsorted(cumulative, x / p, side="right")).all()
+
+
 def test_multinomial_resamples_have_exact_sizes(spark):
     d = rng.normal(0.2, 1, 2500)
     pairs = spark.createDataFrame([("t", i, float(x)) for i, x in enumerate(d)] + [("one", 5, 2.0), ("same", 1, 1.0), ("same", 1, 1.0)], "target string, row_id long, d double")
